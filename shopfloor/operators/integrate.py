@@ -87,8 +87,8 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
                            *[F.col(c).alias(n) for c, n in renames.items()])
 
     if null_keys == "sql":
-        cond = [F.col(s) == F.col(rk) for (s, _), rk in zip(keys, right_keys)]
-        joined = sensor.join(right, on=_and(cond), how="left")
+        joined = left_join_sql_nulls(sensor, right, [(s, rk) for (s, _), rk in zip(keys, right_keys)],
+                                     null_salt)
     else:
         salt = max(1, int(null_salt))
         left_null = _any_null([F.col(s) for s, _ in keys])
@@ -113,6 +113,25 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
     return joined.withColumn(STATUS_COL, quality_status(F.col(rcol) if rcol else None))
 
 
+def left_join_sql_nulls(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
+                        null_salt: int = DEFAULT_NULL_SALT) -> DataFrame:
+    """LEFT equi-join with the SQL rule (a NULL key matches nothing).
+
+    Left rows with a NULL key cannot match, but would all hash to one
+    reducer.  They carry a salt 1..n that joins the key (the right side
+    carries 0, or -1 for its own NULL keys), so they spread over n tasks and
+    still find no partner.  Column names of the two sides must be disjoint.
+    """
+    salt = max(1, int(null_salt))
+    l_null = _any_null([F.col(a) for a, _ in pairs])
+    r_null = _any_null([F.col(b) for _, b in pairs])
+    left = left.withColumn("__nk", F.when(l_null, F.lit(1) + F.pmod(
+        F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salt))).otherwise(F.lit(0)).cast("int"))
+    right = right.withColumn("__rnk", F.when(r_null, F.lit(-1)).otherwise(F.lit(0)))
+    cond = [F.col(a) == F.col(b) for a, b in pairs] + [F.col("__nk") == F.col("__rnk")]
+    return left.join(right, on=_and(cond), how="left").drop("__nk", "__rnk")
+
+
 def _and(conds: list[Column]) -> Column:
     out = conds[0]
     for c in conds[1:]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +94,31 @@ def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
     return df.drop("day") if name == SUMMARY_TABLE else df
 
 
+def published_tables(spark: SparkSession, base: str) -> dict[str, DataFrame | None]:
+    """The current run's tables; a table that is absent maps to None (K1)."""
+    try:
+        run_id = current_run(spark, base)
+    except Exception:  # noqa: BLE001 - no pointer: nothing published yet
+        return {n: None for n in TABLE_SCHEMAS}
+    out = {}
+    for name in TABLE_SCHEMAS:
+        try:
+            df = spark.read.parquet(f"{base.rstrip('/')}/runs/{run_id}/{name}")
+            out[name] = df.drop("day") if name == SUMMARY_TABLE else df
+        except AnalysisException:
+            out[name] = None
+    return out
+
+
+def create_database(spark: SparkSession, base: str) -> str | None:
+    """publish empty tables with the declared contracts when nothing is
+    published yet (CREATE TABLE IF NOT EXISTS).  Returns the new run id."""
+    if any(df is not None for df in published_tables(spark, base).values()):
+        return None
+    empty = {name: spark.createDataFrame([], schema) for name, schema in TABLE_SCHEMAS.items()}
+    return publish_tables(spark, empty, base)
+
+
 def verify_counts(readings: DataFrame, checks: DataFrame, summary: DataFrame) -> DataFrame:
     """one (table, rows) row per table."""
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))

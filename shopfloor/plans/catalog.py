@@ -353,8 +353,7 @@ def q_run_pipeline(spark, sf_dir):
     p = _pipe(spark, sf_dir)
     base = session.scratch_path(spark, f"shopfloor-tables-{uuid.uuid4().hex}")
     pipeline.run_pipeline(spark, p, base)
-    pub = {n: load.read_published(spark, base, n)
-           for n in ("sensor_readings", "quality_checks", "hourly_summary")}
+    pub = load.published_tables(spark, base)
     return load.verify_counts(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
 
 

@@ -8,7 +8,7 @@ status) and ``overall_status`` folds the statuses.  Status is 'pass',
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CHECKS_TABLE, READINGS_COLUMNS, READINGS_TABLE, SUMMARY_TABLE
@@ -76,10 +76,11 @@ def check_temperature_bounds(t: Tables) -> DataFrame:
 
 def check_quality_distribution(t: Tables) -> DataFrame:
     """K7: count and share (percent, unrounded in the reference) per flag."""
-    total = t.readings.select(F.count(F.lit(1))).scalar()
-    return t.readings.groupBy("data_quality").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.round(F.count(F.lit(1)).cast("double") / total * F.lit(100.0), PLACES).alias("percentage"))
+    counts = t.readings.groupBy("data_quality").agg(F.count(F.lit(1)).alias("count"))
+    total = F.sum("count").over(Window.partitionBy())  # over the few flag rows, not the table
+    return counts.select("data_quality", "count",
+                         F.round(F.col("count").cast("double") / total * F.lit(100.0), PLACES)
+                         .alias("percentage"))
 
 
 def check_hourly_aggregates(t: Tables) -> DataFrame:
@@ -110,43 +111,57 @@ def check_result_distribution(t: Tables) -> DataFrame:
 
 
 def validation_report(t: Tables) -> DataFrame:
-    """One row per (check, metric) with a double value and a status."""
-    def row(df: DataFrame, check: str, metric: str, value: Column, status: Column) -> DataFrame:
-        return df.agg(F.lit(check).alias("check"), F.lit(metric).alias("metric"),
-                      value.cast("double").alias("value"), status.alias("status"))
+    """One row per (check, metric) with a double value and a status.
 
+    One aggregate per table computes every metric of that table in a
+    single scan; the metric columns are then unpivoted into rows.  The
+    flag shares come from one group-by whose total is a window over its
+    (few) result rows, not a second scan.
+    """
     n = F.count(F.lit(1))
-    temp = t.readings.where(F.col("temperature").isNotNull())
+    nulls = F.count_if(F.col("record_id").isNull() | F.col("timestamp").isNull())
+    dupes = n - F.countDistinct("record_id")
     lo, hi = F.min("temperature"), F.max("temperature")
+    temp_status = (F.when(lo.isNull(), PASS())
+                   .otherwise(_status(lo.between(0, 150) & hi.between(0, 150), WARN)))
+    r = t.readings.agg(
+        n.cast("double").alias("m_rows"), _status(n > 0).alias("s_rows"),
+        nulls.cast("double").alias("m_nulls"), _status(nulls == 0).alias("s_nulls"),
+        dupes.cast("double").alias("m_dupes"), _status(dupes == 0).alias("s_dupes"),
+        lo.alias("m_lo"), hi.alias("m_hi"), temp_status.alias("s_temp"))
+    c = t.checks.agg(n.cast("double").alias("m_rows"), _status(n > 0, WARN).alias("s_rows"))
+    h = t.summary.agg(
+        n.cast("double").alias("m_rows"), _status(n > 0).alias("s_rows"),
+        F.round(F.avg("defect_rate"), PLACES).alias("m_avg"),
+        F.round(F.max("defect_rate"), PLACES).alias("m_max"))
+
+    def unpivot(df: DataFrame, items: list[tuple[str, str, str, str]]) -> DataFrame:
+        """items: (check, metric, value column, status column)."""
+        entries = [F.struct(F.lit(ck).alias("check"), F.lit(mt).alias("metric"),
+                            F.col(v).alias("value"), F.col(st).alias("status"))
+                   for ck, mt, v, st in items]
+        return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
     parts = [
-        row(t.readings, "row_counts", READINGS_TABLE, n, _status(n > 0)),
-        row(t.checks, "row_counts", CHECKS_TABLE, n, _status(n > 0, WARN)),
-        row(t.summary, "row_counts", SUMMARY_TABLE, n, _status(n > 0)),
-        row(t.readings, "critical_nulls", "null_count",
-            F.count_if(F.col("record_id").isNull() | F.col("timestamp").isNull()),
-            _status(F.count_if(F.col("record_id").isNull() | F.col("timestamp").isNull()) == 0)),
-        row(t.readings, "duplicate_ids", "duplicates", n - F.countDistinct("record_id"),
-            _status(n - F.countDistinct("record_id") == 0)),
-        row(temp, "temperature_bounds", "min_temp", lo,
-            F.when(lo.isNull(), PASS()).otherwise(_status(lo.between(0, 150) & hi.between(0, 150), WARN))),
-        row(temp, "temperature_bounds", "max_temp", hi,
-            F.when(lo.isNull(), PASS()).otherwise(_status(lo.between(0, 150) & hi.between(0, 150), WARN))),
-        row(t.summary, "hourly_aggregates", "total_hours", n, _status(n > 0)),
-        row(t.summary, "hourly_aggregates", "avg_defect_rate",
-            F.round(F.avg("defect_rate"), PLACES), _status(n > 0)),
-        row(t.summary, "hourly_aggregates", "max_defect_rate",
-            F.round(F.max("defect_rate"), PLACES), _status(n > 0)),
+        unpivot(r, [("row_counts", READINGS_TABLE, "m_rows", "s_rows"),
+                    ("critical_nulls", "null_count", "m_nulls", "s_nulls"),
+                    ("duplicate_ids", "duplicates", "m_dupes", "s_dupes"),
+                    ("temperature_bounds", "min_temp", "m_lo", "s_temp"),
+                    ("temperature_bounds", "max_temp", "m_hi", "s_temp")]),
+        unpivot(c, [("row_counts", CHECKS_TABLE, "m_rows", "s_rows")]),
+        unpivot(h, [("row_counts", SUMMARY_TABLE, "m_rows", "s_rows"),
+                    ("hourly_aggregates", "total_hours", "m_rows", "s_rows"),
+                    ("hourly_aggregates", "avg_defect_rate", "m_avg", "s_rows"),
+                    ("hourly_aggregates", "max_defect_rate", "m_max", "s_rows")]),
     ]
-    total = t.readings.select(F.count(F.lit(1))).scalar()
-    dist = t.readings.groupBy("data_quality").agg(
+    share = check_quality_distribution(t).select(
         F.lit("quality_distribution").alias("check"),
         F.concat(F.lit("share_"), F.coalesce(F.col("data_quality"), F.lit("null"))).alias("metric"),
-        F.round(n.cast("double") / total * F.lit(100.0), PLACES).alias("value"),
-        PASS().alias("status")).drop("data_quality")
+        F.col("percentage").alias("value"), PASS().alias("status"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.unionByName(dist)
+    return out.unionByName(share)
 
 
 def overall_status(t: Tables) -> DataFrame:

@@ -78,22 +78,39 @@ def from_sf_dir(spark: SparkSession, sf_dir: str, **options) -> Pipeline:
                  **options)
 
 
+@dataclass
+class RunReport:
+    run_id: str
+    rows: dict[str, int]
+
+
 def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
-                 run_id: str | None = None, checkpoint_join: bool = True) -> str:
+                 run_id: str | None = None, checkpoint_join: bool = True) -> RunReport:
     """F8: write the three tables of one run and publish them together.
 
     The joined frame feeds two sinks (readings, summary); it is cut from
     its lineage once with a reliable checkpoint in the cluster's checkpoint
     folder, so a lost executor recomputes from the checkpoint files, not
-    from the CSV scan and the ordered pass.
+    from the scan, the ordered pass and the join.  Row counts per stage
+    (A10) are observed on the jobs that run anyway, never by extra counts.
     """
+    observed = {}
+
+    def watch(df: DataFrame | None, name: str) -> DataFrame | None:
+        if df is None:
+            return None
+        df, obs = extract.observe_rows(df, name)
+        observed[name] = obs
+        return df
+
+    joined = watch(pipeline.joined, "joined")
     if checkpoint_join:
         session.ensure_checkpoint_dir(spark)
-        joined = pipeline.joined.checkpoint(eager=True)
-        summary = hourly_summary(joined)
-        tables = {READINGS_TABLE: project_sensor_readings(joined),
-                  CHECKS_TABLE: pipeline.checks,
-                  SUMMARY_TABLE: project_hourly_summary(summary)}
-    else:
-        tables = pipeline.tables()
-    return publish_tables(spark, tables, out_base, run_id)
+        joined = joined.checkpoint(eager=True)
+    summary = project_hourly_summary(hourly_summary(joined))
+    tables = {READINGS_TABLE: watch(project_sensor_readings(joined), READINGS_TABLE),
+              CHECKS_TABLE: watch(pipeline.checks, CHECKS_TABLE),
+              SUMMARY_TABLE: watch(summary, SUMMARY_TABLE)}
+    rid = publish_tables(spark, tables, out_base, run_id)
+    rows = {name: int(obs.get.get("rows", 0)) for name, obs in observed.items()}
+    return RunReport(rid, rows)

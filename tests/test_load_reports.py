@@ -107,3 +107,23 @@ def test_oracle_agreement_sf0001(spark, key):
     want = sorted((tuple(r[i] for i in idx) for r in res.fetchall()),
                   key=lambda t: tuple((v is None, v) for v in t))
     assert got == want
+
+
+def test_contract_tables_and_published_checks(spark, tables):  # F1, K1 over published tables
+    base = tempfile.mkdtemp(prefix="sf-db-")
+    assert all(df is None for df in load.published_tables(spark, base).values())
+    assert load.create_database(spark, base) is not None
+    pub = load.published_tables(spark, base)
+    assert {n: df.count() for n, df in pub.items()} == {"sensor_readings": 0, "quality_checks": 0,
+                                                        "hourly_summary": 0}
+    assert load.create_database(spark, base) is None        # already there: left alone
+    t = reports.Tables(pub["sensor_readings"], None, pub["hourly_summary"])
+    got = {r.table_name: r.status for r in checks.check_tables_exist(spark, t).collect()}
+    assert got == {"sensor_readings": "pass", "quality_checks": "fail", "hourly_summary": "pass"}
+
+
+def test_run_pipeline_observes_stage_rows(spark):  # F8, A10
+    p = pipeline.from_sf_dir(spark, SF0001)
+    rep = pipeline.run_pipeline(spark, p, tempfile.mkdtemp(prefix="sf-run-"))
+    assert rep.rows == {"joined": 1019, "sensor_readings": 1019, "quality_checks": 712,
+                        "hourly_summary": 937}
