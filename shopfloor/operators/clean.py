@@ -28,8 +28,8 @@ from ..schemas import FLAG_ESTIMATED, FLAG_GOOD, FLAG_INVALID, SENSOR_RANGES
 from .ordered import DEFAULT_BUCKET_WIDTH, ordered_pass
 
 
-def _as_double(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
+def _as_double(types: dict, name: str) -> Column:
+    dtype = types[name]
     c = F.col(name)
     if isinstance(dtype, T.DoubleType):
         return c
@@ -41,7 +41,9 @@ def _as_double(df: DataFrame, name: str) -> Column:
 def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None = None,
                       method: str = "bucketed", width: int = DEFAULT_BUCKET_WIDTH,
                       flag_col: str = "data_quality") -> DataFrame:
-    steps = roles.sensor_cleaning_steps(df.columns)
+    columns = df.columns
+    types = {f.name: f.dataType for f in df.schema.fields}
+    steps = roles.sensor_cleaning_steps(columns)
     fills: dict[str, Column] = {}
     checks: list[tuple[Column | str, str]] = []  # (value tested, its filled column)
     source: dict[str, Column] = {}   # column -> current row-local cleaned value
@@ -49,7 +51,7 @@ def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None =
     for i, (role, name) in enumerate(steps):
         lo, hi = SENSOR_RANGES[role]
         if name not in source:
-            cleaned = in_range(null_error_codes(_as_double(df, name)), lo, hi)
+            cleaned = in_range(null_error_codes(_as_double(types, name)), lo, hi)
             tested: Column | str = cleaned
         else:
             # a column in a second role: its filled values are range-tested again
@@ -75,8 +77,8 @@ def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None =
         flag = F.coalesce(status, flag)
 
     final = {name: F.col(fill) for name, fill in last_fill.items()}
-    cols = [final[c].alias(c) if c in final else F.col(c) for c in df.columns]
-    if position_col is not None and position_col not in df.columns:
+    cols = [final[c].alias(c) if c in final else F.col(c) for c in columns]
+    if position_col is not None and position_col not in columns:
         cols.append(F.col(position_col))
     cols.append(flag.alias(flag_col))
     return out.select(*cols)

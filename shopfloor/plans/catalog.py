@@ -40,8 +40,20 @@ def register(key: str, sql: str | None):
     return deco
 
 
-def _pipe(spark: SparkSession, sf_dir: str, **kw) -> pipeline.Pipeline:
-    return pipeline.from_sf_dir(spark, sf_dir, **kw)
+_PLANS: dict[tuple, pipeline.Pipeline] = {}
+
+
+def _pipe(spark: SparkSession, sf_dir: str) -> pipeline.Pipeline:
+    """The lazy pipeline over one folder, built once per Spark application.
+
+    Only the logical plan is kept (no data is cached): every query still
+    runs from the source tables.
+    """
+    session.configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = pipeline.from_sf_dir(spark, sf_dir)
+    return _PLANS[key]
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
