@@ -40,7 +40,12 @@ def _as_double(types: dict, name: str) -> Column:
 
 def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None = None,
                       method: str = "bucketed", width: int = DEFAULT_BUCKET_WIDTH,
-                      flag_col: str = "data_quality") -> DataFrame:
+                      flag_col: str = "data_quality", carry_in: dict[int, Column] | None = None,
+                      offset_in: Column | None = None, keep_fills: bool = False) -> DataFrame:
+    """B6.  ``carry_in`` (step index -> last cleaned value before these rows)
+    and ``offset_in`` continue an earlier frame, as the streaming cleaner
+    does per micro-batch; ``keep_fills`` keeps the per-step filled columns
+    ``__filled_<i>`` (their values at the last row are the next carry)."""
     columns = df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
     steps = roles.sensor_cleaning_steps(columns)
@@ -63,7 +68,9 @@ def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None =
         checks.append((tested, filled))
         last_fill[name] = filled
 
-    out = ordered_pass(df, order, fills, position_col=position_col, method=method, width=width)
+    out = ordered_pass(df, order, fills, position_col=position_col, method=method, width=width,
+                       carry_in={f"__filled_{i}": c for i, c in (carry_in or {}).items()},
+                       offset_in=offset_in)
 
     flag = F.lit(FLAG_GOOD)
     for step, (tested, filled) in zip(steps, checks):
@@ -81,6 +88,8 @@ def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None =
     if position_col is not None and position_col not in columns:
         cols.append(F.col(position_col))
     cols.append(flag.alias(flag_col))
+    if keep_fills:
+        cols += [F.col(f) for f in fills]
     return out.select(*cols)
 
 

@@ -61,7 +61,8 @@ def as_order(order: "RowOrder | str", width: int = DEFAULT_BUCKET_WIDTH) -> RowO
 
 def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column] | None = None,
                  position_col: str | None = None, method: str = "bucketed",
-                 width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                 width: int = DEFAULT_BUCKET_WIDTH, carry_in: dict[str, Column] | None = None,
+                 offset_in: Column | None = None) -> DataFrame:
     """Add forward-filled columns and/or a zero-based dense position.
 
     ``fills`` maps an output column name to the expression whose last
@@ -69,6 +70,11 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
     before the first non-null stay null.  ``position_col`` receives
     0, 1, 2, ... in row order.  ``method='window'`` is the plain one-task
     form, kept to check the bucketed one.
+
+    ``carry_in`` (per fill, a scalar column) and ``offset_in`` continue an
+    earlier pass: values before this frame's rows, and the number of rows
+    already numbered (used by the streaming cleaner, one micro-batch at a
+    time).
     """
     fills = dict(fills or {})
     order = as_order(order, width)
@@ -78,7 +84,17 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
         return _single_window(df, order, fills, position_col)
     if method != "bucketed":
         raise ValueError(f"unknown method {method!r}")
+    out = _bucketed(df, order, fills, position_col)
+    if carry_in or offset_in is not None:
+        new = {name: F.coalesce(F.col(name), carry_in[name]) for name in fills if carry_in and name in carry_in}
+        if position_col is not None and offset_in is not None:
+            new[position_col] = F.col(position_col) + offset_in
+        out = out.select(*_in_place(out.columns, new))
+    return out
+
 
+def _bucketed(df: DataFrame, order: RowOrder, fills: dict[str, Column],
+              position_col: str | None) -> DataFrame:
     bnames = list(order.bucket_names)
     seq = F.col(order.seq)
     tmp = {name: f"__fill_src_{i}" for i, name in enumerate(fills)}
