@@ -26,7 +26,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_WIDTH = 1 << 20
+DEFAULT_BUCKET_WIDTH = 1 << 20   # rows per bucket for a dense position
+MAX_BUCKETS = 1 << 20            # bound on the bucket table (one row per bucket)
 
 
 @dataclass(frozen=True)
@@ -55,13 +56,38 @@ class RowOrder:
                         bucket_names=tuple(f"__bucket{i}" for i in range(len(bucket_cols))))
 
 
-def as_order(order: "RowOrder | str", width: int = DEFAULT_BUCKET_WIDTH) -> RowOrder:
-    return order if isinstance(order, RowOrder) else RowOrder.numeric(order, width)
+def auto_width(df: DataFrame, col: str, rows_per_bucket: int = DEFAULT_BUCKET_WIDTH,
+               max_buckets: int = MAX_BUCKETS) -> int:
+    """Bucket width for a unique numeric position that may be sparse.
+
+    One aggregate (min, max, count) over the position column.  The width
+    gives about ``rows_per_bucket`` rows per bucket on average and never
+    more than ``max_buckets`` buckets, so the bucket table stays bounded
+    whatever the gaps between positions.
+    """
+    lo, hi, n = df.agg(F.min(col), F.max(col), F.count(col)).first()
+    if not n:
+        return rows_per_bucket
+    span = int(hi) - int(lo) + 1
+    by_density = -(-rows_per_bucket * span // n)   # ceil
+    by_count = -(-span // max_buckets)
+    return max(1, by_density, by_count)
+
+
+def as_order(order: "RowOrder | str", width: "int | str" = DEFAULT_BUCKET_WIDTH,
+             df: DataFrame | None = None) -> RowOrder:
+    if isinstance(order, RowOrder):
+        return order
+    if width == "auto":
+        if df is None:
+            raise ValueError("width='auto' needs the frame to measure")
+        width = auto_width(df, order)
+    return RowOrder.numeric(order, int(width))
 
 
 def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column] | None = None,
                  position_col: str | None = None, method: str = "bucketed",
-                 width: int = DEFAULT_BUCKET_WIDTH, carry_in: dict[str, Column] | None = None,
+                 width: "int | str" = DEFAULT_BUCKET_WIDTH, carry_in: dict[str, Column] | None = None,
                  offset_in: Column | None = None) -> DataFrame:
     """Add forward-filled columns and/or a zero-based dense position.
 
@@ -69,7 +95,8 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
     non-null value (in row order, current row included) it receives; rows
     before the first non-null stay null.  ``position_col`` receives
     0, 1, 2, ... in row order.  ``method='window'`` is the plain one-task
-    form, kept to check the bucketed one.
+    form, kept to check the bucketed one.  ``width='auto'`` sizes the
+    buckets of a numeric position from its range and count (one small job).
 
     ``carry_in`` (per fill, a scalar column) and ``offset_in`` continue an
     earlier pass: values before this frame's rows, and the number of rows
@@ -77,9 +104,9 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
     time).
     """
     fills = dict(fills or {})
-    order = as_order(order, width)
     if not fills and position_col is None:
         return df
+    order = as_order(order, width, df)
     if method == "window":
         return _single_window(df, order, fills, position_col)
     if method != "bucketed":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import roles
 from ..functions.scalars import parse_event_time, record_id, strip_lower
-from .ordered import DEFAULT_BUCKET_WIDTH, as_order, ordered_pass
+from .ordered import DEFAULT_BUCKET_WIDTH, ordered_pass
 
 POSITION_COL = "__position"
 
@@ -47,8 +47,7 @@ def assign_record_ids(df: DataFrame, order="row_no", position_col: str = POSITIO
     in row order.  A dense position computed earlier in the same ordered
     pass (column ``position_col``) is reused instead of a second shuffle."""
     if position_col not in df.columns:
-        df = ordered_pass(df, as_order(order, width), position_col=position_col,
-                          method=method, width=width)
+        df = ordered_pass(df, order, position_col=position_col, method=method, width=width)
     keep = [c for c in df.columns if c not in ("record_id", position_col)]
     return df.select(*keep, record_id(F.col(position_col)).alias("record_id"))
 

@@ -67,3 +67,16 @@ def test_fill_matches_pandas_ffill(spark, values, width):
     got = [r.v for r in out.orderBy("row_no").collect()]
     want = pd.Series(values, dtype="float64").ffill().tolist()
     assert [None if (w != w) else w for w in want] == got
+
+
+def test_auto_width_bounds_buckets_for_sparse_positions(spark):
+    from shopfloor.operators.ordered import auto_width
+    raw = fixtures.sensor_raw(spark, SF0001)
+    sparse = raw.withColumn("row_no", F.col("row_no") * F.lit(1_000_003) + F.lit(17))
+    w = auto_width(sparse, "row_no", rows_per_bucket=64, max_buckets=8)
+    span = 999 * 1_000_003 + 1
+    assert -(-span // w) <= 8 and w >= 64 * span // 1000
+    a = ordered_pass(sparse, "row_no", _fills(), position_col="pos", width="auto")
+    b = ordered_pass(sparse, "row_no", _fills(), position_col="pos", method="window")
+    cols = ("row_no", "pos", *SENSORS)
+    assert rows(a, *cols) == rows(b, *cols)
