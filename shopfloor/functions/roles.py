@@ -157,3 +157,34 @@ def checks_load_mapping(columns: list[str]) -> dict[str, str]:
 def normalized_name(name: str) -> str:
     """Strip, lower-case, inner spaces to underscores."""
     return name.strip().lower().replace(" ", "_")
+
+
+def describe_roles(sensor_cols: list[str], quality_cols: list[str],
+                   joined_cols: list[str]) -> list[tuple[str, str, str]]:
+    """A9 as rows (stage, role, column) for the given column lists."""
+    out = []
+
+    def add(stage, role, col):
+        if col is not None:
+            out.append((stage, role, col))
+
+    add("extract", "time", first_time_column(sensor_cols))
+    add("extract_quality", "time", first_time_column(quality_cols))
+    add("extract_quality", "status", first_status_column(quality_cols))
+    for role, col in sensor_cleaning_steps(sensor_cols):
+        add("clean", role, col)
+    add("join", "sensor_time", join_time_column([normalized_name(c) for c in sensor_cols]))
+    add("join", "sensor_machine", join_machine_column([normalized_name(c) for c in sensor_cols]))
+    add("join", "quality_time", join_time_column([normalized_name(c) for c in quality_cols]))
+    add("join", "quality_machine", join_machine_column([normalized_name(c) for c in quality_cols]))
+    add("join", "result", result_column(joined_cols))
+    add("hourly", "time", hourly_time_column(joined_cols))
+    for c in hourly_group_columns(joined_cols):
+        add("hourly", "group", c)
+    for role, c in hourly_sensor_columns(joined_cols).items():
+        add("hourly", role, c)
+    for src, target in readings_load_mapping(joined_cols).items():
+        add("load_readings", target, src)
+    for src, target in checks_load_mapping([normalized_name(c) for c in quality_cols]).items():
+        add("load_checks", target, src)
+    return out

@@ -369,6 +369,72 @@ def q_run_pipeline(spark, sf_dir):
     return load.verify_counts(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
 
 
+@register("write_replace", _COUNTS_SQL)
+def q_write_replace(spark, sf_dir):
+    """a second run replaces the first (nothing is appended).  The first
+    run is the job with a 7-day recency window, the second the full job."""
+    import uuid
+
+    p = _pipe(spark, sf_dir)
+    week = pipeline.from_sf_dir(spark, sf_dir, days_back=7, as_of="2024-01-31 00:00:00")
+    base = session.scratch_path(spark, f"shopfloor-replace-{uuid.uuid4().hex}")
+    load.publish_tables(spark, week.tables(), base)
+    load.publish_tables(spark, p.tables(), base)
+    pub = load.published_tables(spark, base)
+    return load.verify_counts(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
+
+
+@register("commit_rollback", _COUNTS_SQL)
+def q_commit_rollback(spark, sf_dir):
+    """a run that fails while writing leaves the previous run published."""
+    import uuid
+
+    p = _pipe(spark, sf_dir)
+    base = session.scratch_path(spark, f"shopfloor-rollback-{uuid.uuid4().hex}")
+    load.publish_tables(spark, p.tables(), base)
+    broken = dict(p.tables())
+    broken["hourly_summary"] = broken["hourly_summary"].withColumn(
+        "defect_rate", F.raise_error(F.lit("simulated failure while writing")).cast("double"))
+    try:
+        load.publish_tables(spark, broken, base)
+    except Exception:  # noqa: BLE001 - expected: the run must not be published
+        pass
+    pub = load.published_tables(spark, base)
+    return load.verify_counts(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
+
+
+def _published(spark, sf_dir) -> Tables:
+    import uuid
+
+    p = _pipe(spark, sf_dir)
+    base = session.scratch_path(spark, f"shopfloor-k-{uuid.uuid4().hex}")
+    load.publish_tables(spark, p.tables(), base)
+    pub = load.published_tables(spark, base)
+    return Tables(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
+
+
+@register("check_tables_exist", None)
+def q_check_tables_exist(spark, sf_dir):
+    """K1 over published tables (metadata; rows-only check)."""
+    return checks.check_tables_exist(spark, _published(spark, sf_dir))
+
+
+@register("check_columns", None)
+def q_check_columns(spark, sf_dir):
+    """K3 over the published readings table (metadata; rows-only check)."""
+    return checks.check_columns(spark, _published(spark, sf_dir))
+
+
+@register("resolve_roles", None)
+def q_resolve_roles(spark, sf_dir):
+    """The column each stage picks for each role (metadata; rows-only)."""
+    from ..functions import roles
+    p = _pipe(spark, sf_dir)
+    return spark.createDataFrame(roles.describe_roles(p.sensor_raw.columns, p.quality_raw.columns,
+                                                      p.joined.columns),
+                                 "stage string, role string, column_name string")
+
+
 # --- G: sample queries, set 1 ------------------------------------------
 
 @register("total_readings", "SELECT count(*) AS total_readings FROM readings")
