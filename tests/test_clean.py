@@ -1,8 +1,6 @@
 """Cleaning semantics Q1-Q5 on hand-made rows."""
 
-import math
 
-import pytest
 
 from conftest import rows
 from shopfloor.operators.clean import clean_sensor_data

@@ -4,9 +4,8 @@ import datetime as dt
 import os
 import tempfile
 
-import pytest
 
-from conftest import SF0001, rows
+from conftest import SF0001
 from shopfloor.operators.ordered import ordered_pass
 from shopfloor.sources import csv as csvsrc
 from shopfloor.sources import extract, fixtures

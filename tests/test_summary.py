@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from conftest import rows
 from shopfloor.operators.summary import hourly_summary
 
 J = ("timestamp timestamp_ntz, machine_id string, line_id string, temperature double, "
