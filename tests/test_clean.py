@@ -1,7 +1,5 @@
 """Cleaning semantics Q1-Q5 on hand-made rows."""
 
-
-
 from conftest import rows
 from shopfloor.operators.clean import clean_sensor_data
 
