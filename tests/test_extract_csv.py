@@ -79,3 +79,11 @@ def test_file_order_across_files(spark):
     out = ordered_pass(df, csvsrc.csv_order(), position_col="pos")
     got = [r.n for r in out.orderBy("pos").collect()]
     assert got == sorted(got) and len(got) == 150
+
+
+def test_declared_schema_skips_inference(spark):
+    d = tempfile.mkdtemp(prefix="sf-csv-")
+    _write(os.path.join(d, "s.csv"), "Time,Machine,Temp\n2024-01-01 00:00:00,7,12.5\n2024-01-01 00:01:00,8,oops\n")
+    df = csvsrc.scan_sensor_csv(spark, d, schema={"Machine": "string", "Temp": "double"})
+    assert dict(df.dtypes)["Machine"] == "string" and dict(df.dtypes)["Temp"] == "double"
+    assert [r.Temp for r in df.orderBy(csvsrc.SEQ_COL).collect()] == [12.5, None]

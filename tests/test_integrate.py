@@ -95,3 +95,34 @@ def test_text_time_on_quality_side_is_coerced(spark):  # D7
     s = sensor(spark, [(T0, "m1", "R0", 1.0)])
     q = spark.createDataFrame([("2024-01-01 08:00:00", "m1", "pass")], "timestamp string, machine_id string, result string")
     assert join_sensor_quality(s, q).first().quality_status == "pass"
+
+
+def test_hot_null_key_spreads_over_tasks(spark):
+    """A third of the sensor rows share one NULL-time key: with salting they
+    meet the matching inspections in several join tasks, not one."""
+    from pyspark.sql import functions as F
+
+    hot = [(None, "m1", f"H{i}", 1.0) for i in range(150)]
+    rest = [(T0 + dt.timedelta(seconds=i), f"m{i % 7}", f"R{i}", 2.0) for i in range(300)]
+    s = sensor(spark, hot + rest)
+    q = quality(spark, [(None, "m1", "pass"), (None, "m1", "fail")]
+                + [(T0 + dt.timedelta(seconds=i), f"m{i % 7}", "pass") for i in range(0, 300, 3)])
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.coalescePartitions.enabled",
+                                            "spark.sql.adaptive.skewJoin.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+
+        def tasks_for_hot(salt):
+            out = join_sensor_quality(s, q, null_salt=salt).withColumn("pid", F.spark_partition_id())
+            hot_rows = out.where(F.col("timestamp").isNull())
+            assert hot_rows.count() == 300                       # 150 readings x 2 inspections
+            return hot_rows.select("pid").distinct().count()
+
+        assert tasks_for_hot(1) == 1
+        assert tasks_for_hot(8) >= 4
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
