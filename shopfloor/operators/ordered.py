@@ -9,8 +9,10 @@ numeric ``row_no``, or file splits for a CSV scan):
    local fill and the local row number;
 2. a partial (map-side) aggregate gives per bucket the last non-null value
    of every filled expression and the row count;
-3. a window over that *bucket table* (one row per bucket, so small by
-   construction) turns them into the carry-in value and the position offset;
+3. a scan over that *bucket table* (one row per bucket) turns them into the
+   carry-in value and the position offset; the scan is itself two-level
+   (buckets -> super-buckets), so only the super-bucket table -- one row per
+   2^32 rows at the default width -- passes through a single task;
 4. the carry table is joined back on the bucket key.  The big side is
    already hash-partitioned by bucket after step 1, so only the bucket table
    moves (or AQE broadcasts it once it has measured its size).
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_WIDTH = 1 << 20   # rows per bucket for a dense position
 MAX_BUCKETS = 1 << 20            # bound on the bucket table (one row per bucket)
+SUPER_SPAN = 1 << 12             # buckets per super-bucket in the carry scan
 
 
 @dataclass(frozen=True)
@@ -146,13 +149,10 @@ def _bucketed(df: DataFrame, order: RowOrder, fills: dict[str, Column],
     tail_aggs.append(F.count(F.lit(1)).alias("__n"))
     buckets = staged.groupBy(*bnames).agg(*tail_aggs)
 
-    # 3. carry-in per bucket over the (small) bucket table
-    w_prev = Window.orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
-    carry_cols = [F.last(f"__tail_{i}", ignorenulls=True).over(w_prev).alias(f"__carry_{i}")
-                  for i in range(len(fills))]
-    if position_col is not None:
-        carry_cols.append(F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).cast("long").alias("__offset"))
-    carry = buckets.select(*bnames, *carry_cols)
+    # 3. carry-in per bucket: a scan over the bucket table, itself two-level so
+    #    that only the super-bucket table (one row per SUPER_SPAN buckets)
+    #    passes through a single task
+    carry = _bucket_carry(buckets, bnames, len(fills), position_col is not None)
 
     # 4. join back on the bucket key
     joined = local.join(carry, on=bnames, how="left")
@@ -163,6 +163,49 @@ def _bucketed(df: DataFrame, order: RowOrder, fills: dict[str, Column],
     return joined.select(*_in_place(df.columns, out))
 
 
+def _bucket_carry(buckets: DataFrame, bnames: list[str], nfills: int, offsets: bool) -> DataFrame:
+    """Per bucket: the last non-null tail of all earlier buckets, and the
+    number of rows before it.
+
+    A scan over the bucket table, in two levels so that no task sees the
+    whole table: buckets are grouped into super-buckets (``SUPER_SPAN``
+    consecutive numeric buckets, or one file for (file, split) buckets); a
+    window partitioned by super-bucket scans inside each one, a window over
+    the super-bucket table (one row per super-bucket) gives what precedes
+    each of them, and the two are combined.
+    """
+    tails = [f"__tail_{i}" for i in range(nfills)]
+    lead = bnames[0]
+    if len(bnames) == 1 and dict(buckets.dtypes)[lead] in ("bigint", "int"):
+        sup = F.floor(F.col(lead) / F.lit(SUPER_SPAN)).cast("long")
+    else:
+        sup = F.col(lead)
+    keyed = buckets.withColumn("__super", sup)
+
+    w_in = Window.partitionBy("__super").orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
+    inner = keyed.select(
+        *bnames, "__super",
+        *[F.last(t, ignorenulls=True).over(w_in).alias(f"__in_{i}") for i, t in enumerate(tails)],
+        F.coalesce(F.sum("__n").over(w_in), F.lit(0)).alias("__in_off"))
+
+    supers = keyed.groupBy("__super").agg(
+        *[F.max_by(F.col(t), F.when(F.col(t).isNotNull(), F.struct(*bnames))).alias(f"__st_{i}")
+          for i, t in enumerate(tails)],
+        F.sum("__n").alias("__sn"))
+    w_sup = Window.orderBy("__super").rowsBetween(Window.unboundedPreceding, -1)
+    sup_carry = supers.select(
+        "__super",
+        *[F.last(f"__st_{i}", ignorenulls=True).over(w_sup).alias(f"__sc_{i}") for i in range(nfills)],
+        F.coalesce(F.sum("__sn").over(w_sup), F.lit(0)).alias("__s_off"))
+
+    both = inner.join(sup_carry, "__super", "left")
+    cols = [*bnames, *[F.coalesce(F.col(f"__in_{i}"), F.col(f"__sc_{i}")).alias(f"__carry_{i}")
+                       for i in range(nfills)]]
+    if offsets:
+        cols.append((F.col("__in_off") + F.col("__s_off")).cast("long").alias("__offset"))
+    return both.select(*cols)
+
+
 def _single_window(df: DataFrame, order: RowOrder, fills: dict[str, Column],
                    position_col: str | None) -> DataFrame:
     sort = [*order.bucket_exprs, F.col(order.seq)]

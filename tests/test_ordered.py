@@ -80,3 +80,14 @@ def test_auto_width_bounds_buckets_for_sparse_positions(spark):
     b = ordered_pass(sparse, "row_no", _fills(), position_col="pos", method="window")
     cols = ("row_no", "pos", *SENSORS)
     assert rows(a, *cols) == rows(b, *cols)
+
+
+@pytest.mark.parametrize("width,span", [(1, 4), (3, 2), (5, 64)])
+def test_two_level_carry_across_super_buckets(spark, monkeypatch, width, span):
+    from shopfloor.operators import ordered as mod
+    monkeypatch.setattr(mod, "SUPER_SPAN", span)
+    raw = fixtures.sensor_raw(spark, SF0001)
+    a = ordered_pass(raw, "row_no", _fills(), position_col="pos", width=width)
+    b = ordered_pass(raw, "row_no", _fills(), position_col="pos", method="window")
+    cols = ("row_no", "pos", *SENSORS)
+    assert rows(a, *cols) == rows(b, *cols)
