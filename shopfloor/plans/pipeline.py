@@ -19,7 +19,7 @@ from ..operators.load import (project_hourly_summary, project_quality_checks,
 from ..operators.ordered import DEFAULT_BUCKET_WIDTH
 from ..operators.standardize import POSITION_COL, standardize_data
 from ..operators.summary import hourly_summary
-from ..schemas import CHECKS_TABLE, READINGS_TABLE, SUMMARY_TABLE
+from ..schemas import CHECKS_TABLE, READINGS_TABLE, SUMMARY_TABLE, TABLE_SCHEMAS
 from ..sources import extract, fixtures
 
 
@@ -111,6 +111,12 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
     tables = {READINGS_TABLE: watch(project_sensor_readings(joined), READINGS_TABLE),
               CHECKS_TABLE: watch(pipeline.checks, CHECKS_TABLE),
               SUMMARY_TABLE: watch(summary, SUMMARY_TABLE)}
+    # a table this run cannot produce is published empty with its contract,
+    # as a table created by the DDL and never loaded
+    empty = [name for name, df in tables.items() if df is None]
+    for name in empty:
+        tables[name] = spark.createDataFrame([], TABLE_SCHEMAS[name])
     rid = publish_tables(spark, tables, out_base, run_id)
     rows = {name: int(obs.get.get("rows", 0)) for name, obs in observed.items()}
+    rows.update({name: 0 for name in empty})
     return RunReport(rid, rows)
