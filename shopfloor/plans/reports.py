@@ -92,20 +92,24 @@ def machine_temperature_stats(t: Tables) -> DataFrame:
 
 
 def machine_hourly_trend(t: Tables, machine: str = "machine_01") -> DataFrame:
-    """One machine's hours, newest first (literal normalised as in G2)."""
+    """One machine's hours, newest first (literal normalised as in G2).
+    The other columns break ties, so the range-partitioned sort never puts
+    every row of one hour value into one partition."""
     want = strip_lower(F.lit(machine))
+    cols = ["hour", "avg_temperature", "avg_pressure", "avg_vibration", "defect_rate"]
     return round_doubles(
-        t.summary.where(F.col("machine_id") == want)
-        .select("hour", "avg_temperature", "avg_pressure", "avg_vibration", "defect_rate")
-        .orderBy(F.col("hour").desc()))
+        t.summary.where(F.col("machine_id") == want).select(*cols)
+        .orderBy(F.col("hour").desc(), *[F.col(c).asc_nulls_first() for c in cols[1:]]))
 
 
 def anomalous_readings(t: Tables) -> DataFrame:
-    """G8."""
+    """Newest first.  The remaining columns break ties, so a hot
+    timestamp (or the NULL ones) spreads over the sort's range partitions."""
+    cols = ["timestamp", "machine_id", "temperature", "pressure", "vibration", "data_quality"]
     return (t.readings.where((F.col("data_quality") == "invalid") | (F.col("temperature") > 120)
                              | (F.col("pressure") > 8))
-            .select("timestamp", "machine_id", "temperature", "pressure", "vibration", "data_quality")
-            .orderBy(F.col("timestamp").desc()))
+            .select(*cols)
+            .orderBy(F.col("timestamp").desc(), *[F.col(c).asc_nulls_first() for c in cols[1:]]))
 
 
 def line_pass_rate(t: Tables) -> DataFrame:
