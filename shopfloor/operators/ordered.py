@@ -126,13 +126,18 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
 def _bucketed(df: DataFrame, order: RowOrder, fills: dict[str, Column],
               position_col: str | None) -> DataFrame:
     bnames = list(order.bucket_names)
-    seq = F.col(order.seq)
     tmp = {name: f"__fill_src_{i}" for i, name in enumerate(fills)}
+    # a NULL position has no place in the order: fail the job, never number it
+    raw_seq = F.col(order.seq)
+    guard = F.assert_true(raw_seq.isNotNull(), F.lit(f"row order column {order.seq!r} holds NULL"))
+    seq_type = dict(df.dtypes)[order.seq]
     staged = df.select(
         "*",
+        F.coalesce(guard.cast(seq_type), raw_seq).alias("__seq"),
         *[expr.alias(n) for expr, n in zip(order.bucket_exprs, bnames)],
         *[expr.alias(tmp[name]) for name, expr in fills.items()],
     )
+    seq = F.col("__seq")
 
     # 1. local fill and local row number inside each bucket
     w_local = Window.partitionBy(*bnames).orderBy(seq)

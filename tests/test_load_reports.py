@@ -127,3 +127,11 @@ def test_run_pipeline_observes_stage_rows(spark):  # F8, A10
     rep = pipeline.run_pipeline(spark, p, tempfile.mkdtemp(prefix="sf-run-"))
     assert rep.rows == {"joined": 1019, "sensor_readings": 1019, "quality_checks": 712,
                         "hourly_summary": 937}
+
+
+def test_machine_trend_for_a_present_machine(spark, tables):  # G7 on a machine in the fixtures
+    got = reports.machine_hourly_trend(tables, " Machine_1 ")
+    want = tables.summary.where("machine_id = 'machine_1'").select(
+        "hour", "avg_temperature", "avg_pressure", "avg_vibration", "defect_rate")
+    assert got.count() == want.count() > 0
+    assert [r.hour for r in got.collect()] == sorted((r.hour for r in want.collect()), reverse=True)

@@ -91,3 +91,9 @@ def test_two_level_carry_across_super_buckets(spark, monkeypatch, width, span):
     b = ordered_pass(raw, "row_no", _fills(), position_col="pos", method="window")
     cols = ("row_no", "pos", *SENSORS)
     assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_null_position_fails_loudly(spark):
+    df = spark.createDataFrame([(0, 1.0), (None, 2.0), (2, None)], "row_no long, v double")
+    with pytest.raises(Exception, match="holds NULL"):
+        ordered_pass(df, "row_no", {"v": F.col("v")}, position_col="pos").collect()
