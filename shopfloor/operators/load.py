@@ -10,6 +10,7 @@ has no multi-table transaction; the pointer write is the commit point.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,19 +61,23 @@ def table_contracts() -> dict:
 
 
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str,
-                   run_id: str | None = None, partition_hours: bool = False) -> str:
+                   run_id: str | None = None, partition_hours: bool = False,
+                   parallel: bool = True) -> str:
     """write every table of this run, then move the pointer.
 
     ``partition_hours`` writes the summary partitioned by day so later
     reads prune by date.  The summary is sorted within each task by
     (machine, hour) -- a local sort, no shuffle -- so Parquet row-group
     statistics let machine filters skip row groups.
+
+    With ``parallel`` the table writes are submitted as concurrent jobs (the
+    small ones fill slots the big one leaves idle); the pointer is written
+    only after every table write succeeded.
     """
     run_id = run_id or uuid.uuid4().hex
     base = base.rstrip("/")
-    for name, df in tables.items():
-        if df is None:
-            continue
+
+    def write(name: str, df: DataFrame) -> None:
         if name == SUMMARY_TABLE and {"machine_id", "hour"} <= set(df.columns):
             df = df.sortWithinPartitions("machine_id", "hour")
         writer = df.write.mode("overwrite")
@@ -80,6 +85,15 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str,
             df = df.withColumn("day", F.to_date("hour"))
             writer = df.write.mode("overwrite").partitionBy("day")
         writer.parquet(f"{base}/runs/{run_id}/{name}")
+
+    todo = [(n, df) for n, df in tables.items() if df is not None]
+    if parallel and len(todo) > 1:
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for fut in [pool.submit(write, n, df) for n, df in todo]:
+                fut.result()   # re-raises the first failure; the pointer stays
+    else:
+        for n, df in todo:
+            write(n, df)
     (spark.createDataFrame([(run_id,)], "run_id string").coalesce(1)
      .write.mode("overwrite").parquet(f"{base}/current"))
     return run_id
