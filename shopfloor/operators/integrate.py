@@ -51,16 +51,36 @@ def join_plan(sensor_cols: list[str], quality_cols: list[str]):
     return keys, renames
 
 
+def latest_per_key(quality: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """The last row (by ``order_col``) of every key; NULL keys form one group.
+
+    A grouped ``max_by`` rather than a window: partial aggregation keeps one
+    candidate per key and map task, so a hot key never gathers in one task.
+    """
+    rest = [c for c in quality.columns if c not in keys]
+    if not rest:
+        return quality.select(*keys).distinct()
+    last = quality.groupBy(*keys).agg(
+        F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("__last"))
+    return last.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in rest]).select(*quality.columns)
+
+
 def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys: str = "match",
-                        null_salt: int = DEFAULT_NULL_SALT, check_empty: bool = True) -> DataFrame:
+                        null_salt: int = DEFAULT_NULL_SALT, check_empty: bool = True,
+                        dedupe_checks: str = "none", checks_order: str | None = None) -> DataFrame:
     """Left join + quality_status.
 
     ``check_empty`` reproduces "no quality rows -> only sensor columns"
     with a one-row probe job; without it an empty quality side simply
     yields 'not_checked' everywhere (same rows, extra NULL columns).
+    ``dedupe_checks='latest'`` keeps only the last inspection (by
+    ``checks_order``, default ``row_no`` or ``record_id``) of each join key,
+    so a reading is never repeated (the reference's fan-out is the default).
     """
     if null_keys not in ("match", "sql"):
         raise ValueError("null_keys must be 'match' or 'sql'")
+    if dedupe_checks not in ("none", "latest"):
+        raise ValueError("dedupe_checks must be 'none' or 'latest'")
     if quality is None:
         return _not_checked(sensor)
     plan = join_plan(sensor.columns, quality.columns)
@@ -74,6 +94,12 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
     q_time = keys[0][1]
     quality = quality.withColumn(q_time, parse_event_time(F.col(q_time), quality.schema[q_time].dataType))
 
+    if dedupe_checks == "latest":
+        order_col = checks_order or next((c for c in ("row_no", "record_id") if c in quality.columns), None)
+        if order_col is None:
+            raise ValueError("dedupe_checks='latest' needs an order column (checks_order=)")
+        quality = latest_per_key(quality, [q for _, q in keys], order_col)
+
     s_types = {f.name: f.dataType for f in sensor.schema.fields}
     q_types = {f.name: f.dataType for f in quality.schema.fields}
     for s, q in keys:

@@ -264,6 +264,20 @@ def q_join_sensor_quality(spark, sf_dir):
     return _pipe(spark, sf_dir).joined
 
 
+@register("dedupe_checks_latest", """
+SELECT s.record_id, q.result,
+  CASE WHEN contains(lower(q.result), 'pass') THEN 'pass'
+       WHEN contains(lower(q.result), 'fail') THEN 'fail' ELSE 'not_checked' END AS quality_status
+FROM sensor_std s LEFT JOIN (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY timestamp, machine_id ORDER BY row_no DESC) AS rn
+                 FROM quality_std) WHERE rn = 1) q
+  ON s.timestamp IS NOT DISTINCT FROM q.timestamp AND s.machine_id IS NOT DISTINCT FROM q.machine_id""")
+def q_dedupe_checks_latest(spark, sf_dir):
+    """SURVEY 4.3.6: the last inspection per (time, machine) only, no fan-out."""
+    p = pipeline.from_sf_dir(spark, sf_dir, dedupe_checks="latest")
+    return p.joined.select("record_id", "result", "quality_status")
+
+
 @register("readings_with_checks", """
 SELECT s.timestamp, s.machine_id, s.temperature, q.result AS quality_result
 FROM readings s LEFT JOIN checks q ON s.machine_id = q.machine_id AND s.timestamp = q.timestamp""")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import session
 from ..operators.clean import clean_sensor_data
@@ -47,7 +48,8 @@ def build(sensor_raw: DataFrame, quality_raw: DataFrame | None, sensor_order="ro
           quality_order="row_no", days_back: int | None = None, as_of=None,
           null_keys: str = "match", null_salt: int = DEFAULT_NULL_SALT,
           method: str = "bucketed", width: int = DEFAULT_BUCKET_WIDTH,
-          quality_ids: bool = True, check_empty: bool = True) -> Pipeline:
+          quality_ids: bool = True, check_empty: bool = True,
+          dedupe_checks: str = "none") -> Pipeline:
     sensor_x = extract.extract_sensor(sensor_raw, days_back=days_back, as_of=as_of)
     quality_x = extract.extract_quality(quality_raw) if quality_raw is not None else None
 
@@ -59,7 +61,8 @@ def build(sensor_raw: DataFrame, quality_raw: DataFrame | None, sensor_order="ro
                                     method=method, width=width)
                    if quality_x is not None else None)
     joined = join_sensor_quality(sensor_std, quality_std, null_keys=null_keys,
-                                 null_salt=null_salt, check_empty=check_empty)
+                                 null_salt=null_salt, check_empty=check_empty,
+                                 dedupe_checks=dedupe_checks)
     summary = hourly_summary(joined)
     return Pipeline(
         sensor_raw=sensor_raw, quality_raw=quality_raw, sensor_extracted=sensor_x,
@@ -103,8 +106,15 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
         observed[name] = obs
         return df
 
-    joined = watch(pipeline.joined, "joined")
+    joined = pipeline.joined
     if checkpoint_join:
+        # observed once, on the one job that computes it; the NULL-key count
+        # shows how much of the join came from NULL = NULL matches (4.3.5)
+        joined, obs = extract.observe_rows(
+            joined, "joined",
+            null_key_rows=F.count_if(F.col("timestamp").isNull() | F.col("machine_id").isNull())
+            if {"timestamp", "machine_id"} <= set(joined.columns) else None)
+        observed["joined"] = obs
         session.ensure_checkpoint_dir(spark)
         joined = joined.checkpoint(eager=True)
     summary = project_hourly_summary(hourly_summary(joined))
@@ -119,4 +129,7 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
     rid = publish_tables(spark, tables, out_base, run_id)
     rows = {name: int(obs.get.get("rows", 0)) for name, obs in observed.items()}
     rows.update({name: 0 for name in empty})
+    null_keys = observed["joined"].get.get("null_key_rows") if "joined" in observed else None
+    if null_keys is not None:
+        rows["joined_null_key_rows"] = int(null_keys)
     return RunReport(rid, rows)

@@ -93,10 +93,13 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, "object"]:
-    """A10 in a running job: count rows as they pass, without an extra job.
-    Returns the frame and the Observation to read after an action."""
+def observe_rows(df: DataFrame, name: str, **extra: Column | None) -> tuple[DataFrame, "object"]:
+    """A10 in a running job: count rows as they pass, without an extra job
+    (plus any named aggregate in ``extra``).  Returns the frame and the
+    Observation to read after an action."""
     from pyspark.sql import Observation
 
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics += [agg.alias(k) for k, agg in extra.items() if agg is not None]
+    return df.observe(obs, *metrics), obs

@@ -126,3 +126,13 @@ def test_hot_null_key_spreads_over_tasks(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_latest_check_per_key_removes_fan_out(spark):  # SURVEY 4.3.6
+    s = sensor(spark, [(T0, "m1", "R0", 1.0), (None, "m1", "R1", 2.0)])
+    q = spark.createDataFrame([(1, T0, "m1", "pass"), (2, T0, "m1", "fail"), (3, None, "m1", "pass"),
+                               (4, None, "m1", "FAIL late")],
+                              "row_no long, timestamp timestamp_ntz, machine_id string, result string")
+    out = join_sensor_quality(s, q, dedupe_checks="latest")
+    assert rows(out, "record_id", "result", "quality_status") == [("R0", "fail", "fail"),
+                                                                  ("R1", "FAIL late", "fail")]

@@ -125,8 +125,9 @@ def test_contract_tables_and_published_checks(spark, tables):  # F1, K1 over pub
 def test_run_pipeline_observes_stage_rows(spark):  # F8, A10
     p = pipeline.from_sf_dir(spark, SF0001)
     rep = pipeline.run_pipeline(spark, p, tempfile.mkdtemp(prefix="sf-run-"))
+    null_keys = p.joined.where("timestamp IS NULL OR machine_id IS NULL").count()
     assert rep.rows == {"joined": 1019, "sensor_readings": 1019, "quality_checks": 712,
-                        "hourly_summary": 937}
+                        "hourly_summary": 937, "joined_null_key_rows": null_keys}
 
 
 def test_machine_trend_for_a_present_machine(spark, tables):  # G7 on a machine in the fixtures
