@@ -1,7 +1,7 @@
 """Command line: ``python -m shopfloor etl|check ...``.
 
   etl   --sensor PATH --quality PATH --out PATH [--days-back N]
-  check --out PATH
+  check --out PATH [--report PATH]
   sql   --out PATH "SELECT ... FROM hourly_summary ..."
 
 The session comes from the environment (spark-submit on a cluster);
@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--days-back", type=int, default=None)
     c = sub.add_parser("check")
     c.add_argument("--out", required=True)
+    c.add_argument("--report", default=None, help="also write the K11 report table here")
     q = sub.add_parser("sql")
     q.add_argument("--out", required=True)
     q.add_argument("query")
@@ -46,6 +47,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "check":
         ok, report = etl.test_database_integrity(spark, args.out)
+        if args.report:
+            report.write.mode("overwrite").parquet(args.report)
         report.show(100, truncate=False)
         print(json.dumps({"all_passed": ok}))
         return 0 if ok else 2

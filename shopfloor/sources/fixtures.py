@@ -1,9 +1,11 @@
 """Production-line inputs derived from the driver's ``events`` table.
 
-The two views below are the portable fixtures: the same SQL text runs in
-Spark SQL and in DuckDB (where ``events`` is a registered view), so the
-Spark pipeline and its SQL oracle start from identical rows.  ``row_no``
-carries file order.
+The two views below are the portable fixtures of FIXTURES.md: the sensor
+text runs unchanged in Spark SQL and in DuckDB (where ``events`` is a
+registered view); the quality view shares its select list and filter and
+differs only in how each event is doubled (a generator in Spark, the
+document's constant cross join in DuckDB).  So the Spark pipeline and its
+SQL oracle start from identical rows.  ``row_no`` carries file order.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ SELECT event_id AS row_no,
 FROM {events}
 """
 
-QUALITY_RAW_SQL = """
+_QUALITY_SELECT = """
 SELECT event_id * 2 + dup AS row_no,
  CASE WHEN event_id % 211 = 0 THEN NULL ELSE ts END AS timestamp,
  CASE WHEN event_id % 97 = 0 THEN NULL ELSE 'MACHINE_' || CAST(user_id % 20 AS STRING) || ' ' END AS machine_id,
@@ -32,11 +34,18 @@ SELECT event_id * 2 + dup AS row_no,
  CASE WHEN event_id % 13 = 0 THEN NULL ELSE 'completed' END AS inspection_status,
  CASE WHEN dup = 1 THEN 'fail' WHEN event_type = 'error' THEN 'FAIL - rework' WHEN event_type = 'view' THEN 'inconclusive' WHEN event_type = 'signup' THEN NULL WHEN event_type = 'click' THEN 'Passed after fail' ELSE 'pass' END AS result,
  CASE WHEN event_type = 'error' OR dup = 1 THEN 'defect_' || CAST(event_id % 3 AS STRING) END AS defect_type
-FROM {events} CROSS JOIN (SELECT 0 AS dup UNION ALL SELECT 1 AS dup) d
-WHERE event_id % 4 <> 0 AND (dup = 0 OR event_id % 50 = 1)
 """
-# The CROSS JOIN above is with a two-row constant (an original row and its
-# possible duplicate inspection); it doubles at most, never pairs rows.
+_QUALITY_WHERE = "WHERE event_id % 4 <> 0 AND (dup = 0 OR event_id % 50 = 1)\n"
+
+# As written in FIXTURES.md (run by the DuckDB oracle).
+QUALITY_RAW_SQL = (_QUALITY_SELECT
+                   + "FROM {events} CROSS JOIN (SELECT 0 AS dup UNION ALL SELECT 1 AS dup) d\n"
+                   + _QUALITY_WHERE)
+# The same rows in Spark: each event yields itself (dup = 0) and a possible
+# duplicate inspection (dup = 1) through a generator, not a join.
+QUALITY_RAW_SPARK_SQL = (_QUALITY_SELECT
+                         + "FROM {events} LATERAL VIEW explode(array(0, 1)) d AS dup\n"
+                         + _QUALITY_WHERE)
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +53,7 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(QUALITY_RAW_SQL, events=read_table(spark, sf_dir, "events"))
+    return spark.sql(QUALITY_RAW_SPARK_SQL, events=read_table(spark, sf_dir, "events"))
 
 
 def sql_for_duckdb(text: str) -> str:
