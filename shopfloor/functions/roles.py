@@ -11,7 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..schemas import SENSOR_ROLE_FRAGMENTS
+from ..schemas import (DEFECT_FRAGMENTS, EXCLUDED_FRAGMENT, FLAG_COLUMN, IDENTIFIER_FRAGMENTS,
+                       KEY_FRAGMENTS, POWER_FRAGMENT, RECORD_ID_COLUMN, RESULT_FRAGMENT,
+                       SENSOR_ROLE_FRAGMENTS, STATUS_FRAGMENT, TIME_FRAGMENTS)
+
+TEMP, PRESS, VIBR = (SENSOR_ROLE_FRAGMENTS[r] for r in ("temperature", "pressure", "vibration"))
+Q = EXCLUDED_FRAGMENT
 
 
 def _has_any(name: str, fragments: tuple[str, ...]) -> bool:
@@ -22,14 +27,14 @@ def first_time_column(columns: list[str], lower: bool = True) -> str | None:
     """First column whose name contains 'time' or 'date'."""
     for c in columns:
         name = c.lower() if lower else c
-        if _has_any(name, ("time", "date")):
+        if _has_any(name, TIME_FRAGMENTS):
             return c
     return None
 
 
 def first_status_column(columns: list[str]) -> str | None:
     """First column whose lower-cased name contains 'status'."""
-    return next((c for c in columns if "status" in c.lower()), None)
+    return next((c for c in columns if STATUS_FRAGMENT in c.lower()), None)
 
 
 def sensor_cleaning_steps(columns: list[str]) -> list[tuple[str, str]]:
@@ -44,7 +49,7 @@ def sensor_cleaning_steps(columns: list[str]) -> list[tuple[str, str]]:
 def identifier_columns(df: DataFrame) -> list[str]:
     """String columns named like 'machine', 'line' or 'sensor'."""
     return [f.name for f in df.schema.fields
-            if _has_any(f.name, ("machine", "line", "sensor"))
+            if _has_any(f.name, IDENTIFIER_FRAGMENTS)
             and isinstance(f.dataType, T.StringType)]
 
 
@@ -53,12 +58,12 @@ def time_like_columns(df: DataFrame) -> list[str]:
     text, date or timestamp (numeric ones are left alone)."""
     ok = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
     return [f.name for f in df.schema.fields
-            if _has_any(f.name, ("time", "date")) and isinstance(f.dataType, ok)]
+            if _has_any(f.name, TIME_FRAGMENTS) and isinstance(f.dataType, ok)]
 
 
 def join_machine_column(columns: list[str]) -> str | None:
     """First column containing 'machine' or 'line' (names already lower)."""
-    return next((c for c in columns if _has_any(c, ("machine", "line"))), None)
+    return next((c for c in columns if _has_any(c, KEY_FRAGMENTS)), None)
 
 
 def join_time_column(columns: list[str]) -> str | None:
@@ -68,18 +73,18 @@ def join_time_column(columns: list[str]) -> str | None:
 
 def result_column(columns: list[str]) -> str | None:
     """First column whose lower-cased name contains 'result'."""
-    return next((c for c in columns if "result" in c.lower()), None)
+    return next((c for c in columns if RESULT_FRAGMENT in c.lower()), None)
 
 
 def hourly_time_column(columns: list[str]) -> str | None:
     """First column containing 'time' (case-sensitive) and not 'quality'."""
-    return next((c for c in columns if "time" in c and "quality" not in c), None)
+    return next((c for c in columns if TIME_FRAGMENTS[0] in c and Q not in c), None)
 
 
 def hourly_group_columns(columns: list[str]) -> list[str]:
     """Every column with 'line' or 'machine' (any case) and no 'quality'."""
     return [c for c in columns
-            if _has_any(c.lower(), ("line", "machine")) and "quality" not in c]
+            if _has_any(c.lower(), KEY_FRAGMENTS) and Q not in c]
 
 
 def hourly_sensor_columns(columns: list[str]) -> dict[str, str]:
@@ -87,11 +92,10 @@ def hourly_sensor_columns(columns: list[str]) -> dict[str, str]:
     chain temp, press, vibr, power; the last column of a role wins."""
     mapping: dict[str, str] = {}
     for c in columns:
-        if "quality" in c:
+        if Q in c:
             continue
         low = c.lower()
-        for role, fragment in (("temperature", "temp"), ("pressure", "press"),
-                               ("vibration", "vibr"), ("power", "power")):
+        for role, fragment in (*SENSOR_ROLE_FRAGMENTS.items(), ("power", POWER_FRAGMENT)):
             if fragment in low:
                 mapping[role] = c
                 break
@@ -109,23 +113,24 @@ def readings_load_mapping(columns: list[str]) -> dict[str, str]:
     for c in columns:
         low = c.lower()
         free = lambda role: role not in taken.values()
-        if low == "record_id" and free("record_id"):
+        plain = Q not in low
+        if low == RECORD_ID_COLUMN and free("record_id"):
             taken[c] = "record_id"
-        elif _has_any(low, ("time", "date")) and free("timestamp"):
+        elif _has_any(low, TIME_FRAGMENTS) and free("timestamp"):
             taken[c] = "timestamp"
-        elif "line" in low and "quality" not in low and free("line_id"):
+        elif "line" in low and plain and free("line_id"):
             taken[c] = "line_id"
-        elif "machine" in low and "quality" not in low and free("machine_id"):
+        elif "machine" in low and plain and free("machine_id"):
             taken[c] = "machine_id"
-        elif "temp" in low and "quality" not in low and free("temperature"):
+        elif TEMP in low and plain and free("temperature"):
             taken[c] = "temperature"
-        elif "press" in low and "quality" not in low and free("pressure"):
+        elif PRESS in low and plain and free("pressure"):
             taken[c] = "pressure"
-        elif "vibr" in low and "quality" not in low and free("vibration"):
+        elif VIBR in low and plain and free("vibration"):
             taken[c] = "vibration"
-        elif "power" in low and "quality" not in low and free("power"):
+        elif POWER_FRAGMENT in low and plain and free("power"):
             taken[c] = "power"
-        elif low == "data_quality" and free("data_quality"):
+        elif low == FLAG_COLUMN and free("data_quality"):
             taken[c] = "data_quality"
     return taken
 
@@ -139,16 +144,16 @@ def checks_load_mapping(columns: list[str]) -> dict[str, str]:
     taken: dict[str, str] = {}
     for c in columns:
         low = c.lower()
-        if _has_any(low, ("time", "date")):
+        if _has_any(low, TIME_FRAGMENTS):
             if "timestamp" not in taken.values():
                 taken[c] = "timestamp"
         elif "line" in low and "line_id" not in taken.values():
             taken[c] = "line_id"
         elif "machine" in low and "machine_id" not in taken.values():
             taken[c] = "machine_id"
-        elif "result" in low and "result" not in taken.values():
+        elif RESULT_FRAGMENT in low and "result" not in taken.values():
             taken[c] = "result"
-        elif _has_any(low, ("defect", "fault")):
+        elif _has_any(low, DEFECT_FRAGMENTS):
             if "defect_type" not in taken.values():
                 taken[c] = "defect_type"
     return taken

@@ -21,6 +21,18 @@ SENSOR_ROLE_FRAGMENTS = {
     "pressure": "press",
     "vibration": "vibr",
 }
+# Other name fragments that give a column its role (substring matches).
+TIME_FRAGMENTS = ("time", "date")
+KEY_FRAGMENTS = ("machine", "line")
+IDENTIFIER_FRAGMENTS = ("machine", "line", "sensor")
+STATUS_FRAGMENT = "status"
+RESULT_FRAGMENT = "result"
+DEFECT_FRAGMENTS = ("defect", "fault")
+POWER_FRAGMENT = "power"
+EXCLUDED_FRAGMENT = "quality"
+# Exact column names with a fixed meaning.
+RECORD_ID_COLUMN = "record_id"
+FLAG_COLUMN = "data_quality"
 # Sensor error codes that mean "no reading".
 ERROR_CODES = (-999.0, -1.0)
 # Data-quality flags.
