@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
+from ..functions import roles
 from ..operators.clean import clean_sensor_data
-from ..operators.integrate import DEFAULT_NULL_SALT, join_sensor_quality
+from ..operators.integrate import DEFAULT_NULL_SALT, STATUS_COL, join_sensor_quality
 from ..operators.load import (project_hourly_summary, project_quality_checks,
                               project_sensor_readings, publish_tables)
 from ..operators.ordered import DEFAULT_BUCKET_WIDTH
@@ -81,6 +82,23 @@ def from_sf_dir(spark: SparkSession, sf_dir: str, **options) -> Pipeline:
                  **options)
 
 
+def sink_columns(joined: DataFrame) -> DataFrame:
+    """Only the joined columns the two sinks read: the readings mapping and
+    the summary's time, group, sensor and status columns, in their original
+    order (the role rules pick the same columns from the narrower frame).
+    Everything else -- e.g. the quality side's record ids and the whole
+    ordered pass behind them -- is pruned before the checkpoint."""
+    cols = joined.columns
+    need = set(roles.readings_load_mapping(cols))
+    tcol = roles.hourly_time_column(cols)
+    if tcol is not None:
+        need.add(tcol)
+        need.update(roles.hourly_group_columns(cols))
+        need.update(roles.hourly_sensor_columns(cols).values())
+    need.add(STATUS_COL)
+    return joined.select(*[c for c in cols if c in need])
+
+
 @dataclass
 class RunReport:
     run_id: str
@@ -106,7 +124,7 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
         observed[name] = obs
         return df
 
-    joined = pipeline.joined
+    joined = sink_columns(pipeline.joined)
     if checkpoint_join:
         # observed once, on the one job that computes it; the NULL-key count
         # shows how much of the join came from NULL = NULL matches (4.3.5)

@@ -136,3 +136,15 @@ def test_machine_trend_for_a_present_machine(spark, tables):  # G7 on a machine
         "hour", "avg_temperature", "avg_pressure", "avg_vibration", "defect_rate")
     assert got.count() == want.count() > 0
     assert [r.hour for r in got.collect()] == sorted((r.hour for r in want.collect()), reverse=True)
+
+
+def test_published_tables_equal_the_lazy_ones(spark, tables):  # F8 sink pruning keeps results
+    from shopfloor.plans.reports import round_doubles
+    p = pipeline.from_sf_dir(spark, SF0001)
+    base = tempfile.mkdtemp(prefix="sf-eq-")
+    pipeline.run_pipeline(spark, p, base)
+    pub = load.published_tables(spark, base)
+    assert rows(pub["sensor_readings"].select(*tables.readings.columns)) == rows(tables.readings)
+    assert rows(round_doubles(pub["hourly_summary"].select(*tables.summary.columns))) == \
+        rows(round_doubles(tables.summary))
+    assert rows(pub["quality_checks"]) == rows(tables.checks)
