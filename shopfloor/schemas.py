@@ -62,17 +62,22 @@ READINGS_TABLE, CHECKS_TABLE, SUMMARY_TABLE = (
 # -----------------------------------------------------------------------
 
 # Timestamp text layouts tried in order when a time column is text.
+# Slash dates are month first, as pandas reads them by default.
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd HH:mm",
+    "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd H:mm:ss",
     "yyyy-MM-dd",
     "yyyy/MM/dd HH:mm:ss",
+    "yyyy/MM/dd HH:mm",
     "yyyy/MM/dd",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy",
+    "MM/dd/yyyy HH:mm:ss",
+    "MM/dd/yyyy HH:mm",
+    "MM/dd/yyyy",
 )
 
 READINGS_SCHEMA = T.StructType([

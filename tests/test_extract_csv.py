@@ -26,12 +26,14 @@ def test_completed_inspections(spark):  # A7, Q16
 
 def test_time_formats(spark):  # A3
     df = spark.createDataFrame([("2024-01-02 03:04:05",), ("2024-01-02T03:04:05.250000",),
-                                ("2024/01/02",), ("02/01/2024 03:04:05",), ("not a time",)], "`Date Time` string")
+                                ("2024/01/02",), ("02/01/2024 03:04:05",), ("2024-01-02 3:04:05",),
+                                ("not a time",)], "`Date Time` string")
     out, col = extract.parse_first_time_column(df)
     got = [r[0] for r in out.collect()]
     assert col == "Date Time"
     assert got == [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 250000),
-                   dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5), None]
+                   dt.datetime(2024, 1, 2), dt.datetime(2024, 2, 1, 3, 4, 5),   # month first
+                   dt.datetime(2024, 1, 2, 3, 4, 5), None]
 
 
 def _write(path, text, encoding="utf-8"):
