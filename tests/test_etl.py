@@ -44,3 +44,18 @@ def test_missing_inputs(spark):
         "timestamp IS NOT NULL AND machine_id IS NOT NULL AND line_id IS NOT NULL").count()
     ok, report = etl.test_database_integrity(spark, f"{d}/db2")
     assert {r.status for r in report.where("metric = 'quality_checks'").collect()} == {"warn"}
+
+
+def test_checks_on_empty_contract_tables(spark):
+    from shopfloor.operators import load
+    d = tempfile.mkdtemp(prefix="sf-empty-")
+    load.create_database(spark, f"{d}/db")
+    ok, report = etl.test_database_integrity(spark, f"{d}/db")
+    assert ok is False
+    got = {(r.check, r.metric): r.status for r in report.collect()}
+    assert got[("row_counts", "sensor_readings")] == "fail"
+    assert got[("row_counts", "quality_checks")] == "warn"
+    assert got[("row_counts", "hourly_summary")] == "fail"
+    assert got[("critical_nulls", "null_count")] == "pass"
+    assert got[("temperature_bounds", "min_temp")] == "pass"
+    assert not any(c == "quality_distribution" for c, _ in got)   # no flags, no shares
