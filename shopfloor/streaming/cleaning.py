@@ -8,7 +8,7 @@ wrote: the last cleaned value of every sensor step and the number of rows
 numbered so far.  The batch then writes its own carry.  Both outputs are
 keyed by batch id, so a retried batch rewrites the same files
 (idempotent).  Contract: rows of a later file follow the rows of earlier
-files in row order (a feed appends); inside a batch any order is fine.
+deliveries in row order (a feed appends); inside a batch any order is fine.
 """
 
 from __future__ import annotations
@@ -73,8 +73,10 @@ def clean_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir:
 
 
 def run_clean_stream(spark: SparkSession, source_dir: str, schema, out_dir: str,
-                     order: str = "row_no", max_files_per_trigger: int | None = 1) -> None:
-    """Clean every file now in ``source_dir`` (availableNow) and stop."""
+                     order: str = "row_no", max_files_per_trigger: int | None = None) -> None:
+    """Clean every file that arrived in ``source_dir`` since the last run
+    (availableNow) and stop; the next run resumes from the checkpoint.  By
+    default each run is one micro-batch, whatever the number of files."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -92,19 +94,19 @@ def _register():
 
     @register("stream_clean_sensor", "SELECT * FROM sensor_std")
     def q_stream_clean_sensor(spark, sf_dir):
-        """Sensor rows arrive as three files (one per third of the row order);
-        three micro-batches clean them with the fill and ids carried over."""
+        """Sensor rows arrive in three deliveries (thirds of the row order,
+        each written by a parallel job); the stream runs after each delivery,
+        so three micro-batches clean them with the fill and ids carried over."""
         session.configure(spark)
         raw = fixtures.sensor_raw(spark, sf_dir)
         base = session.scratch_path(spark, f"shopfloor-stream-clean-{uuid.uuid4().hex}")
         src, out = f"{base}/source", f"{base}/out"
-        bounds = raw.agg(F.min("row_no"), F.max("row_no")).first()
-        lo, hi = bounds[0], bounds[1]
+        lo, hi = raw.agg(F.min("row_no"), F.max("row_no")).first()
         step = (hi - lo) // 3 + 1
-        for k in range(3):  # one file per arrival, written in order
+        for k in range(3):
             part = raw.where((F.col("row_no") >= lo + k * step) & (F.col("row_no") < lo + (k + 1) * step))
-            part.coalesce(1).write.mode("append").parquet(src)
-        run_clean_stream(spark, src, raw.schema, out)
+            part.write.mode("append").parquet(src)
+            run_clean_stream(spark, src, raw.schema, out)
         return spark.read.parquet(out).drop("batch")
 
 

@@ -18,11 +18,10 @@ def test_stream_clean_equals_batch_across_batches(spark):
     raw = fixtures.sensor_raw(spark, SF0001)
     base = tempfile.mkdtemp(prefix="sf-stream-")
     src, out = f"{base}/src", f"{base}/out"
-    for lo, hi in ((0, 100), (100, 101), (101, 640), (640, 1000)):   # uneven arrivals
-        raw.where((F.col("row_no") >= lo) & (F.col("row_no") < hi)).coalesce(1) \
-           .write.mode("append").parquet(src)
-    cleaning.run_clean_stream(spark, src, raw.schema, out)
-    assert len(glob.glob(os.path.join(out, "batch=*"))) == 4          # four micro-batches
+    for lo, hi in ((0, 100), (100, 101), (101, 640), (640, 1000)):   # uneven deliveries
+        raw.where((F.col("row_no") >= lo) & (F.col("row_no") < hi)).write.mode("append").parquet(src)
+        cleaning.run_clean_stream(spark, src, raw.schema, out)       # one micro-batch per delivery
+    assert len(glob.glob(os.path.join(out, "batch=*"))) == 4
     got = spark.read.parquet(out).drop("batch")
     want = pipeline.from_sf_dir(spark, SF0001).sensor_std
     assert rows(got.select(*want.columns)) == rows(want)
