@@ -54,8 +54,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    Read from `spark.checkpoint.dir`; only when the session names none (a
-    test on one machine) is a scratch folder created and registered.
+    Read from `spark.checkpoint.dir`; only when the session names none and
+    runs in local mode (a test on one machine) is a scratch folder created.
+    On a cluster a missing setting is an error: a machine-local folder would
+    not survive the loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="shopfloor-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
