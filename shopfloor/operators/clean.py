@@ -49,36 +49,31 @@ def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None =
     columns = df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
     steps = roles.sensor_cleaning_steps(columns)
-    fills: dict[str, Column] = {}
-    checks: list[tuple[Column | str, str]] = []  # (value tested, its filled column)
-    source: dict[str, Column] = {}   # column -> current row-local cleaned value
-    last_fill: dict[str, str] = {}   # column -> name of its latest filled column
+    fills: dict[str, Column] = {}    # __filled_<i> -> row-local value it fills from
+    tested: list[Column] = []        # per step: the value whose NULL needs repair
+    source: dict[str, Column] = {}   # column -> row-local value cleaned so far
+    last_fill: dict[str, str] = {}   # column -> its latest filled column
     for i, (role, name) in enumerate(steps):
         lo, hi = SENSOR_RANGES[role]
         if name not in source:
             cleaned = in_range(null_error_codes(_as_double(types, name)), lo, hi)
-            tested: Column | str = cleaned
+            tested.append(cleaned)
         else:
             # a column in a second role: its filled values are range-tested again
             cleaned = in_range(source[name], lo, hi)
-            tested = ("__prev__", last_fill[name])
-        filled = f"__filled_{i}"
-        fills[filled] = cleaned
+            tested.append(in_range(F.col(last_fill[name]), lo, hi))
+        fills[f"__filled_{i}"] = cleaned
         source[name] = cleaned
-        checks.append((tested, filled))
-        last_fill[name] = filled
+        last_fill[name] = f"__filled_{i}"
 
     out = ordered_pass(df, order, fills, position_col=position_col, method=method, width=width,
                        carry_in={f"__filled_{i}": c for i, c in (carry_in or {}).items()},
                        offset_in=offset_in)
 
+    # the flag of the last step that needed repair (later steps overwrite)
     flag = F.lit(FLAG_GOOD)
-    for step, (tested, filled) in zip(steps, checks):
-        role = step[0]
-        if isinstance(tested, tuple):
-            lo, hi = SENSOR_RANGES[role]
-            tested = in_range(F.col(tested[1]), lo, hi)
-        status = F.when(tested.isNull(),
+    for value, filled in zip(tested, fills):
+        status = F.when(value.isNull(),
                         F.when(F.col(filled).isNull(), F.lit(FLAG_INVALID))
                         .otherwise(F.lit(FLAG_ESTIMATED)))
         flag = F.coalesce(status, flag)
