@@ -126,8 +126,10 @@ def incremental_load(spark: SparkSession, base: str, new_joined: DataFrame,
     * The anti-join also matches on ``day`` (a function of the time key),
       so dynamic partition pruning reads only the target days that occur
       in the new rows.
-    * The rows to append are checkpointed first (the job reads and then
-      appends to the same table).
+    * The incoming batch and the rows to append are checkpointed (the job
+      reads and then appends to the same table; upstream work runs once).
+    * The summary days to rewrite are those of the whole incoming batch, so
+      a retry after a failure between append and summary still repairs them.
     * The summary is written with dynamic partition overwrite: untouched
       days keep their files.
     Returns the appended rows (as read back from the checkpoint).
@@ -135,7 +137,9 @@ def incremental_load(spark: SparkSession, base: str, new_joined: DataFrame,
     """
     jpath, spath = f"{base.rstrip('/')}/joined", f"{base.rstrip('/')}/hourly_summary"
     session.ensure_checkpoint_dir(spark)
-    new = new_joined.withColumn("day", F.to_date("timestamp"))
+    # the incoming batch is materialised once; days, anti-join and append read it
+    new = new_joined.withColumn("day", F.to_date("timestamp")).checkpoint(eager=True)
+    incoming_days = new.where(F.col("day").isNotNull()).select("day").distinct()
     try:
         target = spark.read.parquet(jpath)
     except Exception as e:  # noqa: BLE001 - first load: no table yet
@@ -151,7 +155,10 @@ def incremental_load(spark: SparkSession, base: str, new_joined: DataFrame,
     appended = new.checkpoint(eager=True)
     appended.write.mode("append").partitionBy("day").parquet(jpath)
 
-    touched = appended.where(F.col("day").isNotNull()).select("day").distinct()
+    # days of the whole incoming batch, not only of the rows appended now: a
+    # retry after a failure between the append and the summary write appends
+    # nothing, yet still rewrites those days
+    touched = incoming_days
     days = spark.read.parquet(jpath).join(touched, "day", "left_semi")  # pruned to touched days
     summary = hourly_summary(days.drop("day")).withColumn("day", F.to_date("hour"))
     (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
