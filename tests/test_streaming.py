@@ -74,3 +74,20 @@ def test_incremental_load_on_disk(spark):
     plan = spark.read.parquet(f"{base}/joined").join(touched, "day", "left_semi")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_incremental_load_retry_repairs_summary(spark):
+    joined = pipeline.from_sf_dir(spark, SF0001).joined
+    base = tempfile.mkdtemp(prefix="sf-retry-")
+    first = joined.where(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    second = joined.where((F.col("timestamp") >= F.lit("2024-01-20").cast("timestamp_ntz"))
+                          | F.col("timestamp").isNull())
+    hourly.incremental_load(spark, base, first)
+    # a crash after the append of the second batch, before its summary write
+    second.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy("day") \
+        .parquet(f"{base}/joined")
+    appended = hourly.incremental_load(spark, base, second)      # the retry
+    assert appended.count() == 0
+    got = spark.read.parquet(f"{base}/hourly_summary").drop("day")
+    full = hourly_summary(joined)
+    assert rows(round_doubles(got.select(*full.columns))) == rows(round_doubles(full))
