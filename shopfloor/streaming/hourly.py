@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..functions.scalars import defect_rate, hour_bucket
-from ..operators.integrate import STATUS_COL
+from ..operators.integrate import STATUS_COL, join_sensor_quality
 from ..operators.summary import STAT_FUNCS, hourly_summary
 from ..schemas import DEFECT_ALERT_THRESHOLD, STATUS_FAIL
 
@@ -83,6 +83,28 @@ def run_stream(spark: SparkSession, source_dir: str, schema, out_dir: str, alert
     q.awaitTermination()
 
 
+def run_joined_stream(spark: SparkSession, cleaned_dir: str, cleaned_schema, quality: DataFrame,
+                      out_dir: str, alert_dir: str, delay: str = "2 hours",
+                      threshold: float = DEFECT_ALERT_THRESHOLD) -> None:
+    """X1 end to end: cleaned readings (from ``cleaning.run_clean_stream``)
+    stream into a stream-static LEFT join with the standardised inspections
+    (the same null-safe, salted join as the batch job), then into the
+    hourly windows and the alert sink."""
+    stream = spark.readStream.schema(cleaned_schema).parquet(cleaned_dir)
+    joined = join_sensor_quality(stream, quality, check_empty=False)
+    cols = ["timestamp", *KEYS, *SENSORS, STATUS_COL]
+    windows = hourly_windows(joined.select(*cols), delay)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        alerts_of(batch, threshold).write.mode("overwrite").parquet(f"{alert_dir}/batch={batch_id}")
+
+    q = (windows.writeStream.outputMode("append").foreachBatch(sink)
+         .option("checkpointLocation", f"{out_dir}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path).drop("batch")
@@ -192,6 +214,29 @@ def _register():
         out, _, schema = staged_stream(spark, sf_dir)
         return round_doubles(read_sink(spark, out, schema))
 
+    @register("stream_pipeline_summary", f"SELECT {summary_rounded()} FROM summary {closed}")
+    def q_stream_pipeline_summary(spark, sf_dir):
+        """Raw sensor deliveries -> streaming clean (fill and ids carried) ->
+        stream-static join with the inspections -> watermarked hour windows."""
+        from . import cleaning
+        from ..sources import fixtures
+        p = pipeline.from_sf_dir(spark, sf_dir)
+        raw = fixtures.sensor_raw(spark, sf_dir)
+        base = session.scratch_path(spark, f"shopfloor-stream-pipe-{uuid.uuid4().hex}")
+        src, cleaned = f"{base}/source", f"{base}/cleaned"
+        lo, hi = raw.agg(F.min("row_no"), F.max("row_no")).first()
+        step = (hi - lo) // 3 + 1
+        for k in range(3):
+            raw.where((F.col("row_no") >= lo + k * step) & (F.col("row_no") < lo + (k + 1) * step)) \
+               .write.mode("append").parquet(src)
+            cleaning.run_clean_stream(spark, src, raw.schema, cleaned)
+        cleaned_schema = spark.read.parquet(cleaned).schema
+        out, alerts = f"{base}/windows", f"{base}/alerts"
+        run_joined_stream(spark, cleaned, cleaned_schema, p.quality_std, out, alerts)
+        schema = hourly_windows(spark.createDataFrame([], p.joined.select(
+            "timestamp", *KEYS, *SENSORS, STATUS_COL).schema)).schema
+        return round_doubles(read_sink(spark, out, schema))
+
     @register("defect_alerts", f"""
 SELECT hour, machine_id, line_id, round(defect_rate, {P}) AS defect_rate, defect_count, total_checks
 FROM summary {closed} AND defect_rate > 5.0""")
