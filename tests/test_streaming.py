@@ -91,3 +91,18 @@ def test_incremental_load_retry_repairs_summary(spark):
     got = spark.read.parquet(f"{base}/hourly_summary").drop("day")
     full = hourly_summary(joined)
     assert rows(round_doubles(got.select(*full.columns))) == rows(round_doubles(full))
+
+
+def test_stream_pipeline_end_to_end(spark):
+    p = pipeline.from_sf_dir(spark, SF0001)
+    raw = fixtures.sensor_raw(spark, SF0001)
+    base = tempfile.mkdtemp(prefix="sf-pipe-")
+    for lo, hi in ((0, 300), (300, 1000)):
+        raw.where((F.col("row_no") >= lo) & (F.col("row_no") < hi)).write.mode("append").parquet(f"{base}/src")
+        cleaning.run_clean_stream(spark, f"{base}/src", raw.schema, f"{base}/clean")
+    hourly.run_joined_stream(spark, f"{base}/clean", spark.read.parquet(f"{base}/clean").schema,
+                             p.quality_std, f"{base}/w", f"{base}/a")
+    got = round_doubles(spark.read.parquet(f"{base}/w").drop("batch"))
+    latest = p.joined.where("machine_id IS NOT NULL AND line_id IS NOT NULL").agg(F.max("timestamp")).first()[0]
+    want = round_doubles(p.hourly.where(F.col("hour") + F.expr("INTERVAL 3 HOURS") <= F.lit(latest)))
+    assert rows(got.select(*want.columns)) == rows(want)
