@@ -14,21 +14,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet below the shared checkpoint folder and read it
     back.  Cuts the lineage: a lost executor costs a re-read, not a re-run."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows_per_task: int = 0) -> DataFrame:
-    """Round-robin over the session's shuffle partitions, so that compute-heavy
-    steps over few input files use every core."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
-
-
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of an undirected graph by contraction.
 

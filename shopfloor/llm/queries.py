@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, simhash_vp
-from .common import stage, table
+from . import bpe, chat, docstats, mixing, pu_quality, quality_rules, resharding, simhash_vp, toxicity, warc
+from .common import fresh_path, stage, table
 
 VOCABULARY = "byte_bpe_50k.json"
 MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED = [5, 2, 1], 3, 17
 SHINGLE, BITS = 3, 2
+OLD_SHARDS, SHARDS = 20, 24
 
 
 def vocabulary_path() -> str:
@@ -28,6 +29,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stage(table(spark, sf_dir, "documents")
                  .select("doc_id", "source", mixing.word_count("text").alias("size")), "op3")
@@ -66,14 +71,61 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return pu_quality.score(docs, labels).select("doc_id", docstats.held_out().alias("held_out"), "score", "predicted")
+
+
+def op6_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resharding.reshard(table(spark, sf_dir, "documents"), OLD_SHARDS, SHARDS)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.rate(docs, labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "quality_score")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read(spark, path, blocks=False))
+    fields, response = F.col("metadata")[0]["fields"], F.col("response")
+    return captures.select(
+        fields["page-id"].cast("long").alias("page_id"),
+        F.coalesce(response["payload_bytes"], fields["payload-length"].cast("long")).alias("payload_bytes"),
+        response["payload_digest"].alias("payload_digest"), response["type"].alias("record_type"),
+        F.regexp_extract(response["refers_to"], "^<urn:capture:(-?[0-9]+):", 1).cast("long").alias("refers_to"))
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN first END AS refers_to
+FROM m
+"""
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels).select("doc_id", docstats.held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_vp.near_duplicates(table(spark, sf_dir, "documents"), shingle=SHINGLE, bits=BITS)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op3_mixing": op3_mixing, "op10_simhash": op10_simhash}
+    return {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_mixing": op3_mixing, "op4_quality": op4_quality,
+            "op6_resharding": op6_resharding, "op7_rules": op7_rules, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL}
+    return {"op3_mixing": OP3_SQL, "op8_warc": OP8_SQL}

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, spread, stage
+from .common import components, stage
 
 SEED = 42
 LEAF = 768            # largest leaf compared pair by pair in one block
