@@ -140,12 +140,14 @@ def label_sample(labels: DataFrame, label: str, limit: int, id_col: str = "doc_i
     return known
 
 
-def labelled_sample(stats: DataFrame, labels: DataFrame, label: str, limit: int,
-                    id_col: str = "doc_id") -> DataFrame:
-    """`features` and `label` of a `label_sample`, one row per id."""
+def labelled_sample(rows: DataFrame, labels: DataFrame, label: str, limit: int, id_col: str = "doc_id",
+                    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """`features` and `label` of a `label_sample`, one row per id.  `prepare`
+    makes the features of the sampled rows, where `rows` has none yet."""
     known = label_sample(labels, label, limit, id_col)
-    return stats.select(id_col, "features").join(F.broadcast(known), id_col).groupBy(id_col).agg(
-        F.min("features").alias("features"), F.first("label").alias("label"))
+    return prepare(rows.join(F.broadcast(known.select(id_col)), id_col, "left_semi")).select(id_col, "features") \
+        .join(F.broadcast(known), id_col).groupBy(id_col).agg(
+            F.min("features").alias("features"), F.first("label").alias("label"))
 
 
 def collect_sample(sample: DataFrame, limit: int, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import docstats, gbt
+from .common import stage
 
 SAMPLE = 20_000        # labelled rows the trees are fitted on (bound; a hash share of the ids beyond it)
 KEEP = 0.5             # score from which the trees keep a document
@@ -19,9 +20,10 @@ MONOTONE = {"symbol_rate": -1, "repeat_share": -1, "dup_line_share": -1, "top_wo
             "exclaim_rate": -1, "bar_share": -1, "upper_rate": -1, "function_share": +1}
 
 
-def fit(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id") -> gbt.Forest:
+def fit(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
+        prepare=lambda rows: rows) -> gbt.Forest:
     """Trees for `labels.quality` from rows that are not held out."""
-    rows = docstats.labelled_sample(stats, labels, "quality", sample, id_col)
+    rows = docstats.labelled_sample(rows, labels, "quality", sample, id_col, prepare)
     x, y = docstats.collect_sample(rows, sample, id_col)
     return gbt.train(x, y, monotone={docstats.FEATURES.index(f): s for f, s in MONOTONE.items()})
 
@@ -58,8 +60,6 @@ def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     trees are the base rate alone and keep what the base rules keep (or nothing,
     where every label is 0); other columns are not read.
     """
-    from .common import stage
-
     stats = stage(docstats.with_stats(docs, text, id_col=id_col), "quality-stats")
     return judge(stats, fit(stats, labels, id_col=id_col))
 
@@ -67,7 +67,7 @@ def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that the rules keep, with their own columns: the
     verdict is made on the row's own text, so repeated ids need no join."""
-    forest = fit(docstats.with_stats(docs, text, id_col=id_col), labels, id_col=id_col)
+    forest = fit(docs, labels, id_col=id_col, prepare=lambda rows: docstats.with_stats(rows, text, id_col=id_col))
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, docstats, mixing, pu_quality, quality_rules, resharding, simhash_vp, toxicity, warc
+from . import bpe, chat, docstats, mixing, nn_descent, pu_quality, quality_rules, resharding, simhash_vp, toxicity, warc
 from .common import fresh_path, stage, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -76,6 +76,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(docs, labels).select("doc_id", docstats.held_out().alias("held_out"), "score", "predicted")
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = resharding.reshard(table(spark, sf_dir, "documents"), OLD_SHARDS, SHARDS)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -124,6 +128,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_mixing": op3_mixing, "op4_quality": op4_quality,
+            "op5_nn_descent": op5_nn_descent,
             "op6_resharding": op6_resharding, "op7_rules": op7_rules, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
 
 

@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, stage
@@ -67,9 +67,9 @@ def simhash(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3,
-                 out: str = "fp") -> DataFrame:
-    """`docs` without the text plus `out`, the SimHash as a signed long."""
-    keep = [c for c in docs.columns if c not in (text, out)]
+                 out: str = "fp", keep_text: bool = False) -> DataFrame:
+    """`docs` plus `out`, the SimHash as a signed long; without the text unless asked."""
+    keep = [c for c in docs.columns if c != out and (keep_text or c != text)]
     schema = docs.select(*keep).schema.add(out, "long")
     names = [*keep, out]
 
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3,
                              dtype=np.uint64, count=b.num_rows).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(fp)], names=names)
 
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- tree
@@ -215,10 +215,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     a row; an empty table gives no rows; other columns are not read.
     """
     prints = stage(fingerprints(docs.select(id_col, text), text, shingle), "simhash")
+    members = groups(prints, bits, id_col, shard_rows)
+    return prints.join(members, "fp").select(id_col, "fp", "component_id")
+
+
+def groups(prints: DataFrame, bits: int = 2, id_col: str = "doc_id", shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(fp, label, component_id) per distinct fingerprint of `prints` (id, fp):
+    label names the group, component_id is its smallest id."""
     distinct = stage(prints.groupBy("fp").agg(F.min(id_col).alias("rep")), "simhash-distinct")
     links = components(near_pairs(distinct, bits, shard_rows), "simhash-links")
     found = (distinct.join(links.select(F.col("node").alias("fp"), "label"), "fp", "left")
              .select("fp", "rep", F.coalesce("label", "fp").alias("label")))
     grouped = found.groupBy("label").agg(F.min("rep").alias("component_id"))
-    members = stage(found.join(grouped, "label").select("fp", "component_id"), "simhash-groups")
-    return prints.join(members, "fp").select(id_col, "fp", "component_id")
+    return stage(found.join(grouped, "label").select("fp", "label", "component_id"), "simhash-groups")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
+             bits: int = 2) -> DataFrame:
+    """The rows of `docs`, with their own columns, that stay: of each group the
+    row with the smallest id (the smallest fingerprint and text, where rows share
+    that id; null ids only where a group has no other)."""
+    prints = stage(fingerprints(docs, text, shingle, "__fp", keep_text=True), "simhash-docs")
+    ids = prints.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp"))
+    chosen = (ids.join(groups(ids, bits, "id"), "fp").where("id <=> component_id")
+              .groupBy("label").agg(F.min(F.struct("id", "fp")).alias("first"))
+              .select(F.col("first.id").alias("__id"), F.col("first.fp").alias("__kept")))
+    rows = prints.join(chosen, (prints["__fp"] == F.col("__kept")) & prints[id_col].eqNullSafe(F.col("__id")))
+    one = Window.partitionBy("__kept", "__id").orderBy(text)
+    return rows.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*docs.columns)
