@@ -8,6 +8,8 @@ below states its rule.  Only ``DataFrame.columns`` / ``schema`` is read.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -87,76 +89,81 @@ def hourly_group_columns(columns: list[str]) -> list[str]:
             if _has_any(c.lower(), KEY_FRAGMENTS) and Q not in c]
 
 
+@dataclass(frozen=True)
+class Rule:
+    """How one role finds its columns by (lower-cased) name.
+
+    exact: the whole name must be the fragment.  plain: names that hold
+    'quality' do not count.  pick: which of the matching columns the role
+    takes, 0 the first, -1 the last.  greedy: the other matching columns are
+    used up too, they are not left for later roles.
+    """
+
+    role: str
+    fragments: tuple[str, ...]
+    exact: bool = False
+    plain: bool = False
+    pick: int = 0
+    greedy: bool = False
+
+    def matches(self, name: str) -> bool:
+        found = name in self.fragments if self.exact else _has_any(name, self.fragments)
+        return found and not (self.plain and Q in name)
+
+
+# roles in order of priority
+READINGS_RULES = (
+    Rule("record_id", (RECORD_ID_COLUMN,), exact=True),
+    Rule("timestamp", TIME_FRAGMENTS),
+    Rule("line_id", ("line",), plain=True),
+    Rule("machine_id", ("machine",), plain=True),
+    Rule("temperature", (TEMP,), plain=True),
+    Rule("pressure", (PRESS,), plain=True),
+    Rule("vibration", (VIBR,), plain=True),
+    Rule("power", (POWER_FRAGMENT,), plain=True),
+    Rule("data_quality", (FLAG_COLUMN,), exact=True),
+)
+CHECKS_RULES = (
+    Rule("timestamp", TIME_FRAGMENTS, greedy=True),
+    Rule("line_id", ("line",)),
+    Rule("machine_id", ("machine",)),
+    Rule("result", (RESULT_FRAGMENT,)),
+    Rule("defect_type", DEFECT_FRAGMENTS, greedy=True),
+)
+HOURLY_SENSOR_RULES = tuple(
+    Rule(role, (fragment,), pick=-1, greedy=True)
+    for role, fragment in (*SENSOR_ROLE_FRAGMENTS.items(), ("power", POWER_FRAGMENT)))
+
+
+def resolve(columns: list[str], rules: tuple[Rule, ...]) -> dict[str, str]:
+    """role -> column.  Roles choose one after another from the columns that
+    earlier roles left; the result is in the frame's column order."""
+    pool = list(columns)
+    chosen: dict[str, tuple[int, str]] = {}
+    for rule in rules:
+        found = [c for c in pool if rule.matches(c.lower())]
+        if found:
+            taken = found[rule.pick]
+            chosen[rule.role] = (columns.index(found[0]), taken)
+            used = set(found) if rule.greedy else {taken}
+            pool = [c for c in pool if c not in used]
+    return {role: c for role, (_, c) in sorted(chosen.items(), key=lambda item: item[1][0])}
+
+
 def hourly_sensor_columns(columns: list[str]) -> dict[str, str]:
-    """role -> column; each column takes the first role it matches in the
-    chain temp, press, vibr, power; the last column of a role wins."""
-    mapping: dict[str, str] = {}
-    for c in columns:
-        if Q in c:
-            continue
-        low = c.lower()
-        for role, fragment in (*SENSOR_ROLE_FRAGMENTS.items(), ("power", POWER_FRAGMENT)):
-            if fragment in low:
-                mapping[role] = c
-                break
-    return mapping
+    """role -> column over temp, press, vibr, power; the last column of a role wins."""
+    return resolve([c for c in columns if Q not in c], HOURLY_SENSOR_RULES)
 
 
 def readings_load_mapping(columns: list[str]) -> dict[str, str]:
-    """source column -> target name for the readings table.
-
-    Each column takes the first still-free role of the chain record_id
-    (exact), time/date, line, machine, temp, press, vibr, power,
-    data_quality (exact); names with 'quality' skip the sensor roles.
-    """
-    taken: dict[str, str] = {}
-    for c in columns:
-        low = c.lower()
-        free = lambda role: role not in taken.values()
-        plain = Q not in low
-        if low == RECORD_ID_COLUMN and free("record_id"):
-            taken[c] = "record_id"
-        elif _has_any(low, TIME_FRAGMENTS) and free("timestamp"):
-            taken[c] = "timestamp"
-        elif "line" in low and plain and free("line_id"):
-            taken[c] = "line_id"
-        elif "machine" in low and plain and free("machine_id"):
-            taken[c] = "machine_id"
-        elif TEMP in low and plain and free("temperature"):
-            taken[c] = "temperature"
-        elif PRESS in low and plain and free("pressure"):
-            taken[c] = "pressure"
-        elif VIBR in low and plain and free("vibration"):
-            taken[c] = "vibration"
-        elif POWER_FRAGMENT in low and plain and free("power"):
-            taken[c] = "power"
-        elif low == FLAG_COLUMN and free("data_quality"):
-            taken[c] = "data_quality"
-    return taken
+    """source column -> target name for the readings table."""
+    return {c: role for role, c in resolve(columns, READINGS_RULES).items()}
 
 
 def checks_load_mapping(columns: list[str]) -> dict[str, str]:
-    """source column -> target name for the checks table.
-
-    Chain: time/date (a second time column is swallowed, not passed on),
-    line, machine, result, defect/fault.
-    """
-    taken: dict[str, str] = {}
-    for c in columns:
-        low = c.lower()
-        if _has_any(low, TIME_FRAGMENTS):
-            if "timestamp" not in taken.values():
-                taken[c] = "timestamp"
-        elif "line" in low and "line_id" not in taken.values():
-            taken[c] = "line_id"
-        elif "machine" in low and "machine_id" not in taken.values():
-            taken[c] = "machine_id"
-        elif RESULT_FRAGMENT in low and "result" not in taken.values():
-            taken[c] = "result"
-        elif _has_any(low, DEFECT_FRAGMENTS):
-            if "defect_type" not in taken.values():
-                taken[c] = "defect_type"
-    return taken
+    """source column -> target name for the checks table; further time and
+    defect columns are used up by those roles."""
+    return {c: role for role, c in resolve(columns, CHECKS_RULES).items()}
 
 
 def normalized_name(name: str) -> str:
