@@ -400,23 +400,37 @@ def q_write_replace(spark, sf_dir):
 
 @register("commit_rollback", _COUNTS_SQL)
 def q_commit_rollback(spark, sf_dir):
-    """a run that fails while writing leaves the previous run published."""
+    """a run that fails while writing leaves the published run in place.
+
+    The full job is published, then a run of the last seven days (other row
+    counts) breaks after its first tables were written.  The failure must be
+    raised as simulated, and the counts must still be those of the full job.
+    """
     import uuid
 
     p = _pipe(spark, sf_dir)
     base = session.scratch_path(spark, f"shopfloor-rollback-{uuid.uuid4().hex}")
-    load.publish_tables(spark, p.tables(), base)
-    broken = dict(p.tables())
+    good = load.publish_tables(spark, p.tables(), base)
+    broken = pipeline.from_sf_dir(spark, sf_dir, days_back=7, as_of="2024-01-31 00:00:00").tables()
     broken["hourly_summary"] = broken["hourly_summary"].withColumn(
-        "defect_rate", F.raise_error(F.lit("simulated failure while writing")).cast("double"))
+        "defect_rate", F.raise_error(F.lit(_SIMULATED)).cast("double"))
     try:
-        load.publish_tables(spark, broken, base)
-    except Exception:  # noqa: BLE001 - expected: the run must not be published
-        pass
+        load.publish_tables(spark, broken, base, run_id="broken", parallel=False)
+    except Exception as exc:  # noqa: BLE001 - any class; the message must be ours
+        if _SIMULATED not in str(exc):
+            raise
+    else:
+        raise AssertionError("the broken run was published")
+    spark.read.parquet(f"{base}/runs/broken/sensor_readings").schema   # it did write before it broke
+    if load.current_run(spark, base) != good:
+        raise AssertionError("the pointer moved to the broken run")
     pub = load.published_tables(spark, base)
     return load.verify_counts(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
 
 
+_SIMULATED = "simulated failure while writing"
+
+
 def _published(spark, sf_dir) -> Tables:
     import uuid
 
@@ -439,16 +453,6 @@ def q_check_columns(spark, sf_dir):
     return checks.check_columns(spark, _published(spark, sf_dir))
 
 
-@register("resolve_roles", None)
-def q_resolve_roles(spark, sf_dir):
-    """The column each stage picks for each role (metadata; rows-only)."""
-    from ..functions import roles
-    p = _pipe(spark, sf_dir)
-    return spark.createDataFrame(roles.describe_roles(p.sensor_raw.columns, p.quality_raw.columns,
-                                                      p.joined.columns),
-                                 "stage string, role string, column_name string")
-
-
 # --- G: sample queries, set 1 ------------------------------------------
 
 @register("total_readings", "SELECT count(*) AS total_readings FROM readings")

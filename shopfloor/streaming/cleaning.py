@@ -4,85 +4,107 @@ The fill runs over the whole stream in row order, so it cannot be a
 per-key state: one key would put every row in one task.  Each micro-batch
 instead runs the *batch* operator (the bucketed ordered pass, spread over
 the cluster), seeded with a one-row carry table that the previous batch
-wrote: the last cleaned value of every sensor step and the number of rows
-numbered so far.  The batch then writes its own carry.  Both outputs are
-keyed by batch id, so a retried batch rewrites the same files
-(idempotent).  Contract: rows of a later file follow the rows of earlier
-deliveries in row order (a feed appends); inside a batch any order is fine.
+wrote: the last cleaned value of every sensor step, the number of rows
+numbered so far and the last row position.  The batch then writes its own
+carry, from the output it has written.  All outputs are keyed by batch id, so
+a retried batch rewrites the same folders.
+
+Contract: rows of a later delivery follow those of earlier ones in row order
+(inside a batch any order is fine).  A batch that holds a row at or before the
+last position breaks it: ``disorder='fail'`` stops the stream before anything
+is written, ``'aside'`` writes those rows to ``_state/aside/batch=<k>``
+untouched and cleans the others.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
 from ..functions import roles
 from ..operators.clean import clean_sensor_data
 from ..operators.standardize import POSITION_COL, standardize_data
+from ..sources.files import parquet_if_any
 
 
-def _read_carry(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
-    """The carry written by the latest earlier batch (usually batch_id - 1)."""
-    try:
-        return spark.read.parquet(f"{state_dir}/carry/batch={batch_id - 1}")
-    except AnalysisException:
-        pass
-    try:
-        all_carry = spark.read.parquet(f"{state_dir}/carry")
-    except AnalysisException:
-        return None
-    prev = all_carry.where(F.col("batch") < batch_id)
-    latest = prev.agg(F.max("batch")).first()[0]
-    return None if latest is None else prev.where(F.col("batch") == latest).drop("batch")
+def _read_carry(spark: SparkSession, state_dir: str, batch_id: int) -> Row | None:
+    """The carry of the latest earlier batch.  None only where no carry was ever
+    written; a stream that has written carries and lost the earlier ones fails."""
+    carries = parquet_if_any(spark, f"{state_dir}/carry")
+    row = None if carries is None else carries.where(F.col("batch") < batch_id).orderBy(F.desc("batch")).first()
+    if row is None and batch_id > 0:
+        raise RuntimeError(f"batch {batch_id} has no carry to continue from in {state_dir}/carry")
+    return row
 
 
 def clean_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir: str,
-                out_dir: str, order: str = "row_no") -> None:
+                out_dir: str, order: str = "row_no", disorder: str = "fail") -> str:
     """foreachBatch body: clean + standardise one micro-batch, continue the
-    fill and the ids from the previous batch, write output and next carry."""
+    fill and the ids from the previous batch, write output and next carry.
+    Returns the folder of the batch's output."""
+    if disorder not in ("fail", "aside"):
+        raise ValueError("disorder must be 'fail' or 'aside'")
     steps = roles.sensor_cleaning_steps(batch.columns)
     prev = _read_carry(spark, state_dir, batch_id)
     carry_in = offset_in = None
     if prev is not None:
-        carry_in = {i: prev.select(f"tail_{i}").scalar() for i in range(len(steps))}
-        offset_in = prev.select("rows").scalar()
+        carry_in = {i: F.lit(prev[f"tail_{i}"]).cast("double") for i in range(len(steps))}
+        offset_in = F.lit(prev["rows"])
+        if prev["last"] is not None:
+            behind = batch.where(F.col(order) <= F.lit(prev["last"]))
+            if disorder == "aside":
+                behind.write.mode("overwrite").parquet(f"{state_dir}/aside/batch={batch_id}")
+                batch = batch.where((F.col(order) > F.lit(prev["last"])) | F.col(order).isNull())
+            elif not behind.isEmpty():
+                raise RuntimeError(f"batch {batch_id} holds rows at or before position {prev['last']}, "
+                                   "which earlier batches have passed")
 
-    batch = batch.persist()
     cleaned = clean_sensor_data(batch, order, position_col=POSITION_COL, carry_in=carry_in,
-                                offset_in=offset_in, keep_fills=True)
-    fills = [f"__filled_{i}" for i in range(len(steps))]
-    out = standardize_data(cleaned.drop(*fills), order)
-    out.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
-
-    # next carry: the filled value at this batch's last row (it already holds
-    # the carry-in) and the running row count
-    tails = cleaned.agg(*[F.max_by(F.col(f), F.col(order)).alias(f"tail_{i}") for i, f in enumerate(fills)],
-                        F.count(F.lit(1)).alias("n"))
-    if prev is not None:
-        nxt = tails.select(*[F.coalesce(F.col(f"tail_{i}"), prev.select(f"tail_{i}").scalar())
-                             .alias(f"tail_{i}") for i in range(len(fills))],
-                           (F.col("n") + prev.select("rows").scalar()).alias("rows"))
-    else:
-        nxt = tails.select(*[F.col(f"tail_{i}") for i in range(len(fills))], F.col("n").alias("rows"))
-    nxt.write.mode("overwrite").parquet(f"{state_dir}/carry/batch={batch_id}")
-    batch.unpersist()
+                                offset_in=offset_in)
+    out = f"{out_dir}/batch={batch_id}"
+    standardize_data(cleaned, order).write.mode("overwrite").parquet(out)
+
+    # next carry, read back from what was written: the values at the last row
+    # (they already hold the carry-in) and the running row count
+    written = spark.read.parquet(out)
+    names = [roles.normalized_name(c) for _, c in steps]
+    at = roles.normalized_name(order)
+    tails = written.agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("last"),
+                        *[F.max_by(F.col(c), F.col(at)).alias(f"tail_{i}") for i, c in enumerate(names)])
+    before = dict(prev.asDict()) if prev is not None else {}
+    carry = tails.select(
+        *[F.when(F.col("n") > 0, F.col(f"tail_{i}")).otherwise(F.lit(before.get(f"tail_{i}")).cast("double"))
+          .alias(f"tail_{i}") for i in range(len(names))],
+        (F.col("n") + F.lit(before.get("rows", 0))).alias("rows"),
+        F.coalesce("last", F.lit(before.get("last")).cast("long")).cast("long").alias("last"))
+    carry.write.mode("overwrite").parquet(f"{state_dir}/carry/batch={batch_id}")
+    return out
 
 
 def run_clean_stream(spark: SparkSession, source_dir: str, schema, out_dir: str,
-                     order: str = "row_no", max_files_per_trigger: int | None = None) -> None:
+                     order: str = "row_no", max_files_per_trigger: int | None = None,
+                     disorder: str = "fail", then: Callable[[DataFrame, int], None] | None = None) -> None:
     """Clean every file that arrived in ``source_dir`` since the last run
     (availableNow) and stop; the next run resumes from the checkpoint.  By
-    default each run is one micro-batch, whatever the number of files."""
+    default each run is one micro-batch, whatever the number of files.
+
+    ``then(cleaned, batch_id)`` continues with a batch's written output in the
+    same micro-batch, so what it writes by batch id is retried with it."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     state_dir = f"{out_dir}/_state"
-    q = (reader.parquet(source_dir).writeStream
-         .foreachBatch(lambda df, bid: clean_batch(spark, df, bid, state_dir, out_dir, order))
+
+    def body(df: DataFrame, batch_id: int) -> None:
+        out = clean_batch(spark, df, batch_id, state_dir, out_dir, order, disorder)
+        if then is not None:
+            then(spark.read.parquet(out), batch_id)
+
+    q = (reader.parquet(source_dir).writeStream.foreachBatch(body)
          .option("checkpointLocation", f"{out_dir}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -1,270 +1,258 @@
-"""Streaming and incremental extensions.
-
-The reference only names these as roadmap items; they are built on the
-same operators as the batch job.
-
-* X1 ``stream_hourly_summary``: joined readings arrive as files; a
-  watermark on event time closes one-hour tumbling windows per machine and
-  line, which are appended once complete.  Late rows (behind the
-  watermark) are dropped by Spark.  Cleaning (the global fill and the
-  record ids) streams separately, see ``cleaning.py``.
-* X2 ``incremental_append`` / ``incremental_load``: new joined rows are
-  anti-joined on (timestamp, machine) against the target, appended, and
-  only the hour groups (lazy form) or day partitions (on disk) they touch
-  are recomputed.
-* X3 ``defect_alerts``: every closed window whose defect rate is over the
-  threshold goes to an alert sink (``foreachBatch``).
+"""Streaming hourly summary and defect alerts.
+
+Every micro-batch reduces its joined readings to mergeable statistics per hour
+group (count, mean, second moment, min, max, checks, defects) and writes them
+under its batch id, so a retried batch overwrites its own rows and nothing is
+counted twice.  Merging the batches gives every window:
+
+* ``closed`` windows ended at least ``delay`` before the latest event time;
+* ``open`` windows are delivered too, marked as such;
+* rows that arrive after their window closed are merged like any other, and
+  listed in the ``late`` output of their batch.
+
+Alerts are written when a window closes, and again if late rows change it.
+``hourly_windows`` is the plain watermarked plan (append mode: each window once,
+late rows dropped by Spark) for consumers that want only that.
 """
 
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import session
+from ..functions import roles
 from ..functions.scalars import defect_rate, hour_bucket
 from ..operators.integrate import STATUS_COL, join_sensor_quality
-from ..operators.summary import STAT_FUNCS, hourly_summary
+from ..operators.summary import STAT_FUNCS
 from ..schemas import DEFECT_ALERT_THRESHOLD, STATUS_FAIL
+from ..sources.files import parquet_if_any
 
-SENSORS = ("temperature", "pressure", "vibration", "power")
-KEYS = ("machine_id", "line_id")
+DELAY = "2 HOURS"
 
 
-def _window_aggs() -> list[Column]:
-    aggs = [fn(F.col(s)).alias(f"{stat}_{s}") for s in SENSORS for stat, fn in STAT_FUNCS]
-    aggs += [F.count(F.col(STATUS_COL)).alias("total_checks"),
-             F.count_if(F.col(STATUS_COL) == F.lit(STATUS_FAIL)).alias("defect_count")]
-    return aggs
+def _groups(columns: list[str]) -> list[str]:
+    return [c for c in roles.hourly_group_columns(columns) if c != "hour"]
 
 
-def hourly_windows(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """X1 plan: watermark + tumbling hour windows (append mode)."""
-    keyed = stream.where(F.col("timestamp").isNotNull() & F.col("machine_id").isNotNull()
-                         & F.col("line_id").isNotNull())
+def _checks() -> list[Column]:
+    return [F.count(F.col(STATUS_COL)).alias("total_checks"),
+            F.count_if(F.col(STATUS_COL) == F.lit(STATUS_FAIL)).alias("defect_count")]
+
+
+def hourly_windows(stream: DataFrame, delay: str = DELAY) -> DataFrame:
+    """Watermark + tumbling hour windows (append mode)."""
+    time, groups = roles.hourly_time_column(stream.columns), _groups(stream.columns)
+    sensors = roles.hourly_sensor_columns(stream.columns)
     # the watermark needs TIMESTAMP (with zone), not TIMESTAMP_NTZ; the session is UTC
-    keyed = keyed.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    keyed = stream.dropna(subset=[time, *groups]).withColumn("event_time", F.col(time).cast("timestamp"))
+    stats = [fn(F.col(c)).alias(f"{stat}_{role}") for role, c in sensors.items() for stat, fn in STAT_FUNCS]
     agg = (keyed.withWatermark("event_time", delay)
-           .groupBy(F.window("event_time", "1 hour"), *KEYS)
-           .agg(*_window_aggs()))
-    return agg.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), *KEYS,
-                      *[f"{stat}_{s}" for s in SENSORS for stat, _ in STAT_FUNCS],
+           .groupBy(F.window("event_time", "1 hour"), *groups).agg(*stats, *_checks()))
+    return agg.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), *groups,
+                      *[f"{stat}_{role}" for role in sensors for stat, _ in STAT_FUNCS],
                       "total_checks", "defect_count",
                       defect_rate(F.col("defect_count"), F.col("total_checks")).alias("defect_rate"))
 
 
-def alerts_of(summary: DataFrame, threshold: float = DEFECT_ALERT_THRESHOLD) -> DataFrame:
-    """X3 rule on any summary frame (batch or one micro-batch)."""
-    return (summary.where(F.col("defect_rate") > F.lit(float(threshold)))
-            .select("hour", "machine_id", "line_id", "defect_rate", "defect_count", "total_checks"))
+# --- mergeable statistics ----------------------------------------------
+
+def hour_stats(joined: DataFrame) -> DataFrame:
+    """One row per hour group: for each sensor n, mean, m2 (sum of squared
+    distances from the mean), min and max; checks and defects."""
+    time, groups = roles.hourly_time_column(joined.columns), _groups(joined.columns)
+    aggs = []
+    for role, c in roles.hourly_sensor_columns(joined.columns).items():
+        n = F.count(F.col(c))
+        aggs += [n.alias(f"n_{role}"), F.avg(F.col(c)).alias(f"mean_{role}"),
+                 (F.var_pop(F.col(c)) * n).alias(f"m2_{role}"),
+                 F.min(F.col(c)).alias(f"min_{role}"), F.max(F.col(c)).alias(f"max_{role}")]
+    rows = joined.withColumn("hour", hour_bucket(F.col(time))).dropna(subset=["hour", *groups])
+    return rows.groupBy("hour", *groups).agg(*aggs, *_checks())
+
+
+def merge_stats(stats: DataFrame) -> DataFrame:
+    """The hourly summary from the statistics of any number of batches (a group
+    has one row per batch that touched it)."""
+    groups = ["hour", *_groups(stats.columns)]
+    sensors = [c.removeprefix("m2_") for c in stats.columns if c.startswith("m2_")]
+    same = Window.partitionBy(*groups)
+    out, aggs = stats, []
+    for s in sensors:
+        n, mean = F.col(f"n_{s}"), F.col(f"mean_{s}")
+        whole = F.try_divide(F.sum(n * mean).over(same), F.sum(n).over(same))
+        out = out.withColumn(f"whole_{s}", whole)
+        total = F.sum(n)
+        spread = F.sum(F.col(f"m2_{s}") + n * F.pow(mean - F.col(f"whole_{s}"), F.lit(2)))
+        aggs += [F.first(f"whole_{s}").alias(f"avg_{s}"), F.min(f"min_{s}").alias(f"min_{s}"),
+                 F.max(f"max_{s}").alias(f"max_{s}"),
+                 F.when(total > 1, F.sqrt(spread / (total - 1))).alias(f"std_{s}")]
+    merged = out.groupBy(*groups).agg(*aggs, F.sum("total_checks").alias("total_checks"),
+                                      F.sum("defect_count").alias("defect_count"))
+    return merged.withColumn("defect_rate", defect_rate(F.col("defect_count"), F.col("total_checks")))
+
+
+def _mark(spark: SparkSession, out_dir: str, before: int | None = None) -> datetime | None:
+    """Latest event time of all batches (or of those before one)."""
+    marks = parquet_if_any(spark, f"{out_dir}/mark")
+    if marks is None:
+        return None
+    marks = marks if before is None else marks.where(F.col("batch") < before)
+    return marks.agg(F.max("latest")).first()[0]
+
+
+def _closed(hour: Column, latest: datetime | None, delay: str) -> Column:
+    """The window ended at least ``delay`` before ``latest``."""
+    if latest is None:
+        return F.lit(False)
+    return hour + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {delay}") <= F.lit(latest).cast("timestamp_ntz")
 
 
-def run_stream(spark: SparkSession, source_dir: str, schema, out_dir: str, alert_dir: str,
-               delay: str = "2 hours", threshold: float = DEFECT_ALERT_THRESHOLD,
-               max_files_per_trigger: int | None = None) -> None:
-    """Run X1 + X3 over every file now in ``source_dir`` (availableNow) and
-    stop.  Windows go to a parquet sink, alerts to a second one; each
-    micro-batch writes both from one ``foreachBatch``, keyed by batch id so
-    a retried batch overwrites its own output (idempotent)."""
+def alerts_of(summary: DataFrame, threshold: float = DEFECT_ALERT_THRESHOLD) -> DataFrame:
+    """X3 rule on any summary frame."""
+    return (summary.where(F.col("defect_rate") > F.lit(float(threshold)))
+            .select("hour", *_groups(summary.columns), "defect_rate", "defect_count", "total_checks"))
+
+
+def absorb(spark: SparkSession, joined: DataFrame, batch_id: int, out_dir: str, delay: str = DELAY,
+           threshold: float = DEFECT_ALERT_THRESHOLD) -> None:
+    """foreachBatch body: statistics, late rows, alerts and latest event time of
+    one micro-batch, each under its batch id (a retry overwrites them)."""
+    time, groups = roles.hourly_time_column(joined.columns), _groups(joined.columns)
+    before = _mark(spark, out_dir, batch_id)
+    joined = joined.persist()
+    hour_stats(joined).write.mode("overwrite").parquet(f"{out_dir}/stats/batch={batch_id}")
+    late = joined.where(_closed(hour_bucket(F.col(time)), before, delay))
+    late.write.mode("overwrite").parquet(f"{out_dir}/late/batch={batch_id}")
+    (joined.dropna(subset=[time, *groups]).agg(F.max(F.col(time).cast("timestamp_ntz")).alias("latest"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/mark/batch={batch_id}"))
+    joined.unpersist()
+
+    # windows that this batch closed, and closed ones that its late rows changed
+    now = max((t for t in (before, spark.read.parquet(f"{out_dir}/mark/batch={batch_id}").first()[0]) if t),
+              default=None)
+    stats = spark.read.parquet(f"{out_dir}/stats").where(F.col("batch") <= batch_id)
+    changed = stats.where(F.col("batch") == batch_id).select("hour", *groups).distinct()
+    due = stats.where(_closed(F.col("hour"), now, delay))
+    newly = due.where(~_closed(F.col("hour"), before, delay)).select("hour", *groups).distinct()
+    due = due.join(newly.union(changed).distinct(), ["hour", *groups], "left_semi")
+    rows = merge_stats(due.drop("batch"))
+    (rows.select("hour", *groups, "defect_rate", "defect_count", "total_checks",
+                 (F.col("defect_rate") > F.lit(float(threshold))).alias("active"))
+     .write.mode("overwrite").parquet(f"{out_dir}/alerts/batch={batch_id}"))
+
+
+def run_stream(spark: SparkSession, source_dir: str, schema, out_dir: str, delay: str = DELAY,
+               threshold: float = DEFECT_ALERT_THRESHOLD, max_files_per_trigger: int | None = None) -> None:
+    """X1 + X3 over every file of joined readings now in ``source_dir``
+    (availableNow), then stop; the next run continues."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    windows = hourly_windows(reader.parquet(source_dir), delay)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
-        alerts_of(batch, threshold).write.mode("overwrite").parquet(f"{alert_dir}/batch={batch_id}")
-
-    q = (windows.writeStream.outputMode("append").foreachBatch(sink)
+    q = (reader.parquet(source_dir).writeStream
+         .foreachBatch(lambda df, k: absorb(spark, df, k, out_dir, delay, threshold))
          .option("checkpointLocation", f"{out_dir}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def run_joined_stream(spark: SparkSession, cleaned_dir: str, cleaned_schema, quality: DataFrame,
-                      out_dir: str, alert_dir: str, delay: str = "2 hours",
-                      threshold: float = DEFECT_ALERT_THRESHOLD) -> None:
-    """X1 end to end: cleaned readings (from ``cleaning.run_clean_stream``)
-    stream into a stream-static LEFT join with the standardised inspections
-    (the same null-safe, salted join as the batch job), then into the
-    hourly windows and the alert sink."""
-    stream = spark.readStream.schema(cleaned_schema).parquet(cleaned_dir)
-    joined = join_sensor_quality(stream, quality, check_empty=False)
-    cols = ["timestamp", *KEYS, *SENSORS, STATUS_COL]
-    windows = hourly_windows(joined.select(*cols), delay)
+def run_raw_stream(spark: SparkSession, source_dir: str, schema, quality: DataFrame, cleaned_dir: str,
+                   out_dir: str, delay: str = DELAY, threshold: float = DEFECT_ALERT_THRESHOLD,
+                   disorder: str = "fail") -> None:
+    """X1 end to end in one streaming query: raw readings are cleaned (fill and
+    ids carried), joined with the standardised inspections by the batch job's
+    join, and absorbed -- one batch id from the raw rows to the windows."""
+    from . import cleaning
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
-        alerts_of(batch, threshold).write.mode("overwrite").parquet(f"{alert_dir}/batch={batch_id}")
+    def windows(cleaned: DataFrame, batch_id: int) -> None:
+        absorb(spark, join_sensor_quality(cleaned, quality, check_empty=False), batch_id, out_dir, delay, threshold)
 
-    q = (windows.writeStream.outputMode("append").foreachBatch(sink)
-         .option("checkpointLocation", f"{out_dir}/_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    cleaning.run_clean_stream(spark, source_dir, schema, cleaned_dir, disorder=disorder, then=windows)
+
+
+def read_windows(spark: SparkSession, out_dir: str, delay: str = DELAY) -> DataFrame | None:
+    """Every window with ``state`` 'closed' or 'open'; None before the first batch."""
+    stats = parquet_if_any(spark, f"{out_dir}/stats")
+    if stats is None:
+        return None
+    closed = _closed(F.col("hour"), _mark(spark, out_dir), delay)
+    return merge_stats(stats.drop("batch")).withColumn("state", F.when(closed, "closed").otherwise("open"))
 
 
-def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path).drop("batch")
-    except Exception as e:  # noqa: BLE001 - an empty sink has no files yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
-
-
-# --- X2 ----------------------------------------------------------------
-
-def incremental_append(target: DataFrame, new: DataFrame,
-                       keys: tuple[str, ...] = ("timestamp", "machine_id")) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``target`` (NULL matches NULL)."""
-    t = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__t_{k}"))
-        cond = c if cond is None else cond & c
-    return new.join(t, cond, "left_anti")
-
-
-def refresh_summary(old_summary: DataFrame, target: DataFrame, appended: DataFrame) -> DataFrame:
-    """Summary after an append: untouched groups kept, touched ones recomputed
-    from the whole target (old + appended rows) restricted to those groups."""
-    touched = (appended.where(F.col("timestamp").isNotNull())
-               .select(hour_bucket(F.col("timestamp")).alias("hour"), *KEYS).distinct())
-    combined = target.unionByName(appended)
-    in_touched = combined.withColumn("__h", hour_bucket(F.col("timestamp"))).join(
-        touched.withColumnRenamed("hour", "__h"), ["__h", *KEYS], "left_semi").drop("__h")
-    recomputed = hourly_summary(in_touched)
-    kept = old_summary.join(touched, ["hour", *KEYS], "left_anti")
-    return kept.unionByName(recomputed.select(*old_summary.columns))
-
-
-def incremental_load(spark: SparkSession, base: str, new_joined: DataFrame,
-                     keys: tuple[str, ...] = ("timestamp", "machine_id")) -> DataFrame:
-    """X2 on disk: append new joined rows to the day-partitioned ``joined``
-    table and rewrite only the ``hourly_summary`` days they touch.
-
-    * The anti-join also matches on ``day`` (a function of the time key),
-      so dynamic partition pruning reads only the target days that occur
-      in the new rows.
-    * The incoming batch and the rows to append are checkpointed (the job
-      reads and then appends to the same table; upstream work runs once).
-    * The summary days to rewrite are those of the whole incoming batch, so
-      a retry after a failure between append and summary still repairs them.
-    * The summary is written with dynamic partition overwrite: untouched
-      days keep their files.
-    Returns the appended rows (as read back from the checkpoint).
-    Rows without a timestamp are keyed by machine only, like the batch join.
-    """
-    jpath, spath = f"{base.rstrip('/')}/joined", f"{base.rstrip('/')}/hourly_summary"
-    session.ensure_checkpoint_dir(spark)
-    # the incoming batch is materialised once; days, anti-join and append read it
-    new = new_joined.withColumn("day", F.to_date("timestamp")).checkpoint(eager=True)
-    incoming_days = new.where(F.col("day").isNotNull()).select("day").distinct()
-    try:
-        target = spark.read.parquet(jpath)
-    except Exception as e:  # noqa: BLE001 - first load: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        target = None
-    if target is not None:
-        t = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col("day").alias("__t_day"))
-        cond = F.col("day").eqNullSafe(F.col("__t_day"))
-        for k in keys:
-            cond = cond & F.col(k).eqNullSafe(F.col(f"__t_{k}"))
-        new = new.join(t, cond, "left_anti")
-    appended = new.checkpoint(eager=True)
-    appended.write.mode("append").partitionBy("day").parquet(jpath)
-
-    # days of the whole incoming batch, not only of the rows appended now: a
-    # retry after a failure between the append and the summary write appends
-    # nothing, yet still rewrites those days
-    touched = incoming_days
-    days = spark.read.parquet(jpath).join(touched, "day", "left_semi")  # pruned to touched days
-    summary = hourly_summary(days.drop("day")).withColumn("day", F.to_date("hour"))
-    (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").parquet(spath))
-    return appended
+def read_late(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """Rows that came after their window had closed, with the batch they came in."""
+    return parquet_if_any(spark, f"{out_dir}/late")
+
+
+def read_alerts(spark: SparkSession, out_dir: str, delay: str = DELAY,
+                threshold: float = DEFECT_ALERT_THRESHOLD) -> DataFrame | None:
+    """Standing alerts: the last word of the alert sink on each closed window,
+    and the open windows that are over the threshold now."""
+    windows = read_windows(spark, out_dir, delay)
+    if windows is None:
+        return None
+    groups = _groups(windows.columns)
+    sink = spark.read.parquet(f"{out_dir}/alerts")
+    values = ["defect_rate", "defect_count", "total_checks", "active"]
+    last = sink.groupBy("hour", *groups).agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    closed = last.where("last.active").select("hour", *groups, *[F.col(f"last.{v}").alias(v) for v in values[:-1]])
+    return closed.unionByName(alerts_of(windows.where("state = 'open'"), threshold))
 
 
 # --- registered queries ------------------------------------------------
 
+def deliveries(df: DataFrame, order: str, parts: int = 3) -> list[DataFrame]:
+    """``df`` cut into consecutive deliveries of about equal row counts."""
+    cuts = df.selectExpr(f"percentile_approx({order}, array({','.join(str(k / parts) for k in range(1, parts))})) c") \
+             .first()["c"] or []
+    edges = [None, *cuts, None]
+    out = []
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = df if lo is None else df.where(F.col(order) > F.lit(lo))
+        out.append(part if hi is None else part.where(F.col(order) <= F.lit(hi)))
+    return out
+
+
 def _register():
     from ..plans import pipeline
     from ..plans.catalog import register
     from ..plans.oracle import P, summary_rounded
     from ..plans.reports import round_doubles
+    from ..sources import fixtures
 
-    def staged_stream(spark, sf_dir):
+    def streamed(spark, sf_dir) -> str:
+        """Joined readings in three deliveries, one micro-batch each."""
         p = pipeline.from_sf_dir(spark, sf_dir)
         base = session.scratch_path(spark, f"shopfloor-stream-{uuid.uuid4().hex}")
-        src = f"{base}/source"
-        rows = p.joined.select("timestamp", *KEYS, *SENSORS, STATUS_COL)
-        rows.write.parquet(src)
-        out, alerts = f"{base}/windows", f"{base}/alerts"
-        run_stream(spark, src, rows.schema, out, alerts)
-        return out, alerts, hourly_windows(spark.createDataFrame([], rows.schema)).schema
-
-    closed = ("WHERE hour + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM joined "
-              "WHERE machine_id IS NOT NULL AND line_id IS NOT NULL) - INTERVAL 2 HOUR")
+        for part in deliveries(p.joined, "row_no"):
+            part.write.mode("append").parquet(f"{base}/source")
+            run_stream(spark, f"{base}/source", p.joined.schema, f"{base}/windows")
+        return f"{base}/windows"
 
-    @register("stream_hourly_summary", f"SELECT {summary_rounded()} FROM summary {closed}")
+    @register("stream_hourly_summary", f"SELECT {summary_rounded()} FROM summary")
     def q_stream_hourly_summary(spark, sf_dir):
-        out, _, schema = staged_stream(spark, sf_dir)
-        return round_doubles(read_sink(spark, out, schema))
+        return round_doubles(read_windows(spark, streamed(spark, sf_dir)).drop("state"))
 
-    @register("stream_pipeline_summary", f"SELECT {summary_rounded()} FROM summary {closed}")
+    @register("stream_pipeline_summary", f"SELECT {summary_rounded()} FROM summary")
     def q_stream_pipeline_summary(spark, sf_dir):
-        """Raw sensor deliveries -> streaming clean (fill and ids carried) ->
-        stream-static join with the inspections -> watermarked hour windows."""
-        from . import cleaning
-        from ..sources import fixtures
+        """Raw sensor deliveries -> streaming clean -> stream-static join with
+        the inspections -> windows, one micro-batch per delivery."""
         p = pipeline.from_sf_dir(spark, sf_dir)
         raw = fixtures.sensor_raw(spark, sf_dir)
         base = session.scratch_path(spark, f"shopfloor-stream-pipe-{uuid.uuid4().hex}")
-        src, cleaned = f"{base}/source", f"{base}/cleaned"
-        lo, hi = raw.agg(F.min("row_no"), F.max("row_no")).first()
-        step = (hi - lo) // 3 + 1
-        for k in range(3):
-            raw.where((F.col("row_no") >= lo + k * step) & (F.col("row_no") < lo + (k + 1) * step)) \
-               .write.mode("append").parquet(src)
-            cleaning.run_clean_stream(spark, src, raw.schema, cleaned)
-        cleaned_schema = spark.read.parquet(cleaned).schema
-        out, alerts = f"{base}/windows", f"{base}/alerts"
-        run_joined_stream(spark, cleaned, cleaned_schema, p.quality_std, out, alerts)
-        schema = hourly_windows(spark.createDataFrame([], p.joined.select(
-            "timestamp", *KEYS, *SENSORS, STATUS_COL).schema)).schema
-        return round_doubles(read_sink(spark, out, schema))
+        for part in deliveries(raw, "row_no"):
+            part.write.mode("append").parquet(f"{base}/source")
+            run_raw_stream(spark, f"{base}/source", raw.schema, p.quality_std, f"{base}/cleaned", f"{base}/windows")
+        return round_doubles(read_windows(spark, f"{base}/windows").drop("state"))
 
     @register("defect_alerts", f"""
 SELECT hour, machine_id, line_id, round(defect_rate, {P}) AS defect_rate, defect_count, total_checks
-FROM summary {closed} AND defect_rate > 5.0""")
+FROM summary WHERE defect_rate > 5.0""")
     def q_defect_alerts(spark, sf_dir):
-        _, alerts, schema = staged_stream(spark, sf_dir)
-        a_schema = alerts_of(spark.createDataFrame([], schema)).schema
-        return round_doubles(read_sink(spark, alerts, a_schema))
-
-    @register("incremental_load", f"SELECT {summary_rounded()} FROM summary")
-    def q_incremental_load(spark, sf_dir):
-        """Two overlapping loads into day-partitioned tables; the summary read
-        back equals the one-shot summary."""
-        joined = pipeline.from_sf_dir(spark, sf_dir).joined
-        base = session.scratch_path(spark, f"shopfloor-incremental-{uuid.uuid4().hex}")
-        incremental_load(spark, base, joined.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz")))
-        incremental_load(spark, base, joined.where((F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp_ntz"))
-                                                   | F.col("timestamp").isNull()))
-        return round_doubles(spark.read.parquet(f"{base}/hourly_summary").drop("day"))
-
-    @register("incremental_append", f"SELECT {summary_rounded()} FROM summary")
-    def q_incremental_append(spark, sf_dir):
-        joined = pipeline.from_sf_dir(spark, sf_dir).joined
-        first = joined.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"))
-        second = joined.where((F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp_ntz"))
-                              | F.col("timestamp").isNull())
-        summary1 = hourly_summary(first)
-        appended = incremental_append(first, second)
-        return round_doubles(refresh_summary(summary1, first, appended))
+        return round_doubles(read_alerts(spark, streamed(spark, sf_dir)))
 
 
 _register()

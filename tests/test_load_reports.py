@@ -37,7 +37,7 @@ def test_checks_mapping_swallows_second_time_column():
 def test_publish_and_read_back(spark, tables):
     base = tempfile.mkdtemp(prefix="sf-pub-")
     run = load.publish_tables(spark, {"sensor_readings": tables.readings, "quality_checks": tables.checks,
-                                      "hourly_summary": tables.summary}, base, partition_hours=True)
+                                      "hourly_summary": tables.summary}, base, partition_days=True)
     assert load.current_run(spark, base) == run
     back = load.read_published(spark, base, "hourly_summary")
     assert sorted(back.columns) == sorted(tables.summary.columns)

@@ -1,9 +1,11 @@
 """Streaming cleaner (fill carried across micro-batches), windows, incremental append."""
 
+import datetime as dt
 import glob
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001, rows
@@ -11,7 +13,7 @@ from shopfloor.operators.summary import hourly_summary
 from shopfloor.plans import pipeline
 from shopfloor.plans.reports import round_doubles
 from shopfloor.sources import fixtures
-from shopfloor.streaming import cleaning, hourly
+from shopfloor.streaming import cleaning, hourly, incremental
 
 
 def test_stream_clean_equals_batch_across_batches(spark):
@@ -27,82 +29,168 @@ def test_stream_clean_equals_batch_across_batches(spark):
     assert rows(got.select(*want.columns)) == rows(want)
 
 
-def test_windows_emit_only_closed_hours(spark):
+def test_out_of_order_delivery_is_refused_or_set_aside(spark):
+    raw = fixtures.sensor_raw(spark, SF0001)
+    base = tempfile.mkdtemp(prefix="sf-order-")
+    raw.where("row_no >= 10 and row_no < 500").write.parquet(f"{base}/first")
+    raw.where("row_no < 10 or row_no >= 500").write.parquet(f"{base}/second")
+    first, second = (spark.read.parquet(f"{base}/{k}") for k in ("first", "second"))
+    cleaning.clean_batch(spark, first, 0, f"{base}/state", f"{base}/out")
+    with pytest.raises(RuntimeError, match="at or before position 499"):
+        cleaning.clean_batch(spark, second, 1, f"{base}/state", f"{base}/out")
+    assert not os.path.exists(f"{base}/out/batch=1")                     # nothing was written
+    cleaning.clean_batch(spark, second, 1, f"{base}/state", f"{base}/out", disorder="aside")
+    assert spark.read.parquet(f"{base}/state/aside/batch=1").count() == 10
+    out = spark.read.parquet(f"{base}/out")
+    assert out.count() == 990 and out.select("record_id").distinct().count() == 990
+    with pytest.raises(RuntimeError, match="no carry"):                  # lost state is not a fresh start
+        cleaning.clean_batch(spark, first, 3, f"{base}/elsewhere", f"{base}/out2")
+
+
+def _joined(spark):
     p = pipeline.from_sf_dir(spark, SF0001)
-    base = tempfile.mkdtemp(prefix="sf-win-")
-    cols = ["timestamp", "machine_id", "line_id", "temperature", "pressure", "vibration", "power",
-            "quality_status"]
-    p.joined.select(*cols).write.parquet(f"{base}/src")
-    hourly.run_stream(spark, f"{base}/src", p.joined.select(*cols).schema, f"{base}/w", f"{base}/a")
-    emitted = spark.read.parquet(f"{base}/w").drop("batch")
-    batch = p.hourly
-    latest = p.joined.where("machine_id IS NOT NULL AND line_id IS NOT NULL").agg(F.max("timestamp")).first()[0]
-    closed = batch.where(F.col("hour") + F.expr("INTERVAL 3 HOURS") <= F.lit(latest))
-    assert emitted.count() == closed.count()
-    a = spark.read.parquet(f"{base}/a").drop("batch")
-    assert a.where("defect_rate <= 5").count() == 0
-
-
-def test_incremental_append_equals_full(spark):
-    joined = pipeline.from_sf_dir(spark, SF0001).joined
-    first = joined.where(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    second = joined.where((F.col("timestamp") >= F.lit("2024-01-12").cast("timestamp_ntz"))
-                          | F.col("timestamp").isNull())
-    appended = hourly.incremental_append(first, second)
-    assert appended.count() == joined.count() - first.count()
-    refreshed = hourly.refresh_summary(hourly_summary(first), first, appended)
-    full = hourly_summary(joined).select(*refreshed.columns)
-    assert rows(round_doubles(refreshed)) == rows(round_doubles(full))
+    return p, p.joined.select("row_no", "timestamp", "machine_id", "line_id", "temperature", "pressure", "vibration",
+                              "power", "quality_status")
 
 
-def test_incremental_load_on_disk(spark):
-    joined = pipeline.from_sf_dir(spark, SF0001).joined
-    base = tempfile.mkdtemp(prefix="sf-inc-")
-    hourly.incremental_load(spark, base, joined.where(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp_ntz")))
-    day1 = sorted(os.listdir(f"{base}/hourly_summary"))
-    stamp = {d: os.path.getmtime(f"{base}/hourly_summary/{d}") for d in day1 if d.startswith("day=2024-01-0")}
-    second = joined.where((F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz")) | F.col("timestamp").isNull())
-    hourly.incremental_load(spark, base, second)
-    # days before the overlap were not rewritten
-    assert all(os.path.getmtime(f"{base}/hourly_summary/{d}") == m for d, m in stamp.items())
-    got = spark.read.parquet(f"{base}/hourly_summary").drop("day")
-    full = hourly_summary(joined)
-    assert rows(round_doubles(got.select(*full.columns))) == rows(round_doubles(full))
-    assert spark.read.parquet(f"{base}/joined").count() == joined.count()
-    # the recompute reads only touched days
-    touched = spark.createDataFrame([("2024-01-15",)], "d string").select(F.to_date("d").alias("day"))
-    plan = spark.read.parquet(f"{base}/joined").join(touched, "day", "left_semi")._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull(day" in plan
+def test_retried_batch_counts_once(spark):
+    p, joined = _joined(spark)
+    base = tempfile.mkdtemp(prefix="sf-retry-batch-")
+    parts = hourly.deliveries(joined, "row_no")
+    for k, part in enumerate(parts):
+        hourly.absorb(spark, part, k, base)
+    before = rows(round_doubles(hourly.read_windows(spark, base)))
+    alerts = rows(round_doubles(hourly.read_alerts(spark, base)))
+    hourly.absorb(spark, parts[2], 2, base)                              # the retry
+    assert rows(round_doubles(hourly.read_windows(spark, base))) == before
+    assert rows(round_doubles(hourly.read_alerts(spark, base))) == alerts
+    want = round_doubles(p.hourly)
+    assert rows(round_doubles(hourly.read_windows(spark, base)).select(*want.columns)) == rows(want)
 
 
-def test_incremental_load_retry_repairs_summary(spark):
-    joined = pipeline.from_sf_dir(spark, SF0001).joined
-    base = tempfile.mkdtemp(prefix="sf-retry-")
-    first = joined.where(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    second = joined.where((F.col("timestamp") >= F.lit("2024-01-20").cast("timestamp_ntz"))
-                          | F.col("timestamp").isNull())
-    hourly.incremental_load(spark, base, first)
-    # a crash after the append of the second batch, before its summary write
-    second.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy("day") \
-        .parquet(f"{base}/joined")
-    appended = hourly.incremental_load(spark, base, second)      # the retry
-    assert appended.count() == 0
-    got = spark.read.parquet(f"{base}/hourly_summary").drop("day")
-    full = hourly_summary(joined)
-    assert rows(round_doubles(got.select(*full.columns))) == rows(round_doubles(full))
+def test_late_rows_and_open_windows_are_delivered(spark):
+    p, joined = _joined(spark)
+    base = tempfile.mkdtemp(prefix="sf-late-")
+    parts = hourly.deliveries(joined, "row_no")
+    for k, part in enumerate([parts[0], parts[2], parts[1]]):            # the middle comes last
+        hourly.absorb(spark, part, k, base)
+    late = hourly.read_late(spark, base)
+    assert late.where("batch = 2").count() > 0 and late.where("batch < 2").count() == 0
+    got = hourly.read_windows(spark, base)
+    latest = joined.where("machine_id IS NOT NULL AND line_id IS NOT NULL").agg(F.max("timestamp")).first()[0]
+    closed = F.col("hour") + F.expr("INTERVAL 3 HOURS") <= F.lit(latest)
+    assert got.where(closed != (F.col("state") == "closed")).count() == 0
+    assert got.where("state = 'open'").count() > 0
+    want = round_doubles(p.hourly)
+    assert rows(round_doubles(got).select(*want.columns)) == rows(want)  # late rows are in
+    alerts = hourly.read_alerts(spark, base)
+    assert rows(round_doubles(alerts)) == rows(round_doubles(hourly.alerts_of(p.hourly)))
+
 
+def test_watermarked_plan_emits_the_closed_windows(spark):
+    p, joined = _joined(spark)
+    base = tempfile.mkdtemp(prefix="sf-win-")
+    joined.write.parquet(f"{base}/src")
+    plan = hourly.hourly_windows(spark.readStream.schema(joined.schema).parquet(f"{base}/src"))
+    q = (plan.writeStream.outputMode("append").format("parquet").option("path", f"{base}/w")
+         .option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    latest = joined.where("machine_id IS NOT NULL AND line_id IS NOT NULL").agg(F.max("timestamp")).first()[0]
+    want = round_doubles(p.hourly.where(F.col("hour") + F.expr("INTERVAL 3 HOURS") <= F.lit(latest)))
+    got = round_doubles(spark.read.parquet(f"{base}/w"))
+    assert rows(got.select(*want.columns)) == rows(want)
 
-def test_stream_pipeline_end_to_end(spark):
+
+def test_raw_stream_retry_keeps_windows(spark):
     p = pipeline.from_sf_dir(spark, SF0001)
     raw = fixtures.sensor_raw(spark, SF0001)
     base = tempfile.mkdtemp(prefix="sf-pipe-")
-    for lo, hi in ((0, 300), (300, 1000)):
-        raw.where((F.col("row_no") >= lo) & (F.col("row_no") < hi)).write.mode("append").parquet(f"{base}/src")
-        cleaning.run_clean_stream(spark, f"{base}/src", raw.schema, f"{base}/clean")
-    hourly.run_joined_stream(spark, f"{base}/clean", spark.read.parquet(f"{base}/clean").schema,
-                             p.quality_std, f"{base}/w", f"{base}/a")
-    got = round_doubles(spark.read.parquet(f"{base}/w").drop("batch"))
-    latest = p.joined.where("machine_id IS NOT NULL AND line_id IS NOT NULL").agg(F.max("timestamp")).first()[0]
-    want = round_doubles(p.hourly.where(F.col("hour") + F.expr("INTERVAL 3 HOURS") <= F.lit(latest)))
+    for part in hourly.deliveries(raw, "row_no", 2):
+        part.write.mode("append").parquet(f"{base}/src")
+        hourly.run_raw_stream(spark, f"{base}/src", raw.schema, p.quality_std, f"{base}/clean", f"{base}/w")
+    # the last batch again, as after a crash before its commit
+    out = cleaning.clean_batch(spark, hourly.deliveries(raw, "row_no", 2)[1], 1, f"{base}/clean/_state", f"{base}/clean")
+    hourly.absorb(spark, hourly.join_sensor_quality(spark.read.parquet(out), p.quality_std, check_empty=False), 1,
+                  f"{base}/w")
+    got = round_doubles(hourly.read_windows(spark, f"{base}/w"))
+    want = round_doubles(p.hourly)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+# --- X2 ----------------------------------------------------------------
+
+SCHEMA = ("record_id string, timestamp timestamp_ntz, machine_id string, line_id string, temperature double, "
+          "quality_status string")
+
+
+def _readings(spark, *items):
+    return spark.createDataFrame([(i, t and dt.datetime.fromisoformat(t), m, "l", v, s) for i, t, m, v, s in items],
+                                 SCHEMA)
+
+
+def _loads(spark):
+    first = _readings(spark, ("R1", "2024-01-01T10:00", "a", 1.0, "not_checked"),
+                      ("R2", "2024-01-01T10:00", "a", 2.0, "pass"),          # same time and machine
+                      ("R3", None, "a", 3.0, "not_checked"), ("R4", None, "a", 4.0, "not_checked"),
+                      ("R5", "2024-01-03T10:00", "b", 5.0, "pass"))
+    second = _readings(spark, ("R1", "2024-01-01T10:00", "a", 1.0, "fail"),  # a late result, twice
+                       ("R1", "2024-01-01T10:00", "a", 1.0, "pass"),
+                       ("R4", None, "a", 4.5, "not_checked"), ("R6", None, "a", 6.0, "not_checked"),
+                       ("R7", "2024-01-01T10:30", "a", 7.0, "pass"),
+                       ("R5", "2024-01-04T10:00", "b", 5.0, "pass"))         # its time was corrected
+    return first, second
+
+
+def _want(spark):
+    first, second = _loads(spark)
+    return first.where("record_id in ('R2', 'R3')").unionByName(second)
+
+
+def test_incremental_append_loses_nothing(spark):
+    first, second = _loads(spark)
+    assert rows(hourly_append(first, second)) == rows(_want(spark))
+    assert rows(hourly_append(_want(spark), second)) == rows(_want(spark))     # again: no change
+    got = incremental.refresh_summary(hourly_summary(first), first, second)
+    assert rows(round_doubles(got)) == rows(round_doubles(hourly_summary(_want(spark)).select(*got.columns)))
+    nameless = _readings(spark, (None, None, "a", 1.0, "pass"))
+    with pytest.raises(Exception, match="record_id holds NULL"):
+        hourly_append(first, nameless).collect()
+
+
+def hourly_append(target, new):
+    return incremental.incremental_append(target, new).select(*target.columns)
+
+
+def test_incremental_load_on_disk(spark):
+    first, second = _loads(spark)
+    base = tempfile.mkdtemp(prefix="sf-inc-")
+    for load in (first, second, second):                                       # a repeated load changes nothing
+        incremental.incremental_load(spark, base, load)
+    want = _want(spark)
+    assert rows(spark.read.parquet(f"{base}/joined").select(*want.columns)) == rows(want)
+    summary = hourly_summary(want)
+    got = spark.read.parquet(f"{base}/hourly_summary").select(*summary.columns)
+    assert rows(round_doubles(got)) == rows(round_doubles(summary))
+    assert "day=2024-01-03" not in os.listdir(f"{base}/joined") + os.listdir(f"{base}/hourly_summary")
+
+
+def test_incremental_load_leaves_other_days_alone_and_finishes_a_crashed_one(spark):
+    joined = pipeline.from_sf_dir(spark, SF0001).joined
+    base = tempfile.mkdtemp(prefix="sf-crash-")
+    first, rest = joined.where("row_no < 700"), joined.where("row_no >= 600 and timestamp is not null")
+    incremental.incremental_load(spark, base, first)
+    early = {d: os.path.getmtime(f"{base}/hourly_summary/{d}") for d in os.listdir(f"{base}/hourly_summary")
+             if d.startswith("day=2024-01-0")}
+    # a crash after the table was changed and before the summary: the note stays
+    days = rest.select(F.to_date("timestamp").alias("day")).distinct()
+    days.write.parquet(f"{base}/_pending/load=crashed")
+    more = rest.withColumn("day", F.to_date("timestamp"))
+    more.join(first.select("record_id"), "record_id", "left_anti").select(*more.columns) \
+        .write.mode("append").partitionBy("day").parquet(f"{base}/joined")
+    incremental.incremental_load(spark, base, joined.where("row_no >= 990"))
+    assert early and all(os.path.getmtime(f"{base}/hourly_summary/{d}") == m for d, m in early.items())
+    stored = spark.read.parquet(f"{base}/joined").drop("day")
+    full = hourly_summary(stored)
+    got = spark.read.parquet(f"{base}/hourly_summary")
+    assert rows(round_doubles(got.select(*full.columns))) == rows(round_doubles(full))
+    assert not os.path.exists(f"{base}/_pending")
