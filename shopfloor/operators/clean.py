@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from ..functions import roles
 from ..functions.scalars import in_range, null_error_codes
 from ..schemas import FLAG_ESTIMATED, FLAG_GOOD, FLAG_INVALID, SENSOR_RANGES
-from .ordered import DEFAULT_BUCKET_WIDTH, ordered_pass
+from .ordered import ROWS_PER_BUCKET, ordered_pass
 
 
 def _as_double(types: dict, name: str) -> Column:
@@ -39,7 +39,7 @@ def _as_double(types: dict, name: str) -> Column:
 
 
 def clean_sensor_data(df: DataFrame, order="row_no", position_col: str | None = None,
-                      method: str = "bucketed", width: int = DEFAULT_BUCKET_WIDTH,
+                      method: str = "bucketed", width: int = ROWS_PER_BUCKET,
                       flag_col: str = "data_quality", carry_in: dict[int, Column] | None = None,
                       offset_in: Column | None = None, keep_fills: bool = False) -> DataFrame:
     """B6.  ``carry_in`` (step index -> last cleaned value before these rows)

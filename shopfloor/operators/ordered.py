@@ -2,56 +2,58 @@
 
 A plain ``last(x, ignorenulls) OVER (ORDER BY row_no)`` has no partition
 key, so Spark moves every row into one task (``Exchange SinglePartition``).
-Here rows are grouped into *buckets* of the order (fixed-width ranges of a
-numeric ``row_no``, or file splits for a CSV scan):
+Here rows are grouped into *buckets* of the order: ranges between quantiles of
+a numeric position, so that buckets hold about equal rows however sparse,
+clustered or far apart the positions are; or the file splits of a CSV scan.
 
 1. one shuffle by bucket; inside each bucket a partitioned window gives the
    local fill and the local row number;
 2. a partial (map-side) aggregate gives per bucket the last non-null value
    of every filled expression and the row count;
-3. a scan over that *bucket table* (one row per bucket) turns them into the
-   carry-in value and the position offset; the scan is itself two-level
-   (buckets -> super-buckets), so only the super-bucket table -- one row per
-   2^32 rows at the default width -- passes through a single task;
+3. a scan over that *bucket table* (one row per bucket, at most MAX_BUCKETS of
+   them for a numeric position; for (file, split) buckets one scan per file
+   and one over the files) turns them into the carry-in value and the position
+   offset;
 4. the carry table is joined back on the bucket key.  The big side is
    already hash-partitioned by bucket after step 1, so only the bucket table
    moves (or AQE broadcasts it once it has measured its size).
 
-Each bucket holds at most ``width`` rows of a unique ``row_no``, so no task
-grows with skew in any data value.
+A task of step 1 holds the rows of whole buckets: about ``rows_per_bucket`` each
+while the input has fewer than MAX_BUCKETS times that, then about 1/MAX_BUCKETS
+of the rows (quantiles are approximate, to within a tenth of a bucket).  The
+quantiles cost one job that reads the position column.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_WIDTH = 1 << 20   # rows per bucket for a dense position
-MAX_BUCKETS = 1 << 20            # bound on the bucket table (one row per bucket)
-SUPER_SPAN = 1 << 12             # buckets per super-bucket in the carry scan
+ROWS_PER_BUCKET = 1 << 20
+MIN_BUCKETS = 16                 # even small inputs are spread (and take the same path as large ones)
+GRID, MAX_BUCKETS = 1 << 10, 1 << 14    # quantiles asked for at first, and at most
+ACCURACY_PER_BUCKET = 20         # rank error of a quantile: 1/20 of a bucket
 
 
 @dataclass(frozen=True)
 class RowOrder:
     """How rows are ordered: buckets (compared left to right) then a sequence.
 
-    ``numeric(col, width)`` buckets a unique numeric position by range;
+    ``numeric(col)`` buckets a unique numeric position by quantiles;
     ``explicit(bucket_cols, seq)`` uses columns that already name the bucket,
     e.g. a file and split start for a scan.
     """
 
     seq: str
     bucket_exprs: tuple = field(default=())
-    bucket_names: tuple = field(default=())
+    bucket_names: tuple = field(default=("__bucket",))
 
     @staticmethod
-    def numeric(col: str, width: int = DEFAULT_BUCKET_WIDTH) -> "RowOrder":
-        if width < 1:
-            raise ValueError("bucket width must be positive")
-        expr = F.floor(F.col(col) / F.lit(int(width))).cast("long")
-        return RowOrder(seq=col, bucket_exprs=(expr,), bucket_names=("__bucket",))
+    def numeric(col: str) -> "RowOrder":
+        return RowOrder(seq=col)
 
     @staticmethod
     def explicit(bucket_cols: list[str], seq: str) -> "RowOrder":
@@ -59,38 +61,50 @@ class RowOrder:
                         bucket_names=tuple(f"__bucket{i}" for i in range(len(bucket_cols))))
 
 
-def auto_width(df: DataFrame, col: str, rows_per_bucket: int = DEFAULT_BUCKET_WIDTH,
-               max_buckets: int = MAX_BUCKETS) -> int:
-    """Bucket width for a unique numeric position that may be sparse.
+def _quantiles(df: DataFrame, col: str, parts: int) -> tuple[int, list]:
+    """(rows, values at k/parts) of a column."""
+    at = F.percentile_approx(col, [k / parts for k in range(1, parts)], ACCURACY_PER_BUCKET * parts)
+    row = df.agg(F.count(col).alias("n"), at.alias("at")).first()
+    return row["n"], row["at"] or []
 
-    One aggregate (min, max, count) over the position column.  The width
-    gives about ``rows_per_bucket`` rows per bucket on average and never
-    more than ``max_buckets`` buckets, so the bucket table stays bounded
-    whatever the gaps between positions.
-    """
-    lo, hi, n = df.agg(F.min(col), F.max(col), F.count(col)).first()
-    if not n:
-        return rows_per_bucket
-    span = int(hi) - int(lo) + 1
-    by_density = -(-rows_per_bucket * span // n)   # ceil
-    by_count = -(-span // max_buckets)
-    return max(1, by_density, by_count)
-
-
-def as_order(order: "RowOrder | str", width: "int | str" = DEFAULT_BUCKET_WIDTH,
-             df: DataFrame | None = None) -> RowOrder:
-    if isinstance(order, RowOrder):
-        return order
-    if width == "auto":
-        if df is None:
-            raise ValueError("width='auto' needs the frame to measure")
-        width = auto_width(df, order)
-    return RowOrder.numeric(order, int(width))
+
+def bucket_cuts(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
+    """Increasing inner edges of the buckets of a numeric position."""
+    if rows_per_bucket < 1:
+        raise ValueError("rows per bucket must be positive")
+    parts = GRID
+    n, at = _quantiles(df, col, parts)
+    want = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n // rows_per_bucket)))
+    if want > parts:
+        parts = want
+        _, at = _quantiles(df, col, parts)
+    step = max(1, parts // want)
+    return sorted({float(v) for v in at[step - 1::step]})
+
+
+def _bucketed_rows(df: DataFrame, order: RowOrder, rows_per_bucket: int) -> DataFrame:
+    """``df`` with the order's bucket columns."""
+    if order.bucket_exprs:
+        return df.select("*", *[e.alias(n) for e, n in zip(order.bucket_exprs, order.bucket_names)])
+    (name,) = order.bucket_names
+    cuts = bucket_cuts(df, order.seq, rows_per_bucket)
+    if not cuts:
+        return df.select("*", F.lit(0).cast("long").alias(name))
+    # a binary search in the JVM; only its monotony matters, so positions that
+    # doubles cannot tell apart share a bucket and stay in order inside it
+    edges = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__at", outputCol="__slot",
+                       handleInvalid="keep")
+    found = edges.transform(df.withColumn("__at", F.col(order.seq).cast("double")))
+    return found.withColumn(name, F.col("__slot").cast("long")).drop("__at", "__slot")
+
+
+def as_order(order: "RowOrder | str") -> RowOrder:
+    return order if isinstance(order, RowOrder) else RowOrder.numeric(order)
 
 
 def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column] | None = None,
                  position_col: str | None = None, method: str = "bucketed",
-                 width: "int | str" = DEFAULT_BUCKET_WIDTH, carry_in: dict[str, Column] | None = None,
+                 width: int = ROWS_PER_BUCKET, carry_in: dict[str, Column] | None = None,
                  offset_in: Column | None = None) -> DataFrame:
     """Add forward-filled columns and/or a zero-based dense position.
 
@@ -98,8 +112,8 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
     non-null value (in row order, current row included) it receives; rows
     before the first non-null stay null.  ``position_col`` receives
     0, 1, 2, ... in row order.  ``method='window'`` is the plain one-task
-    form, kept to check the bucketed one.  ``width='auto'`` sizes the
-    buckets of a numeric position from its range and count (one small job).
+    form, kept to check the bucketed one.  ``width`` is the rows per bucket
+    that a numeric position aims at.
 
     ``carry_in`` (per fill, a scalar column) and ``offset_in`` continue an
     earlier pass: values before this frame's rows, and the number of rows
@@ -109,12 +123,12 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
     fills = dict(fills or {})
     if not fills and position_col is None:
         return df
-    order = as_order(order, width, df)
+    order = as_order(order)
     if method == "window":
         return _single_window(df, order, fills, position_col)
     if method != "bucketed":
         raise ValueError(f"unknown method {method!r}")
-    out = _bucketed(df, order, fills, position_col)
+    out = _bucketed(df, order, fills, position_col, width)
     if carry_in or offset_in is not None:
         new = {name: F.coalesce(F.col(name), carry_in[name]) for name in fills if carry_in and name in carry_in}
         if position_col is not None and offset_in is not None:
@@ -124,17 +138,16 @@ def ordered_pass(df: DataFrame, order: "RowOrder | str", fills: dict[str, Column
 
 
 def _bucketed(df: DataFrame, order: RowOrder, fills: dict[str, Column],
-              position_col: str | None) -> DataFrame:
+              position_col: str | None, rows_per_bucket: int) -> DataFrame:
     bnames = list(order.bucket_names)
     tmp = {name: f"__fill_src_{i}" for i, name in enumerate(fills)}
     # a NULL position has no place in the order: fail the job, never number it
     raw_seq = F.col(order.seq)
     guard = F.assert_true(raw_seq.isNotNull(), F.lit(f"row order column {order.seq!r} holds NULL"))
     seq_type = dict(df.dtypes)[order.seq]
-    staged = df.select(
+    staged = _bucketed_rows(df, order, rows_per_bucket).select(
         "*",
         F.coalesce(guard.cast(seq_type), raw_seq).alias("__seq"),
-        *[expr.alias(n) for expr, n in zip(order.bucket_exprs, bnames)],
         *[expr.alias(tmp[name]) for name, expr in fills.items()],
     )
     seq = F.col("__seq")
@@ -154,9 +167,7 @@ def _bucketed(df: DataFrame, order: RowOrder, fills: dict[str, Column],
     tail_aggs.append(F.count(F.lit(1)).alias("__n"))
     buckets = staged.groupBy(*bnames).agg(*tail_aggs)
 
-    # 3. carry-in per bucket: a scan over the bucket table, itself two-level so
-    #    that only the super-bucket table (one row per SUPER_SPAN buckets)
-    #    passes through a single task
+    # 3. carry-in per bucket: a scan over the bucket table
     carry = _bucket_carry(buckets, bnames, len(fills), position_col is not None)
 
     # 4. join back on the bucket key
@@ -172,21 +183,19 @@ def _bucket_carry(buckets: DataFrame, bnames: list[str], nfills: int, offsets: b
     """Per bucket: the last non-null tail of all earlier buckets, and the
     number of rows before it.
 
-    A scan over the bucket table, in two levels so that no task sees the
-    whole table: buckets are grouped into super-buckets (``SUPER_SPAN``
-    consecutive numeric buckets, or one file for (file, split) buckets); a
-    window partitioned by super-bucket scans inside each one, a window over
-    the super-bucket table (one row per super-bucket) gives what precedes
-    each of them, and the two are combined.
+    Buckets of a numeric position are few (MAX_BUCKETS), so one window scans
+    them.  (file, split) buckets are scanned file by file, and a window over
+    the files (one row each) gives what precedes each of them.
     """
     tails = [f"__tail_{i}" for i in range(nfills)]
-    lead = bnames[0]
-    if len(bnames) == 1 and dict(buckets.dtypes)[lead] in ("bigint", "int"):
-        sup = F.floor(F.col(lead) / F.lit(SUPER_SPAN)).cast("long")
-    else:
-        sup = F.col(lead)
-    keyed = buckets.withColumn("__super", sup)
-
+    if len(bnames) == 1:
+        before = Window.orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
+        cols = [*bnames, *[F.last(t, ignorenulls=True).over(before).alias(f"__carry_{i}") for i, t in enumerate(tails)]]
+        if offsets:
+            cols.append(F.coalesce(F.sum("__n").over(before), F.lit(0)).cast("long").alias("__offset"))
+        return buckets.select(*cols)
+
+    keyed = buckets.withColumn("__super", F.col(bnames[0]))
     w_in = Window.partitionBy("__super").orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
     inner = keyed.select(
         *bnames, "__super",
@@ -213,7 +222,7 @@ def _bucket_carry(buckets: DataFrame, bnames: list[str], nfills: int, offsets: b
 
 def _single_window(df: DataFrame, order: RowOrder, fills: dict[str, Column],
                    position_col: str | None) -> DataFrame:
-    sort = [*order.bucket_exprs, F.col(order.seq)]
+    sort = [*order.bucket_exprs, F.col(order.seq)]      # a numeric position needs no bucket here
     w = Window.orderBy(*sort)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = {name: F.last(expr, ignorenulls=True).over(w_run) for name, expr in fills.items()}

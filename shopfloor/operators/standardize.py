@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import roles
 from ..functions.scalars import parse_event_time, record_id, strip_lower
-from .ordered import DEFAULT_BUCKET_WIDTH, ordered_pass
+from .ordered import ROWS_PER_BUCKET, ordered_pass
 
 POSITION_COL = "__position"
 
@@ -42,7 +42,7 @@ def normalize_identifiers(df: DataFrame) -> DataFrame:
 
 
 def assign_record_ids(df: DataFrame, order="row_no", position_col: str = POSITION_COL,
-                      method: str = "bucketed", width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                      method: str = "bucketed", width: int = ROWS_PER_BUCKET) -> DataFrame:
     """Drop any incoming record_id and number rows 'REC_%08d' from 0
     in row order.  A dense position computed earlier in the same ordered
     pass (column ``position_col``) is reused instead of a second shuffle."""
@@ -54,7 +54,7 @@ def assign_record_ids(df: DataFrame, order="row_no", position_col: str = POSITIO
 
 def standardize_data(df: DataFrame, order="row_no", assign_ids: bool = True,
                      position_col: str = POSITION_COL, method: str = "bucketed",
-                     width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                     width: int = ROWS_PER_BUCKET) -> DataFrame:
     """C1-C5 in the reference's order.  ``order`` names the row-order
     column after name normalisation."""
     out = normalize_column_names(df)

@@ -18,6 +18,7 @@ from ..functions.scalars import hour_bucket, in_range, null_error_codes
 from ..operators import clean, integrate, load, ordered, standardize, summary
 from ..schemas import SENSOR_RANGES
 from ..sources import extract, fixtures
+from ..sources.tables import read_table
 from . import checks, pipeline, reports
 from .oracle import P, summary_rounded, with_pipeline
 from .reports import Tables
@@ -342,6 +343,20 @@ def q_hourly_summary(spark, sf_dir):
     return reports.round_doubles(summary.hourly_summary(_pipe(spark, sf_dir).joined))
 
 
+@register("ordered_sparse_positions", """
+SELECT event_id, position, last_value(v IGNORE NULLS) OVER (ORDER BY spot ROWS UNBOUNDED PRECEDING) AS filled
+FROM (SELECT event_id, spot, v, row_number() OVER (ORDER BY spot) - 1 AS position FROM (
+  SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id ELSE event_id * 8589934592 END AS spot,
+         CASE WHEN event_type <> 'error' THEN value END AS v FROM events) e) n""")
+def q_ordered_sparse_positions(spark, sf_dir):
+    """The ordered pass over positions half dense, half 2^33 apart."""
+    at = F.when(F.col("event_id") % 2 == 0, F.col("event_id")).otherwise(F.col("event_id") * F.lit(1 << 33))
+    rows = read_table(spark, sf_dir, "events").select(
+        "event_id", at.alias("at"), F.when(F.col("event_type") != "error", F.col("value")).alias("v"))
+    return ordered.ordered_pass(rows, "at", {"filled": F.col("v")}, position_col="position") \
+        .select("event_id", "position", "filled")
+
+
 # --- F: load -----------------------------------------------------------
 
 @register("project_sensor_readings", "SELECT * FROM readings")
@@ -441,15 +456,22 @@ def _published(spark, sf_dir) -> Tables:
     return Tables(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
 
 
-@register("check_tables_exist", None)
+@register("check_tables_exist", """
+SELECT t.table_name, t.n IS NOT NULL AS present, CASE WHEN t.n IS NULL THEN 'fail' ELSE 'pass' END AS status
+FROM (SELECT 'sensor_readings' AS table_name, (SELECT count(*) FROM readings) AS n UNION ALL
+      SELECT 'quality_checks', (SELECT count(*) FROM checks) UNION ALL
+      SELECT 'hourly_summary', (SELECT count(*) FROM summary)) t""")
 def q_check_tables_exist(spark, sf_dir):
-    """K1 over published tables (metadata; rows-only check)."""
+    """K1 over published tables."""
     return checks.check_tables_exist(spark, _published(spark, sf_dir))
 
 
-@register("check_columns", None)
+@register("check_columns", """
+SELECT column_name, true AS present, 'pass' AS status
+FROM (SELECT unnest(['record_id', 'timestamp', 'line_id', 'machine_id', 'temperature', 'pressure', 'vibration',
+                     'power', 'data_quality']) AS column_name)""")
 def q_check_columns(spark, sf_dir):
-    """K3 over the published readings table (metadata; rows-only check)."""
+    """K3 over the published readings table."""
     return checks.check_columns(spark, _published(spark, sf_dir))
 
 
@@ -489,9 +511,9 @@ def q_machine_temperature_stats(spark, sf_dir):
 @register("machine_hourly_trend", f"""
 SELECT hour, round(avg_temperature, {P}) AS avg_temperature, round(avg_pressure, {P}) AS avg_pressure,
   round(avg_vibration, {P}) AS avg_vibration, round(defect_rate, {P}) AS defect_rate
-FROM summary WHERE machine_id = lower(trim('machine_01'))""")
+FROM summary WHERE machine_id = lower(trim('Machine_7'))""")
 def q_machine_hourly_trend(spark, sf_dir):
-    return reports.machine_hourly_trend(_tables(spark, sf_dir))
+    return reports.machine_hourly_trend(_tables(spark, sf_dir), "Machine_7")
 
 
 @register("anomalous_readings", """

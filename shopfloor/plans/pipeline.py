@@ -18,7 +18,7 @@ from ..operators.clean import clean_sensor_data
 from ..operators.integrate import DEFAULT_NULL_SALT, STATUS_COL, join_sensor_quality
 from ..operators.load import (project_hourly_summary, project_quality_checks,
                               project_sensor_readings, publish_tables)
-from ..operators.ordered import DEFAULT_BUCKET_WIDTH
+from ..operators.ordered import ROWS_PER_BUCKET
 from ..operators.standardize import POSITION_COL, standardize_data
 from ..operators.summary import hourly_summary
 from ..schemas import CHECKS_TABLE, READINGS_TABLE, SUMMARY_TABLE, TABLE_SCHEMAS
@@ -48,7 +48,7 @@ class Pipeline:
 def build(sensor_raw: DataFrame, quality_raw: DataFrame | None, sensor_order="row_no",
           quality_order="row_no", days_back: int | None = None, as_of=None,
           null_keys: str = "match", null_salt: int = DEFAULT_NULL_SALT,
-          method: str = "bucketed", width: int = DEFAULT_BUCKET_WIDTH,
+          method: str = "bucketed", width: int = ROWS_PER_BUCKET,
           quality_ids: bool = True, check_empty: bool = True,
           dedupe_checks: str = "none") -> Pipeline:
     sensor_x = extract.extract_sensor(sensor_raw, days_back=days_back, as_of=as_of)

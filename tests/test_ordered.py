@@ -69,28 +69,48 @@ def test_fill_matches_pandas_ffill(spark, values, width):
     assert [None if (w != w) else w for w in want] == got
 
 
-def test_auto_width_bounds_buckets_for_sparse_positions(spark):
-    from shopfloor.operators.ordered import auto_width
+SPACED = 1 << 33
+
+
+def _positions(spark, kind):
     raw = fixtures.sensor_raw(spark, SF0001)
-    sparse = raw.withColumn("row_no", F.col("row_no") * F.lit(1_000_003) + F.lit(17))
-    w = auto_width(sparse, "row_no", rows_per_bucket=64, max_buckets=8)
-    span = 999 * 1_000_003 + 1
-    assert -(-span // w) <= 8 and w >= 64 * span // 1000
-    a = ordered_pass(sparse, "row_no", _fills(), position_col="pos", width="auto")
-    b = ordered_pass(sparse, "row_no", _fills(), position_col="pos", method="window")
+    n = F.col("row_no")
+    return raw.withColumn("row_no", {
+        "sparse": n * SPACED,                                                     # far apart
+        "outlier": F.when(n == 999, F.lit((1 << 62) - 1)).otherwise(n),           # dense and one far away
+        "clusters": n + F.floor(n / 100) * SPACED,
+        "negative": (n - 500) * 7,
+        "beyond doubles": n + F.lit(1 << 60),                                     # neighbours that doubles confuse
+    }[kind].cast("long"))
+
+
+@pytest.mark.parametrize("kind", ["sparse", "outlier", "clusters", "negative", "beyond doubles"])
+def test_buckets_are_balanced_whatever_the_positions(spark, kind):
+    from shopfloor.operators.ordered import RowOrder as Order
+    from shopfloor.operators.ordered import _bucketed_rows
+    raw = _positions(spark, kind)
+    a = ordered_pass(raw, "row_no", _fills(), position_col="pos", width=20)
+    b = ordered_pass(raw, "row_no", _fills(), position_col="pos", method="window")
     cols = ("row_no", "pos", *SENSORS)
     assert rows(a, *cols) == rows(b, *cols)
+    if kind != "beyond doubles":
+        sizes = [r[1] for r in _bucketed_rows(raw, Order.numeric("row_no"), 20).groupBy("__bucket").count().collect()]
+        assert len(sizes) >= 45 and max(sizes) <= 2 * 20 + 2
+
+
+def test_small_inputs_take_several_buckets(spark):
+    from shopfloor.operators.ordered import MIN_BUCKETS, bucket_cuts
+    raw = fixtures.sensor_raw(spark, SF0001)
+    assert len(bucket_cuts(raw, "row_no")) >= MIN_BUCKETS - 1
 
 
-@pytest.mark.parametrize("width,span", [(1, 4), (3, 2), (5, 64)])
-def test_two_level_carry_across_super_buckets(spark, monkeypatch, width, span):
+def test_finer_quantiles_where_the_grid_is_too_coarse(spark, monkeypatch):
     from shopfloor.operators import ordered as mod
-    monkeypatch.setattr(mod, "SUPER_SPAN", span)
+    monkeypatch.setattr(mod, "GRID", 8)
     raw = fixtures.sensor_raw(spark, SF0001)
-    a = ordered_pass(raw, "row_no", _fills(), position_col="pos", width=width)
-    b = ordered_pass(raw, "row_no", _fills(), position_col="pos", method="window")
-    cols = ("row_no", "pos", *SENSORS)
-    assert rows(a, *cols) == rows(b, *cols)
+    assert len(mod.bucket_cuts(raw, "row_no", 20)) >= 45
+    monkeypatch.setattr(mod, "MAX_BUCKETS", 30)
+    assert len(mod.bucket_cuts(raw, "row_no", 1)) <= 30
 
 
 def test_null_position_fails_loudly(spark):
