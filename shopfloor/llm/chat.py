@@ -30,7 +30,7 @@ from .common import stage
 ROLES = ("start", "system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
-MERGE, RELABEL, INSERT = 10, 25, 20
+MERGE, RELABEL, INSERT = 10, 35, 20
 FAR = 1 << 40
 SEGMENT = 512          # turn numbers of one segment
 OPEN, CLOSE, JOIN = "<|im_start|>", "<|im_end|>\n", "\n\n"

@@ -153,5 +153,5 @@ def labelled_sample(rows: DataFrame, labels: DataFrame, label: str, limit: int,
 def collect_sample(sample: DataFrame, limit: int, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
     """(features, labels) of a bounded sample, in id order."""
     rows = sample.orderBy(F.xxhash64(id_col), id_col).limit(2 * limit).collect()
-    x = np.array([r.features for r in rows], dtype=float).reshape(len(rows), -1)
+    x = np.array([r.features for r in rows], dtype=float) if rows else np.empty((0, 0))
     return x, np.array([r.label for r in rows], dtype=int)

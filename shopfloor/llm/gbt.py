@@ -37,17 +37,18 @@ class Forest:
 
 def train(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.2,
           bins: int = 48, min_rows: int = 8, ridge: float = 1.0,
-          monotone: dict[int, int] | None = None) -> Forest:
+          monotone: dict[int, int] | None = None, pseudo: tuple[float, float] = (0.5, 0.5)) -> Forest:
     """Second-order boosting of the logistic loss on quantile bins.
 
     `monotone` maps a feature to +1 (score may not fall as it rises) or -1.  A
     constrained split whose leaf values would be out of order is refused, and
     the values below it are kept on their side of the split's midpoint.
-    Without rows of both labels the forest is the smoothed base rate alone.
+    Without rows of both labels the forest is the base rate alone, smoothed by
+    `pseudo` rows of label 1 and of label 0.
     """
     n, width = x.shape if x.size else (len(y), 0)
     ones = float(y.sum())
-    base = float(np.log((ones + 0.5) / (n - ones + 0.5)))
+    base = float(np.log((ones + pseudo[0]) / (n - ones + pseudo[1])))
     nodes: list[list] = []                       # feature, threshold, left, right, value
     roots: list[int] = []
     if width and 0 < ones < n:

@@ -164,18 +164,18 @@ def lay_out(docs: DataFrame, old_shards: int, id_col: str = "doc_id", text: str
     return d.withColumn("file", F.floor(F.col("block") / (BLOCKS // FILES)).cast("int"))
 
 
-def write_old(laid: DataFrame, path: str) -> None:
-    """The existing dataset: one folder per old shard and file."""
+def write_old(laid: DataFrame, path: str) -> DataFrame:
+    """The existing dataset, read back: one folder per old shard and file."""
     laid.repartition("old_shard", "file").write.partitionBy("old_shard", "file").parquet(path)
+    return laid.sparkSession.read.schema(laid.schema).parquet(path)
 
 
-def rewrite(spark: SparkSession, path: str, moves: Plan) -> DataFrame:
-    """Rewrite the files of the dataset at `path` that hold a moved block, and
-    read the new dataset: rewritten files and untouched ones, with `shard`.
+def rewrite(old: DataFrame, moves: Plan) -> DataFrame:
+    """Rewrite the files of the dataset `old` that hold a moved block, and read
+    the new dataset: rewritten files and untouched ones, with `shard`.
 
-    The files of both are read by partition, so untouched ones are not opened
-    for the rewrite."""
-    old = spark.read.parquet(path)
+    Files are chosen by partition, so untouched ones are not opened for it."""
+    spark = old.sparkSession
     touched = sorted({(s, b // (BLOCKS // FILES)) for s, b in moves.touched})
     if not touched:
         return old.withColumn("shard", F.col("old_shard"))
@@ -206,8 +206,9 @@ def number(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     begins = rows.groupBy("shard", "cell").agg(F.count("*").alias("n")) \
                  .select("shard", "cell", F.coalesce(F.sum("n").over(shards), F.lit(0)).alias("begin"))
     inside = Window.partitionBy("shard", "cell").orderBy(F.col(id_col).asc_nulls_first(), "text_crc32", "size")
+    slot = (F.col("begin") + F.col("rank") - 1).cast("long").alias("slot")
     return (rows.withColumn("rank", F.row_number().over(inside)).join(begins, ["shard", "cell"])
-            .withColumn("slot", (F.col("begin") + F.col("rank") - 1).cast("long")).drop("cell", "rank", "begin"))
+            .select(*[c for c in rows.columns if c != "cell"], slot))
 
 
 def reshard(docs: DataFrame, old_shards: int = 20, shards: int = 24, id_col: str = "doc_id",
@@ -222,9 +223,7 @@ def reshard(docs: DataFrame, old_shards: int = 20, shards: int = 24, id_col: str
     with the working ones are not read.
     """
     spark = docs.sparkSession
-    path = fresh_path(spark, "reshard-old")
-    write_old(lay_out(docs.select(id_col, text), old_shards, id_col, text), path)
-    small = spark.read.parquet(path).select(id_col, "size", "text_crc32", "old_shard", "block", "bucket")
-    moves = plan(small, old_shards, shards=shards)
-    rows = rewrite(spark, path, moves).select(id_col, "size", "text_crc32", "old_shard", "shard")
+    old = write_old(lay_out(docs.select(id_col, text), old_shards, id_col, text), fresh_path(spark, "reshard-old"))
+    moves = plan(old, old_shards, shards=shards)
+    rows = rewrite(old, moves).select(id_col, "size", "text_crc32", "old_shard", "shard")
     return number(stage(rows, "reshard-rows"), id_col)

@@ -196,7 +196,7 @@ def fit(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     rows = docstats.labelled_sample(stats, labels, "toxic", sample, id_col).where(~_lexicon_half(id_col))
     x, y = docstats.collect_sample(rows, sample, id_col)
     held = np.arange(len(y)) % CALIBRATION == 0
-    forest = gbt.train(x[~held], y[~held])
+    forest = gbt.train(x[~held], y[~held], pseudo=(0.5, 1.0))      # knowing nothing, not toxic
     return Model(forest, isotonic(forest.score(x[held]) if held.any() else np.empty(0), y[held]))
 
 
@@ -205,7 +205,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     Null and empty texts are scored from all-zero features; repeated rows each
     give a row; an empty table gives none; without labels of both kinds the
-    score is the smoothed base rate; other columns are not read.
+    score is the smoothed base rate (1/3 where nothing is labelled); other columns are not read.
     """
     learned = learn_words(docs, labels, id_col=id_col, text=text)
     stats = stage(docstats.with_stats(docs, text, base=(), id_col=id_col,
