@@ -6,19 +6,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import (ERROR_CODES, RECORD_ID_FORMAT, STATUS_FAIL, STATUS_NOT_CHECKED,
-                       STATUS_PASS, TIMESTAMP_FORMATS)
+from ..schemas import (ERROR_CODES, RECORD_ID_FORMAT, STATUS_FAIL, STATUS_NOT_CHECKED, STATUS_PASS,
+                       TIME_FORMATS, TIME_SPELLINGS)
 
 
-def parse_event_time(c: Column, dtype: T.DataType | None = None,
-                     formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
-    """Any time-like value -> timestamp_ntz; text that fits no layout -> NULL."""
+def parse_event_time(c: Column, dtype: T.DataType | None = None) -> Column:
+    """Any time-like value -> timestamp_ntz; text that fits no layout -> NULL.
+
+    Text is a date, then optionally a time of day and an offset.  Dates: year
+    first (- or /), named month (``Jan 1 2024``, ``1 Jan 2024``), or numbers with
+    the year last (/ - or .), month first unless that is no month.  Times: hours
+    and minutes, seconds with up to nine decimals (kept to microseconds), AM or
+    PM.  ``Z`` and offsets shift the time to UTC."""
     if isinstance(dtype, T.TimestampNTZType):
         return c
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
     text = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]).cast("timestamp_ntz")
+    for pattern, written in TIME_SPELLINGS:
+        text = F.regexp_replace(text, pattern, written)
+    # the rewritten text is bound once, not repeated in each attempt
+    moment = F.transform(F.array(text), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in TIME_FORMATS]))
+    return F.element_at(moment, 1).cast("timestamp_ntz")
 
 
 def hour_bucket(ts: Column) -> Column:
@@ -60,7 +69,3 @@ def record_id(position: Column) -> Column:
 def defect_rate(defects: Column, total: Column) -> Column:
     """defects / total * 100; 0 when undefined."""
     return F.coalesce(F.try_divide(defects * F.lit(100.0), total), F.lit(0.0))
-
-
-def rounded(c: Column, places: int = 6) -> Column:
-    return F.round(c, places)

@@ -61,24 +61,22 @@ READINGS_TABLE, CHECKS_TABLE, SUMMARY_TABLE = (
     "sensor_readings", "quality_checks", "hourly_summary")
 # -----------------------------------------------------------------------
 
-# Timestamp text layouts tried in order when a time column is text.
-# Slash dates are month first, as pandas reads them by default.
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd'T'HH:mm",
-    "yyyy-MM-dd H:mm:ss",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
+# Spellings of times in text, rewritten in this order to those that TIME_FORMATS read.
+TIME_SPELLINGS = (
+    (r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?", "$1"),   # month names to three letters
+    (r"(:\d{2}),(\d)", "$1.$2"),                                                  # decimal comma
+    (r"[, ]+", " "),
+    (r"^(\d{4})/(\d{1,2})/", "$1-$2-"),                                           # year first, slashes
+    (r"^(\d{1,2})[-.](\d{1,2})[-.](\d{4})", "$1/$2/$3"),                          # year last, hyphens or points
+    (r"^(\d{1,2})-([A-Za-z]{3})-", "$1 $2 "),
+    (r"(\d)T(\d)", "$1 $2"),
+    (r"(?i) ?(am|pm)$", " $1"),
+    (r" ?(UTC|GMT|Z)$", "Z"),
+    (r"(:\d{2}(?:\.\d+)?) ?([+-]\d{2}):?(\d{2})$", "$1$2:$3"),                   # offsets as +hh:mm
 )
+_DATES = ("yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "MMM d yyyy", "d MMM yyyy")     # month first where both could be
+TIME_FORMATS = (*(f"{d}[ H:mm[:ss[.SSSSSSSSS]]][XXX]" for d in _DATES),
+                *(f"{d} h:mm[:ss[.SSSSSSSSS]] a" for d in _DATES))
 
 READINGS_SCHEMA = T.StructType([
     T.StructField("record_id", T.StringType()),

@@ -8,11 +8,16 @@
   split is a natural bucket of the order, so the ordered pass needs no
   range bucketing here (``csv_order``).
 * Encoding: Spark never fails on bad UTF-8, so the text is probed with
-  ``is_valid_utf8`` (a distributed scan that stops at the first bad line)
-  and read as ISO-8859-1 when it is not UTF-8.
-* Cost at scale: inference and the encoding probe each read the input
-  once more.  Production jobs pass ``schema=`` (declared types, applied with
-  ``try_cast``) and ``encoding=`` and skip both.
+  ``is_valid_utf8`` and read as ISO-8859-1 when it is not UTF-8.
+* Quoting follows RFC 4180: quotes are doubled inside quotes, and a quoted field
+  may hold line breaks.  Such a file cannot be split, so a probe looks for lines
+  with an odd number of quotes and only then reads whole files per task;
+  ``multi_line`` declares it instead.
+* A number is a number by its text (sign, digits, point, exponent), not by what a
+  cast accepts: ``1D`` stays an identifier.
+* Cost at scale: inference reads the input once more, the probe of encoding and
+  quotes once.  Production jobs pass ``schema=`` (declared types, applied with
+  ``try_cast``), ``encoding=`` and ``multi_line=`` and skip both.
 * A missing path gives ``None`` (the caller decides: the sensor source
   stops the run, the quality source means 'not_checked').
 """
@@ -29,6 +34,9 @@ from .. import session
 from ..operators.ordered import RowOrder
 from ..schemas import NA_TOKENS
 
+# How a number is written.
+NUMBER = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
+
 FILE_COL, BLOCK_COL, SEQ_COL = "_src_file", "_src_block", "_src_seq"
 ORDER_COLS = (FILE_COL, BLOCK_COL, SEQ_COL)
 
@@ -39,21 +47,32 @@ def csv_order() -> RowOrder:
     return RowOrder.explicit([FILE_COL, BLOCK_COL], SEQ_COL)
 
 
+def probe(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """(encoding, whether a quoted field spans lines) from one scan of the text."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    seen = spark.read.text(path).agg(F.count_if(~F.is_valid_utf8(line)).alias("bad"),
+                                     F.count_if(quotes % 2 == 1).alias("open")).first()
+    return ("UTF-8" if seen["bad"] == 0 else "ISO-8859-1"), seen["open"] > 0
+
+
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    bad = spark.read.text(path).where(~F.is_valid_utf8(F.col("value")))
-    return "UTF-8" if bad.isEmpty() else "ISO-8859-1"
+    return probe(spark, path)[0]
 
 
 def read_csv(spark: SparkSession, path: str, encoding: str | None = "UTF-8",
              infer_numeric: bool = True, keep_order: bool = True,
-             schema: dict[str, str] | None = None) -> DataFrame:
-    """Read CSV text with header; ``encoding=None`` probes UTF-8 first.
-    ``schema`` (column -> Spark type name) replaces inference; a value that
-    does not fit its type becomes NULL."""
-    if encoding is None:
-        encoding = detect_encoding(spark, path)
+             schema: dict[str, str] | None = None, multi_line: bool | None = None) -> DataFrame:
+    """Read CSV text with header; ``encoding=None`` and ``multi_line=None`` probe
+    the text.  ``schema`` (column -> Spark type name) replaces inference; a value
+    that does not fit its type becomes NULL."""
+    if encoding is None or multi_line is None:
+        found, spans = probe(spark, path)
+        encoding = found if encoding is None else encoding
+        multi_line = spans if multi_line is None else multi_line
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .option("encoding", encoding).option("mode", "PERMISSIVE")
+           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
            .option("nullValue", "").csv(path))
     names = [c for c in raw.columns]
@@ -78,7 +97,7 @@ def infer_numeric_columns(df: DataFrame, names: list[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(names):
         v = F.col(f"`{c}`")
-        d = v.try_cast("double")
+        d = F.when(F.trim(v).rlike(NUMBER), v.try_cast("double"))
         aggs += [F.count_if(v.isNotNull() & d.isNull()).alias(f"nonnum_{i}"),
                  F.count_if(d.isNotNull() & (v.try_cast("long").isNull())).alias(f"nonint_{i}"),
                  F.count(v).alias(f"n_{i}")]
@@ -98,27 +117,25 @@ def infer_numeric_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 def read_csv_tolerant(spark: SparkSession, path: str, encoding: str | None = "UTF-8",
                       **kw) -> DataFrame | None:
-    """A missing or unreadable path gives None instead of an error."""
+    """A missing path gives None instead of an error."""
     try:
-        if encoding is None:
-            encoding = detect_encoding(spark, path)
         return read_csv(spark, path, encoding=encoding, **kw)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def scan_sensor_csv(spark: SparkSession, path: str, schema: dict[str, str] | None = None
-                    ) -> DataFrame | None:
+def scan_sensor_csv(spark: SparkSession, path: str, schema: dict[str, str] | None = None,
+                    multi_line: bool | None = None) -> DataFrame | None:
     """A1: sensor CSV, UTF-8."""
-    return read_csv_tolerant(spark, path, encoding="UTF-8", schema=schema)
+    return read_csv_tolerant(spark, path, encoding="UTF-8", schema=schema, multi_line=multi_line)
 
 
 def scan_quality_csv(spark: SparkSession, path: str, encoding: str | None = None,
-                     schema: dict[str, str] | None = None) -> DataFrame | None:
+                     schema: dict[str, str] | None = None, multi_line: bool | None = None) -> DataFrame | None:
     """A2: quality CSV, UTF-8 or else ISO-8859-1 (probed unless given)."""
-    return read_csv_tolerant(spark, path, encoding=encoding, schema=schema)
+    return read_csv_tolerant(spark, path, encoding=encoding, schema=schema, multi_line=multi_line)
 
 
 def drop_order_columns(df: DataFrame) -> DataFrame:
@@ -131,6 +148,7 @@ def write_csv(df: DataFrame, path: str, order_by: str | None = None,
     if order_by is not None:
         df = df.orderBy(order_by)
     (df.write.mode("overwrite").option("header", True).option("encoding", encoding)
+     .option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .option("nullValue", "").csv(path))
@@ -164,6 +182,28 @@ def _register():
         df, _ = extract.parse_first_time_column(df)
         return drop_order_columns(df)
 
+    @register("parse_mixed_times", """
+SELECT event_id, CASE WHEN event_id % 8 IN (5, 6) THEN date_trunc('minute', ts)
+                      WHEN event_id % 8 = 7 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS parsed
+FROM events""")
+    def q_parse_mixed_times(spark, sf_dir):
+        """Every event's time written in one of eight layouts and parsed back."""
+        from ..functions.scalars import parse_event_time
+        from .tables import read_table
+        ts = F.col("ts")
+        text = lambda fmt, t=ts: F.date_format(t, fmt)
+        written = F.array(
+            F.concat(text("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")),
+            F.concat(text("yyyy-MM-dd HH:mm:ss.SSSSSS", ts + F.expr("INTERVAL '5:30' HOUR TO MINUTE")), F.lit("+05:30")),
+            F.concat(text("yyyy/M/d H:mm:ss.SSSSSS"), F.lit("000")),
+            text("d-MMM-yyyy HH:mm:ss.SSSSSS"),
+            text("MMMM d, yyyy hh:mm:ss.SSSSSS a"),
+            text("M/d/yyyy H:mm"),
+            F.when(F.dayofmonth(ts) > 12, text("dd.MM.yyyy HH:mm")).otherwise(text("MM.dd.yyyy HH:mm")),
+            text("yyyy-MM-dd"))
+        events = read_table(spark, sf_dir, "events").select("event_id", written[F.col("event_id") % 8].alias("time"))
+        return events.select("event_id", parse_event_time(F.col("time")).alias("parsed"))
+
     @register("tolerant_source",
               "SELECT 'not_checked' AS quality_status, count(*) AS count FROM sensor_raw")
     def q_tolerant_source(spark, sf_dir):

@@ -34,6 +34,17 @@ def parse_first_time_column(df: DataFrame) -> tuple[DataFrame, str | None]:
     return df.withColumn(tcol, parsed), tcol
 
 
+def rejected_times(raw: DataFrame, source: str) -> DataFrame:
+    """Rows of one source whose time is text that no layout fits (they become
+    NULL: outside the hourly summary, and NULL keys of the join)."""
+    tcol = roles.first_time_column(raw.columns)
+    if tcol is None:
+        return raw.agg(F.lit(source).alias("source"), F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long").alias("rejected"))
+    parsed = parse_event_time(F.col(tcol), raw.schema[tcol].dataType)
+    return raw.agg(F.lit(source).alias("source"), F.count(F.lit(1)).alias("rows"),
+                   F.count_if(F.col(tcol).isNotNull() & parsed.isNull()).alias("rejected"))
+
+
 def time_coverage(df: DataFrame, source: str) -> DataFrame:
     """A4: rows, first and last event time of one source."""
     tcol = roles.first_time_column(df.columns)

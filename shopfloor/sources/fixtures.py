@@ -31,21 +31,19 @@ SELECT event_id * 2 + dup AS row_no,
  CASE WHEN event_id % 211 = 0 THEN NULL ELSE ts END AS timestamp,
  CASE WHEN event_id % 97 = 0 THEN NULL ELSE 'MACHINE_' || CAST(user_id % 20 AS STRING) || ' ' END AS machine_id,
  'Line_' || CAST(user_id % 4 AS STRING) AS line_id,
- CASE WHEN event_id % 13 = 0 THEN NULL ELSE 'completed' END AS inspection_status,
+ CASE WHEN event_id % 13 = 0 OR event_id % 4 = 0 THEN NULL ELSE 'completed' END AS inspection_status,
  CASE WHEN dup = 1 THEN 'fail' WHEN event_type = 'error' THEN 'FAIL - rework' WHEN event_type = 'view' THEN 'inconclusive' WHEN event_type = 'signup' THEN NULL WHEN event_type = 'click' THEN 'Passed after fail' ELSE 'pass' END AS result,
  CASE WHEN event_type = 'error' OR dup = 1 THEN 'defect_' || CAST(event_id % 3 AS STRING) END AS defect_type
 """
-_QUALITY_WHERE = "WHERE event_id % 4 <> 0 AND (dup = 0 OR event_id % 50 = 1)\n"
+# Every event has an inspection; those without a status were not carried out.
+# Some events have a second one (dup = 1): a repeated inspection that failed.
+_TWICE = "CASE WHEN event_id % 50 = 1 THEN {twice} ELSE {once} END"
 
 # As written in FIXTURES.md (run by the DuckDB oracle).
-QUALITY_RAW_SQL = (_QUALITY_SELECT
-                   + "FROM {events} CROSS JOIN (SELECT 0 AS dup UNION ALL SELECT 1 AS dup) d\n"
-                   + _QUALITY_WHERE)
-# The same rows in Spark: each event yields itself (dup = 0) and a possible
-# duplicate inspection (dup = 1) through a generator, not a join.
-QUALITY_RAW_SPARK_SQL = (_QUALITY_SELECT
-                         + "FROM {events} LATERAL VIEW explode(array(0, 1)) d AS dup\n"
-                         + _QUALITY_WHERE)
+QUALITY_RAW_SQL = _QUALITY_SELECT + "FROM (SELECT *, unnest({dups}) AS dup FROM {{events}})\n".format(
+    dups=_TWICE.format(twice="[0, 1]", once="[0]"))
+QUALITY_RAW_SPARK_SQL = _QUALITY_SELECT + "FROM {{events}} LATERAL VIEW explode({dups}) d AS dup\n".format(
+    dups=_TWICE.format(twice="array(0, 1)", once="array(0)"))
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

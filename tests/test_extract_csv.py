@@ -21,7 +21,7 @@ def test_recency_filter_and_fallback(spark):  # A5, A6, Q17
 
 def test_completed_inspections(spark):  # A7, Q16
     q = fixtures.quality_raw(spark, SF0001)
-    assert q.count() == 770 and extract.extract_quality(q).count() == 712
+    assert q.count() == 1020 and extract.extract_quality(q).count() == 712
 
 
 def test_time_formats(spark):  # A3
@@ -36,6 +36,35 @@ def test_time_formats(spark):  # A3
                    dt.datetime(2024, 1, 2, 3, 4, 5), None]
 
 
+def test_more_time_layouts_and_rejects(spark):  # A3, C2
+    at = dt.datetime(2024, 1, 1, 10, 0)
+    want = {"2024-01-01T10:00:00Z": at, "2024-01-01T10:00:00+00:00": at, "2024-01-01 12:00+02:00": at,
+            "2024-01-01T05:30:00-0430": at, "2024-01-01 10:00:00.123456789": at.replace(microsecond=123456),
+            "1/2/2024 9:05": dt.datetime(2024, 1, 2, 9, 5), "13/01/2024 10:00": dt.datetime(2024, 1, 13, 10, 0),
+            "01-02-2024 10:00:00": dt.datetime(2024, 1, 2, 10, 0), "Jan 1 2024": dt.datetime(2024, 1, 1),
+            "1 January 2024 10:00": at, "Sept. 3, 2024 12:05 AM": dt.datetime(2024, 9, 3, 0, 5),
+            "1/1/2024 12:00 PM": dt.datetime(2024, 1, 1, 12, 0), "2024-13-01": None, "2024-02-30": None,
+            "31/31/2024": None, "2024-01-01 25:00": None, "2024-01-01 10:00 nonsense": None, "noon": None, "": None,
+            "1/1/2024 13:00 PM": None, "Foo 1 2024": None}
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(want)] + [(None, -1)], "time string, i int")
+    out, _ = extract.parse_first_time_column(df)
+    got = {r.i: r.time for r in out.collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values()) and got[-1] is None
+    counts = extract.rejected_times(df, "sensor").first()
+    assert (counts.rows, counts.rejected) == (len(want) + 1, sum(v is None for v in want.values()))
+
+
+def test_rfc4180_quotes_and_strict_numbers(spark):  # A1, A2
+    d = tempfile.mkdtemp(prefix="sf-csv-")
+    _write(os.path.join(d, "q.csv"), 'time,machine,note,v\n2024-01-01,1D,"two\nlines, and a ""quote""",1\n'
+                                     '2024-01-02,2F,plain,2.5e1\n2024-01-03,0x10, 7 ,\n')
+    df = csvsrc.read_csv(spark, d)
+    assert dict(df.dtypes)["machine"] == "string" and dict(df.dtypes)["v"] == "double"
+    got = [(r.machine, r.note, r.v) for r in df.orderBy(csvsrc.SEQ_COL).collect()]
+    assert got == [("1D", 'two\nlines, and a "quote"', 1.0), ("2F", "plain", 25.0), ("0x10", " 7 ", None)]
+    assert csvsrc.probe(spark, d) == ("UTF-8", True)
+
+
 def _write(path, text, encoding="utf-8"):
     with open(path, "w", encoding=encoding) as f:
         f.write(text)
