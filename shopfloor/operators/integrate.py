@@ -26,7 +26,13 @@ from ..functions.scalars import parse_event_time, quality_status
 from ..schemas import QUALITY_SUFFIX
 
 STATUS_COL = "quality_status"
-DEFAULT_NULL_SALT = 16
+DEFAULT_NULL_SALT = 16           # where the NULL rows were not counted
+ROWS_PER_SALT, MAX_SALT = 50_000, 4_096
+MAX_NULL_PAIRS = 1_000_000_000   # NULL = NULL output rows a job may write unless told otherwise
+
+
+class NullKeyPairs(ValueError):
+    """The join would emit more NULL = NULL pairs than allowed."""
 
 
 def _not_checked(sensor: DataFrame) -> DataFrame:
@@ -158,6 +164,36 @@ def left_join_sql_nulls(left: DataFrame, right: DataFrame, pairs: list[tuple[str
     return left.join(right, on=_and(cond), how="left").drop("__nk", "__rnk")
 
 
+def null_key_load(sensor: DataFrame, quality: DataFrame) -> tuple[int, int]:
+    """(sensor rows with a NULL key, pairs they would make under 'match').  Rows
+    are counted per key on each side first, so nothing is paired to count it."""
+    plan = join_plan(sensor.columns, quality.columns)
+    if plan is None:
+        return 0, 0
+    keys, _ = plan
+
+    def counted(df: DataFrame, names: list[str], prefix: str) -> DataFrame:
+        cols = [F.col(c) for c in names]
+        return (df.where(_any_null(cols)).groupBy(*[c.alias(f"{prefix}{i}") for i, c in enumerate(cols)])
+                .agg(F.count(F.lit(1)).alias(f"{prefix}n")))
+
+    left, right = counted(sensor, [s for s, _ in keys], "l"), counted(quality, [q for _, q in keys], "r")
+    same = _and([F.col(f"l{i}").eqNullSafe(F.col(f"r{i}")) for i in range(len(keys))])
+    pairs = F.sum(F.col("ln").cast("decimal(38,0)") * F.coalesce("rn", F.lit(0)))
+    row = left.join(right, same, "left").agg(F.sum("ln").alias("rows"), pairs.alias("pairs")).first()
+    return int(row["rows"] or 0), int(row["pairs"] or 0)
+
+
+def salt_for(null_rows: int) -> int:
+    return max(1, min(MAX_SALT, -(-null_rows // ROWS_PER_SALT)))
+
+
+def refuse_null_pairs(pairs: int, limit: int | None) -> None:
+    if limit is not None and pairs > limit:
+        raise NullKeyPairs(f"rows without a time or machine would be joined into {pairs} pairs (limit {limit}); "
+                           "use null_keys='sql', repair the keys, or raise max_null_pairs")
+
+
 def _and(conds: list[Column]) -> Column:
     out = conds[0]
     for c in conds[1:]:

@@ -12,26 +12,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
 from ..operators import load
-from ..schemas import TABLE_SCHEMAS
-from ..sources import csv
+from ..operators.integrate import MAX_NULL_PAIRS
+from ..sources import csv, extract
 from . import checks, pipeline
 from .reports import Tables
 
 
 def run_etl_pipeline(spark: SparkSession, sensor_path: str, quality_path: str, out_base: str,
                      days_back: int | None = None, as_of=None,
-                     sensor_schema: dict[str, str] | None = None,
-                     quality_encoding: str | None = None) -> pipeline.RunReport | None:
+                     sensor_schema: dict[str, str] | None = None, quality_schema: dict[str, str] | None = None,
+                     quality_encoding: str | None = None, multi_line: bool | None = None,
+                     null_keys: str = "match", max_null_pairs: int | None = MAX_NULL_PAIRS,
+                     dedupe_checks: str = "none", partition_days: bool = False,
+                     keep_runs: int | None = None) -> pipeline.RunReport | None:
     """Extract, transform and load; None when there is no sensor data (the
-    job stops, as the reference does)."""
+    job stops, as the reference does).
+
+    For large inputs: declare schemas, encoding and ``multi_line`` (no probe
+    scans), ``null_keys='sql'`` (no NULL = NULL pairs), ``partition_days`` and
+    ``keep_runs``.  The tables have the same columns whether or not there is an
+    inspection.  The report counts times that no layout fits per source
+    (``<source>_rejected_times``)."""
     session.configure(spark)
-    sensor = csv.scan_sensor_csv(spark, sensor_path, schema=sensor_schema)
+    sensor = csv.scan_sensor_csv(spark, sensor_path, schema=sensor_schema, multi_line=multi_line)
     if sensor is None or sensor.isEmpty():
         return None
-    quality = csv.scan_quality_csv(spark, quality_path, encoding=quality_encoding)
+    quality = csv.scan_quality_csv(spark, quality_path, encoding=quality_encoding, schema=quality_schema,
+                                   multi_line=multi_line)
     p = pipeline.build(sensor, quality, sensor_order=csv.csv_order(),
-                       quality_order=csv.csv_order(), days_back=days_back, as_of=as_of)
-    return pipeline.run_pipeline(spark, p, out_base)
+                       quality_order=csv.csv_order(), days_back=days_back, as_of=as_of,
+                       null_keys=null_keys, max_null_pairs=max_null_pairs, check_empty=False,
+                       dedupe_checks=dedupe_checks)
+    report = pipeline.run_pipeline(spark, p, out_base, partition_days=partition_days, keep_runs=keep_runs)
+    for name, raw in (("sensor", sensor), ("quality", quality)):
+        if raw is not None:
+            report.rows[f"{name}_rejected_times"] = extract.rejected_times(raw, name).first()["rejected"]
+    return report
 
 
 def published(spark: SparkSession, out_base: str) -> Tables:
@@ -61,7 +77,3 @@ def test_database_integrity(spark: SparkSession, out_base: str) -> tuple[bool, D
     ok = (checks.overall_status(t).first().all_passed
           and cols.where("status = 'fail'").isEmpty())
     return bool(ok), report
-
-
-def empty_contract_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    return {name: spark.createDataFrame([], schema) for name, schema in TABLE_SCHEMAS.items()}

@@ -7,6 +7,7 @@ written or queried; ``run_pipeline`` writes all three from one cached join.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from .. import session
 from ..functions import roles
 from ..operators.clean import clean_sensor_data
-from ..operators.integrate import DEFAULT_NULL_SALT, STATUS_COL, join_sensor_quality
+from ..operators.integrate import (DEFAULT_NULL_SALT, MAX_NULL_PAIRS, STATUS_COL, join_sensor_quality,
+                                   null_key_load, refuse_null_pairs, salt_for)
 from ..operators.load import (project_hourly_summary, project_quality_checks,
                               project_sensor_readings, publish_tables)
 from ..operators.ordered import ROWS_PER_BUCKET
@@ -23,6 +25,7 @@ from ..operators.standardize import POSITION_COL, standardize_data
 from ..operators.summary import hourly_summary
 from ..schemas import CHECKS_TABLE, READINGS_TABLE, SUMMARY_TABLE, TABLE_SCHEMAS
 from ..sources import extract, fixtures
+from ..sources.files import delete
 
 
 @dataclass
@@ -47,10 +50,15 @@ class Pipeline:
 
 def build(sensor_raw: DataFrame, quality_raw: DataFrame | None, sensor_order="row_no",
           quality_order="row_no", days_back: int | None = None, as_of=None,
-          null_keys: str = "match", null_salt: int = DEFAULT_NULL_SALT,
+          null_keys: str = "match", null_salt: int | None = None,
+          max_null_pairs: int | None = MAX_NULL_PAIRS,
           method: str = "bucketed", width: int = ROWS_PER_BUCKET,
           quality_ids: bool = True, check_empty: bool = True,
           dedupe_checks: str = "none") -> Pipeline:
+    """``null_keys='match'`` joins rows without a time or machine with each other,
+    as the reference does; their pairs are counted first (one job over the key
+    columns), which sizes the salt and stops at ``max_null_pairs``.  ``'sql'`` is
+    the setting for large inputs: such rows find no partner."""
     sensor_x = extract.extract_sensor(sensor_raw, days_back=days_back, as_of=as_of)
     quality_x = extract.extract_quality(quality_raw) if quality_raw is not None else None
 
@@ -61,6 +69,14 @@ def build(sensor_raw: DataFrame, quality_raw: DataFrame | None, sensor_order="ro
     quality_std = (standardize_data(quality_x, order=quality_order, assign_ids=quality_ids,
                                     method=method, width=width)
                    if quality_x is not None else None)
+    if null_salt is None:
+        null_salt = DEFAULT_NULL_SALT
+        if null_keys == "match" and quality_x is not None:
+            # the keys as the join sees them, without the ordered pass
+            null_rows, pairs = null_key_load(standardize_data(sensor_x, assign_ids=False),
+                                             standardize_data(quality_x, assign_ids=False))
+            refuse_null_pairs(pairs if dedupe_checks == "none" else 0, max_null_pairs)
+            null_salt = salt_for(null_rows)
     joined = join_sensor_quality(sensor_std, quality_std, null_keys=null_keys,
                                  null_salt=null_salt, check_empty=check_empty,
                                  dedupe_checks=dedupe_checks)
@@ -106,14 +122,16 @@ class RunReport:
 
 
 def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
-                 run_id: str | None = None, checkpoint_join: bool = True) -> RunReport:
+                 run_id: str | None = None, stage_join: bool = True,
+                 partition_days: bool = False, keep_runs: int | None = None) -> RunReport:
     """F8: write the three tables of one run and publish them together.
 
-    The joined frame feeds two sinks (readings, summary); it is cut from
-    its lineage once with a reliable checkpoint in the cluster's checkpoint
-    folder, so a lost executor recomputes from the checkpoint files, not
-    from the scan, the ordered pass and the join.  Row counts per stage
-    (A10) are observed on the jobs that run anyway, never by extra counts.
+    The joined columns feed two sinks (readings, summary); they are written once
+    as Parquet in the cluster's checkpoint folder, so each sink reads only its
+    columns and a lost executor re-reads files instead of repeating the scan, the
+    ordered pass and the join.  That copy is removed once the run is published.
+    Row counts (A10) are observed on the jobs that run anyway, never by extra
+    counts.  ``partition_days`` and ``keep_runs``: see ``publish_tables``.
     """
     observed = {}
 
@@ -125,7 +143,8 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
         return df
 
     joined = sink_columns(pipeline.joined)
-    if checkpoint_join:
+    staged = None
+    if stage_join:
         # observed once, on the one job that computes it; the NULL-key count
         # shows how much of the join came from NULL = NULL matches (4.3.5)
         joined, obs = extract.observe_rows(
@@ -133,8 +152,10 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
             null_key_rows=F.count_if(F.col("timestamp").isNull() | F.col("machine_id").isNull())
             if {"timestamp", "machine_id"} <= set(joined.columns) else None)
         observed["joined"] = obs
-        session.ensure_checkpoint_dir(spark)
-        joined = joined.checkpoint(eager=True)
+        staged = session.scratch_path(spark, f"shopfloor-joined-{uuid.uuid4().hex}")
+        schema = joined.schema
+        joined.write.parquet(staged)
+        joined = spark.read.schema(schema).parquet(staged)
     summary = project_hourly_summary(hourly_summary(joined))
     tables = {READINGS_TABLE: watch(project_sensor_readings(joined), READINGS_TABLE),
               CHECKS_TABLE: watch(pipeline.checks, CHECKS_TABLE),
@@ -144,7 +165,9 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, out_base: str,
     empty = [name for name, df in tables.items() if df is None]
     for name in empty:
         tables[name] = spark.createDataFrame([], TABLE_SCHEMAS[name])
-    rid = publish_tables(spark, tables, out_base, run_id)
+    rid = publish_tables(spark, tables, out_base, run_id, partition_days=partition_days, keep_runs=keep_runs)
+    if staged is not None:
+        delete(spark, staged)
     rows = {name: int(obs.get.get("rows", 0)) for name, obs in observed.items()}
     rows.update({name: 0 for name in empty})
     null_keys = observed["joined"].get.get("null_key_rows") if "joined" in observed else None

@@ -1,10 +1,14 @@
 """End-to-end from CSV files through the public entry points."""
 
+import json
+import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
+from shopfloor.operators.integrate import NullKeyPairs
 from shopfloor.plans import etl
 from shopfloor.sources import csv as csvsrc
 from shopfloor.sources import fixtures
@@ -59,3 +63,33 @@ def test_checks_on_empty_contract_tables(spark):
     assert got[("critical_nulls", "null_count")] == "pass"
     assert got[("temperature_bounds", "min_temp")] == "pass"
     assert not any(c == "quality_distribution" for c, _ in got)   # no flags, no shares
+
+
+def test_settings_of_the_job_and_the_command(spark, capsys):
+    from shopfloor import __main__ as command
+    d = _stage(spark)
+    files = ["--sensor", f"{d}/sensors", "--quality", f"{d}/quality", "--out", f"{d}/db"]
+    base = ["--local", "4", "etl", *files]
+    assert command.main([*base, "--null-keys", "sql", "--partition-days", "--multi-line", "no", "--keep-runs", "1"]) == 0
+    assert command.main([*base, "--partition-days", "--keep-runs", "1"]) == 0
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    sql, match = (x["rows"]["joined"] for x in said)
+    assert sql <= match and said[0]["rows"]["sensor_rejected_times"] == 0
+    assert len(os.listdir(f"{d}/db/runs")) == 1                      # superseded runs are removed
+    days = os.listdir(f"{d}/db/runs/{said[1]['run_id']}/sensor_readings")
+    assert any(x.startswith("day=2024-01-") for x in days)
+    with pytest.raises(NullKeyPairs, match="limit 3"):
+        command.main([*base, "--max-null-pairs", "3"])
+    assert command.main(["--local", "4", "sql", "--out", f"{d}/db", "--to", f"{d}/result",
+                         "SELECT * FROM sensor_readings"]) == 0
+    assert spark.read.parquet(f"{d}/result").count() == 1019
+    assert etl.published(spark, f"{d}/db").readings.columns[:2] == ["record_id", "timestamp"]
+
+
+def test_tables_have_one_schema_with_or_without_inspections(spark):
+    d = _stage(spark)
+    spark.read.option("header", True).csv(f"{d}/quality").limit(0).write.option("header", True).csv(f"{d}/none")
+    etl.run_etl_pipeline(spark, f"{d}/sensors", f"{d}/quality", f"{d}/a")
+    etl.run_etl_pipeline(spark, f"{d}/sensors", f"{d}/nope", f"{d}/b")
+    a, b = etl.published(spark, f"{d}/a"), etl.published(spark, f"{d}/b")
+    assert a.readings.schema == b.readings.schema and set(a.summary.columns) >= set(b.summary.columns)

@@ -4,8 +4,10 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from conftest import SF0001, rows
+from shopfloor.operators import integrate
 from shopfloor.operators.integrate import join_sensor_quality
+from shopfloor.plans import pipeline
 
 T0 = dt.datetime(2024, 1, 1, 8, 0, 0)
 T1 = dt.datetime(2024, 1, 1, 8, 5, 0)
@@ -136,3 +138,16 @@ def test_latest_check_per_key_removes_fan_out(spark):  # SURVEY 4.3.6
     out = join_sensor_quality(s, q, dedupe_checks="latest")
     assert rows(out, "record_id", "result", "quality_status") == [("R0", "fail", "fail"),
                                                                   ("R1", "FAIL late", "fail")]
+
+
+def test_null_pairs_are_counted_without_pairing(spark):
+    p = pipeline.from_sf_dir(spark, SF0001)
+    null_rows, pairs = integrate.null_key_load(p.sensor_std, p.quality_std)
+    null = "timestamp IS NULL OR machine_id IS NULL"
+    assert null_rows == p.sensor_std.where(null).count()
+    assert pairs == p.joined.where(f"({null}) AND record_id_quality IS NOT NULL").count() > 0
+    with pytest.raises(integrate.NullKeyPairs):
+        pipeline.from_sf_dir(spark, SF0001, max_null_pairs=pairs - 1)
+    sql = pipeline.from_sf_dir(spark, SF0001, null_keys="sql", max_null_pairs=0)
+    assert sql.joined.where(f"({null}) AND record_id_quality IS NOT NULL").count() == 0
+    assert (integrate.salt_for(0), integrate.salt_for(50_001), integrate.salt_for(10**12)) == (1, 2, 4096)

@@ -1,5 +1,7 @@
 """Load rules (F), report rewrites (D10, D11), checks (K), entry contract."""
 
+import os
+import shutil
 import tempfile
 
 import duckdb
@@ -148,3 +150,21 @@ def test_published_tables_equal_the_lazy_ones(spark, tables):  # F8 sink pruning
     assert rows(round_doubles(pub["hourly_summary"].select(*tables.summary.columns))) == \
         rows(round_doubles(tables.summary))
     assert rows(pub["quality_checks"]) == rows(tables.checks)
+
+
+def test_pointer_survives_a_crash_and_old_runs_go(spark, tables):  # F5, F6
+    base = tempfile.mkdtemp(prefix="sf-pointer-")
+    one = {"sensor_readings": tables.readings.limit(1)}
+    runs = [load.publish_tables(spark, one, base) for _ in range(2)]
+    os.makedirs(f"{base}/pointers/version=3/_temporary/0")               # a pointer write that crashed
+    assert load.current_run(spark, base) == runs[1]
+    runs.append(load.publish_tables(spark, one, base, keep_runs=2))
+    assert load.current_run(spark, base) == runs[2]
+    assert sorted(os.listdir(f"{base}/runs")) == sorted(runs[1:])
+    with pytest.raises(ValueError):
+        load.drop_superseded(spark, base, 0)
+    # runs without a pointer are not hidden behind empty tables
+    shutil.rmtree(f"{base}/pointers")
+    assert all(df is None for df in load.published_tables(spark, base).values())
+    with pytest.raises(RuntimeError, match="no pointer"):
+        load.create_database(spark, base)
