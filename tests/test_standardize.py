@@ -41,3 +41,22 @@ def test_record_id_not_truncated(spark):
 def test_strip_lower(spark):
     r = spark.range(1).select(strip_lower(F.lit("  MaChInE_01\n")).alias("v")).first()
     assert r.v == "machine_01"
+
+
+def test_roles_of_every_stage():  # A9
+    from shopfloor.functions import roles
+    sensor = ["Event Time", "Machine ID", "Line", "Temp 1", "temp_2", "Pressure", "Power"]
+    quality = ["Check Date", "Status", "Machine ID", "Result", "Fault"]
+    joined = ["event_time", "machine_id", "line", "temp_1", "temp_2", "pressure", "power", "data_quality", "record_id",
+              "check_date", "machine_id_quality", "result", "fault", "quality_status"]
+    got = roles.describe_roles(sensor, quality, joined)
+    assert [r[1:] for r in got if r[0] == "clean"] == [("temperature", "Temp 1"), ("temperature", "temp_2"),
+                                                       ("pressure", "Pressure")]
+    assert ("join", "quality_time", "check_date") in got and ("join", "result", "result") in got
+    assert [r[1:] for r in got if r[0] == "hourly"] == [
+        ("time", "event_time"), ("group", "machine_id"), ("group", "line"),
+        ("temperature", "temp_2"), ("pressure", "pressure"), ("power", "power")]       # the last of a role
+    load = dict(r[1:] for r in got if r[0] == "load_readings")
+    assert load["temperature"] == "temp_1" and load["record_id"] == "record_id"           # the first of a role
+    assert dict(r[1:] for r in got if r[0] == "load_checks") == {
+        "timestamp": "check_date", "machine_id": "machine_id", "result": "result", "defect_type": "fault"}
