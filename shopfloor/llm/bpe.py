@@ -19,11 +19,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import text_batches
+
 
 # The word pattern of the byte-level vocabulary (letters first,
 # which no other branch can start with, and possessive runs: same words, faster).
 WORDS = r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
-CACHE_WORDS = 300_000     # bound of each of the two word tables; the older is dropped when the newer is full
+CACHE_WORDS = 150_000     # bound of each of the two word tables; the older is dropped when the newer is full
 CACHE_CHARS = 32          # longer words are not kept
 
 
@@ -146,7 +148,7 @@ def _mapped(df: DataFrame, source: str, out: dict[str, str], path: str, fn) -> D
                     [*(part.column(c) for c in keep), *(pa.array(m, t) for m, t in zip(made, types))],
                     names=[*keep, *out])
 
-    return df.select(*dict.fromkeys([*keep, source])).mapInArrow(run, schema)
+    return text_batches(df).select(*dict.fromkeys([*keep, source])).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids",

@@ -27,6 +27,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = 1000     # whole texts that are handed to Python at once, at most
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """`df`, whose session hands Python at most ARROW_ROWS rows at a time: whole
+    texts are long, and a batch is held by the JVM and by the worker at once."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return df
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of an undirected graph by contraction.
 

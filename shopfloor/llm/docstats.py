@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from .common import text_batches
+
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -118,7 +120,7 @@ def with_stats(docs: DataFrame, text: str = "text", out: str = "features",
                 [*(b.column(c) for c in keep), *(pa.array(c, pa.int64()) for c in counts),
                  pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=names)
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return text_batches(docs).select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- labelled rows

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import docstats, gbt
-from .common import stage
+from .common import stage, text_batches
 
 SAMPLE = 20_000        # labelled rows the trees are fitted on (bound; a hash share of the ids beyond it)
 KEEP = 0.5             # score from which the trees keep a document
@@ -77,4 +77,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
             good = np.array([not docstats.base_failed(r[0][0], r[0][4]) for r in rows], dtype=bool)
             yield b.filter(pa.array(good & (forest.score(x) >= KEEP)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return text_batches(docs).mapInArrow(run, docs.schema)

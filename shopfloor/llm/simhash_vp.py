@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, stage
+from .common import components, stage, text_batches
 
 SEED = 42
 LEAF = 768            # largest leaf compared pair by pair in one block
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3,
                              dtype=np.uint64, count=b.num_rows).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(fp)], names=names)
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return text_batches(docs).select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- tree
