@@ -283,7 +283,7 @@ def q_dedupe_checks_latest(spark, sf_dir):
 SELECT s.timestamp, s.machine_id, s.temperature, q.result AS quality_result
 FROM readings s LEFT JOIN checks q ON s.machine_id = q.machine_id AND s.timestamp = q.timestamp""")
 def q_readings_with_checks(spark, sf_dir):
-    return reports.readings_with_checks(_tables(spark, sf_dir))
+    return reports.readings_with_checks(_published(spark, sf_dir))
 
 
 @register("temp_vs_defects", f"""
@@ -291,7 +291,7 @@ SELECT h.machine_id, round(avg(s.temperature), {P}) AS avg_temp, round(avg(h.def
 FROM readings s JOIN summary h ON s.machine_id = h.machine_id AND date_trunc('hour', s.timestamp) = h.hour
 GROUP BY h.machine_id""")
 def q_temp_vs_defects(spark, sf_dir):
-    return reports.temp_vs_defects(_tables(spark, sf_dir))
+    return reports.temp_vs_defects(_published(spark, sf_dir))
 
 
 @register("machine_overview", f"""
@@ -299,7 +299,7 @@ SELECT s.machine_id, count(*) AS reading_count, round(avg(s.temperature), {P}) A
   round(avg(h.defect_rate), {P}) AS avg_defect_rate
 FROM readings s LEFT JOIN summary h ON s.machine_id = h.machine_id GROUP BY s.machine_id""")
 def q_machine_overview(spark, sf_dir):
-    return reports.machine_overview(_tables(spark, sf_dir))
+    return reports.machine_overview(_published(spark, sf_dir))
 
 
 # --- E: hourly roll-up -------------------------------------------------
@@ -446,13 +446,20 @@ def q_commit_rollback(spark, sf_dir):
 _SIMULATED = "simulated failure while writing"
 
 
+_RUNS: dict[tuple, str] = {}
+
+
 def _published(spark, sf_dir) -> Tables:
+    """The three tables as the job published them, for the queries that read
+    tables (G, J, K).  The job runs once per Spark application and folder."""
     import uuid
 
-    p = _pipe(spark, sf_dir)
-    base = session.scratch_path(spark, f"shopfloor-k-{uuid.uuid4().hex}")
-    load.publish_tables(spark, p.tables(), base)
-    pub = load.published_tables(spark, base)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        base = session.scratch_path(spark, f"shopfloor-run-{uuid.uuid4().hex}")
+        pipeline.run_pipeline(spark, _pipe(spark, sf_dir), base)
+        _RUNS[key] = base
+    pub = load.published_tables(spark, _RUNS[key])
     return Tables(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
 
 
@@ -479,33 +486,33 @@ def q_check_columns(spark, sf_dir):
 
 @register("total_readings", "SELECT count(*) AS total_readings FROM readings")
 def q_total_readings(spark, sf_dir):
-    return reports.total_readings(_tables(spark, sf_dir))
+    return reports.total_readings(_published(spark, sf_dir))
 
 
 @register("line_recent_hours", f"""
 SELECT {summary_rounded()} FROM summary WHERE line_id = lower(trim('Line_1'))
 ORDER BY hour DESC NULLS LAST, machine_id NULLS FIRST, line_id NULLS FIRST LIMIT 10""")
 def q_line_recent_hours(spark, sf_dir):
-    return reports.line_recent_hours(_tables(spark, sf_dir))
+    return reports.line_recent_hours(_published(spark, sf_dir))
 
 
 @register("high_defect_hours", f"""
 SELECT hour, line_id, machine_id, round(defect_rate, {P}) AS defect_rate FROM summary
 WHERE defect_rate > 5.0""")
 def q_high_defect_hours(spark, sf_dir):
-    return reports.high_defect_hours(_tables(spark, sf_dir))
+    return reports.high_defect_hours(_published(spark, sf_dir))
 
 
 @register("quality_distribution", "SELECT data_quality, count(*) AS count FROM readings GROUP BY data_quality")
 def q_quality_distribution(spark, sf_dir):
-    return reports.quality_distribution(_tables(spark, sf_dir))
+    return reports.quality_distribution(_published(spark, sf_dir))
 
 
 @register("machine_temperature_stats", f"""
 SELECT machine_id, round(avg(temperature), {P}) AS avg_temp, min(temperature) AS min_temp,
   max(temperature) AS max_temp FROM readings GROUP BY machine_id""")
 def q_machine_temperature_stats(spark, sf_dir):
-    return reports.machine_temperature_stats(_tables(spark, sf_dir))
+    return reports.machine_temperature_stats(_published(spark, sf_dir))
 
 
 @register("machine_hourly_trend", f"""
@@ -513,14 +520,14 @@ SELECT hour, round(avg_temperature, {P}) AS avg_temperature, round(avg_pressure,
   round(avg_vibration, {P}) AS avg_vibration, round(defect_rate, {P}) AS defect_rate
 FROM summary WHERE machine_id = lower(trim('Machine_7'))""")
 def q_machine_hourly_trend(spark, sf_dir):
-    return reports.machine_hourly_trend(_tables(spark, sf_dir), "Machine_7")
+    return reports.machine_hourly_trend(_published(spark, sf_dir), "Machine_7")
 
 
 @register("anomalous_readings", """
 SELECT timestamp, machine_id, temperature, pressure, vibration, data_quality FROM readings
 WHERE data_quality = 'invalid' OR temperature > 120 OR pressure > 8""")
 def q_anomalous_readings(spark, sf_dir):
-    return reports.anomalous_readings(_tables(spark, sf_dir))
+    return reports.anomalous_readings(_published(spark, sf_dir))
 
 
 @register("line_pass_rate", """
@@ -530,14 +537,14 @@ SELECT line_id, count(*) AS total_checks,
   round(CAST(count(*) FILTER (WHERE result = 'pass') AS DOUBLE) * 100.0 / count(*), 2) AS pass_rate
 FROM checks GROUP BY line_id""")
 def q_line_pass_rate(spark, sf_dir):
-    return reports.line_pass_rate(_tables(spark, sf_dir))
+    return reports.line_pass_rate(_published(spark, sf_dir))
 
 
 @register("hour_of_day_profile", f"""
 SELECT CAST(extract(hour FROM hour) AS BIGINT) AS hour_of_day, count(*) AS readings,
   round(avg(defect_rate), {P}) AS avg_defect_rate FROM summary GROUP BY 1""")
 def q_hour_of_day_profile(spark, sf_dir):
-    return reports.hour_of_day_profile(_tables(spark, sf_dir))
+    return reports.hour_of_day_profile(_published(spark, sf_dir))
 
 
 # --- J: sample queries, set 2 ------------------------------------------
@@ -547,14 +554,14 @@ SELECT * FROM readings ORDER BY record_id NULLS FIRST, timestamp NULLS FIRST, li
   machine_id NULLS FIRST, temperature NULLS FIRST, pressure NULLS FIRST, vibration NULLS FIRST,
   power NULLS FIRST, data_quality NULLS FIRST LIMIT 10""")
 def q_sample_readings(spark, sf_dir):
-    return reports.sample_readings(_tables(spark, sf_dir))
+    return reports.sample_readings(_published(spark, sf_dir))
 
 
 @register("worst_hours", f"""
 SELECT {summary_rounded()} FROM summary
 ORDER BY defect_rate DESC, hour NULLS FIRST, machine_id NULLS FIRST, line_id NULLS FIRST LIMIT 10""")
 def q_worst_hours(spark, sf_dir):
-    return reports.worst_hours(_tables(spark, sf_dir))
+    return reports.worst_hours(_published(spark, sf_dir))
 
 
 @register("machine_sensor_means", f"""
@@ -562,14 +569,14 @@ SELECT machine_id, count(*) AS total_readings, round(avg(temperature), {P}) AS a
   round(avg(pressure), {P}) AS avg_pressure, round(avg(vibration), {P}) AS avg_vibration
 FROM readings GROUP BY machine_id""")
 def q_machine_sensor_means(spark, sf_dir):
-    return reports.machine_sensor_means(_tables(spark, sf_dir))
+    return reports.machine_sensor_means(_published(spark, sf_dir))
 
 
 @register("line_defect_rate", f"""
 SELECT line_id, round(avg(defect_rate), {P}) AS avg_defect_rate, count(*) AS hours_monitored
 FROM summary GROUP BY line_id""")
 def q_line_defect_rate(spark, sf_dir):
-    return reports.line_defect_rate(_tables(spark, sf_dir))
+    return reports.line_defect_rate(_published(spark, sf_dir))
 
 
 @register("quality_percentage", """
@@ -577,28 +584,28 @@ SELECT data_quality, count(*) AS count,
   round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM readings), 2) AS percentage
 FROM readings GROUP BY data_quality""")
 def q_quality_percentage(spark, sf_dir):
-    return reports.quality_percentage(_tables(spark, sf_dir))
+    return reports.quality_percentage(_published(spark, sf_dir))
 
 
 @register("daily_temperature", f"""
 SELECT CAST(timestamp AS DATE) AS date, round(avg(temperature), {P}) AS avg_temp,
   min(temperature) AS min_temp, max(temperature) AS max_temp FROM readings GROUP BY 1""")
 def q_daily_temperature(spark, sf_dir):
-    return reports.daily_temperature(_tables(spark, sf_dir))
+    return reports.daily_temperature(_published(spark, sf_dir))
 
 
 @register("machines_needing_attention", f"""
 SELECT machine_id, round(avg(defect_rate), {P}) AS avg_defect_rate, count(*) AS hours_checked
 FROM summary GROUP BY machine_id HAVING avg(defect_rate) > 5""")
 def q_machines_needing_attention(spark, sf_dir):
-    return reports.machines_needing_attention(_tables(spark, sf_dir))
+    return reports.machines_needing_attention(_published(spark, sf_dir))
 
 
 @register("line_hour_profile", f"""
 SELECT line_id, strftime(hour, '%H') AS hour_of_day, round(avg(total_checks), {P}) AS avg_checks,
   round(avg(defect_rate), {P}) AS avg_defect_rate FROM summary GROUP BY line_id, hour_of_day""")
 def q_line_hour_profile(spark, sf_dir):
-    return reports.line_hour_profile(_tables(spark, sf_dir))
+    return reports.line_hour_profile(_published(spark, sf_dir))
 
 
 @register("global_summary", f"""
@@ -606,12 +613,12 @@ SELECT count(DISTINCT machine_id) AS total_machines, count(DISTINCT line_id) AS
   count(*) AS total_hours, round(avg(defect_rate), {P}) AS overall_defect_rate,
   round(avg(total_checks), {P}) AS avg_checks_per_hour FROM summary""")
 def q_global_summary(spark, sf_dir):
-    return reports.global_summary(_tables(spark, sf_dir))
+    return reports.global_summary(_published(spark, sf_dir))
 
 
 @register("overall_defect_rate", f"SELECT round(avg(defect_rate), {P}) AS avg_defect_rate FROM summary")
 def q_overall_defect_rate(spark, sf_dir):
-    return reports.overall_defect_rate(_tables(spark, sf_dir))
+    return reports.overall_defect_rate(_published(spark, sf_dir))
 
 
 # --- K: data checks ----------------------------------------------------
@@ -622,7 +629,7 @@ SELECT 'sensor_readings' AS table_name, count(*) AS rows,
 SELECT 'quality_checks', count(*), CASE WHEN count(*) > 0 THEN 'pass' ELSE 'warn' END FROM checks UNION ALL
 SELECT 'hourly_summary', count(*), CASE WHEN count(*) > 0 THEN 'pass' ELSE 'fail' END FROM summary""")
 def q_check_row_counts(spark, sf_dir):
-    return checks.check_row_counts(_tables(spark, sf_dir))
+    return checks.check_row_counts(_published(spark, sf_dir))
 
 
 @register("check_critical_nulls", """
@@ -630,14 +637,14 @@ SELECT count(*) FILTER (WHERE record_id IS NULL OR timestamp IS NULL) AS null_co
   CASE WHEN count(*) FILTER (WHERE record_id IS NULL OR timestamp IS NULL) = 0 THEN 'pass' ELSE 'fail' END AS status
 FROM readings""")
 def q_check_critical_nulls(spark, sf_dir):
-    return checks.check_critical_nulls(_tables(spark, sf_dir))
+    return checks.check_critical_nulls(_published(spark, sf_dir))
 
 
 @register("check_duplicate_ids", """
 SELECT count(*) - count(DISTINCT record_id) AS duplicates,
   CASE WHEN count(*) - count(DISTINCT record_id) = 0 THEN 'pass' ELSE 'fail' END AS status FROM readings""")
 def q_check_duplicate_ids(spark, sf_dir):
-    return checks.check_duplicate_ids(_tables(spark, sf_dir))
+    return checks.check_duplicate_ids(_published(spark, sf_dir))
 
 
 @register("check_temperature_bounds", f"""
@@ -647,7 +654,7 @@ SELECT min(temperature) AS min_temp, max(temperature) AS max_temp, round(avg(tem
        ELSE 'warn' END AS status
 FROM readings WHERE temperature IS NOT NULL""")
 def q_check_temperature_bounds(spark, sf_dir):
-    return checks.check_temperature_bounds(_tables(spark, sf_dir))
+    return checks.check_temperature_bounds(_published(spark, sf_dir))
 
 
 @register("check_quality_distribution", f"""
@@ -655,7 +662,7 @@ SELECT data_quality, count(*) AS count,
   round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM readings) * 100.0, {P}) AS percentage
 FROM readings GROUP BY data_quality""")
 def q_check_quality_distribution(spark, sf_dir):
-    return checks.check_quality_distribution(_tables(spark, sf_dir))
+    return checks.check_quality_distribution(_published(spark, sf_dir))
 
 
 @register("check_hourly_aggregates", f"""
@@ -663,19 +670,19 @@ SELECT count(*) AS total_hours, round(avg(defect_rate), {P}) AS avg_defect_rate,
   round(max(defect_rate), {P}) AS max_defect_rate,
   CASE WHEN count(*) > 0 THEN 'pass' ELSE 'fail' END AS status FROM summary""")
 def q_check_hourly_aggregates(spark, sf_dir):
-    return checks.check_hourly_aggregates(_tables(spark, sf_dir))
+    return checks.check_hourly_aggregates(_published(spark, sf_dir))
 
 
 @register("check_top_machines", f"""
 SELECT machine_id, round(avg(defect_rate), {P}) AS avg_defect_rate FROM summary GROUP BY machine_id
 ORDER BY avg_defect_rate DESC NULLS LAST, machine_id NULLS FIRST LIMIT 5""")
 def q_check_top_machines(spark, sf_dir):
-    return checks.check_top_machines(_tables(spark, sf_dir))
+    return checks.check_top_machines(_published(spark, sf_dir))
 
 
 @register("check_result_distribution", "SELECT result, count(*) AS count FROM checks GROUP BY result")
 def q_check_result_distribution(spark, sf_dir):
-    return checks.check_result_distribution(_tables(spark, sf_dir))
+    return checks.check_result_distribution(_published(spark, sf_dir))
 
 
 _REPORT_SQL = f"""
@@ -712,14 +719,14 @@ UNION ALL SELECT 'quality_distribution', 'share_' || coalesce(data_quality, 'nul
 
 @register("validation_report", _REPORT_SQL)
 def q_validation_report(spark, sf_dir):
-    return checks.validation_report(_tables(spark, sf_dir))
+    return checks.validation_report(_published(spark, sf_dir))
 
 
 @register("overall_status", f"""
 SELECT bool_and(status <> 'fail') AS all_passed, count(*) FILTER (WHERE status = 'fail') AS failed_checks
 FROM ({_REPORT_SQL}) r""")
 def q_overall_status(spark, sf_dir):
-    return checks.overall_status(_tables(spark, sf_dir))
+    return checks.overall_status(_published(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
