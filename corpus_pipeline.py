@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shopfloor.llm import bpe, mixing, pu_quality, quality_rules, simhash_vp
-from shopfloor.llm.common import stage, table
+from shopfloor.llm.common import settle, table
 from shopfloor.llm.queries import BITS, MIX_EPOCHS, MIX_SEED, MIX_WEIGHTS, SHINGLE, vocabulary_path
+from shopfloor.sources.files import delete
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +48,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order, each written to the shared folder and read again.
+    What a stage has read, and its scratch tables, go once its output stands."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = settle(spark, lambda: step(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            delete(spark, before)
+        before = path
     return docs

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources.files import delete
+
+_PATHS: list[str] = []      # scratch folders of this driver, in the order they were named
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder."""
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _PATHS.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -27,6 +33,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> tuple[DataFrame, str]:
+    """`make()` written and read back, and its folder.  Scratch folders that were
+    named while it was made are removed: nothing reads them any more."""
+    first = len(_PATHS)
+    out = stage(make(), name)
+    path = _PATHS.pop()
+    for used in _PATHS[first:]:
+        delete(spark, used)
+    _PATHS[first:] = [path]
+    return out, path
+
+
 ARROW_ROWS = 1000     # whole texts that are handed to Python at once, at most
 
 

@@ -37,7 +37,8 @@ THRESHOLD = 0.95
 K = 8                   # neighbours kept in a list
 TREES, ROUNDS = 6, 6    # trees that start the graph; most rounds of descent
 STILL = 0.002           # share of changed list entries at which descent ends
-SAMPLE = 4096           # vectors the trees are fitted on (bound)
+# vectors the trees are fitted on: so many a group, within these bounds
+PER_GROUP, SAMPLE, MAX_SAMPLE = 32, 1 << 12, 1 << 16
 GROUP, BLOCK = 4096, 256        # nodes of a group (one task row set); of a block compared exactly
 CROWD = 24              # nodes that name one node as neighbour and are compared at once
 QUERIES, RECALL = 256, 0.99     # audit: query nodes (bound), share of their links that must be found
@@ -87,7 +88,7 @@ def grow(sample: np.ndarray, scale: float, rng: np.random.Generator) -> list:
     leaves = iter(range(1 << 31))
 
     def node(x: np.ndarray):
-        if len(x) * scale <= GROUP or len(x) < 32:
+        if len(x) * scale <= GROUP or len(x) < PER_GROUP:
             return next(leaves)
         a, b = x[rng.choice(len(x), 2, replace=False)]
         p = x @ (a - b)
@@ -171,11 +172,12 @@ def block_links(node: np.ndarray, x: np.ndarray, k: int, threshold: float, rng)
 def start(nodes: DataFrame, trees: int, seed: int, threshold: float) -> DataFrame:
     """What the trees find: rows of _FOUND."""
     n = nodes.count()
-    some = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(max(1, n // SAMPLE))) == 0) \
-                .select("unit", "dim").limit(2 * SAMPLE).collect()
-    dims = [r.dim for r in some]
+    sample = min(MAX_SAMPLE, max(SAMPLE, PER_GROUP * n // GROUP))
+    some = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(max(1, n // sample))) == 0) \
+                .select("unit", "dim").limit(2 * sample).toPandas()
+    dims = some["dim"].tolist()
     dim = max(set(dims), key=lambda d: (dims.count(d), d), default=0)      # others go to one leaf each
-    x = _matrix(r.unit for r in some if r.dim == dim) if dim else np.empty((0, 1))
+    x = _matrix(some["unit"][some["dim"] == dim]) if dim else np.empty((0, 1))
     rng = np.random.default_rng(seed)
     forest = [grow(x, n / max(1, len(x)), rng) for _ in range(trees)]
 

@@ -33,8 +33,10 @@ from .common import components, stage, text_batches
 
 SEED = 42
 LEAF = 768            # largest leaf compared pair by pair in one block
-SAMPLE = 16384        # fingerprints the sharding tree is fitted on (bounded)
 SHARD_ROWS = 20000    # distinct fingerprints a shard is meant to hold
+# Fingerprints the sharding tree is fitted on: so many a shard, within these bounds.  Past the
+# upper one (some 10^8 distinct fingerprints) shards grow with the input, not the sample.
+PER_SHARD, SAMPLE, MAX_SAMPLE = 64, 1 << 14, 1 << 20
 USELESS = 0.95        # a split that keeps more than this share in a branch is not made
 
 
@@ -111,7 +113,7 @@ def grow(sample: np.ndarray, scale: float, rows: int, bits: int) -> list:
     rng, leaves = np.random.default_rng(SEED), iter(range(1 << 62))
 
     def node(points: np.ndarray):
-        if len(points) * scale <= rows or len(points) < 64 or not (cut := _split(points, bits, rng)):
+        if len(points) * scale <= rows or len(points) < PER_SHARD or not (cut := _split(points, bits, rng)):
             return next(leaves)
         v, m = cut
         d = _distance(points, v)
@@ -179,13 +181,13 @@ def local_links(points: np.ndarray, bits: int) -> np.ndarray:
     return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), dtype=np.uint64)
 
 
-def near_pairs(distinct: DataFrame, bits: int, shard_rows: int = SHARD_ROWS,
-               sample: int = SAMPLE) -> DataFrame:
+def near_pairs(distinct: DataFrame, bits: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Star links (a, b) between the distinct longs in column `fp`."""
     n = distinct.count()
+    sample = min(MAX_SAMPLE, max(SAMPLE, PER_SHARD * n // shard_rows))
     share = max(1, n // sample)
     drawn = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(share)) == 0).limit(2 * sample)
-    drawn = np.array([r.fp for r in drawn.collect()], dtype=np.int64).view(np.uint64)
+    drawn = drawn.select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     tree = grow(drawn, n / max(1, len(drawn)), shard_rows, bits)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,12 +1,14 @@
 """The corpus pipeline: each stage against a brute-force version of its decision."""
 
 import importlib
+import os
 import sys
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
+from shopfloor import session
 from shopfloor.llm import bpe, docstats, mixing, pu_quality, quality_rules, simhash_vp
 from shopfloor.llm.common import stage, table
 from llm_helpers import SF001, union_find
@@ -75,7 +77,11 @@ def test_mixing_and_tokens(stages):
 
 
 def test_run_is_the_stages(spark, stages):
+    folder = session.ensure_checkpoint_dir(spark).removeprefix("file:")
+    there = set(os.listdir(folder))
     got, want = corpus_pipeline.run(spark, SF001), stages[-1][2]
+    left = set(os.listdir(folder)) - there
+    assert len(left) == 1 and left.pop().startswith("pipeline-bpe_encoding")     # scratch tables are gone
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
