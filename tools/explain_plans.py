@@ -10,18 +10,20 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from shopfloor import session  # noqa: E402
+from shopfloor.operators import load  # noqa: E402
 from shopfloor.plans import catalog, checks, pipeline, reports  # noqa: E402
 
 NOTES = {
-    "forward_fill": "One `Exchange hashpartitioning(__bucket)` feeds the bucket window. The tails come "
-                    "from a partial `HashAggregate` before its exchange. The carry scan is a window "
-                    "partitioned by `__super`; the only `SinglePartition` exchange holds the "
-                    "super-bucket table. The carry joins back on `__bucket` without re-shuffling "
-                    "the rows.",
+    "forward_fill": "One `Exchange hashpartitioning(__bucket)` feeds the bucket window; the buckets come "
+                    "from quantiles through a binary search (`UDF` of `Bucketizer`, in the JVM). The tails "
+                    "come from a partial `HashAggregate` before their exchange, over a narrow scan. The only "
+                    "`SinglePartition` exchange holds the bucket table (one row per bucket, at most 2^14). "
+                    "The carry joins back on `__bucket` without re-shuffling the rows.",
     "join_sensor_quality": "Null-safe keys appear as `coalesce(k, ·), isnull(k)` plus `__salt` in the "
                            "`hashpartitioning` of both sides: NULL-key rows spread over the salts. "
                            "The quality-side record ids are pruned (no output uses them).",
@@ -41,7 +43,10 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     p = pipeline.from_sf_dir(spark, sf_dir)
-    t = reports.Tables(p.readings, p.checks, p.hourly)
+    base = session.scratch_path(spark, f"shopfloor-plans-{uuid.uuid4().hex}")
+    pipeline.run_pipeline(spark, p, base)          # reports and checks read published tables
+    pub = load.published_tables(spark, base)
+    t = reports.Tables(pub["sensor_readings"], pub["quality_checks"], pub["hourly_summary"])
     frames = {
         "forward_fill": catalog.REGISTRY["forward_fill"].run(spark, sf_dir),
         "join_sensor_quality": p.joined,
