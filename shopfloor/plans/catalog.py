@@ -120,11 +120,12 @@ SELECT 'joined', count(*) FROM joined UNION ALL
 SELECT 'hourly_summary', count(*) FROM summary UNION ALL
 SELECT 'quality_checks', count(*) FROM checks""")
 def q_stage_counts(spark, sf_dir):
-    p = _pipe(spark, sf_dir)
+    p, run = _pipe(spark, sf_dir), _published(spark, sf_dir)
+    # stages that the job has written are counted there (a reading per joined row)
     return extract.stage_counts({
         "sensor_raw": p.sensor_raw, "quality_raw": p.quality_raw,
         "quality_completed": p.quality_extracted, "sensor_clean": p.sensor_clean,
-        "joined": p.joined, "hourly_summary": p.hourly, "quality_checks": p.checks})
+        "joined": run.readings, "hourly_summary": run.summary, "quality_checks": run.checks})
 
 
 # --- B: cleaning -------------------------------------------------------
