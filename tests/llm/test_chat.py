@@ -80,6 +80,34 @@ def test_segments_agree(frame, segment):
         assert paid == parts[0].cost and sum(p.n_messages for p in parts) == len(messages)
 
 
+def test_segments_hold_bounded_messages_whatever_the_turns(frame, monkeypatch):
+    """Turn numbers that repeat, lack or lie far apart, repeated rows and heavy
+    texts; small FAN, so that tables are combined over several rounds."""
+    monkeypatch.setattr(chat, "FAN", 3)
+    monkeypatch.setattr(chat, "HEAVY", 1000)
+    rng = random.Random(3)
+    roles = ["assistant", "system", "user", None, "bot"]
+    rows = [(None, t % 3, rng.choice(roles), f"a{t:04};") for t in range(150)]                # turns repeat
+    rows += [(1, None, rng.choice(roles), f"b{t:04};") for t in range(90)]                    # no turns
+    rows += [(2, 5, "user", "same;")] * 101 + [(2, 6, "user", "after;")]                      # repeated rows
+    rows += [(3, t << 40, rng.choice(roles), f"c{t:04};") for t in range(8)]                  # far apart
+    rows += [(4, t, "user", f"d{t:04};" + "x" * 2500) for t in range(7)]                      # 3 messages' weight each
+    out = {}
+    for r in chat.format_chats(frame(rows, "conv_id long, turn long, role string, text string"), segment=8).collect():
+        assert r.n_messages <= 8
+        out.setdefault(r.conv_id, []).append(r)
+    first = lambda x: (x is not None, x)
+    for conv, parts in out.items():
+        said = sorted((r[1:] for r in rows if r[0] == conv), key=lambda r: [first(x) for x in r])
+        parts.sort(key=lambda r: r.part)
+        assert [p.part for p in parts] == list(range(len(parts)))
+        _check("".join(p.rendered for p in parts), [t for _, _, t in said])
+        assert {p.cost for p in parts} == {cheapest([r for _, r, _ in said])}
+        assert sum(10 * p.merges + 35 * p.relabels + 20 * p.insertions for p in parts) == parts[0].cost
+        assert sum(p.n_messages for p in parts) == len(said)
+    assert {c: len(p) for c, p in out.items()} == {None: 19, 1: 12, 2: 13, 3: 1, 4: 3}
+
+
 def test_edge_cases(frame):
     ddl = "conv_id long, turn long, role string, text string, cost string"
     rows = [(1, None, None, None, "x"), (1, 0, "user", "a", "x"), (None, 0, "user", "q", None),
