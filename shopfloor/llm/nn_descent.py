@@ -10,8 +10,10 @@
 4. Every comparison that reaches the threshold is a link.  Groups emit stars of
    linked nodes, not all pairs, and connected components over the stars give
    the near-duplicate components.
-5. An audit compares a bounded query set with all nodes by brute force.  Links it
-   finds between components are added; below `RECALL` more trees and rounds run.
+5. An audit compares a bounded query set, drawn uniformly, with all nodes by brute
+   force.  Recall is averaged over queries, and over those with about as many
+   links; links it finds between components are added, and where any of these
+   averages is below `RECALL` more trees and rounds run.
 6. Lists that are saturated (all of their neighbours are links) are enlarged to
    their whole component: links are counted exactly within each component, by
    blocks, and within a ball of half the threshold's angle by its size alone.
@@ -22,6 +24,7 @@ precision; single precision is used to order the search.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
@@ -41,7 +44,10 @@ STILL = 0.002           # share of changed list entries at which descent ends
 PER_GROUP, SAMPLE, MAX_SAMPLE = 32, 1 << 12, 1 << 16
 GROUP, BLOCK = 4096, 256        # nodes of a group (one task row set); of a block compared exactly
 CROWD = 24              # nodes that name one node as neighbour and are compared at once
-QUERIES, RECALL = 256, 0.99     # audit: query nodes (bound), share of their links that must be found
+HALVINGS = 30           # times a leaf that the sample left crowded is cut in two, at most
+QUERIES, RECALL = 256, 0.99     # audit: query nodes at first, share of their links that must be found
+MOST_QUERIES, FEW = 4096, 64    # query nodes at most; drawn until so many of them have 1 to K links
+ENOUGH = 16             # queries of about as many links whose recall counts by itself
 TILE = 1024             # nodes per side of a tile when large components are counted
 SLACK = 1e-6            # what single precision may be off
 
@@ -169,6 +175,49 @@ def block_links(node: np.ndarray, x: np.ndarray, k: int, threshold: float, rng)
         {"kind": str, "node": "int64", "nbr": "int64", "sim": "float32"})
 
 
+def halved(dealt: DataFrame, seed: int) -> DataFrame:
+    """`dealt` with crowded leaves cut in two by a further projection each, until
+    none exceeds GROUP rows: the sample is bounded, the leaves' number is not."""
+    keys = ["tree", "dim", "leaf"]
+    whole, crowded = dealt, dealt.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select(*keys)
+    crowded = stage(crowded, "nnd-crowded")
+    if crowded.isEmpty():
+        return dealt
+    done = whole.join(F.broadcast(crowded), keys, "left_anti").withColumn("depth", F.lit(0))
+    rows = stage(whole.join(F.broadcast(crowded), keys).withColumn("depth", F.lit(0)), "nnd-leaves")
+    keys = [*keys, "depth"]
+    schema = rows.select("*").schema.add("p", "double")
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = [float(np.frombuffer(u.as_py()) @ (np.frombuffer(x.as_py()) - np.frombuffer(y.as_py())))
+                 for u, x, y in zip(b.column("unit"), b.column("x"), b.column("y"))]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in schema.names[:-1]), pa.array(p, pa.float64())],
+                                             names=schema.names)
+
+    for step in range(HALVINGS):
+        h = F.xxhash64("node", F.lit(seed), F.lit(step))
+        ends = rows.groupBy(*keys).agg(F.min_by("unit", h).alias("x"), F.max_by("unit", h).alias("y"))
+        names = schema.names[:-1]
+        laid = stage(rows.join(ends, keys).select(*names, "x", "y").mapInArrow(project, schema), "nnd-leaves")
+        cuts = laid.groupBy(*keys).agg(F.percentile_approx("p", 0.5).alias("cut"), F.max("p").alias("top"))
+        sides = laid.join(cuts, keys)
+        done = done.unionByName(sides.where("top <= cut").select(*names))            # cannot be cut
+        cut = sides.where("top > cut").withColumn("leaf", F.expr("2 * leaf + cast(p > cut as long)")) \
+                   .withColumn("depth", F.col("depth") + 1).select(*names)
+        cut = stage(cut, "nnd-leaves")
+        sizes = cut.groupBy(*keys).agg(F.count("*").alias("n"))
+        crowded = stage(sizes.where(F.col("n") > GROUP).select(*keys), "nnd-crowded")
+        done, rows = done.unionByName(cut.join(crowded, keys, "left_anti").select(*names)), cut.join(crowded, keys, "left_semi")
+        if crowded.isEmpty():
+            break
+    else:
+        done = done.unionByName(rows.select(*names))
+    # leaves of other depths are others; a tree's own leaves stay below 2 ** 31
+    return done.withColumn("leaf", F.when(F.col("depth") == 0, F.col("leaf")).otherwise(
+        F.xxhash64("leaf", "depth").bitwiseOR(F.lit(1 << 62)))).drop("depth")
+
+
 def start(nodes: DataFrame, trees: int, seed: int, threshold: float) -> DataFrame:
     """What the trees find: rows of _FOUND."""
     n = nodes.count()
@@ -191,7 +240,8 @@ def start(nodes: DataFrame, trees: int, seed: int, threshold: float) -> DataFram
 
     dealt = nodes.select("node", "dim", "unit").mapInPandas(
         deal, "tree int, dim int, node long, unit binary, leaf long")
-    # leaves are bounded by the sample; crowded ones are salted anew in each tree
+    dealt = halved(dealt, seed)
+    # what no projection could cut is salted anew in each tree
     sizes = dealt.groupBy("tree", "dim", "leaf").agg(F.count("*").alias("n"))
     salts = F.greatest(F.lit(1), F.ceil(F.col("n") / GROUP)).cast("int")
     dealt = dealt.join(F.broadcast(sizes.select("tree", "dim", "leaf", salts.alias("salts"))), ["tree", "dim", "leaf"])
@@ -311,38 +361,64 @@ def descend(nodes: DataFrame, found: DataFrame, threshold: float, rounds: int) -
 def audit(nodes: DataFrame, labels: DataFrame, threshold: float, queries: int = QUERIES) -> tuple[float, DataFrame]:
     """(recall, missing links): a bounded query set against all nodes.
 
-    A link is found where both ends have the same component.  Missing links are
-    given as (a, b), one per query and component."""
-    n = nodes.count()
+    A link is found where both ends have the same component.  The queries are
+    drawn uniformly from all nodes, whether or not a link of theirs was found.
+    Recall is the mean over queries that have links, or over those with about as
+    many links (see `recalls`) where that is less.  Missing links are given as
+    (a, b), one per query and component."""
     each = nodes.join(labels, "node", "left").select("node", "dim", "unit", F.coalesce("label", "node").alias("label"))
     each = stage(each, "nnd-audit")
-    # half of the queries from nodes that have links, so that links are measured
+    n, drawn, links, missing = each.count(), 0, [], None
     h = F.pmod(F.xxhash64("node", F.lit(99)), F.lit(1 << 40))
-    asked = each.orderBy(h, "node").limit(queries // 2)
-    known = each.join(labels.select("node"), "node", "left_semi").orderBy(h, "node").limit(queries // 2)
-    q = asked.union(known).distinct().collect()
+    while True:
+        q = each.orderBy(h, "node").limit(max(queries, 4 * drawn)).collect()[drawn:]
+        seen = stage(_compared(each, q, threshold), "nnd-audited")
+        lost = seen.where("b >= 0").select("a", "b")
+        missing = lost if missing is None else missing.union(lost)
+        links += [(r.hit, r["all"]) for r in seen.where("b < 0").groupBy("a").agg(
+            F.sum("hit").alias("hit"), F.sum("all").alias("all")).where(F.col("all") > 0).collect()]
+        drawn += len(q)
+        if drawn >= min(n, max(queries, MOST_QUERIES)) or sum(of <= K for _, of in links) >= FEW:
+            break
+    each_size = recalls(links)
+    logging.getLogger(__name__).info("%d queries; recall by links (queries, recall): %s", drawn, each_size)
+    counts = [r for many, r in each_size.values() if many >= ENOUGH]
+    return min([sum(hit / of for hit, of in links) / len(links) if links else 1.0, *counts]), missing
+
+
+def recalls(links: list[tuple[int, int]]) -> dict[int, tuple[int, float]]:
+    """{links: (queries, mean recall)} of queries with (found links, links); one
+    entry from each power of two to the next."""
+    by: dict[int, list[float]] = {}
+    for hit, of in links:
+        by.setdefault(1 << (of.bit_length() - 1), []).append(hit / of)
+    return {k: (len(v), sum(v) / len(v)) for k, v in sorted(by.items())}
+
+
+def _compared(each: DataFrame, q: list, threshold: float) -> DataFrame:
+    """Queries against `each`: rows (a, b, 0, 0) of query a that misses links to
+    component b, and (a, -1, hit, all), links per query, to be summed."""
     q_id, q_label = np.array([r.node for r in q], dtype=np.int64), np.array([r.label for r in q], dtype=np.int64)
     by_dim = {d: (np.array([i for i, r in enumerate(q) if r.dim == d]), _matrix(r.unit for r in q if r.dim == d))
               for d in {r.dim for r in q}}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for dim, part in f.groupby("dim"):
-                if dim not in by_dim:
-                    continue
-                at, x = by_dim[dim]
-                ids, label = part["node"].to_numpy(), part["label"].to_numpy()
-                i, j = np.nonzero((x @ _matrix(part["unit"]).T >= threshold) & (q_id[at][:, None] != ids[None]))
-                same = q_label[at[i]] == label[j]
-                lost = np.unique(np.stack([q_id[at[i[~same]]], label[j[~same]]], axis=1), axis=0)
-                yield pd.DataFrame({"a": np.append(lost[:, 0], -1), "b": np.append(lost[:, 1], -1),
-                                    "hit": np.append(np.zeros(len(lost)), same.sum()).astype(np.int64),
-                                    "all": np.append(np.zeros(len(lost)), len(same)).astype(np.int64)})
-
-    seen = stage(each.mapInPandas(run, "a long, b long, hit long, all long"), "nnd-audited")
-    total = seen.agg(F.sum("hit").alias("hit"), F.sum("all").alias("all")).first()
-    recall = total["hit"] / total["all"] if n and total["all"] else 1.0
-    return recall, seen.where("a >= 0").select("a", "b")
+        for dim, part in (x for f in frames for lo in range(0, len(f), 1024) for x in f[lo:lo + 1024].groupby("dim")):
+            if dim not in by_dim:
+                continue
+            at, x = by_dim[dim]
+            ids, label = part["node"].to_numpy(), part["label"].to_numpy()
+            i, j = np.nonzero((x @ _matrix(part["unit"]).T >= threshold) & (q_id[at][:, None] != ids[None]))
+            same = q_label[at[i]] == label[j]
+            lost = np.unique(np.stack([q_id[at[i[~same]]], label[j[~same]]], axis=1), axis=0)
+            asked, of = np.unique(i, return_counts=True)
+            hit = np.bincount(i[same], minlength=len(at))[asked]
+            none = np.zeros(len(lost), dtype=np.int64)
+            yield pd.DataFrame({"a": np.append(lost[:, 0], q_id[at[asked]]),
+                                "b": np.append(lost[:, 1], np.full(len(asked), -1)),
+                                "hit": np.append(none, hit), "all": np.append(none, of)})
+
+    return each.mapInPandas(run, "a long, b long, hit long, all long")
 
 
 # ---------------------------------------------------------------- counting

@@ -94,6 +94,33 @@ def test_audit_measures_recall_and_finds_missing_links(frame):
     assert recall < 1 and union_find(12, [(r.a, r.b) for r in missing.collect()])[:3] == [0, 0, 0]
 
 
+def _nodes(frame, x):
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    return frame([(i, bytearray(v.tobytes()), x.shape[1]) for i, v in enumerate(x)], "node long, unit binary, dim int")
+
+
+def test_audit_sees_lost_pairs_beside_a_crowd(frame):
+    """A found crowd of 400, and 40 pairs of which every other was lost."""
+    at = np.concatenate([np.zeros(400, dtype=int), np.repeat(np.arange(1, 41), 2)])
+    x = np.eye(41)[at] + 0.002 * np.random.default_rng(0).normal(size=(480, 41))
+    first = {k: int(np.flatnonzero(at == k)[0]) for k in range(41)}
+    labels = frame([(i, first[k]) for i, k in enumerate(at.tolist()) if k % 2 == 0], "node long, label long")
+    recall, missing = nnd.audit(_nodes(frame, x), labels, 0.95)
+    assert recall < nnd.RECALL
+    assert {r.a for r in missing.collect()} == {i for i, k in enumerate(at.tolist()) if k % 2}
+    assert nnd.recalls([(1, 1), (0, 1), (3, 3), (2, 2), (400, 400)]) == {1: (2, 0.5), 2: (2, 1.0), 256: (1, 1.0)}
+
+
+def test_crowded_leaves_are_cut_by_projections(frame, monkeypatch):
+    """A sample too small for the leaves: pairs still meet in one group."""
+    for name, value in (("GROUP", 64), ("BLOCK", 64), ("SAMPLE", 32), ("MAX_SAMPLE", 32)):
+        monkeypatch.setattr(nnd, name, value)
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(300, 12)), 2, axis=0) + 0.001 * rng.normal(size=(600, 12))
+    found = nnd.start(_nodes(frame, x), 1, 1, 0.95).where("kind = 's'").collect()
+    assert sum(r.node // 2 == r.nbr // 2 for r in found) >= 270
+
+
 def test_edge_cases(frame):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 1.0]),
