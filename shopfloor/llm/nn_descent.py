@@ -14,9 +14,11 @@
    force.  Recall is averaged over queries, and over those with about as many
    links; links it finds between components are added, and where any of these
    averages is below `RECALL` more trees and rounds run.
-6. Lists that are saturated (all of their neighbours are links) are enlarged to
-   their whole component: links are counted exactly within each component, by
-   blocks, and within a ball of half the threshold's angle by its size alone.
+6. Lists that are saturated (all of their neighbours are links) are enlarged by
+   the K nearest outside their component, found by trees and rounds as before,
+   as long as this joins components.  Within it the list is the whole component:
+   links are counted exactly, by blocks, and within a ball of half the
+   threshold's angle by its size alone.
 
 All similarities that decide a link are products of unit vectors in double
 precision; single precision is used to order the search.
@@ -24,6 +26,7 @@ precision; single precision is used to order the search.
 
 from __future__ import annotations
 
+import itertools
 import logging
 import math
 from collections.abc import Iterator
@@ -39,6 +42,7 @@ from .common import components, stage
 THRESHOLD = 0.95
 K = 8                   # neighbours kept in a list
 TREES, ROUNDS = 6, 6    # trees that start the graph; most rounds of descent
+OUTSIDE_TREES = 2       # trees that start the lists of saturated nodes outside their component
 STILL = 0.002           # share of changed list entries at which descent ends
 # vectors the trees are fitted on: so many a group, within these bounds
 PER_GROUP, SAMPLE, MAX_SAMPLE = 32, 1 << 12, 1 << 16
@@ -152,17 +156,21 @@ def _found(kinds, nodes, nbrs, sims) -> pd.DataFrame:
                          "nbr": np.concatenate(nbrs), "sim": np.concatenate(sims).astype(np.float32)})
 
 
-def block_links(node: np.ndarray, x: np.ndarray, k: int, threshold: float, rng) -> pd.DataFrame:
-    """Nearest neighbours (kind 'n') and stars of links (kind 's') of a group."""
+def block_links(node: np.ndarray, x: np.ndarray, k: int, threshold: float, rng,
+                label: np.ndarray | None = None) -> pd.DataFrame:
+    """Nearest neighbours (kind 'n') and stars of links (kind 's') of a group;
+    given `label`, only between nodes of different labels."""
     out: list[list] = [[], [], [], []]
     for idx in _blocks(x, rng):
         s = x[idx] @ x[idx].T
+        if label is not None:
+            s[label[idx][:, None] == label[idx][None]] = -2
         linked = s >= threshold
         np.fill_diagonal(linked, False)
         if linked.any():
-            label = stars(linked)
-            far = np.flatnonzero(label != np.arange(len(idx)))
-            for column, value in zip(out, (["s"] * len(far), node[idx[far]], node[idx[label[far]]], np.ones(len(far)))):
+            least = stars(linked)
+            far = np.flatnonzero(least != np.arange(len(idx)))
+            for column, value in zip(out, (["s"] * len(far), node[idx[far]], node[idx[least[far]]], np.ones(len(far)))):
                 column.append(np.array(value))
         np.fill_diagonal(s, -2)
         m = min(k, len(idx) - 1)
@@ -219,7 +227,9 @@ def halved(dealt: DataFrame, seed: int) -> DataFrame:
 
 
 def start(nodes: DataFrame, trees: int, seed: int, threshold: float) -> DataFrame:
-    """What the trees find: rows of _FOUND."""
+    """What the trees find: rows of _FOUND; only between nodes of different
+    labels where `nodes` has `label`."""
+    outside = ["label"] if "label" in nodes.columns else []
     n = nodes.count()
     sample = min(MAX_SAMPLE, max(SAMPLE, PER_GROUP * n // GROUP))
     some = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(max(1, n // sample))) == 0) \
@@ -236,10 +246,11 @@ def start(nodes: DataFrame, trees: int, seed: int, threshold: float) -> DataFram
                 v = _matrix(part["unit"])
                 for t, tree in enumerate(forest):
                     yield pd.DataFrame({"tree": t, "dim": own_dim, "node": part["node"], "unit": part["unit"],
-                                        "leaf": _route(tree, v) if own_dim == dim else 0})
+                                        "leaf": _route(tree, v) if own_dim == dim else 0,
+                                        **{c: part[c] for c in outside}})
 
-    dealt = nodes.select("node", "dim", "unit").mapInPandas(
-        deal, "tree int, dim int, node long, unit binary, leaf long")
+    dealt = nodes.select("node", "dim", "unit", *outside).mapInPandas(
+        deal, "tree int, dim int, node long, unit binary, leaf long" + "".join(f", {c} long" for c in outside))
     dealt = halved(dealt, seed)
     # what no projection could cut is salted anew in each tree
     sizes = dealt.groupBy("tree", "dim", "leaf").agg(F.count("*").alias("n"))
@@ -249,7 +260,8 @@ def start(nodes: DataFrame, trees: int, seed: int, threshold: float) -> DataFram
 
     def link(f: pd.DataFrame) -> pd.DataFrame:
         return block_links(f["node"].to_numpy(), _matrix(f["unit"]), K, threshold,
-                           np.random.default_rng([seed, int(f["tree"].iloc[0])]))
+                           np.random.default_rng([seed, int(f["tree"].iloc[0])]),
+                           f["label"].to_numpy() if outside else None)
 
     return dealt.groupBy("tree", "dim", "leaf", "salt").applyInPandas(link, _FOUND)
 
@@ -264,9 +276,18 @@ def nearest(found: DataFrame) -> DataFrame:
             .select("node", "nbr", "sim", "fresh")
 
 
-def around(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def _worst(lists: DataFrame) -> DataFrame:
+    """(member, worst): the similarity that an entry of a full list must exceed."""
+    return lists.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("n")) \
+                .select(F.col("node").alias("member"), F.when(F.col("n") >= K, F.col("worst")).otherwise(-2.0)
+                        .cast("float").alias("worst"))
+
+
+def around(graph: DataFrame, nodes: DataFrame, threshold: float, worst: DataFrame | None = None) -> DataFrame:
     """One round of local joins: rows of _FOUND, plus pairs too close to the
-    threshold for single precision (kind 'c')."""
+    threshold for single precision (kind 'c').  Where `nodes` has `label`, only
+    nodes of different labels are compared; neighbours are found for the
+    members of `worst` alone, if given, else for all."""
     crowds = graph.groupBy("nbr").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("crowds"))
     back = graph.join(crowds, "nbr").select(
         F.col("nbr").alias("at"), F.pmod(F.xxhash64("node"), F.col("crowds")).cast("int").alias("crowd"),
@@ -275,13 +296,15 @@ def around(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
         F.col("node").alias("at"), F.explode(F.sequence(F.lit(0), F.coalesce("crowds", F.lit(1)) - 1)).alias("crowd"),
         F.col("nbr").alias("member"), "fresh")
     members = own.union(back).groupBy("at", "crowd", "member").agg(F.max("fresh").alias("fresh"))
-    worst = graph.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("n")) \
-                 .select(F.col("node").alias("member"), F.when(F.col("n") >= K, F.col("worst")).otherwise(-2.0)
-                         .cast("float").alias("worst"))
-    vectors = nodes.select(F.col("node").alias("member"), "single")
+    some = worst is not None
+    worst, absent = (worst, F.lit(2.0).cast("float")) if some else (_worst(graph), F.lit(-2.0).cast("float"))
+    label = F.col("label") if "label" in nodes.columns else F.col("node")
+    vectors = nodes.select(F.col("node").alias("member"), "single", label.alias("label"))
     local = members.join(vectors, "member").join(worst, "member", "left").groupBy("at", "crowd").agg(
-        F.collect_list(F.struct("member", "fresh", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"),
-                                "single")).alias("members"))
+        F.collect_list(F.struct("member", "fresh", F.coalesce("worst", absent).alias("worst"),
+                                "single", "label")).alias("members"), F.max("fresh").alias("any"))
+    if some:
+        local = local.where("any")
     names = ["kind", "node", "nbr", "sim"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,11 +312,13 @@ def around(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
             lists = b.column("members")
             ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             flat = lists.flatten()
-            ids, fresh, worst = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("member", "fresh", "worst"))
+            ids, fresh, worst, label = (flat.field(c).to_numpy(zero_copy_only=False)
+                                        for c in ("member", "fresh", "worst", "label"))
             x = _matrix(flat.field("single").to_pylist(), np.float32)
             kinds, nodes_, nbrs, sims = [], [], [], []
             for lo, hi in zip(ends[:-1], ends[1:]):
                 s = x[lo:hi] @ x[lo:hi].T
+                s[label[lo:hi, None] == label[None, lo:hi]] = -2
                 new = fresh[lo:hi, None] | fresh[None, lo:hi]
                 np.fill_diagonal(new, False)
                 better = new & (s > worst[lo:hi, None])
@@ -303,10 +328,10 @@ def around(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
                 linked = s >= threshold + SLACK
                 np.fill_diagonal(linked, False)
                 if linked.any():
-                    label = stars(linked)
-                    far = np.flatnonzero(label != np.arange(hi - lo))
+                    least = stars(linked)
+                    far = np.flatnonzero(least != np.arange(hi - lo))
                     kinds.append(np.full(len(far), "s")), nodes_.append(ids[lo + far])
-                    nbrs.append(ids[lo + label[far]]), sims.append(np.ones(len(far)))
+                    nbrs.append(ids[lo + least[far]]), sims.append(np.ones(len(far)))
                 i, j = np.nonzero(np.triu(np.abs(s - threshold) < SLACK, 1))
                 if len(i):
                     kinds.append(np.full(len(i), "c")), nodes_.append(ids[lo + i])
@@ -334,8 +359,8 @@ def checked(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return both.select("node", "nbr", "x", "y").mapInArrow(run, "node long, nbr long")
 
 
-def descend(nodes: DataFrame, found: DataFrame, threshold: float, rounds: int) -> DataFrame:
-    """Links (a, b) met by the start and the rounds of descent."""
+def descend(nodes: DataFrame, found: DataFrame, threshold: float, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) met by the start and the rounds of descent, and the lists."""
     found = stage(found, "nnd-start")
     links = [found.where("kind = 's'").select("node", "nbr")]
     graph = stage(nearest(found.where("kind = 'n'").select("node", "nbr", "sim", F.lit(True).alias("fresh"))), "nnd-graph")
@@ -350,12 +375,48 @@ def descend(nodes: DataFrame, found: DataFrame, threshold: float, rounds: int) -
             break
     # the lists themselves, in double precision where single precision came near
     links.append(checked(graph.where(F.col("sim") >= threshold - SLACK), nodes, threshold))
-    out = links[0]
-    for more in links[1:]:
+    return _links(links), graph
+
+
+def _links(found: list[DataFrame]) -> DataFrame:
+    out = found[0]
+    for more in found[1:]:
         out = out.union(more)
     return out.select(F.col("node").alias("a"), F.col("nbr").alias("b"))
 
 
+def enlarge(nodes: DataFrame, graph: DataFrame, labels: DataFrame, threshold: float, trees: int, seed: int,
+            rounds: int) -> DataFrame:
+    """Links (a, b) between components that saturated lists had no room for.
+
+    Nodes whose K entries all reach the threshold get K more: the nearest of
+    other components.  Trees start these lists, and rounds of local joins over
+    both lists improve them; nodes of one component are not compared again."""
+    full = stage(graph.groupBy("node").agg(F.min("sim").alias("least"), F.count("*").alias("n"))
+                 .where((F.col("n") >= K) & (F.col("least") >= threshold - SLACK)).select("node"), "nnd-full")
+    none = full.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    if full.isEmpty():
+        return none
+    named = stage(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "nnd-named")
+    inside = stage(graph.withColumn("fresh", F.lit(False)), "nnd-inside")
+    found = stage(start(named, trees, seed, threshold), "nnd-outside")
+    links = [found.where("kind = 's'").select("node", "nbr")]
+    near = lambda f: f.where("kind = 'n' and sim > -2").join(full, "node", "left_semi").select(
+        "node", "nbr", "sim", F.lit(True).alias("fresh"))
+    lists = stage(nearest(near(found)), "nnd-lists")
+    for _ in range(rounds):
+        worst = full.withColumnRenamed("node", "member").join(_worst(lists), "member", "left") \
+                    .select("member", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"))
+        found = stage(around(inside.union(lists), named, threshold, worst), "nnd-outside")
+        links += [found.where("kind = 's'").select("node", "nbr"),
+                  checked(found.where("kind = 'c'"), nodes, threshold)]
+        lists = stage(nearest(lists.withColumn("fresh", F.lit(False)).union(near(found))), "nnd-lists")
+        if (lists.agg(F.avg(F.col("fresh").cast("int")).alias("share")).first()["share"] or 0) <= STILL:
+            break
+    links.append(checked(lists.where(F.col("sim") >= threshold - SLACK), nodes, threshold))
+    return _links(links)
+
+
 # ---------------------------------------------------------------- audit
 
 def audit(nodes: DataFrame, labels: DataFrame, threshold: float, queries: int = QUERIES) -> tuple[float, DataFrame]:
@@ -512,16 +573,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     nodes = rows.where("unit is not null").groupBy("unit", "dim").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     nodes = stage(singles(nodes.withColumn("node", F.monotonically_increasing_id())), "nnd-nodes")
-    edges = descend(nodes, start(nodes, trees, 1, threshold), threshold, rounds)
+    edges, graph = descend(nodes, start(nodes, trees, 1, threshold), threshold, rounds)
     for attempt in (2, 3, 4):
-        edges = stage(edges.distinct(), "nnd-links")
-        labels = components(edges, "nnd-components")
+        edges, labels = joined(nodes, graph, edges, threshold, attempt, rounds)
         recall, missing = audit(nodes, labels, threshold)
         edges = edges.union(missing)
         if recall >= RECALL:
             break
         trees *= 2
-        edges = edges.union(descend(nodes, start(nodes, trees, attempt, threshold), threshold, rounds))
+        more, graph = descend(nodes, start(nodes, trees, attempt, threshold), threshold, rounds)
+        edges = edges.union(more)
     if not missing.isEmpty():
         labels = components(edges, "nnd-components")
     counted = count_links(nodes, labels, threshold)
@@ -535,6 +596,22 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     return out.union(alone).withColumn("kept", F.expr("vec_id <=> component_id"))
 
 
+def joined(nodes: DataFrame, graph: DataFrame, edges: DataFrame, threshold: float, seed: int,
+           rounds: int) -> tuple[DataFrame, DataFrame]:
+    """(links, components) after saturated lists were enlarged until that joins
+    no further components."""
+    edges = stage(edges.distinct(), "nnd-links")
+    labels = components(edges, "nnd-components")
+    for turn in itertools.count(1):
+        more = stage(enlarge(nodes, graph, labels, threshold, OUTSIDE_TREES, 1000 * seed + turn, rounds).distinct(),
+                     "nnd-enlarged")
+        if more.isEmpty():
+            return edges, labels
+        # links between components, so that each turn leaves fewer of them
+        edges = stage(edges.union(more).distinct(), "nnd-links")
+        labels = components(edges, "nnd-components")
+
+
 def singles(nodes: DataFrame) -> DataFrame:
     """`nodes` with `single`, the unit vector in single precision."""
     schema = nodes.select("*").schema.add("single", "binary")

@@ -121,6 +121,24 @@ def test_crowded_leaves_are_cut_by_projections(frame, monkeypatch):
     assert sum(r.node // 2 == r.nbr // 2 for r in found) >= 270
 
 
+def test_saturated_lists_are_enlarged_outside_their_component(frame):
+    """Two tight groups of 30, a few of whose members link: every list is full
+    of its own group, and the links between them are still found."""
+    rng = np.random.default_rng(6)
+    angle = np.concatenate([np.full(28, 0.0), [0.1, 0.1], np.full(28, 0.5), [0.4, 0.4]])   # cos 0.3 > 0.95 > cos 0.4
+    x = np.stack([np.cos(angle), np.sin(angle), *np.zeros((6, 60))], axis=1) + 0.001 * rng.normal(size=(60, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    nodes = nnd.singles(_nodes(frame, x))
+    s = x @ x.T - 2 * np.eye(60)
+    graph = frame([(i, int(j), float(s[i, j]), False) for i in range(60) for j in np.argsort(-s[i])[:nnd.K]
+                   if (i < 30) == (j < 30)], "node long, nbr long, sim float, fresh boolean")
+    assert graph.count() == 60 * nnd.K and graph.where("sim < 0.95").isEmpty()
+    edges = graph.selectExpr("node as a", "nbr as b").union(
+        frame([(i, i - i % 30) for i in range(60)], "a long, b long"))
+    _, labels = nnd.joined(nodes, graph, edges, 0.95, 1, nnd.ROUNDS)
+    assert {r.label for r in labels.collect()} == {0}
+
+
 def test_edge_cases(frame):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 1.0]),
