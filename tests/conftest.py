@@ -3,11 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
-
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(HERE)]
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,10 +12,3 @@ def spark():
     s = session.local_session("*", shuffle_partitions=8, app="shopfloor-tests")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collect as sorted tuples (optionally a column subset)."""
-    if cols:
-        df = df.select(*cols)
-    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is None, v) for v in t))

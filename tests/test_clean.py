@@ -1,6 +1,6 @@
 """Cleaning semantics Q1-Q5 on hand-made rows."""
 
-from conftest import rows
+from core_helpers import rows
 from shopfloor.operators.clean import clean_sensor_data
 
 SCHEMA = "row_no long, machine string, temperature double, pressure double, vibration double, power double"

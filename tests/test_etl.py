@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from core_helpers import SF0001
 from shopfloor.operators.integrate import NullKeyPairs
 from shopfloor.plans import etl
 from shopfloor.sources import csv as csvsrc

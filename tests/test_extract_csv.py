@@ -4,7 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
-from conftest import SF0001
+from core_helpers import SF0001
 from shopfloor.operators.ordered import ordered_pass
 from shopfloor.sources import csv as csvsrc
 from shopfloor.sources import extract, fixtures

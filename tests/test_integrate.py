@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import SF0001, rows
+from core_helpers import SF0001, rows
 from shopfloor.operators import integrate
 from shopfloor.operators.integrate import join_sensor_quality
 from shopfloor.plans import pipeline

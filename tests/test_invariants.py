@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from core_helpers import SF001
 from shopfloor.operators.clean import clean_sensor_data
 from shopfloor.plans import pipeline
 from shopfloor.schemas import SENSOR_RANGES

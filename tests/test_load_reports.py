@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001, rows
+from core_helpers import SF0001, rows
 from shopfloor.functions import roles
 from shopfloor.functions.scalars import hour_bucket
 from shopfloor.operators import load

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF0001, rows
+from core_helpers import SF0001, rows
 from shopfloor.functions.scalars import in_range, null_error_codes
 from shopfloor.operators.ordered import RowOrder, ordered_pass
 from shopfloor.schemas import SENSOR_RANGES

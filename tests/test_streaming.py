@@ -8,7 +8,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001, rows
+from core_helpers import SF0001, rows
 from shopfloor.operators.summary import hourly_summary
 from shopfloor.plans import pipeline
 from shopfloor.plans.reports import round_doubles
