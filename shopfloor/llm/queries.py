@@ -7,18 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, docstats, mixing, nn_descent, pu_quality, quality_rules, resharding, simhash_vp, toxicity, warc
+from . import align, bpe, chat, docstats, mixing, nn_descent, pu_quality, quality_rules, resharding, simhash_vp, toxicity, warc
 from .common import fresh_path, stage, table
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED = [5, 2, 1], 3, 17
 SHINGLE, BITS = 3, 2
 OLD_SHARDS, SHARDS = 20, 24
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,10 +126,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = align.align(docs, vocabulary_path(), vocabulary_path(PIECES))
+    aligned = stage(aligned.withColumn("mark", F.monotonically_increasing_id()), "op11")
+    return aligned.join(align.rate_links(aligned, "mark"), "mark", "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", F.size("links").cast("long").alias("n_links"),
+        F.coalesce("n_best", F.lit(0)).alias("n_best"), F.coalesce("count_sum", F.lit(0)).alias("count_sum"),
+        "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_mixing": op3_mixing, "op4_quality": op4_quality,
             "op5_nn_descent": op5_nn_descent,
-            "op6_resharding": op6_resharding, "op7_rules": op7_rules, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
+            "op6_resharding": op6_resharding, "op7_rules": op7_rules, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity,
+            "op10_simhash": op10_simhash, "op11_alignment": op11_alignment}
 
 
 def oracle_sql() -> dict[str, str]:
