@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, bpe, chat, docstats, mixing, nn_descent, pu_quality, quality_rules, resharding, simhash_vp, toxicity, turn_repair, warc
+from . import align, bpe, chat, docstats, html_main, mixing, nn_descent, pu_quality, quality_rules, resharding, simhash_vp, toxicity, turn_repair, warc
 from .common import fresh_path, stage, table
 
 VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -137,6 +137,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "groups_sha256")
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_main.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     messages, audits = turn_repair.repair(turn_repair.damage(rows))
@@ -236,6 +241,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "op5_nn_descent": op5_nn_descent,
             "op6_resharding": op6_resharding, "op7_rules": op7_rules, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity,
             "op10_simhash": op10_simhash, "op11_alignment": op11_alignment,
+            "op12_main_text": op12_main_text,
             "op13_turn_repair": op13_turn_repair}
 
 
