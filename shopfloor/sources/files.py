@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no such folder."""
+    store, where = _located(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(where)] if store.exists(where) else []
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder with all it holds; False when there is none."""
     store, where = _located(spark, path)

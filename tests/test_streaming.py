@@ -13,7 +13,7 @@ from shopfloor.operators.summary import hourly_summary
 from shopfloor.plans import pipeline
 from shopfloor.plans.reports import round_doubles
 from shopfloor.sources import fixtures
-from shopfloor.streaming import cleaning, hourly, incremental
+from shopfloor.streaming import cleaning, hourly, incremental, snapshots
 
 
 def test_stream_clean_equals_batch_across_batches(spark):
@@ -167,30 +167,116 @@ def test_incremental_load_on_disk(spark):
     for load in (first, second, second):                                       # a repeated load changes nothing
         incremental.incremental_load(spark, base, load)
     want = _want(spark)
-    assert rows(spark.read.parquet(f"{base}/joined").select(*want.columns)) == rows(want)
+    assert rows(incremental.read_joined(spark, base).select(*want.columns)) == rows(want)
     summary = hourly_summary(want)
-    got = spark.read.parquet(f"{base}/hourly_summary").select(*summary.columns)
+    got = incremental.read_summary(spark, base).select(*summary.columns)
     assert rows(round_doubles(got)) == rows(round_doubles(summary))
-    assert "day=2024-01-03" not in os.listdir(f"{base}/joined") + os.listdir(f"{base}/hourly_summary")
+    gone = dt.date(2024, 1, 3)
+    now = snapshots.current(spark, base)
+    assert gone not in now.days("joined") | now.days("hourly_summary")
 
 
-def test_incremental_load_leaves_other_days_alone_and_finishes_a_crashed_one(spark):
+def test_incremental_load_leaves_other_days_alone(spark):
     joined = pipeline.from_sf_dir(spark, SF0001).joined
-    base = tempfile.mkdtemp(prefix="sf-crash-")
-    first, rest = joined.where("row_no < 700"), joined.where("row_no >= 600 and timestamp is not null")
-    incremental.incremental_load(spark, base, first)
-    early = {d: os.path.getmtime(f"{base}/hourly_summary/{d}") for d in os.listdir(f"{base}/hourly_summary")
-             if d.startswith("day=2024-01-0")}
-    # a crash after the table was changed and before the summary: the note stays
-    days = rest.select(F.to_date("timestamp").alias("day")).distinct()
-    days.write.parquet(f"{base}/_pending/load=crashed")
-    more = rest.withColumn("day", F.to_date("timestamp"))
-    more.join(first.select("record_id"), "record_id", "left_anti").select(*more.columns) \
-        .write.mode("append").partitionBy("day").parquet(f"{base}/joined")
-    incremental.incremental_load(spark, base, joined.where("row_no >= 990"))
-    assert early and all(os.path.getmtime(f"{base}/hourly_summary/{d}") == m for d, m in early.items())
-    stored = spark.read.parquet(f"{base}/joined").drop("day")
-    full = hourly_summary(stored)
-    got = spark.read.parquet(f"{base}/hourly_summary")
-    assert rows(round_doubles(got.select(*full.columns))) == rows(round_doubles(full))
-    assert not os.path.exists(f"{base}/_pending")
+    base = tempfile.mkdtemp(prefix="sf-days-")
+    before = incremental.incremental_load(spark, base, joined.where("row_no < 700"))
+    after = incremental.incremental_load(spark, base, joined.where("row_no >= 600 and timestamp is not null"))
+    touched = {r[0] for r in joined.where("row_no >= 600").select(F.to_date("timestamp")).distinct().collect()}
+    old = {e for e in before.folders if e[1] not in touched}
+    assert old and old <= set(after.folders)
+    want = joined.where("row_no < 700 or timestamp is not null")
+    assert rows(incremental.read_joined(spark, base).select(*want.drop("record_id").columns)) == rows(want.drop("record_id"))
+    full = hourly_summary(want)
+    assert rows(round_doubles(incremental.read_summary(spark, base).select(*full.columns))) == rows(round_doubles(full))
+
+
+def _raw(spark):
+    return fixtures.sensor_raw(spark, SF0001), fixtures.quality_raw(spark, SF0001)
+
+
+def test_deliveries_built_apart_keep_every_reading(spark):
+    """Record ids start anew in every build; the readings are told apart all the same."""
+    sensor, quality = _raw(spark)
+    whole = pipeline.build(sensor, quality).joined
+    base = tempfile.mkdtemp(prefix="sf-apart-")
+    parts = [pipeline.build(sensor.where(cut), quality).joined for cut in ("row_no < 500", "row_no >= 500")]
+    for part in (*parts, parts[0]):
+        incremental.incremental_load(spark, base, part)
+    got = incremental.read_joined(spark, base)
+    assert rows(got, "row_no", "row_no_quality") == rows(whole, "row_no", "row_no_quality")
+    ids = rows(got.select("row_no", "record_id").distinct())
+    assert len(ids) == len({i for _, i in ids}) == sensor.count()
+
+
+def test_raw_deliveries_equal_one_run(spark):
+    whole = pipeline.from_sf_dir(spark, SF0001)
+    base = tempfile.mkdtemp(prefix="sf-deliver-")
+    parts = incremental.raw_deliveries(spark, SF0001)
+    for k, (sensor, quality) in enumerate(parts):
+        done = incremental.deliver(spark, base, sensor, quality, name=f"d{k}")
+    assert incremental.deliver(spark, base, *parts[1], name="d1").version == done.version      # repeated
+    assert incremental.deliver(spark, base, None, parts[3][1], name="d3").version == done.version
+    with pytest.raises(incremental.DeliveryChanged):
+        incremental.deliver(spark, base, parts[0][0], None, name="d1")
+    got = incremental.read_joined(spark, base)
+    assert rows(got.select(*whole.joined.columns)) == rows(whole.joined)
+    summary = incremental.read_summary(spark, base)
+    assert rows(round_doubles(summary.select(*whole.hourly.columns))) == rows(round_doubles(whole.hourly))
+
+
+def test_delivery_without_name_readings_or_inspections(spark):
+    sensor, quality = _raw(spark)
+    base = tempfile.mkdtemp(prefix="sf-odd-")
+    assert incremental.read_joined(spark, base) is None
+    incremental.deliver(spark, base, None, quality.where("row_no < 400"))            # before any reading
+    assert incremental.read_joined(spark, base) is None
+    incremental.deliver(spark, base, sensor.where("row_no < 300"))
+    incremental.deliver(spark, base, sensor.where("row_no >= 300 and row_no < 600"), quality.where(F.lit(False)))
+    last = incremental.deliver(spark, base, sensor.where(F.lit(False)), quality.where("row_no >= 400"))
+    assert incremental.deliver(spark, base, sensor.where("row_no < 300")).version == last.version
+    want = pipeline.build(sensor.where("row_no < 600"), quality).joined
+    got = incremental.read_joined(spark, base)
+    assert rows(got.select(*want.columns)) == rows(want)
+
+
+@pytest.mark.parametrize("step", ["hourly_summary", "manifest"])
+def test_a_load_that_dies_leaves_the_old_pair(spark, monkeypatch, step):
+    sensor, quality = _raw(spark)
+    base = tempfile.mkdtemp(prefix="sf-dies-")
+    first = incremental.deliver(spark, base, sensor.where("row_no < 500"), quality.where("row_no < 500"))
+    before = rows(incremental.read_joined(spark, base)), rows(incremental.read_summary(spark, base))
+
+    def dies(*args, real=snapshots.write, **kw):
+        if step == "manifest":
+            raise RuntimeError("lost")
+        entries = real(*args)
+        if args[2] == step:
+            raise RuntimeError("lost")                                             # its files stand, nothing names them
+        return entries
+
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, "commit" if step == "manifest" else "write", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            incremental.deliver(spark, base, sensor.where("row_no >= 500"), quality.where("row_no >= 500"))
+    os.makedirs(f"{base}/manifests/version={first.version + 1}")                   # a manifest write that died
+    assert snapshots.current(spark, base).version == first.version
+    assert (rows(incremental.read_joined(spark, base)), rows(incremental.read_summary(spark, base))) == before
+    assert step == "manifest" or snapshots.drop_unnamed(spark, base) > 0
+    incremental.deliver(spark, base, sensor.where("row_no >= 500"), quality.where("row_no >= 500"))
+    want = pipeline.build(sensor, quality)
+    assert rows(incremental.read_joined(spark, base).select(*want.joined.columns)) == rows(want.joined)
+
+
+def test_readers_of_an_old_version_and_superseded_folders(spark):
+    sensor, quality = _raw(spark)
+    base = tempfile.mkdtemp(prefix="sf-old-")
+    versions = [incremental.deliver(spark, base, sensor.where(f"row_no >= {lo} and row_no < {lo + 300}"),
+                                    quality if lo == 600 else None) for lo in (0, 300, 600)]
+    old = pipeline.build(sensor.where("row_no < 300"), quality.where("row_no < 0")).joined
+    assert rows(incremental.read_joined(spark, base, versions[0]).select(*old.columns)) == rows(old)
+    now = rows(incremental.read_joined(spark, base))
+    assert snapshots.drop_superseded(spark, base, keep=2) > 0
+    assert rows(incremental.read_joined(spark, base)) == now
+    assert incremental.read_joined(spark, base, versions[1]).count() > 0
+    with pytest.raises(snapshots.ConcurrentLoad):
+        snapshots.commit(spark, base, versions[1], {})
