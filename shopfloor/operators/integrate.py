@@ -3,7 +3,7 @@
 LEFT equi-join on (time, machine) -- or time alone when a side has no
 machine/line column -- with the reference's key rule: NULL matches NULL
 (``null_keys='match'``, pandas merge).  ``null_keys='sql'`` gives the SQL
-rule instead.
+rule instead, ``'none'`` says that neither side holds a NULL key.
 
 Scale notes
 * Stays an equi-join (hash / sort-merge), never a nested loop.
@@ -12,7 +12,11 @@ Scale notes
   with a NULL key takes one of ``null_salt`` salts, the right NULL-key rows
   are copied once per salt, and the salt joins the key.  Every match is
   still produced exactly once, and the hot group spreads over
-  ``null_salt`` tasks.  Non-NULL hot keys are left to AQE's skew-join split.
+  ``null_salt`` tasks.
+* Hot real keys, which a heavy-hitter sketch finds (``key_profile``), are salted
+  on both sides (``hot``): their left rows take one of S salts, their right rows one
+  of T, and each is copied over the other side's salts, so S x T tasks share the
+  key.  What the sketch leaves out is split by AQE where it must be.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ STATUS_COL = "quality_status"
 DEFAULT_NULL_SALT = 16           # where the NULL rows were not counted
 ROWS_PER_SALT, MAX_SALT = 50_000, 4_096
 MAX_NULL_PAIRS = 1_000_000_000   # NULL = NULL output rows a job may write unless told otherwise
+HOT_KEYS, SKETCH_ITEMS = 64, 8_192    # keys that are salted, at most; entries of the heavy-hitter sketch
+MAX_HOT_SALT = 256
 
 
 class NullKeyPairs(ValueError):
@@ -73,8 +79,9 @@ def latest_per_key(quality: DataFrame, keys: list[str], order_col: str) -> DataF
 
 def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys: str = "match",
                         null_salt: int = DEFAULT_NULL_SALT, check_empty: bool = True,
-                        dedupe_checks: str = "none", checks_order: str | None = None) -> DataFrame:
-    """Left join + quality_status.
+                        dedupe_checks: str = "none", checks_order: str | None = None,
+                        hot: dict[int, tuple[int, int]] | None = None) -> DataFrame:
+    """Left join + quality_status.  ``hot``: see ``hot_salts``.
 
     ``check_empty`` reproduces "no quality rows -> only sensor columns"
     with a one-row probe job; without it an empty quality side simply
@@ -83,8 +90,8 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
     ``checks_order``, default ``row_no`` or ``record_id``) of each join key,
     so a reading is never repeated (the reference's fan-out is the default).
     """
-    if null_keys not in ("match", "sql"):
-        raise ValueError("null_keys must be 'match' or 'sql'")
+    if null_keys not in ("match", "sql", "none"):
+        raise ValueError("null_keys must be 'match', 'sql' or 'none'")
     if dedupe_checks not in ("none", "latest"):
         raise ValueError("dedupe_checks must be 'none' or 'latest'")
     if quality is None:
@@ -118,24 +125,15 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
     right = quality.select(*[F.col(q).alias(rk) for (_, q), rk in zip(keys, right_keys)],
                            *[F.col(c).alias(n) for c, n in renames.items()])
 
-    if null_keys == "sql":
-        joined = left_join_sql_nulls(sensor, right, [(s, rk) for (s, _), rk in zip(keys, right_keys)],
-                                     null_salt)
+    pairs = [(s, rk) for (s, _), rk in zip(keys, right_keys)]
+    if hot and dedupe_checks == "none":
+        hot_left, hot_right = (F.xxhash64(*[F.col(c) for c in names]).isin(*hot) for names in zip(*pairs))
+        hot_left = hot_left & ~_any_null([F.col(s) for s, _ in pairs])      # a hash may meet another key's
+        hot_right = hot_right & ~_any_null([F.col(rk) for _, rk in pairs])
+        joined = _left_join(sensor.where(~hot_left), right.where(~hot_right), pairs, null_keys, null_salt).unionByName(
+            _hot_join(sensor.where(hot_left), right.where(hot_right), pairs, hot))
     else:
-        salt = max(1, int(null_salt))
-        left_null = _any_null([F.col(s) for s, _ in keys])
-        right_null = _any_null([F.col(rk) for rk in right_keys])
-        # left: NULL-key rows spread over salts by a hash of the whole row
-        left = sensor.withColumn(
-            "__salt", F.when(left_null, F.pmod(F.xxhash64(*[F.col(c) for c in sensor.columns]),
-                                               F.lit(salt))).otherwise(F.lit(0)).cast("int"))
-        # right: NULL-key rows copied once per salt, the rest once
-        right = right.withColumn(
-            "__rsalt", F.explode(F.when(right_null, F.sequence(F.lit(0), F.lit(salt - 1)))
-                                .otherwise(F.array(F.lit(0)))))
-        cond = [F.col(s).eqNullSafe(F.col(rk)) for (s, _), rk in zip(keys, right_keys)]
-        cond.append(F.col("__salt") == F.col("__rsalt"))
-        joined = left.join(right, on=_and(cond), how="left")
+        joined = _left_join(sensor, right, pairs, null_keys, null_salt)
 
     out_cols = [F.col(c) for c in sensor.columns]
     out_cols += [F.col(n) for n in renames.values()]
@@ -145,6 +143,75 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
     return joined.withColumn(STATUS_COL, quality_status(F.col(rcol) if rcol else None))
 
 
+def _left_join(sensor: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], null_keys: str,
+               null_salt: int) -> DataFrame:
+    """LEFT equi-join under one of the three rules for NULL keys."""
+    if null_keys == "none":
+        return sensor.join(right, _and([F.col(s) == F.col(rk) for s, rk in pairs]), "left")
+    if null_keys == "sql":
+        return left_join_sql_nulls(sensor, right, pairs, null_salt)
+    salt = max(1, int(null_salt))
+    left_null = _any_null([F.col(s) for s, _ in pairs])
+    right_null = _any_null([F.col(rk) for _, rk in pairs])
+    # left: NULL-key rows spread over salts by a hash of the whole row
+    left = sensor.withColumn(
+        "__salt", F.when(left_null, F.pmod(F.xxhash64(*[F.col(c) for c in sensor.columns]),
+                                           F.lit(salt))).otherwise(F.lit(0)).cast("int"))
+    # right: NULL-key rows copied once per salt, the rest once
+    right = right.withColumn(
+        "__rsalt", F.explode(F.when(right_null, F.sequence(F.lit(0), F.lit(salt - 1)))
+                            .otherwise(F.array(F.lit(0)))))
+    cond = [F.col(s).eqNullSafe(F.col(rk)) for s, rk in pairs]
+    cond.append(F.col("__salt") == F.col("__rsalt"))
+    return left.join(right, on=_and(cond), how="left").drop("__salt", "__rsalt")
+
+
+def _hot_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
+              hot: dict[int, tuple[int, int]]) -> DataFrame:
+    """LEFT equi-join of the rows of hot keys, dealt over S x T salts each."""
+    def salts(side: int, names: list[str]) -> Column:
+        sizes = F.create_map(*[F.lit(x) for h, st in hot.items() for x in (h, st[side])])
+        return F.element_at(sizes, F.xxhash64(*[F.col(c) for c in names]))
+
+    own, other = [s for s, _ in pairs], [rk for _, rk in pairs]
+
+    def dealt(df: DataFrame, names: list[str], side: int) -> DataFrame:
+        # by content, so that a task that is run again deals its rows as before
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), salts(side, names)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), salts(1 - side, names) - F.lit(1)))
+        first, second = ("__s", "__t") if side == 0 else ("__rt", "__rs")
+        return df.withColumn(first, spread).withColumn(second, copies)
+
+    equal = [F.col(s) == F.col(rk) for s, rk in pairs]
+    met = dealt(left, own, 0).join(dealt(right, other, 1), _and([*equal, F.col("__s") == F.col("__rs"),
+                                                                 F.col("__t") == F.col("__rt")])).drop("__s", "__t", "__rs", "__rt")
+    keys = right.select(*other).distinct()                                   # a few: they are combined before the shuffle
+    alone = left.join(keys, _and(equal), "left_anti")
+    return met.unionByName(alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
+
+
+def key_profile(df: DataFrame, keys: list[str], aggs: list[Column] | None = None):
+    """One job over the key columns: rows (``rows``), rows with a NULL key
+    (``null_rows``), a heavy-hitter sketch of the other keys' hashes (``heavy``:
+    hash and estimate), and further aggregates."""
+    absent = _any_null([F.col(c) for c in keys])
+    frame = df.withColumn("__key", F.when(~absent, F.xxhash64(*[F.col(c) for c in keys])))
+    return frame.agg(F.count(F.lit(1)).alias("rows"), F.count_if(absent).alias("null_rows"),
+                     F.expr(f"approx_top_k(__key, {HOT_KEYS}, {SKETCH_ITEMS})").alias("heavy"), *(aggs or [])).first()
+
+
+def hot_salts(left, right, rows_per_salt: int = ROWS_PER_SALT) -> dict[int, tuple[int, int]]:
+    """Key hash -> (left salts, right salts), of the keys that either profile shows
+    with more than ``rows_per_salt`` rows.  The sketches name no key that is not
+    frequent, and miss none that has more than about 1/6,000 of a side's rows."""
+    def salts(profile) -> dict[int, int]:
+        return {h.item: min(MAX_HOT_SALT, -(-h["count"] // rows_per_salt)) for h in profile["heavy"] or []
+                if h.item is not None and h["count"] > rows_per_salt} if profile is not None else {}
+
+    a, b = salts(left), salts(right)
+    return {h: (a.get(h, 1), b.get(h, 1)) for h in sorted(a.keys() | b.keys())}
+
+
 def left_join_sql_nulls(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
                         null_salt: int = DEFAULT_NULL_SALT) -> DataFrame:
     """LEFT equi-join with the SQL rule (a NULL key matches nothing).

@@ -42,7 +42,8 @@ ACCURACY_PER_BUCKET = 20         # rank error of a quantile: 1/20 of a bucket
 class RowOrder:
     """How rows are ordered: buckets (compared left to right) then a sequence.
 
-    ``numeric(col)`` buckets a unique numeric position by quantiles;
+    ``numeric(col)`` buckets a unique numeric position by quantiles (``cuts``, if the
+    caller has them from a job of its own, else one job finds them);
     ``explicit(bucket_cols, seq)`` uses columns that already name the bucket,
     e.g. a file and split start for a scan.
     """
@@ -50,10 +51,11 @@ class RowOrder:
     seq: str
     bucket_exprs: tuple = field(default=())
     bucket_names: tuple = field(default=("__bucket",))
+    cuts: tuple[float, ...] | None = None
 
     @staticmethod
-    def numeric(col: str) -> "RowOrder":
-        return RowOrder(seq=col)
+    def numeric(col: str, cuts: list[float] | None = None) -> "RowOrder":
+        return RowOrder(seq=col, cuts=None if cuts is None else tuple(cuts))
 
     @staticmethod
     def explicit(bucket_cols: list[str], seq: str) -> "RowOrder":
@@ -61,19 +63,25 @@ class RowOrder:
                         bucket_names=tuple(f"__bucket{i}" for i in range(len(bucket_cols))))
 
 
-def _quantiles(df: DataFrame, col: str, parts: int) -> tuple[int, list]:
-    """(rows, values at k/parts) of a column."""
+def quantile_aggs(col: str, parts: int = GRID) -> list[Column]:
+    """Aggregates that ``bucket_cuts`` reads: rows (``n``) and the values at k/parts (``at``)."""
     at = F.percentile_approx(col, [k / parts for k in range(1, parts)], ACCURACY_PER_BUCKET * parts)
-    row = df.agg(F.count(col).alias("n"), at.alias("at")).first()
+    return [F.count(col).alias("n"), at.alias("at")]
+
+
+def _quantiles(df: DataFrame, col: str, parts: int) -> tuple[int, list]:
+    row = df.agg(*quantile_aggs(col, parts)).first()
     return row["n"], row["at"] or []
 
 
-def bucket_cuts(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
-    """Increasing inner edges of the buckets of a numeric position."""
+def bucket_cuts(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+                seen: tuple[int, list] | None = None) -> list[float]:
+    """Increasing inner edges of the buckets of a numeric position.  ``seen``: rows
+    and quantiles that a job of the caller's found with ``quantile_aggs``."""
     if rows_per_bucket < 1:
         raise ValueError("rows per bucket must be positive")
     parts = GRID
-    n, at = _quantiles(df, col, parts)
+    n, at = seen or _quantiles(df, col, parts)
     want = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n // rows_per_bucket)))
     if want > parts:
         parts = want
@@ -87,7 +95,7 @@ def _bucketed_rows(df: DataFrame, order: RowOrder, rows_per_bucket: int) -> Data
     if order.bucket_exprs:
         return df.select("*", *[e.alias(n) for e, n in zip(order.bucket_exprs, order.bucket_names)])
     (name,) = order.bucket_names
-    cuts = bucket_cuts(df, order.seq, rows_per_bucket)
+    cuts = bucket_cuts(df, order.seq, rows_per_bucket) if order.cuts is None else list(order.cuts)
     if not cuts:
         return df.select("*", F.lit(0).cast("long").alias(name))
     # a binary search in the JVM; only its monotony matters, so positions that

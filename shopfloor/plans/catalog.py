@@ -249,7 +249,7 @@ def q_quality_status(spark, sf_dir):
 @register("quality_status_distribution",
           "SELECT quality_status, count(*) AS count FROM joined GROUP BY quality_status")
 def q_quality_status_distribution(spark, sf_dir):
-    return integrate.quality_status_distribution(_pipe(spark, sf_dir).joined)
+    return _pipe(spark, sf_dir).status_distribution
 
 
 @register("restandardize_quality", "SELECT record_id, record_id_quality, quality_status FROM joined")

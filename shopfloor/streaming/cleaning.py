@@ -28,14 +28,20 @@ from .. import session
 from ..functions import roles
 from ..operators.clean import clean_sensor_data
 from ..operators.standardize import POSITION_COL, standardize_data
-from ..sources.files import parquet_if_any
+from ..sources.files import children, parquet_if_any
 
 
 def _read_carry(spark: SparkSession, state_dir: str, batch_id: int) -> Row | None:
-    """The carry of the latest earlier batch.  None only where no carry was ever
-    written; a stream that has written carries and lost the earlier ones fails."""
-    carries = parquet_if_any(spark, f"{state_dir}/carry")
-    row = None if carries is None else carries.where(F.col("batch") < batch_id).orderBy(F.desc("batch")).first()
+    """The carry of the latest earlier batch (that folder alone is read).  None only
+    where no carry was ever written; a stream that has written carries and lost the
+    earlier ones fails."""
+    row = None
+    earlier = [int(n.removeprefix("batch=")) for n in children(spark, f"{state_dir}/carry") if n.startswith("batch=")]
+    for batch in sorted((b for b in earlier if b < batch_id), reverse=True):
+        carry = parquet_if_any(spark, f"{state_dir}/carry/batch={batch}")     # None: its write died
+        if carry is not None:
+            row = carry.first()
+            break
     if row is None and batch_id > 0:
         raise RuntimeError(f"batch {batch_id} has no carry to continue from in {state_dir}/carry")
     return row

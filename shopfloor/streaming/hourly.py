@@ -1,16 +1,19 @@
 """Streaming hourly summary and defect alerts.
 
 Every micro-batch reduces its joined readings to mergeable statistics per hour
-group (count, mean, second moment, min, max, checks, defects) and writes them
-under its batch id, so a retried batch overwrites its own rows and nothing is
-counted twice.  Merging the batches gives every window:
+group (count, mean, second moment, min, max, checks, defects).  The state is a
+versioned store (``snapshots``) of three tables, committed once per batch with the
+latest event time and the batch id, so a batch that is retried counts once:
 
-* ``closed`` windows ended at least ``delay`` before the latest event time;
-* ``open`` windows are delivered too, marked as such;
-* rows that arrive after their window closed are merged like any other, and
-  listed in the ``late`` output of their batch.
+* ``open``: statistics of the windows that may still get rows in time;
+* ``windows``: those of the windows that ended at least ``delay`` before the latest
+  event time, one row each, by day;
+* ``alerts``: the last word on every closed window, by day.
+
+A batch reads the open windows, its own rows and the days of windows that it closes
+or that its late rows change -- not what earlier batches left behind.  Late rows are
+merged like any other and listed in the ``late`` output of their batch.
 
-Alerts are written when a window closes, and again if late rows change it.
 ``hourly_windows`` is the plain watermarked plan (append mode: each window once,
 late rows dropped by Spark) for consumers that want only that.
 """
@@ -20,90 +23,39 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
 from ..functions import roles
 from ..functions.scalars import defect_rate, hour_bucket
-from ..operators.integrate import STATUS_COL, join_sensor_quality
+from ..operators.integrate import join_sensor_quality
+from ..operators.load import DAY
+from ..operators.stats import check_counts, combine_stats, group_columns, hour_stats, summary_of
 from ..operators.summary import STAT_FUNCS
-from ..schemas import DEFECT_ALERT_THRESHOLD, STATUS_FAIL
-from ..sources.files import parquet_if_any
+from ..schemas import DEFECT_ALERT_THRESHOLD
+from ..sources.files import delete, parquet_if_any
+from . import snapshots
+from .snapshots import Snapshot
 
 DELAY = "2 HOURS"
 
 
-def _groups(columns: list[str]) -> list[str]:
-    return [c for c in roles.hourly_group_columns(columns) if c != "hour"]
-
-
-def _checks() -> list[Column]:
-    return [F.count(F.col(STATUS_COL)).alias("total_checks"),
-            F.count_if(F.col(STATUS_COL) == F.lit(STATUS_FAIL)).alias("defect_count")]
-
-
 def hourly_windows(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     """Watermark + tumbling hour windows (append mode)."""
-    time, groups = roles.hourly_time_column(stream.columns), _groups(stream.columns)
+    time, groups = roles.hourly_time_column(stream.columns), group_columns(stream.columns)
     sensors = roles.hourly_sensor_columns(stream.columns)
     # the watermark needs TIMESTAMP (with zone), not TIMESTAMP_NTZ; the session is UTC
     keyed = stream.dropna(subset=[time, *groups]).withColumn("event_time", F.col(time).cast("timestamp"))
     stats = [fn(F.col(c)).alias(f"{stat}_{role}") for role, c in sensors.items() for stat, fn in STAT_FUNCS]
     agg = (keyed.withWatermark("event_time", delay)
-           .groupBy(F.window("event_time", "1 hour"), *groups).agg(*stats, *_checks()))
+           .groupBy(F.window("event_time", "1 hour"), *groups).agg(*stats, *check_counts()))
     return agg.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), *groups,
                       *[f"{stat}_{role}" for role in sensors for stat, _ in STAT_FUNCS],
                       "total_checks", "defect_count",
                       defect_rate(F.col("defect_count"), F.col("total_checks")).alias("defect_rate"))
 
 
-# --- mergeable statistics ----------------------------------------------
-
-def hour_stats(joined: DataFrame) -> DataFrame:
-    """One row per hour group: for each sensor n, mean, m2 (sum of squared
-    distances from the mean), min and max; checks and defects."""
-    time, groups = roles.hourly_time_column(joined.columns), _groups(joined.columns)
-    aggs = []
-    for role, c in roles.hourly_sensor_columns(joined.columns).items():
-        n = F.count(F.col(c))
-        aggs += [n.alias(f"n_{role}"), F.avg(F.col(c)).alias(f"mean_{role}"),
-                 (F.var_pop(F.col(c)) * n).alias(f"m2_{role}"),
-                 F.min(F.col(c)).alias(f"min_{role}"), F.max(F.col(c)).alias(f"max_{role}")]
-    rows = joined.withColumn("hour", hour_bucket(F.col(time))).dropna(subset=["hour", *groups])
-    return rows.groupBy("hour", *groups).agg(*aggs, *_checks())
-
-
-def merge_stats(stats: DataFrame) -> DataFrame:
-    """The hourly summary from the statistics of any number of batches (a group
-    has one row per batch that touched it)."""
-    groups = ["hour", *_groups(stats.columns)]
-    sensors = [c.removeprefix("m2_") for c in stats.columns if c.startswith("m2_")]
-    same = Window.partitionBy(*groups)
-    out, aggs = stats, []
-    for s in sensors:
-        n, mean = F.col(f"n_{s}"), F.col(f"mean_{s}")
-        whole = F.try_divide(F.sum(n * mean).over(same), F.sum(n).over(same))
-        out = out.withColumn(f"whole_{s}", whole)
-        total = F.sum(n)
-        spread = F.sum(F.col(f"m2_{s}") + n * F.pow(mean - F.col(f"whole_{s}"), F.lit(2)))
-        aggs += [F.first(f"whole_{s}").alias(f"avg_{s}"), F.min(f"min_{s}").alias(f"min_{s}"),
-                 F.max(f"max_{s}").alias(f"max_{s}"),
-                 F.when(total > 1, F.sqrt(spread / (total - 1))).alias(f"std_{s}")]
-    merged = out.groupBy(*groups).agg(*aggs, F.sum("total_checks").alias("total_checks"),
-                                      F.sum("defect_count").alias("defect_count"))
-    return merged.withColumn("defect_rate", defect_rate(F.col("defect_count"), F.col("total_checks")))
-
-
-def _mark(spark: SparkSession, out_dir: str, before: int | None = None) -> datetime | None:
-    """Latest event time of all batches (or of those before one)."""
-    marks = parquet_if_any(spark, f"{out_dir}/mark")
-    if marks is None:
-        return None
-    marks = marks if before is None else marks.where(F.col("batch") < before)
-    return marks.agg(F.max("latest")).first()[0]
-
-
 def _closed(hour: Column, latest: datetime | None, delay: str) -> Column:
     """The window ended at least ``delay`` before ``latest``."""
     if latest is None:
@@ -114,35 +66,72 @@ def _closed(hour: Column, latest: datetime | None, delay: str) -> Column:
 def alerts_of(summary: DataFrame, threshold: float = DEFECT_ALERT_THRESHOLD) -> DataFrame:
     """X3 rule on any summary frame."""
     return (summary.where(F.col("defect_rate") > F.lit(float(threshold)))
-            .select("hour", *_groups(summary.columns), "defect_rate", "defect_count", "total_checks"))
+            .select("hour", *group_columns(summary.columns), "defect_rate", "defect_count", "total_checks"))
+
+
+def _latest(snapshot: Snapshot) -> datetime | None:
+    said = snapshot.notes.get("latest")
+    return datetime.fromisoformat(said) if said else None
+
+
+def _all(*parts: DataFrame | None) -> DataFrame:
+    found = [p for p in parts if p is not None]
+    out = found[0]
+    for p in found[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def absorb(spark: SparkSession, joined: DataFrame, batch_id: int, out_dir: str, delay: str = DELAY,
            threshold: float = DEFECT_ALERT_THRESHOLD) -> None:
-    """foreachBatch body: statistics, late rows, alerts and latest event time of
-    one micro-batch, each under its batch id (a retry overwrites them)."""
-    time, groups = roles.hourly_time_column(joined.columns), _groups(joined.columns)
-    before = _mark(spark, out_dir, batch_id)
+    """foreachBatch body: merge one micro-batch into the state and commit it.  A
+    batch that was committed before is left alone."""
+    before = snapshots.current(spark, out_dir)
+    if int(before.notes.get("batch", -1)) >= batch_id:
+        return
+    time, groups = roles.hourly_time_column(joined.columns), group_columns(joined.columns)
+    scratch = session.scratch_path(spark, f"shopfloor-batch-{uuid.uuid4().hex}")
+    passed = _latest(before)
     joined = joined.persist()
-    hour_stats(joined).write.mode("overwrite").parquet(f"{out_dir}/stats/batch={batch_id}")
-    late = joined.where(_closed(hour_bucket(F.col(time)), before, delay))
-    late.write.mode("overwrite").parquet(f"{out_dir}/late/batch={batch_id}")
-    (joined.dropna(subset=[time, *groups]).agg(F.max(F.col(time).cast("timestamp_ntz")).alias("latest"))
-     .coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/mark/batch={batch_id}"))
-    joined.unpersist()
-
-    # windows that this batch closed, and closed ones that its late rows changed
-    now = max((t for t in (before, spark.read.parquet(f"{out_dir}/mark/batch={batch_id}").first()[0]) if t),
-              default=None)
-    stats = spark.read.parquet(f"{out_dir}/stats").where(F.col("batch") <= batch_id)
-    changed = stats.where(F.col("batch") == batch_id).select("hour", *groups).distinct()
-    due = stats.where(_closed(F.col("hour"), now, delay))
-    newly = due.where(~_closed(F.col("hour"), before, delay)).select("hour", *groups).distinct()
-    due = due.join(newly.union(changed).distinct(), ["hour", *groups], "left_semi")
-    rows = merge_stats(due.drop("batch"))
-    (rows.select("hour", *groups, "defect_rate", "defect_count", "total_checks",
-                 (F.col("defect_rate") > F.lit(float(threshold))).alias("active"))
-     .write.mode("overwrite").parquet(f"{out_dir}/alerts/batch={batch_id}"))
+    try:
+        hour_stats(joined).write.parquet(f"{scratch}/stats")
+        late = joined.where(_closed(hour_bucket(F.col(time)), passed, delay))
+        late.write.mode("overwrite").parquet(f"{out_dir}/late/batch={batch_id}")
+        reached = (joined.dropna(subset=[time, *groups])
+                   .agg(F.max(F.col(time).cast("timestamp_ntz")).alias("latest")).first()["latest"])
+    finally:
+        joined.unpersist()
+    now = max((t for t in (passed, reached) if t), default=None)
+
+    stats = spark.read.parquet(f"{scratch}/stats")
+    behind = _closed(F.col("hour"), passed, delay)                  # its late rows: their windows are closed
+    waiting = snapshots.read(spark, out_dir, "open", before)
+    waiting = None if waiting is None else waiting.drop(DAY)
+    combine_stats(_all(waiting, stats.where(~behind))).write.parquet(f"{scratch}/pool")
+    pool = spark.read.schema(stats.schema).parquet(f"{scratch}/pool")
+    due = _closed(F.col("hour"), now, delay)
+    changed = _all(pool.where(due), stats.where(behind)).withColumn(DAY, F.to_date("hour"))
+    days = {r[0] for r in changed.select(DAY).distinct().collect()}   # calendar-bounded
+    old = snapshots.read(spark, out_dir, "windows", before, days)
+    closed = combine_stats(_all(None if old is None else old.drop(DAY), changed.drop(DAY))).withColumn(DAY, F.to_date("hour"))
+    windows = snapshots.write(closed, out_dir, "windows")
+
+    keys = changed.select("hour", *groups).distinct()
+    written = snapshots.read(spark, out_dir, "windows", snapshots.of("windows", closed, windows))
+    news = summary_of(written.drop(DAY).join(keys, ["hour", *groups], "left_semi")).select(
+        "hour", *groups, "defect_rate", "defect_count", "total_checks",
+        (F.col("defect_rate") > F.lit(float(threshold))).alias("active"), F.to_date("hour").alias(DAY))
+    said = snapshots.read(spark, out_dir, "alerts", before, days)
+    news = _all(None if said is None else said.join(keys, ["hour", *groups], "left_anti").select(*news.columns), news)
+    still = pool.where(~due).withColumn(DAY, F.lit(None).cast("date"))
+    snapshots.commit(
+        spark, out_dir, before,
+        {"windows": (closed, windows), "alerts": (news, snapshots.write(news, out_dir, "alerts")),
+         "open": (still, snapshots.write(still, out_dir, "open"))},
+        replaced={"windows": days, "alerts": days, "open": {None}},
+        notes={"batch": str(batch_id)} | ({"latest": now.isoformat()} if now else {}))
+    snapshots.drop_superseded(spark, out_dir, keep=2)               # one older version for its readers
+    delete(spark, scratch)
 
 
 def run_stream(spark: SparkSession, source_dir: str, schema, out_dir: str, delay: str = DELAY,
@@ -173,33 +162,31 @@ def run_raw_stream(spark: SparkSession, source_dir: str, schema, quality: DataFr
     cleaning.run_clean_stream(spark, source_dir, schema, cleaned_dir, disorder=disorder, then=windows)
 
 
-def read_windows(spark: SparkSession, out_dir: str, delay: str = DELAY) -> DataFrame | None:
+def read_windows(spark: SparkSession, out_dir: str) -> DataFrame | None:
     """Every window with ``state`` 'closed' or 'open'; None before the first batch."""
-    stats = parquet_if_any(spark, f"{out_dir}/stats")
-    if stats is None:
-        return None
-    closed = _closed(F.col("hour"), _mark(spark, out_dir), delay)
-    return merge_stats(stats.drop("batch")).withColumn("state", F.when(closed, "closed").otherwise("open"))
+    now = snapshots.current(spark, out_dir)
+    parts = [summary_of(rows.drop(DAY)).withColumn("state", F.lit(state))
+             for table, state in (("windows", "closed"), ("open", "open"))
+             if (rows := snapshots.read(spark, out_dir, table, now)) is not None]
+    return _all(*parts) if parts else None
 
 
 def read_late(spark: SparkSession, out_dir: str) -> DataFrame | None:
     """Rows that came after their window had closed, with the batch they came in."""
-    return parquet_if_any(spark, f"{out_dir}/late")
+    rows = parquet_if_any(spark, f"{out_dir}/late")
+    done = int(snapshots.current(spark, out_dir).notes.get("batch", -1))
+    return None if rows is None else rows.where(F.col("batch") <= done)
 
 
-def read_alerts(spark: SparkSession, out_dir: str, delay: str = DELAY,
-                threshold: float = DEFECT_ALERT_THRESHOLD) -> DataFrame | None:
+def read_alerts(spark: SparkSession, out_dir: str, threshold: float = DEFECT_ALERT_THRESHOLD) -> DataFrame | None:
     """Standing alerts: the last word of the alert sink on each closed window,
     and the open windows that are over the threshold now."""
-    windows = read_windows(spark, out_dir, delay)
-    if windows is None:
-        return None
-    groups = _groups(windows.columns)
-    sink = spark.read.parquet(f"{out_dir}/alerts")
-    values = ["defect_rate", "defect_count", "total_checks", "active"]
-    last = sink.groupBy("hour", *groups).agg(F.max_by(F.struct(*values), "batch").alias("last"))
-    closed = last.where("last.active").select("hour", *groups, *[F.col(f"last.{v}").alias(v) for v in values[:-1]])
-    return closed.unionByName(alerts_of(windows.where("state = 'open'"), threshold))
+    now = snapshots.current(spark, out_dir)
+    sink, waiting = (snapshots.read(spark, out_dir, t, now) for t in ("alerts", "open"))
+    parts = [] if sink is None else [sink.where("active").drop("active", DAY)]
+    if waiting is not None:
+        parts.append(alerts_of(summary_of(waiting.drop(DAY)), threshold))
+    return _all(*parts) if parts else None
 
 
 # --- registered queries ------------------------------------------------

@@ -107,10 +107,8 @@ def _commit_days(spark: SparkSession, base: str, before: Snapshot, joined: DataF
                  added: dict | None = None, notes: dict[str, str] | None = None) -> Snapshot:
     """Write ``joined`` (all rows of ``days``) and those days' summary, as one version."""
     entries = snapshots.write(joined, base, JOINED)
-    written = Snapshot(folders=tuple(entries),
-                       notes={f"schema:{JOINED}": json.dumps(joined.drop(DAY).schema.jsonValue())})
-    stored = snapshots.read(spark, base, JOINED, written)
-    summary = hourly_summary((joined if stored is None else stored).where(F.col(DAY).isNotNull()).drop(DAY))
+    stored = snapshots.read(spark, base, JOINED, snapshots.of(JOINED, joined, entries))
+    summary = hourly_summary(stored.where(F.col(DAY).isNotNull()).drop(DAY))
     summary = summary.withColumn(DAY, F.to_date("hour"))
     return snapshots.commit(
         spark, base, before, {**(added or {}), JOINED: (joined, entries), SUMMARY: (summary, snapshots.write(summary, base, SUMMARY))},
@@ -159,9 +157,7 @@ def incremental_load(spark: SparkSession, base: str, new_joined: DataFrame,
     days, rows = _days(new), new
     if target is not None:
         days |= _days(target.join(new.select(*key), key, "left_semi"))
-        old = snapshots.read(spark, base, JOINED, before, days)
-        if old is not None:
-            rows = incremental_append(old, new, key)
+        rows = incremental_append(snapshots.read(spark, base, JOINED, before, days), new, key)
     return _commit_days(spark, base, before, rows, days, notes=notes)
 
 

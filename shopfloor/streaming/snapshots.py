@@ -65,14 +65,16 @@ def current(spark: SparkSession, base: str) -> Snapshot:
 
 def read(spark: SparkSession, base: str, table: str, snapshot: Snapshot | None = None,
          days: set[dt.date | None] | None = None) -> DataFrame | None:
-    """A table's rows with ``day``, of all days or some; None if it holds none.
-    Columns that older days were written without read as NULL."""
+    """A table's rows with ``day``, of all days or some; None if nothing was ever
+    loaded into it.  Columns that older days were written without read as NULL."""
     snapshot = current(spark, base) if snapshot is None else snapshot
+    if f"schema:{table}" not in snapshot.notes:
+        return None
+    schema = T.StructType.fromJson(json.loads(snapshot.notes[f"schema:{table}"]))
     paths = [f"{base}/{folder}" for name, day, folder in snapshot.folders
              if name == table and (days is None or day in days)]
     if not paths:
-        return None
-    schema = T.StructType.fromJson(json.loads(snapshot.notes[f"schema:{table}"]))
+        return spark.createDataFrame([], T.StructType(schema.fields).add(DAY, "date"))
     rows = spark.read.schema(schema).option("basePath", f"{base}/{table}").parquet(*paths)
     return rows.drop("load").withColumn(DAY, F.col(DAY).cast("date"))
 
@@ -87,6 +89,11 @@ def write(rows: DataFrame, base: str, table: str) -> list[tuple[str, dt.date | N
     return [(table, day, f"{folder}/{DAY}={NULL_DAY if day is None else day.isoformat()}") for (day,) in held]
 
 
+def of(table: str, rows: DataFrame, entries: list[tuple[str, dt.date | None, str]]) -> Snapshot:
+    """What ``write`` gave for one table, to ``read`` it before it is committed."""
+    return Snapshot(folders=tuple(entries), notes={f"schema:{table}": _schema_note(Snapshot(), table, rows)})
+
+
 def _schema_note(before: Snapshot, table: str, rows: DataFrame) -> str:
     """The table's columns so far, then those that are new in ``rows``."""
     old = before.notes.get(f"schema:{table}")

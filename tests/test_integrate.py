@@ -1,13 +1,16 @@
 """Join semantics Q6-Q9, D2-D4."""
 
 import datetime as dt
+import random
 
 import pytest
 
 from core_helpers import SF0001, rows
-from shopfloor.operators import integrate
+from shopfloor.operators import factorised, integrate
 from shopfloor.operators.integrate import join_sensor_quality
+from shopfloor.operators.summary import hourly_summary
 from shopfloor.plans import pipeline
+from shopfloor.plans.reports import round_doubles
 
 T0 = dt.datetime(2024, 1, 1, 8, 0, 0)
 T1 = dt.datetime(2024, 1, 1, 8, 5, 0)
@@ -146,8 +149,88 @@ def test_null_pairs_are_counted_without_pairing(spark):
     null = "timestamp IS NULL OR machine_id IS NULL"
     assert null_rows == p.sensor_std.where(null).count()
     assert pairs == p.joined.where(f"({null}) AND record_id_quality IS NOT NULL").count() > 0
+    few = pipeline.from_sf_dir(spark, SF0001, max_null_pairs=pairs - 1)
     with pytest.raises(integrate.NullKeyPairs):
-        pipeline.from_sf_dir(spark, SF0001, max_null_pairs=pairs - 1)
+        few.joined
+    with pytest.raises(integrate.NullKeyPairs):
+        few.readings
     sql = pipeline.from_sf_dir(spark, SF0001, null_keys="sql", max_null_pairs=0)
     assert sql.joined.where(f"({null}) AND record_id_quality IS NOT NULL").count() == 0
     assert (integrate.salt_for(0), integrate.salt_for(50_001), integrate.salt_for(10**12)) == (1, 2, 4096)
+
+
+def test_totals_need_no_null_pairs(spark):
+    """Summary and distribution under NULL = NULL, where no pair may be built."""
+    whole, few = pipeline.from_sf_dir(spark, SF0001), pipeline.from_sf_dir(spark, SF0001, max_null_pairs=0)
+    want = integrate.quality_status_distribution(whole.joined)
+    assert rows(few.status_distribution.select(*want.columns)) == rows(want)
+    want = hourly_summary(whole.joined)
+    assert rows(round_doubles(few.summary.select(*want.columns))) == rows(round_doubles(want))
+    with pytest.raises(integrate.NullKeyPairs):
+        few.joined
+
+
+@pytest.mark.parametrize("groups", ["line_id", "machine_id, line_id", "pack_line"])
+def test_factorised_totals_of_any_grouping(spark, groups):
+    """Keys that are no group of the summary, groups from the quality side (Q12), NULLs everywhere."""
+    rng = random.Random(9)
+    pick = lambda *xs: rng.choice(xs)
+    left = [(pick(None, T0, T0 + dt.timedelta(hours=1)), T0 + dt.timedelta(minutes=rng.randint(0, 200)), pick(None, "m1", "m2"),
+             pick("l1", "l2", None), pick(None, 1.0, 2.5, rng.random()), f"R{k}") for k in range(120)]
+    right = [(pick(None, T0, T0 + dt.timedelta(hours=1)), pick(None, "m1", "m2"), pick("p1", None), pick("pass", "FAIL", None, "x"))
+             for k in range(60)]
+    s = spark.createDataFrame(left, "check_date timestamp_ntz, time timestamp_ntz, machine string, line_id string, temperature double, "
+                                    "record_id string")
+    s = s if "machine" in groups else s.withColumnRenamed("machine", "line_key").drop("line_id") if groups == "pack_line" else s
+    q = spark.createDataFrame(right, "date timestamp_ntz, machine string, pack_line string, result string")
+    joined = join_sensor_quality(s, q, null_salt=3)
+    want = hourly_summary(joined)
+    got = factorised.joined_hourly_summary(s, q)
+    assert rows(round_doubles(got.select(*want.columns))) == rows(round_doubles(want)) and want.count() > 0
+    want = integrate.quality_status_distribution(joined)
+    assert rows(factorised.status_distribution(s, q).select(*want.columns)) == rows(want)
+
+
+def test_factorised_without_inspections(spark):
+    s = sensor(spark, [(T0, "m1", "R0", 1.0), (None, "m1", "R1", 2.0)])
+    assert rows(factorised.status_distribution(s, None)) == [("not_checked", 2)]
+    none = quality(spark, [])
+    assert rows(factorised.status_distribution(s, none)) == [("not_checked", 2)]
+    assert factorised.status_distribution(s.limit(0), none).count() == 0
+
+
+def test_hot_real_key_is_salted_on_both_sides(spark):
+    """One machine-time holds a third of the readings and of the inspections: the
+    sketch finds it, both sides are dealt over salts, and the rows stay the same."""
+    from pyspark.sql import functions as F
+
+    hot_s = [(T0, "m1", f"H{i}", 1.0) for i in range(400)]
+    rest = [(T0 + dt.timedelta(seconds=1 + i), f"m{i % 7}", f"R{i}", 2.0) for i in range(800)]
+    s = sensor(spark, hot_s + rest + [(None, "m1", "N1", 3.0), (None, None, "N2", 3.0)])
+    hot_q = [(T0, "m1", f"pass {i}") for i in range(90)]
+    q = quality(spark, hot_q + [(T0 + dt.timedelta(seconds=1 + i), f"m{i % 7}", "fail") for i in range(0, 180)] + [(None, "m1", "pass")])
+    keys = ["timestamp", "machine_id"]
+    profiles = [integrate.key_profile(df, keys) for df in (s, q)]
+    assert [p["rows"] for p in profiles] == [1202, 271] and [p["null_rows"] for p in profiles] == [2, 1]
+    hot = integrate.hot_salts(*profiles, rows_per_salt=40)
+    assert list(hot.values()) == [(10, 3)]
+    assert integrate.hot_salts(*profiles) == {}                        # nothing is hot at the usual size
+    only_left = integrate.hot_salts(profiles[0], None, rows_per_salt=40)
+    other = {spark.range(1).select(F.xxhash64(F.lit(T0).cast("timestamp_ntz"), F.lit("nobody"))).first()[0]: (2, 2)}
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")          # no help from run-time splits
+        for rule in ("match", "sql"):
+            want = rows(join_sensor_quality(s, q, null_keys=rule))
+            for salts in (hot, only_left, hot | other):
+                assert rows(join_sensor_quality(s, q, null_keys=rule, hot=salts)) == want
+        loads = (join_sensor_quality(s, q, hot=hot).where("record_id LIKE 'H%'").groupBy(F.spark_partition_id().alias("p"))
+                 .count().collect())
+        assert sum(r["count"] for r in loads) == 400 * 90
+        assert len(loads) >= 4 and max(r["count"] for r in loads) < 400 * 90 / 2
+        gone = quality(spark, hot_q[:0] + [(T0, "m2", "pass")])        # hot on the left, no inspection
+        assert rows(join_sensor_quality(s, gone, hot=hot)) == rows(join_sensor_quality(s, gone))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
