@@ -42,6 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--max-null-pairs", type=int, default=MAX_NULL_PAIRS)
     e.add_argument("--dedupe-checks", choices=("none", "latest"), default="none")
     e.add_argument("--partition-days", action="store_true")
+    e.add_argument("--malformed", choices=["keep", "quarantine"], default="keep",
+                    help="rows with too few or too many fields: read them, or write them to OUT/quarantine and count them")
     e.add_argument("--keep-runs", type=int, default=None)
     c = sub.add_parser("check")
     c.add_argument("--out", required=True)
@@ -63,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
             quality_encoding=args.quality_encoding,
             multi_line=None if args.multi_line is None else args.multi_line == "yes",
             null_keys=args.null_keys, max_null_pairs=args.max_null_pairs, dedupe_checks=args.dedupe_checks,
-            partition_days=args.partition_days, keep_runs=args.keep_runs)
+            partition_days=args.partition_days, keep_runs=args.keep_runs, malformed=args.malformed)
         if rep is None:
             print(json.dumps({"status": "failed", "reason": "no sensor data"}))
             return 1

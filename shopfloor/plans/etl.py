@@ -24,7 +24,7 @@ def run_etl_pipeline(spark: SparkSession, sensor_path: str, quality_path: str, o
                      quality_encoding: str | None = None, multi_line: bool | None = None,
                      null_keys: str = "match", max_null_pairs: int | None = MAX_NULL_PAIRS,
                      dedupe_checks: str = "none", partition_days: bool = False,
-                     keep_runs: int | None = None) -> pipeline.RunReport | None:
+                     keep_runs: int | None = None, malformed: str = "keep") -> pipeline.RunReport | None:
     """Extract, transform and load; None when there is no sensor data (the
     job stops, as the reference does).
 
@@ -32,18 +32,30 @@ def run_etl_pipeline(spark: SparkSession, sensor_path: str, quality_path: str, o
     scans), ``null_keys='sql'`` (no NULL = NULL pairs), ``partition_days`` and
     ``keep_runs``.  The tables have the same columns whether or not there is an
     inspection.  The report counts times that no layout fits per source
-    (``<source>_rejected_times``)."""
+    (``<source>_rejected_times``).  ``malformed='quarantine'`` writes rows with too few
+    or too many fields to ``<out>/quarantine/<run>/<source>`` instead of reading them,
+    and counts them (``<source>_malformed``)."""
     session.configure(spark)
-    sensor = csv.scan_sensor_csv(spark, sensor_path, schema=sensor_schema, multi_line=multi_line)
+    sensor = csv.scan_sensor_csv(spark, sensor_path, schema=sensor_schema, multi_line=multi_line,
+                                 malformed=malformed)
     if sensor is None or sensor.isEmpty():
         return None
     quality = csv.scan_quality_csv(spark, quality_path, encoding=quality_encoding, schema=quality_schema,
-                                   multi_line=multi_line)
-    p = pipeline.build(sensor, quality, sensor_order=csv.csv_order(),
-                       quality_order=csv.csv_order(), days_back=days_back, as_of=as_of,
+                                   multi_line=multi_line, malformed=malformed)
+    bad = {}
+    if malformed == "quarantine":
+        sensor, bad["sensor"] = csv.split_malformed(sensor)
+        if quality is not None:
+            quality, bad["quality"] = csv.split_malformed(quality)
+    p = pipeline.build(sensor, quality, sensor_order=csv.csv_order(sensor),
+                       quality_order=csv.csv_order(quality), days_back=days_back, as_of=as_of,
                        null_keys=null_keys, max_null_pairs=max_null_pairs, check_empty=False,
                        dedupe_checks=dedupe_checks)
     report = pipeline.run_pipeline(spark, p, out_base, partition_days=partition_days, keep_runs=keep_runs)
+    for name, rows in bad.items():
+        rows, seen = extract.observe_rows(rows, f"{name}_malformed")
+        rows.write.mode("overwrite").parquet(f"{out_base}/quarantine/{report.run_id}/{name}")
+        report.rows[f"{name}_malformed"] = int(seen.get.get("rows", 0))
     for name, raw in (("sensor", sensor), ("quality", quality)):
         if raw is not None:
             report.rows[f"{name}_rejected_times"] = extract.rejected_times(raw, name).first()["rejected"]

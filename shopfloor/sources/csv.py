@@ -7,12 +7,19 @@
   inside the split (``_metadata`` + ``monotonically_increasing_id``).  A
   split is a natural bucket of the order, so the ordered pass needs no
   range bucketing here (``csv_order``).
-* Encoding: Spark never fails on bad UTF-8, so the text is probed with
-  ``is_valid_utf8`` and read as ISO-8859-1 when it is not UTF-8.
+* Encoding: Spark never fails on bad UTF-8, so the text of each file is probed with
+  ``is_valid_utf8``; files that are not UTF-8 are read as ISO-8859-1, the others of
+  the same folder as UTF-8.
 * Quoting follows RFC 4180: quotes are doubled inside quotes, and a quoted field
-  may hold line breaks.  Such a file cannot be split, so a probe looks for lines
-  with an odd number of quotes and only then reads whole files per task;
+  may hold line breaks.  Such a file cannot be split, so the probe looks for lines
+  with an odd number of quotes and reads those files whole, one task each;
   ``multi_line`` declares it instead.
+* A file that cannot be split (compressed, or with line breaks in quotes) comes out
+  of its scan in one task.  Its rows are staged once, as many small files, and
+  numbered chunks of them take the place of the splits as buckets of the order.
+* Rows with fewer or more fields than the header are kept (missing fields NULL, extra
+  ones dropped) or, with ``malformed='quarantine'``, carried with their text in a
+  column of their own, which ``split_malformed`` sets aside with the reason.
 * A number is a number by its text (sign, digits, point, exponent), not by what a
   cast accepts: ``1D`` stays an identifier.
 * Cost at scale: inference reads the input once more, the probe of encoding and
@@ -29,6 +36,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import session
 from ..operators.ordered import RowOrder
@@ -37,61 +45,142 @@ from ..schemas import NA_TOKENS
 # How a number is written.
 NUMBER = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
-FILE_COL, BLOCK_COL, SEQ_COL = "_src_file", "_src_block", "_src_seq"
-ORDER_COLS = (FILE_COL, BLOCK_COL, SEQ_COL)
+FILE_COL, BLOCK_COL, CHUNK_COL, SEQ_COL = "_src_file", "_src_block", "_src_chunk", "_src_seq"
+ORDER_COLS = (FILE_COL, BLOCK_COL, CHUNK_COL, SEQ_COL)
+MALFORMED_COL = "_src_malformed"
+CHUNK_ROWS = 1 << 20             # rows of a bucket of a file that cannot be split
+# Suffixes of the compressions that Spark cannot split.
+UNSPLITTABLE = (".gz", ".gzip", ".zst", ".deflate", ".snappy", ".lz4")
 
 
-def csv_order() -> RowOrder:
-    """Row order of a frame from ``read_csv``: (file, split start) buckets,
-    sequence inside the split."""
-    return RowOrder.explicit([FILE_COL, BLOCK_COL], SEQ_COL)
+def csv_order(df: DataFrame | None = None) -> RowOrder:
+    """Row order of a frame from ``read_csv``: (file, split start, chunk where the
+    file was staged) buckets, sequence inside the split."""
+    chunked = df is not None and CHUNK_COL in df.columns
+    return RowOrder.explicit([FILE_COL, BLOCK_COL, *[CHUNK_COL] * chunked], SEQ_COL)
 
 
-def probe(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """(encoding, whether a quoted field spans lines) from one scan of the text."""
+def probe_files(spark: SparkSession, path) -> list:
+    """By file: ``file``, ``encoding`` and whether a quoted field spans lines
+    (``spans``), from one scan of the text.  One small row for each file, as the
+    planner of the read that follows holds them."""
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    seen = spark.read.text(path).agg(F.count_if(~F.is_valid_utf8(line)).alias("bad"),
-                                     F.count_if(quotes % 2 == 1).alias("open")).first()
-    return ("UTF-8" if seen["bad"] == 0 else "ISO-8859-1"), seen["open"] > 0
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return text.groupBy("file").agg(
+        F.when(F.count_if(~F.is_valid_utf8(line)) == 0, "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
+        (F.count_if(quotes % 2 == 1) > 0).alias("spans")).collect()
 
 
-def detect_encoding(spark: SparkSession, path: str) -> str:
+def probe(spark: SparkSession, path) -> tuple[str, bool]:
+    """(the one encoding that reads every file, whether a quoted field spans lines in any)."""
+    found = probe_files(spark, path)
+    return ("ISO-8859-1" if any(f.encoding != "UTF-8" for f in found) else "UTF-8"), any(f.spans for f in found)
+
+
+def detect_encoding(spark: SparkSession, path) -> str:
     return probe(spark, path)[0]
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str | None = "UTF-8",
-             infer_numeric: bool = True, keep_order: bool = True,
-             schema: dict[str, str] | None = None, multi_line: bool | None = None) -> DataFrame:
-    """Read CSV text with header; ``encoding=None`` and ``multi_line=None`` probe
-    the text.  ``schema`` (column -> Spark type name) replaces inference; a value
-    that does not fit its type becomes NULL."""
-    if encoding is None or multi_line is None:
-        found, spans = probe(spark, path)
-        encoding = found if encoding is None else encoding
-        multi_line = spans if multi_line is None else multi_line
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("encoding", encoding).option("mode", "PERMISSIVE")
-           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .option("nullValue", "").csv(path))
-    names = [c for c in raw.columns]
-    cols = [F.when(F.col(f"`{c}`").isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
-            for c in names]
+def _scan(spark: SparkSession, path, encoding: str, multi_line: bool, keep_order: bool, malformed: str,
+          names: list[str] | None = None) -> DataFrame:
+    """One read of files alike: text columns, NA tokens NULL, then the order columns."""
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("encoding", encoding).option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .option("nullValue", ""))
+    raw = reader.csv(path)
+    names = raw.columns if names is None else names
+    if malformed == "quarantine":
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*raw.columns, MALFORMED_COL]])
+        # all fields are parsed, whatever is read of them: else their number would go unnoticed
+        raw = (reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED_COL).option("columnPruning", False)
+               .csv(path))
+    if sorted(names) != sorted(c for c in raw.columns if c != MALFORMED_COL):
+        raise ValueError(f"files of one source differ in their columns: {names} and {raw.columns}")
+    cols = [F.when(F.col(f"`{c}`").isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c) for c in names]
+    if malformed == "quarantine":
+        cols.append(F.col(MALFORMED_COL))
     if keep_order:
         cols += [F.col("_metadata.file_path").alias(FILE_COL),
                  F.col("_metadata.file_block_start").alias(BLOCK_COL),
                  F.monotonically_increasing_id().alias(SEQ_COL)]
-    df = raw.select(*cols)
+    return raw.select(*cols)
+
+
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Rows of files that Spark cannot split, staged once (the task that reads such a
+    file writes many small ones) and cut into chunks of ``rows``: the steps that
+    follow run over chunks, not files."""
+    rows = rows or CHUNK_ROWS
+    path = session.scratch_path(df.sparkSession, f"shopfloor-spread-{uuid.uuid4().hex}")
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    in_task = F.col(SEQ_COL).bitwiseAND((1 << 33) - 1)       # the sequence counts up from 0 in the low 33 bits
+    return staged.withColumn(CHUNK_COL, F.floor(in_task / F.lit(rows)).cast("long"))
+
+
+def read_csv(spark: SparkSession, path, encoding: str | None = "UTF-8",
+             infer_numeric: bool = True, keep_order: bool = True,
+             schema: dict[str, str] | None = None, multi_line: bool | None = None,
+             malformed: str = "keep") -> DataFrame:
+    """Read CSV text with header.  ``encoding=None`` and ``multi_line=None`` probe the
+    text, file by file, and files that differ are read apart and united by column
+    name.  ``schema`` (column -> Spark type name) replaces inference; a value that
+    does not fit its type becomes NULL.  ``malformed``: see the module."""
+    if malformed not in ("keep", "quarantine"):
+        raise ValueError("malformed must be 'keep' or 'quarantine'")
+    kinds: dict[tuple[str, bool], list[str]] = {}
+    if encoding is None or multi_line is None:
+        for f in probe_files(spark, path):
+            kind = (encoding or f.encoding, f.spans if multi_line is None else multi_line)
+            kinds.setdefault(kind, []).append(f.file)
+    if len(kinds) > 1:
+        parts = [_scan(spark, sorted(files), *kind, keep_order, malformed) for kind, files in sorted(kinds.items())]
+        df = parts[0]
+        for p in parts[1:]:
+            if sorted(p.columns) != sorted(df.columns):
+                raise ValueError(f"files of one source differ in their columns: {df.columns} and {p.columns}")
+            df = df.unionByName(p)
+    else:
+        encoding, multi_line = next(iter(kinds), (encoding or "UTF-8", bool(multi_line)))
+        df = _scan(spark, path, encoding, multi_line, keep_order, malformed)
+    names = [c for c in df.columns if c not in (*ORDER_COLS, MALFORMED_COL)]
+    whole = multi_line or any(spans for _, spans in kinds) or any(f.lower().endswith(UNSPLITTABLE) for f in df.inputFiles())
+    if keep_order and whole:
+        df = spread(df)
     if schema:
         return df.select(*[F.col(f"`{c}`").try_cast(schema[c]).alias(c) if c in schema
                            else F.col(f"`{c}`") for c in df.columns])
     return infer_numeric_columns(df, names) if infer_numeric else df
 
 
+def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of a frame read with ``malformed='quarantine'``.  The
+    quarantine has each such row's first field as read, its text, its place in the
+    source, the number of its fields and the ``reason``: 'quote' (a quote that does
+    not close), 'short' or 'long'."""
+    names = [c for c in df.columns if c not in (*ORDER_COLS, MALFORMED_COL)]
+    text = F.col(MALFORMED_COL)
+    bare = F.regexp_replace(text, '"([^"]|"")*"', "")              # quoted fields hold no separators
+    fields = F.size(F.split(bare, ",", -1))
+    reason = F.when(F.contains(bare, F.lit('"')), "quote").when(fields < len(names), "short").otherwise("long")
+    bad = df.where(text.isNotNull()).select(
+        F.col(f"`{names[0]}`").cast("string").alias("first_field"), text.alias("record"),
+        fields.alias("fields"), reason.alias("reason"), *[c for c in ORDER_COLS if c in df.columns])
+    return df.where(text.isNull()).drop(MALFORMED_COL), bad
+
+
+def malformed_counts(df: DataFrame) -> DataFrame:
+    """Rows in quarantine per reason."""
+    return split_malformed(df)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def infer_numeric_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """One aggregate job: a column whose non-null values all parse as
-    numbers becomes bigint (all integral) or double."""
+    numbers becomes bigint (all integral) or double.  Rows for the quarantine have
+    no say, and are read with ``try_cast``."""
     if not names:
         return df
     aggs = []
@@ -101,7 +190,8 @@ def infer_numeric_columns(df: DataFrame, names: list[str]) -> DataFrame:
         aggs += [F.count_if(v.isNotNull() & d.isNull()).alias(f"nonnum_{i}"),
                  F.count_if(d.isNotNull() & (v.try_cast("long").isNull())).alias(f"nonint_{i}"),
                  F.count(v).alias(f"n_{i}")]
-    stats = df.agg(*aggs).first()
+    told = df.where(F.col(MALFORMED_COL).isNull()) if MALFORMED_COL in df.columns else df
+    stats = told.agg(*aggs).first()
     out = []
     for i, c in enumerate(names):
         v = F.col(f"`{c}`")
@@ -127,15 +217,16 @@ def read_csv_tolerant(spark: SparkSession, path: str, encoding: str | None = "UT
 
 
 def scan_sensor_csv(spark: SparkSession, path: str, schema: dict[str, str] | None = None,
-                    multi_line: bool | None = None) -> DataFrame | None:
+                    multi_line: bool | None = None, malformed: str = "keep") -> DataFrame | None:
     """A1: sensor CSV, UTF-8."""
-    return read_csv_tolerant(spark, path, encoding="UTF-8", schema=schema, multi_line=multi_line)
+    return read_csv_tolerant(spark, path, encoding="UTF-8", schema=schema, multi_line=multi_line, malformed=malformed)
 
 
 def scan_quality_csv(spark: SparkSession, path: str, encoding: str | None = None,
-                     schema: dict[str, str] | None = None, multi_line: bool | None = None) -> DataFrame | None:
-    """A2: quality CSV, UTF-8 or else ISO-8859-1 (probed unless given)."""
-    return read_csv_tolerant(spark, path, encoding=encoding, schema=schema, multi_line=multi_line)
+                     schema: dict[str, str] | None = None, multi_line: bool | None = None,
+                     malformed: str = "keep") -> DataFrame | None:
+    """A2: quality CSV, each file UTF-8 or else ISO-8859-1 (probed unless given)."""
+    return read_csv_tolerant(spark, path, encoding=encoding, schema=schema, multi_line=multi_line, malformed=malformed)
 
 
 def drop_order_columns(df: DataFrame) -> DataFrame:
@@ -143,11 +234,11 @@ def drop_order_columns(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, order_by: str | None = None,
-              encoding: str = "UTF-8") -> str:
+              encoding: str = "UTF-8", compression: str = "none", one_file: bool = False) -> str:
     """Write a frame as headed CSV whose file order follows ``order_by``."""
     if order_by is not None:
-        df = df.orderBy(order_by)
-    (df.write.mode("overwrite").option("header", True).option("encoding", encoding)
+        df = df.coalesce(1).sortWithinPartitions(order_by) if one_file else df.orderBy(order_by)
+    (df.write.option("compression", compression).mode("overwrite").option("header", True).option("encoding", encoding)
      .option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -204,6 +295,57 @@ FROM events""")
         events = read_table(spark, sf_dir, "events").select("event_id", written[F.col("event_id") % 8].alias("time"))
         return events.select("event_id", parse_event_time(F.col("time")).alias("parsed"))
 
+    @register("scan_mixed_charsets", """
+SELECT row_no, replace(defect_type, 'defect', 'défaut') AS defect_type, result || ' – ß' AS result FROM quality_raw""")
+    def q_scan_mixed_charsets(spark, sf_dir):
+        """One folder with files in UTF-8 and files in ISO-8859-1: each row's text as written."""
+        session.configure(spark)
+        rows = fixtures.quality_raw(spark, sf_dir).select(
+            "row_no", F.replace("defect_type", F.lit("defect"), F.lit("défaut")).alias("defect_type"),
+            F.concat("result", F.lit(" – ß")).alias("result"))
+        path = session.scratch_path(spark, f"shopfloor-csv-mixed-{uuid.uuid4().hex}")
+        odd = F.col("row_no") % 2 == 1
+        latin = rows.where(odd).withColumn("result", F.replace("result", F.lit("–"), F.lit("-")))   # has no such dash
+        folders = [write_csv(rows.where(~odd), f"{path}/utf8"), write_csv(latin, f"{path}/latin", encoding="ISO-8859-1")]
+        found = read_csv(spark, folders, encoding=None)
+        dash = F.when(odd, F.replace("result", F.lit("-"), F.lit("–"))).otherwise(F.col("result"))
+        return drop_order_columns(found).withColumn("result", dash)
+
+    @register("scan_compressed_csv", "SELECT * FROM sensor_std")
+    def q_scan_compressed_csv(spark, sf_dir):
+        """Readings from one compressed file, cleaned and numbered over bounded chunks of it."""
+        from ..operators.clean import clean_sensor_data
+        from ..operators.standardize import POSITION_COL, standardize_data
+
+        session.configure(spark)
+        path = session.scratch_path(spark, f"shopfloor-csv-gzip-{uuid.uuid4().hex}")
+        write_csv(fixtures.sensor_raw(spark, sf_dir), path, order_by="row_no", compression="gzip", one_file=True)
+        raw = extract.extract_sensor(scan_sensor_csv(spark, path))
+        order = csv_order(raw)
+        return drop_order_columns(standardize_data(clean_sensor_data(raw, order, position_col=POSITION_COL), order))
+
+    @register("quarantine_malformed", """
+SELECT row_no, CASE WHEN row_no % 37 = 0 THEN 'long' WHEN row_no % 41 = 0 THEN 'short' ELSE 'read' END AS reason,
+       CASE WHEN row_no % 37 <> 0 AND row_no % 41 <> 0 THEN line_id END AS line_id
+FROM sensor_raw""")
+    def q_quarantine_malformed(spark, sf_dir):
+        """Lines with a field too many or too few set aside with the reason, the others read."""
+        session.configure(spark)
+        rows = fixtures.sensor_raw(spark, sf_dir)
+        names = [c for c in rows.columns if c != "row_no"]
+        line = F.concat_ws(",", "row_no", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+        damaged = F.when(F.col("row_no") % 37 == 0, F.concat(line, F.lit(",more"))) \
+            .when(F.col("row_no") % 41 == 0, F.substring_index(line, ",", len(names))).otherwise(line)
+        path = session.scratch_path(spark, f"shopfloor-csv-malformed-{uuid.uuid4().hex}")
+        head = spark.range(4).select(F.col("id").alias("part"), F.lit(",".join(["row_no", *names])).alias("value"), F.lit(-1).alias("at"))
+        lines = rows.select((F.col("row_no") % 4).alias("part"), damaged.alias("value"), F.col("row_no").alias("at"))
+        (lines.unionByName(head).repartition("part").sortWithinPartitions("part", "at").drop("at")
+         .write.partitionBy("part").text(path))
+        found = read_csv(spark, [f"{path}/part={k}" for k in range(4)], malformed="quarantine")
+        good, bad = split_malformed(found)
+        return good.select(F.col("row_no").cast("long"), F.lit("read").alias("reason"), "line_id").unionByName(
+            bad.select(F.col("first_field").cast("long").alias("row_no"), "reason", F.lit(None).cast("string").alias("line_id")))
+
     @register("tolerant_source",
               "SELECT 'not_checked' AS quality_status, count(*) AS count FROM sensor_raw")
     def q_tolerant_source(spark, sf_dir):

@@ -1,11 +1,19 @@
 """Extract (A3-A8) and CSV sources."""
 
 import datetime as dt
+import gzip
 import os
 import tempfile
 
-from core_helpers import SF0001
+import pytest
+from pyspark.sql import functions as F
+
+from core_helpers import SF0001, rows
+from shopfloor.operators.clean import clean_sensor_data
 from shopfloor.operators.ordered import ordered_pass
+from shopfloor.operators.standardize import POSITION_COL, standardize_data
+from shopfloor.plans import etl
+from shopfloor.sources import csv
 from shopfloor.sources import csv as csvsrc
 from shopfloor.sources import extract, fixtures
 
@@ -118,3 +126,61 @@ def test_declared_schema_skips_inference(spark):
     df = csvsrc.scan_sensor_csv(spark, d, schema={"Machine": "string", "Temp": "double"})
     assert dict(df.dtypes)["Machine"] == "string" and dict(df.dtypes)["Temp"] == "double"
     assert [r.Temp for r in df.orderBy(csvsrc.SEQ_COL).collect()] == [12.5, None]
+
+
+# --- files that differ, that cannot be split, and rows that do not fit -------------
+
+def _folder(**files):
+    path = tempfile.mkdtemp(prefix="sf-csv-")
+    for name, data in files.items():
+        with open(os.path.join(path, name.replace("_", ".")), "wb") as f:
+            f.write(data)
+    return path
+
+
+def test_encoding_and_quotes_are_decided_per_file(spark):
+    path = _folder(a_csv="k,v\n1,é–\n".encode(), b_csv="k,v\n2,é\n".encode("latin-1"),
+                   c_csv='k,v\n3,"two\nlines é"\n'.encode(), d_csv='v,k\n"x\nyé",4\n'.encode("latin-1"))
+    got = csv.read_csv(spark, path, encoding=None)
+    assert rows(got, "k", "v") == [(1, "é–"), (2, "é"), (3, "two\nlines é"), (4, "x\nyé")]
+    assert csv.detect_encoding(spark, path) == "ISO-8859-1"
+    with pytest.raises(ValueError, match="differ in their columns"):
+        csv.read_csv(spark, _folder(a_csv=b"k,v\n1,x\n", b_csv="k,w\n2,é\n".encode("latin-1")), encoding=None)
+
+
+def test_one_compressed_file_is_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(csv, "CHUNK_ROWS", 100)
+    body = "row_no,temp_value\n" + "".join(f"{i},{'' if i % 3 else i % 140}\n" for i in range(1050))
+    whole = _folder(a_csv=body.encode())
+    packed = _folder(a_csv_gz=gzip.compress(body.encode()))
+    plain, one = (csv.read_csv(spark, p) for p in (whole, packed))
+    assert csv.CHUNK_COL in one.columns and csv.CHUNK_COL not in plain.columns
+    assert one.groupBy(csv.CHUNK_COL).count().agg(F.max("count"), F.count("*")).first()[:2] == (100, 11)
+    assert len(one.inputFiles()) >= 11                                       # read by many tasks from here on
+    cleaned = [standardize_data(clean_sensor_data(df, csv.csv_order(df), position_col=POSITION_COL), csv.csv_order(df))
+               for df in (plain, one)]
+    want = rows(cleaned[0], "row_no", "temp_value", "data_quality", "record_id")
+    assert rows(cleaned[1], "row_no", "temp_value", "data_quality", "record_id") == want and len(want) == 1050
+
+
+def test_malformed_rows_are_kept_or_quarantined(spark):
+    path = _folder(a_csv=b'a,b,c\n1,2,3\n1,2\n1,2,3,4\n"x,""y",2,"z"\n9,"open\n')
+    assert csv.read_csv(spark, path, multi_line=False).count() == 5                   # kept, as they can be read
+    found = csv.read_csv(spark, path, multi_line=False, malformed="quarantine")
+    good, bad = csv.split_malformed(found)
+    assert rows(good, "a", "b", "c") == [("1", 2, "3"), ('x,"y', 2, "z")]
+    assert rows(bad, "first_field", "record", "fields", "reason") == [
+        ("1", "1,2", 2, "short"), ("1", "1,2,3,4", 4, "long"), ("9", '9,"open', 2, "quote")]
+    assert rows(csv.malformed_counts(found)) == [("long", 1), ("quote", 1), ("short", 1)]
+    none = csv.read_csv(spark, _folder(a_csv=b"a,b\n1,2\n"), malformed="quarantine")
+    assert csv.split_malformed(none)[0].count() == 1 and csv.malformed_counts(none).count() == 0
+
+
+def test_job_counts_what_it_quarantines(spark):
+    out = tempfile.mkdtemp(prefix="sf-job-")
+    sensor = _folder(s_csv=b"timestamp,machine_id,temperature\n2024-01-01 08:00,m1,20\n2024-01-01 08:01,m1\n")
+    quality = _folder(q_csv=b"timestamp,machine_id,result\n2024-01-01 08:00,m1,pass\n2024-01-01 08:00,m1,fail,late\n")
+    report = etl.run_etl_pipeline(spark, sensor, quality, out, malformed="quarantine")
+    assert (report.rows["sensor_readings"], report.rows["sensor_malformed"], report.rows["quality_malformed"]) == (1, 1, 1)
+    set_aside = spark.read.parquet(f"{out}/quarantine/{report.run_id}/quality")
+    assert rows(set_aside, "record", "reason") == [("2024-01-01 08:00,m1,fail,late", "long")]
