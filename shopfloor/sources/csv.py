@@ -101,7 +101,9 @@ def _scan(spark: SparkSession, path, encoding: str, multi_line: bool, keep_order
         raise ValueError(f"files of one source differ in their columns: {names} and {raw.columns}")
     cols = [F.when(F.col(f"`{c}`").isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c) for c in names]
     if malformed == "quarantine":
-        cols.append(F.col(MALFORMED_COL))
+        # Spark refuses a query of that column alone: a data column is read with it
+        read = F.length(F.concat_ws("", F.col(f"`{names[0]}`"))) >= 0
+        cols.append(F.when(read, F.col(MALFORMED_COL)).alias(MALFORMED_COL))
     if keep_order:
         cols += [F.col("_metadata.file_path").alias(FILE_COL),
                  F.col("_metadata.file_block_start").alias(BLOCK_COL),
