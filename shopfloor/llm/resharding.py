@@ -154,13 +154,15 @@ def _bucket(parts: int, seed: int, *columns: str) -> Column:
 
 
 def lay_out(docs: DataFrame, old_shards: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with size, text_crc32 and a place (old_shard, block, bucket, file)
-    that follows from id and text alone."""
+    """`docs` with size, text_crc32 and a place (old_shard, block, bucket, file) that
+    follows from id, text and `tie`, the row's number in the scan: equal rows spread
+    over all places too, so no block of them is heavier than a flow can split."""
     d = docs.withColumn("size", (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long")) \
-            .withColumn("text_crc32", F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).cast("long"))
-    d = d.withColumn("old_shard", _bucket(old_shards, 1, id_col, "text_crc32")) \
-         .withColumn("block", _bucket(BLOCKS, 2, id_col, "text_crc32")) \
-         .withColumn("bucket", _bucket(FINE, 3, id_col, "text_crc32"))
+            .withColumn("text_crc32", F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).cast("long")) \
+            .withColumn("tie", F.monotonically_increasing_id())
+    d = d.withColumn("old_shard", _bucket(old_shards, 1, id_col, "text_crc32", "tie")) \
+         .withColumn("block", _bucket(BLOCKS, 2, id_col, "text_crc32", "tie")) \
+         .withColumn("bucket", _bucket(FINE, 3, id_col, "text_crc32", "tie"))
     return d.withColumn("file", F.floor(F.col("block") / (BLOCKS // FILES)).cast("int"))
 
 
@@ -198,18 +200,18 @@ def rewrite(old: DataFrame, moves: Plan) -> DataFrame:
 
 
 def number(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """`rows` (id, text_crc32, size, shard) with `slot`, gapless from 0 within
+    """`rows` (id, text_crc32, size, shard, tie) with `slot`, gapless from 0 within
     each shard.  Shards are numbered in cells of bounded size: a cell's rows
     are ranked, and the cells' counts give where each begins."""
     shards = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     n = rows.count()
-    rows = rows.withColumn("cell", _bucket(max(1, n // (24 * CELL_ROWS)), 4, id_col, "text_crc32"))
+    rows = rows.withColumn("cell", _bucket(max(1, n // (24 * CELL_ROWS)), 4, id_col, "text_crc32", "tie"))
     begins = rows.groupBy("shard", "cell").agg(F.count("*").alias("n")) \
                  .select("shard", "cell", F.coalesce(F.sum("n").over(shards), F.lit(0)).alias("begin"))
-    inside = Window.partitionBy("shard", "cell").orderBy(F.col(id_col).asc_nulls_first(), "text_crc32", "size")
+    inside = Window.partitionBy("shard", "cell").orderBy(F.col(id_col).asc_nulls_first(), "text_crc32", "size", "tie")
     slot = (F.col("begin") + F.col("rank") - 1).cast("long").alias("slot")
     return (rows.withColumn("rank", F.row_number().over(inside)).join(begins, ["shard", "cell"])
-            .select(*[c for c in rows.columns if c != "cell"], slot))
+            .select(*[c for c in rows.columns if c not in ("cell", "tie")], slot))
 
 
 def reshard(docs: DataFrame, old_shards: int = 20, shards: int = 24, id_col: str = "doc_id",
@@ -219,12 +221,12 @@ def reshard(docs: DataFrame, old_shards: int = 20, shards: int = 24, id_col: str
     near equal bytes.
 
     Size: UTF-8 bytes plus 8; null texts have none, and checksum 0.  Null ids
-    are placed like any other value.  Rows that agree in id and text share a
-    bucket and move together; an empty table gives no rows; columns that clash
-    with the working ones are not read.
+    are placed like any other value.  Repeated rows are spread like different ones,
+    and which of them a shard has is a matter of their order in the scan; an empty
+    table gives no rows; columns that clash with the working ones are not read.
     """
     spark = docs.sparkSession
     old = write_old(lay_out(docs.select(id_col, text), old_shards, id_col, text), fresh_path(spark, "reshard-old"))
     moves = plan(old, old_shards, shards=shards)
-    rows = rewrite(old, moves).select(id_col, "size", "text_crc32", "old_shard", "shard")
+    rows = rewrite(old, moves).select(id_col, "size", "text_crc32", "old_shard", "shard", "tie")
     return number(stage(rows, "reshard-rows"), id_col)

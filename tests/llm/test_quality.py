@@ -151,11 +151,84 @@ def test_risk_recovers_a_plane():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(9000, 5))
     y = (x[:, 0] + 0.5 * x[:, 1] > -1).astype(int)
-    net = pu_quality.train(x[:4000][y[:4000] == 1], x[4000:8000], y.mean(), epochs=30)
+    net = pu_quality.train(x[:4000][y[:4000] == 1], x[4000:8000], y.mean(), steps=210)
     assert _auc(net.score(x[8000:]), y[8000:]) > 0.95
     assert ((net.score(x[8000:]) >= 0.5) == y[8000:]).mean() > 0.9
 
 
+def test_risk_and_slope_by_hand():
+    """Against the formula written out, and its numerical slope on both sides of zero."""
+    rng = np.random.default_rng(4)
+    seen = set()
+    for _ in range(200):
+        za, zb, prior = rng.normal(0, 3, 4), rng.normal(-1, 3, 6), rng.uniform(0.05, 0.95)
+
+        def parts(za, zb):
+            plus = sum(np.log(1 + np.exp(-z)) for z in za) / 4
+            minus = sum(np.log(1 + np.exp(z)) for z in zb) / 6 - prior * sum(np.log(1 + np.exp(z)) for z in za) / 4
+            return prior * plus, minus
+
+        risk, slope = pu_quality.pu_risk(za, zb, prior)
+        plus, minus = parts(za, zb)
+        assert risk == pytest.approx(plus + max(0, minus))
+        seen.add(minus >= 0)
+        at = np.concatenate([za, zb])
+        for k in range(10):
+            up, down = at.copy(), at.copy()
+            up[k] += 1e-6
+            down[k] -= 1e-6
+            (p1, m1), (p0, m0) = parts(up[:4], up[4:]), parts(down[:4], down[4:])
+            want = (p1 + m1 - p0 - m0) / 2e-6 if minus >= 0 else -(m1 - m0) / 2e-6     # below zero: climb out
+            assert slope[k] == pytest.approx(want, abs=1e-5)
+    assert seen == {True, False}
+
+
+@pytest.mark.parametrize("prior", [0.15, 0.5, 0.85])
+def test_prior_from_positives_and_unlabelled_rows(prior):
+    """Labels hold another share of positives than the text does; only positives are given."""
+    rng = np.random.default_rng(5)
+    y = rng.random(12_000) < prior
+    web = np.where(y[:, None], rng.normal(1.2, 1, (12_000, 4)), rng.normal(-1.2, 1, (12_000, 4)))
+    positive = rng.normal(1.2, 1, (1_500, 4))
+    assert prior - 0.1 < pu_quality.estimate_prior(positive, web) < prior + 0.03       # rather too low than too high
+    weighted = pu_quality.estimate_prior(positive, np.concatenate([web[:6_000], web[:6_000]]), np.full(12_000, 3.0))
+    assert prior - 0.1 < weighted < prior + 0.05
+    assert pu_quality.estimate_prior(positive[:2], web) == 0.5
+
+
+def test_unlabelled_rows_speak_for_all(frame):
+    """Weights add up to all rows; a crowd of copies is one row with their weight."""
+    rng = np.random.default_rng(6)
+    width = len(docstats.FEATURES)
+    x = rng.normal(size=(3_000, width))
+    x[2_000:] = x[1_999]
+    rows = frame([(min(k, 1_999), v.tolist()) for k, v in enumerate(x)], "doc_id long, features array<double>", 7)
+    web, n = pu_quality.unlabelled(rows)
+    assert n.sum() == pytest.approx(3_000)
+    near = np.isclose(web, x[1_999]).all(1)
+    assert near.sum() <= 1 and (not near.any() or n[near][0] >= 1_000)
+    assert np.allclose(n @ web / 3_000, x.mean(0), atol=0.05)
+    again, m = pu_quality.unlabelled(rows.repartition(3))                   # whatever the order
+    assert np.array_equal(web, again) and np.array_equal(n, m)
+    assert pu_quality.unlabelled(rows.limit(0))[1].size == 0
+
+
+def test_keep_good_edge_cases(frame):
+    labels = frame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    good, bad = "Plain words make a sentence here. " * 12, "!!! $$$ ### " * 30
+    rows = [(k, good if k % 2 else bad, "kept", k) for k in range(40)] + [(100, None, "x", 1), (101, "", "x", 1),
+                                                                          (102, good * 2_000, "x", 1), (3, good, "kept", 3), (None, bad, "x", 1)]
+    docs = frame(rows, "doc_id long, text string, features string, score int")
+    kept = pu_quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    predicted = {}
+    for r in pu_quality.score(docs.select("doc_id", "text"), labels).collect():
+        predicted.setdefault(r.doc_id, set()).add(r.predicted)
+    want = [r for r in docs.collect() if 1 in predicted[r.doc_id]]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, want))
+    assert pu_quality.keep_good(docs.limit(0), labels).count() == 0
+
+
 def test_without_positives_the_score_is_the_prior():
     net = pu_quality.train(np.empty((0, 3)), np.ones((4, 3)), 0.7)
     assert net.score(np.ones((2, 3))) == pytest.approx([0.7, 0.7])

@@ -106,3 +106,17 @@ def test_query_laws(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     mean = sum(total) / 24
     assert max(abs(t - mean) for t in total) <= 0.05 * mean
+
+
+def test_law_holds_with_a_third_of_the_rows_equal(frame):
+    """Repeated rows are split like different ones: shards near equal, slots gapless."""
+    rows = [(i, "é" * (i % 200)) for i in range(400)] + [(7, "same row " * 111)] * 200
+    for got in (rs.reshard(frame(rows, "doc_id long, text string", 4), 5, 8).collect(),
+                rs.reshard(frame([(1, None)] * 900, "doc_id long, text string", 4), 5, 8).collect()):
+        total, slots = [0] * 8, {}
+        for r in got:
+            total[r.shard] += r.size
+            slots.setdefault(r.shard, []).append(r.slot)
+        assert max(total) - min(total) <= 2 * max(r.size for r in got)
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(got) == 900
