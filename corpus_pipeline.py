@@ -3,11 +3,18 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's docs.  All stages but the last
 return the columns of documents; the last returns the tokens.
+
+Every stage keeps the rows of an empty table empty, carries columns through by
+name, and gives repeated rows the same fate.  Null and empty texts fail the base
+rules and go in the first stage; given to a later one, they are scored like any
+text, share one fingerprint (the document with the smallest id, nulls first, stays),
+count no words in the mix and have no tokens.  Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopfloor.llm import bpe, mixing, pu_quality, quality_rules, simhash_vp
 from shopfloor.llm.common import settle, table
@@ -36,8 +43,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE ids of each document (little-endian unsigned 32-bit integers)."""
-    return bpe.encode(docs, vocabulary_path()).select("doc_id", "lang", "source", "n_tokens", "token_ids")
+    """BPE ids of each document (little-endian unsigned 32-bit integers), decoded
+    again: the digests of the text and of what the ids give agree."""
+    coded = bpe.encode(docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), vocabulary_path())
+    back = bpe.decode(coded.drop("text"), vocabulary_path())
+    return back.select("doc_id", "lang", "source", "n_tokens", "token_ids", "text_sha256",
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality_rules", rules), ("quality_classifier", classifier), ("simhash_dedup", dedup),
