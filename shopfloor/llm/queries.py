@@ -96,13 +96,16 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
-    captures = warc.assemble(warc.read(spark, path, blocks=False))
-    fields, response = F.col("metadata")[0]["fields"], F.col("response")
-    return captures.select(
-        fields["page-id"].cast("long").alias("page_id"),
-        F.coalesce(response["payload_bytes"], fields["payload-length"].cast("long")).alias("payload_bytes"),
-        response["payload_digest"].alias("payload_digest"), response["type"].alias("record_type"),
-        F.regexp_extract(response["refers_to"], "^<urn:capture:(-?[0-9]+):", 1).cast("long").alias("refers_to"))
+    captures = stage(warc.assemble(warc.read(spark, path, blocks=False)), "op8").select(
+        "capture_id", F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id"),
+        F.col("metadata")[0]["fields"]["payload-length"].cast("long").alias("length"), "response.*")
+    # a revisit names a record: the page is that of the record that was read back
+    named = captures.where("type = 'response'").select(F.col("record_id").alias("named"), F.col("page_id").alias("origin"))
+    sound = F.assert_true((F.col("type") == "revisit") & (F.col("refers_to").isNull() == F.lit(False)) & F.col("named").isNotNull()
+                          | (F.col("type") == "response") & F.col("intact"), F.lit("a record is damaged or refers to none"))
+    return captures.join(named, F.col("refers_to") == F.col("named"), "left").where(F.coalesce(sound.cast("boolean"), F.lit(True))).select(
+        "page_id", F.coalesce("payload_bytes", "length").alias("payload_bytes"), "payload_digest",
+        F.col("type").alias("record_type"), F.col("origin").alias("refers_to"))
 
 
 OP8_SQL = """

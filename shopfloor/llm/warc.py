@@ -4,9 +4,10 @@ A capture is three records: the request, the response (or a revisit of an equal
 payload kept elsewhere) and a metadata record; request and metadata name the
 response in WARC-Concurrent-To.  Writing is DataFrame work: a record is a string
 that ends in CR LF CR LF, so Spark's text sink with that separator and gzip
-writes archives straight to the shared store.  Reading takes whole archive files
-(bounded by records at writing), cuts records by Content-Length, and
-`assemble` joins them by concurrent-to into one nested row per capture.
+writes archives straight to the shared store.  Captures are dealt by size, so that an
+archive holds ARCHIVE_BYTES of payload at most, or one capture.  Reading takes whole
+archive files, cuts records by Content-Length, and `assemble` joins them by
+concurrent-to into one nested row per capture.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import fresh_path, stage
 
-RECORDS_PER_FILE = 1000        # captures in one archive, so that a task can hold one
+ARCHIVE_BYTES = 64 << 20       # payload of one archive, so that a task can hold one
+SIZES = (1 << 16, 1 << 20, 1 << 24)    # classes of payloads: below each of these, and the rest
 MIN_REVISIT = 1000             # payloads from this many bytes on are kept once
 DATE = "1970-01-01T00:00:00Z"  # the pages table has no capture time
 END = "\r\n\r\n"
@@ -63,6 +65,14 @@ def captures(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
                         F.monotonically_increasing_id().alias("mark"))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")) \
                .withColumn("digest", F.sha1(F.col("payload").cast("binary")))
+    size = F.lit(len(SIZES))
+    for k in range(len(SIZES) - 1, -1, -1):
+        size = F.when(F.col("bytes") < SIZES[k], k).otherwise(size)
+    # written once: the marks that records are named by are the same in every later job
+    path = fresh_path(pages.sparkSession, "warc-rows")
+    rows = rows.withColumn("size", size)
+    rows.write.partitionBy("size").parquet(path)
+    rows = pages.sparkSession.read.schema(rows.schema).parquet(path)
     kept = stage(rows.where((F.col("bytes") >= min_revisit) & F.col("page_id").isNotNull())
                  .groupBy("digest", "bytes").agg(F.max(F.struct("page_id", "mark")).alias("first"),
                                                  F.count("*").alias("n")), "warc-kept")
@@ -107,11 +117,15 @@ def transaction(c: DataFrame) -> Column:
     return F.concat(request, F.lit(END), response, F.lit(END), metadata)
 
 
-def write(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, **columns) -> None:
-    """Write `pages` as gzipped WARC archives below `path`."""
+def write(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES, **columns) -> None:
+    """Write `pages` as gzipped WARC archives below `path`, one folder for each class
+    of sizes."""
     rows = captures(pages, **columns)
-    (rows.select(transaction(rows).alias("value")).write.option("lineSep", END).option("compression", "gzip")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    for k, below in enumerate((*SIZES, None)):
+        some = rows.where(F.col("size") == k)
+        each = 1 if below is None else max(1, archive_bytes // below)
+        (some.select(transaction(some).alias("value")).write.option("lineSep", END).option("compression", "gzip")
+         .option("maxRecordsPerFile", each).text(f"{path}/size={k}"))
 
 
 # ---------------------------------------------------------------- reading
@@ -146,7 +160,7 @@ def read(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
     payload's length and digest are measured and `intact` says whether the
     digest agrees with the header; revisits have the header's digest only.
     `blocks=False` leaves the block out, for callers that only need the digests."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     types = [pa.string()] * 8 + [pa.int64(), pa.bool_(), pa.map_(pa.string(), pa.string()), pa.binary()]
     names = [c.split()[0] for c in RECORD.split(", ")]
 

@@ -45,7 +45,7 @@ ROWS = [(1, "http://a.example/x?y=1", BIG), (2, "http://b.example", BIG), (3, No
 
 
 def test_roundtrip(spark, frame):
-    path, captures = roundtrip(spark, frame([(*r, "d", 1) for r in ROWS], DDL), records_per_file=2)
+    path, captures = roundtrip(spark, frame([(*r, "d", 1) for r in ROWS], DDL), archive_bytes=2 << 16)
     assert digest_columns(captures) == expected(ROWS)
     by = {(r.metadata[0].fields.get("page-id"), r.response.type): r for r in captures.collect()}
     assert all(len(r.requests) == len(r.metadata) == 1 for r in by.values())
@@ -54,8 +54,29 @@ def test_roundtrip(spark, frame):
     assert bytes(r.response.block).endswith(b"x" * 2000)
     assert bytes(by["1", "revisit"].response.block).endswith(b"\r\n\r\n")
     assert bytes(by["1", "revisit"].requests[0].block) == b"GET /x?y=1 HTTP/1.1\r\nHost: a.example\r\n\r\n"
-    files = spark.read.format("binaryFile").load(path).count()
-    assert files >= len(ROWS) / 2
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content").collect()
+    sizes = [sum(len(b) for h, b in warc.parse(gzip.decompress(f.content)) if h["warc-type"] == "response") for f in files]
+    assert len(files) >= len(ROWS) / 2 and max(sizes) < 201_000           # two small captures, or a large one
+
+
+def test_damage_and_lost_records_are_told(spark, frame, monkeypatch):
+    """The query fails where an archive lost the record that a revisit names, or a payload changed."""
+    real = warc.read
+    lost = lambda *a, **k: real(*a, **k).where("NOT (type = 'response' AND payload_bytes > 1000)")
+    hurt = lambda *a, **k: real(*a, **k).withColumn("intact", F.col("payload_bytes") < 1000)
+    rows = [(1, "http://a/", BIG), (2, "http://b/", BIG)]
+    monkeypatch.setattr(queries, "table", lambda *a: frame(rows, "page_id long, url string, html string"))
+    assert sorted(tuple(r)[3:] for r in queries.op8_warc(spark, "").collect()) == [("response", None), ("revisit", 2)]
+    for read in (lost, hurt):
+        monkeypatch.setattr(warc, "read", read)
+        with pytest.raises(Exception, match="damaged or refers to none"):
+            queries.op8_warc(spark, "").collect()
+
+
+def test_marks_are_written_once(spark, frame):
+    """Every job reads the marks that the first one wrote, so names in one archive hold in another."""
+    rows = warc.captures(frame([(*r, "d", 1) for r in ROWS], DDL))
+    assert rows.inputFiles() and {r.mark for r in rows.collect()} == {r.mark for r in rows.repartition(5).collect()}
 
 
 def test_records_are_joined_by_concurrent_to_not_by_order(spark, frame):
