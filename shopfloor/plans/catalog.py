@@ -18,6 +18,7 @@ from ..functions.scalars import hour_bucket, in_range, null_error_codes
 from ..operators import clean, integrate, load, ordered, standardize, summary
 from ..schemas import SENSOR_RANGES
 from ..sources import extract, fixtures
+from ..sources.files import exists, state
 from ..sources.tables import read_table
 from . import checks, pipeline, reports
 from .oracle import P, summary_rounded, with_pipeline
@@ -44,14 +45,20 @@ def register(key: str, sql: str | None):
 _PLANS: dict[tuple, pipeline.Pipeline] = {}
 
 
+def _source(spark: SparkSession, sf_dir: str) -> tuple:
+    """What a plan or a published run over one folder depends on."""
+    return spark.sparkContext.applicationId, sf_dir, state(spark, f"{sf_dir}/events.parquet")
+
+
 def _pipe(spark: SparkSession, sf_dir: str) -> pipeline.Pipeline:
-    """The lazy pipeline over one folder, built once per Spark application.
+    """The lazy pipeline over one folder, built once per Spark application and state
+    of the folder's files.
 
     Only the logical plan is kept (no data is cached): every query still
     runs from the source tables.
     """
     session.configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _source(spark, sf_dir)
     if key not in _PLANS:
         _PLANS[key] = pipeline.from_sf_dir(spark, sf_dir)
     return _PLANS[key]
@@ -452,11 +459,12 @@ _RUNS: dict[tuple, str] = {}
 
 def _published(spark, sf_dir) -> Tables:
     """The three tables as the job published them, for the queries that read
-    tables (G, J, K).  The job runs once per Spark application and folder."""
+    tables (G, J, K).  The job runs once per Spark application and state of the
+    folder's files, and again where its scratch folder is gone."""
     import uuid
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _RUNS:
+    key = _source(spark, sf_dir)
+    if key not in _RUNS or not exists(spark, _RUNS[key]):
         base = session.scratch_path(spark, f"shopfloor-run-{uuid.uuid4().hex}")
         pipeline.run_pipeline(spark, _pipe(spark, sf_dir), base)
         _RUNS[key] = base

@@ -23,6 +23,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in store.listStatus(where)] if store.exists(where) else []
 
 
+def state(spark: SparkSession, path: str) -> tuple:
+    """(name, bytes, time of change) of a file, or of what a folder holds: differs once the data do."""
+    store, where = _located(spark, path)
+    if not store.exists(where):
+        return ()
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in store.listStatus(where)))
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder with all it holds; False when there is none."""
     store, where = _located(spark, path)
