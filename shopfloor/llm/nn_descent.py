@@ -48,6 +48,7 @@ STILL = 0.002           # share of changed list entries at which descent ends
 PER_GROUP, SAMPLE, MAX_SAMPLE = 32, 1 << 12, 1 << 16
 GROUP, BLOCK = 4096, 256        # nodes of a group (one task row set); of a block compared exactly
 CROWD = 24              # nodes that name one node as neighbour and are compared at once
+ATTEMPTS = 5            # searches, each audited and with twice the trees of the one before, until recall holds
 HALVINGS = 30           # times a leaf that the sample left crowded is cut in two, at most
 QUERIES, RECALL = 256, 0.99     # audit: query nodes at first, share of their links that must be found
 MOST_QUERIES, FEW = 4096, 64    # query nodes at most; drawn until so many of them have 1 to K links
@@ -557,6 +558,10 @@ def count_links(nodes: DataFrame, labels: DataFrame, threshold: float, tile: int
 
 # ---------------------------------------------------------------- operator
 
+class LowRecall(RuntimeError):
+    """The audit still misses links after the last search."""
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
                     threshold: float = THRESHOLD, trees: int = TREES, rounds: int = ROUNDS) -> DataFrame:
     """One row per input row: (vec_id, n_links, component_id, kept).
@@ -567,19 +572,22 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     or non-finite components link with nothing, and vectors of different
     dimensions do not link.  Rows with equal vectors are linked; rows that repeat
     an id are vectors of their own (and kept together); null ids never win.  An
-    empty table gives no rows; other columns are not read.
+    empty table gives no rows; other columns are not read.  A result whose audited
+    recall stays below RECALL is not given: LowRecall is raised.
     """
     rows = stage(with_units(vectors, id_col, vector), "nnd-units")
     nodes = rows.where("unit is not null").groupBy("unit", "dim").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     nodes = stage(singles(nodes.withColumn("node", F.monotonically_increasing_id())), "nnd-nodes")
     edges, graph = descend(nodes, start(nodes, trees, 1, threshold), threshold, rounds)
-    for attempt in (2, 3, 4):
+    for attempt in itertools.count(2):
         edges, labels = joined(nodes, graph, edges, threshold, attempt, rounds)
         recall, missing = audit(nodes, labels, threshold)
         edges = edges.union(missing)
         if recall >= RECALL:
             break
+        if attempt == ATTEMPTS + 1:
+            raise LowRecall(f"recall {recall:.4f} after {ATTEMPTS} searches, {RECALL} asked for")
         trees *= 2
         more, graph = descend(nodes, start(nodes, trees, attempt, threshold), threshold, rounds)
         edges = edges.union(more)

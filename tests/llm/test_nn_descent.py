@@ -162,3 +162,13 @@ def test_other_thresholds(frame, threshold):
     got = [r[:3] for r in run(frame, rows, threshold=threshold)]
     want = [r[:3] for r in brute(rows, threshold)]
     assert sum(a == b for a, b in zip(got, want)) >= 0.98 * len(want)
+
+
+def test_low_recall_is_told(frame, monkeypatch):
+    """No result is given whose last audit still misses links."""
+    rows = frame([(k, [1.0, k / 50, 0.0]) for k in range(30)], "vec_id long, embedding array<double>")
+    real = nnd.audit
+    monkeypatch.setattr(nnd, "ATTEMPTS", 2)
+    monkeypatch.setattr(nnd, "audit", lambda *a, **k: (0.5, real(*a, **k)[1]))
+    with pytest.raises(nnd.LowRecall, match="recall 0.5000 after 2 searches"):
+        nnd.near_duplicates(rows)
