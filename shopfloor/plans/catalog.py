@@ -694,7 +694,7 @@ def q_check_result_distribution(spark, sf_dir):
     return checks.check_result_distribution(_published(spark, sf_dir))
 
 
-_REPORT_SQL = f"""
+REPORT_SQL = f"""
 SELECT 'row_counts' AS "check", 'sensor_readings' AS metric, CAST(count(*) AS DOUBLE) AS value,
   CASE WHEN count(*) > 0 THEN 'pass' ELSE 'fail' END AS status FROM readings
 UNION ALL SELECT 'row_counts', 'quality_checks', CAST(count(*) AS DOUBLE),
@@ -726,14 +726,14 @@ UNION ALL SELECT 'quality_distribution', 'share_' || coalesce(data_quality, 'nul
   FROM readings GROUP BY data_quality"""
 
 
-@register("validation_report", _REPORT_SQL)
+@register("validation_report", REPORT_SQL)
 def q_validation_report(spark, sf_dir):
     return checks.validation_report(_published(spark, sf_dir))
 
 
 @register("overall_status", f"""
 SELECT bool_and(status <> 'fail') AS all_passed, count(*) FILTER (WHERE status = 'fail') AS failed_checks
-FROM ({_REPORT_SQL}) r""")
+FROM ({REPORT_SQL}) r""")
 def q_overall_status(spark, sf_dir):
     return checks.overall_status(_published(spark, sf_dir))
 

@@ -36,11 +36,11 @@ from ..operators.standardize import POSITION_COL, standardize_data
 from ..operators.summary import hourly_summary
 from ..schemas import RECORD_ID_COLUMN
 from ..sources import csv, extract
-from . import snapshots
+from . import check_state, snapshots
 from .snapshots import Snapshot
 
 POSITION = "row_no"      # a reading's place in its source, where the source has one
-JOINED, SUMMARY, SENSOR, INSPECTIONS = "joined", "hourly_summary", "sensor", "inspections"
+JOINED, SUMMARY, SENSOR, INSPECTIONS, STATE = "joined", "hourly_summary", "sensor", "inspections", "check_state"
 
 
 class DeliveryChanged(ValueError):
@@ -104,15 +104,19 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def _commit_days(spark: SparkSession, base: str, before: Snapshot, joined: DataFrame, days: set,
-                 added: dict | None = None, notes: dict[str, str] | None = None) -> Snapshot:
-    """Write ``joined`` (all rows of ``days``) and those days' summary, as one version."""
+                 added: dict | None = None, notes: dict[str, str] | None = None,
+                 inspections: DataFrame | None = None) -> Snapshot:
+    """Write ``joined`` (all rows of ``days``), those days' summary and check state, as one version."""
     entries = snapshots.write(joined, base, JOINED)
     stored = snapshots.read(spark, base, JOINED, snapshots.of(JOINED, joined, entries))
     summary = hourly_summary(stored.where(F.col(DAY).isNotNull()).drop(DAY))
     summary = summary.withColumn(DAY, F.to_date("hour"))
+    hours = snapshots.write(summary, base, SUMMARY)
+    state = check_state.day_state(stored, inspections, snapshots.read(spark, base, SUMMARY, snapshots.of(SUMMARY, summary, hours)))
     return snapshots.commit(
-        spark, base, before, {**(added or {}), JOINED: (joined, entries), SUMMARY: (summary, snapshots.write(summary, base, SUMMARY))},
-        replaced={JOINED: days, SUMMARY: days}, notes=notes)
+        spark, base, before, {**(added or {}), JOINED: (joined, entries), SUMMARY: (summary, hours),
+                              STATE: (state, snapshots.write(state, base, STATE))},
+        replaced={JOINED: days, SUMMARY: days, STATE: days}, notes=notes)
 
 
 def read_joined(spark: SparkSession, base: str, snapshot: Snapshot | None = None) -> DataFrame | None:
@@ -125,6 +129,12 @@ def read_summary(spark: SparkSession, base: str, snapshot: Snapshot | None = Non
     return None if found is None else found.drop(DAY)
 
 
+def read_check_state(spark: SparkSession, base: str, snapshot: Snapshot | None = None) -> DataFrame | None:
+    """What the last load left for ``check_state.validation_report``.  Inspections are
+    counted for deliveries alone (joined rows do not tell them apart)."""
+    return snapshots.read(spark, base.rstrip("/"), STATE, snapshot)
+
+
 def incremental_load(spark: SparkSession, base: str, new_joined: DataFrame,
                      key: str | list[str] | None = None) -> Snapshot:
     """X2 on disk: load whole joined readings and refresh the days of the summary
@@ -238,10 +248,11 @@ def deliver(spark: SparkSession, base: str, sensor_raw: DataFrame | None = None,
     all_sensor = _both(snapshots.read(spark, base, SENSOR, before, days), sensor)
     all_quality = _both(snapshots.read(spark, base, INSPECTIONS, before, days), quality)
     notes = {note: json.dumps(entry), "next_check": str(next_check)} | ({"carry": json.dumps(carry)} if carry else {})
-    if all_sensor is None:                              # inspections of days without readings: they wait
-        return snapshots.commit(spark, base, before, added, notes=notes)
-    all_sensor = all_sensor.drop(DAY)
-    salt = 1
+    if all_sensor is None:                              # inspections before any reading: they wait
+        state = check_state.day_state(None, all_quality, None)
+        added[STATE] = state, snapshots.write(state, base, STATE)
+        return snapshots.commit(spark, base, before, added, {STATE: days}, notes)
+    all_sensor, inspections, salt = all_sensor.drop(DAY), all_quality, 1
     if all_quality is not None:
         all_quality = all_quality.drop(DAY)
         if null_keys == "match" and join_plan(all_sensor.columns, all_quality.columns):
@@ -249,7 +260,7 @@ def deliver(spark: SparkSession, base: str, sensor_raw: DataFrame | None = None,
             refuse_null_pairs(pairs, max_null_pairs)
             salt = salt_for(null_rows)
     joined = _by_day(join_sensor_quality(all_sensor, all_quality, null_keys=null_keys, null_salt=salt, check_empty=False))
-    return _commit_days(spark, base, before, joined, days, added, notes)
+    return _commit_days(spark, base, before, joined, days, added, notes, inspections)
 
 
 # --- registered queries ------------------------------------------------
@@ -288,7 +299,7 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _register():
     from ..operators.load import project_sensor_readings
-    from ..plans.catalog import register
+    from ..plans.catalog import REPORT_SQL, register
     from ..plans.oracle import summary_rounded
     from ..plans.reports import round_doubles
 
@@ -311,6 +322,11 @@ def _register():
         """The readings after those deliveries: none lost, ids as in one run."""
         return project_sensor_readings(read_joined(spark, delivered(spark, sf_dir)))
 
+    @register("incremental_report", REPORT_SQL)
+    def q_incremental_report(spark, sf_dir):
+        """K11 after those deliveries, from the state they left: no table is scanned."""
+        return check_state.validation_report(read_check_state(spark, delivered(spark, sf_dir)))
+
     @register("incremental_append", f"SELECT {summary_rounded()} FROM summary")
     def q_incremental_append(spark, sf_dir):
         first, second = two_loads(spark, sf_dir)

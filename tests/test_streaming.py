@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from core_helpers import SF0001, rows
 from shopfloor.operators.summary import hourly_summary
 from shopfloor.plans import pipeline
-from shopfloor.plans.reports import round_doubles
+from shopfloor.operators import load
+from shopfloor.plans import checks as full_checks
+from shopfloor.plans.reports import Tables, round_doubles
 from shopfloor.sources import fixtures
-from shopfloor.streaming import cleaning, hourly, incremental, snapshots
+from shopfloor.streaming import check_state, cleaning, hourly, incremental, snapshots
 
 
 def test_stream_clean_equals_batch_across_batches(spark):
@@ -224,6 +226,21 @@ def test_raw_deliveries_equal_one_run(spark):
     assert rows(round_doubles(summary.select(*whole.hourly.columns))) == rows(round_doubles(whole.hourly))
 
 
+def test_check_state_equals_a_full_scan(spark):
+    sensor, quality = _raw(spark)
+    base = tempfile.mkdtemp(prefix="sf-state-")
+    incremental.deliver(spark, base, None, quality.where("row_no >= 1500"))                # before any reading
+    first = incremental.deliver(spark, base, sensor.where("row_no < 500"), quality.where("row_no < 800"))
+    last = incremental.deliver(spark, base, sensor.where("row_no >= 500"), quality.where("row_no >= 800 and row_no < 1500"))
+    kept = {e for e in first.folders if e[0] == "check_state"} & set(last.folders)
+    assert kept                                                                            # untouched days
+    state = incremental.read_check_state(spark, base)
+    joined, checks = incremental.read_joined(spark, base), snapshots.read(spark, base, "inspections").drop("day")
+    t = Tables(load.project_sensor_readings(joined), load.project_quality_checks(checks), incremental.read_summary(spark, base))
+    assert rows(round_doubles(check_state.validation_report(state))) == rows(round_doubles(full_checks.validation_report(t)))
+    assert check_state.top_machines(state).collect() == full_checks.check_top_machines(t).collect()
+
+
 def test_delivery_without_name_readings_or_inspections(spark):
     sensor, quality = _raw(spark)
     base = tempfile.mkdtemp(prefix="sf-odd-")
