@@ -13,6 +13,10 @@ Scale notes
   are copied once per salt, and the salt joins the key.  Every match is
   still produced exactly once, and the hot group spreads over
   ``null_salt`` tasks.
+* Their pairs grow with the square of their number, while what a task reads stays
+  small, so no limit on bytes splits it.  Where the pairs were counted (``null_pairs``,
+  see ``null_key_load``) and are many, the NULL-key rows are joined apart: dealt over
+  S x T cells like hot keys, in as many tasks as keep each near PAIRS_PER_TASK.
 * Hot real keys, which a heavy-hitter sketch finds (``key_profile``), are salted
   on both sides (``hot``): their left rows take one of S salts, their right rows one
   of T, and each is copied over the other side's salts, so S x T tasks share the
@@ -21,6 +25,8 @@ Scale notes
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +41,8 @@ ROWS_PER_SALT, MAX_SALT = 50_000, 4_096
 MAX_NULL_PAIRS = 1_000_000_000   # NULL = NULL output rows a job may write unless told otherwise
 HOT_KEYS, SKETCH_ITEMS = 64, 8_192    # keys that are salted, at most; entries of the heavy-hitter sketch
 MAX_HOT_SALT = 256
+EXACT_TEXT = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)   # equal where their text is
+PAIRS_PER_TASK, CELLS_PER_TASK = 2_000_000, 8    # NULL = NULL pairs of a task; cells hashed to it, so that tasks come out even
 
 
 class NullKeyPairs(ValueError):
@@ -80,8 +88,9 @@ def latest_per_key(quality: DataFrame, keys: list[str], order_col: str) -> DataF
 def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys: str = "match",
                         null_salt: int = DEFAULT_NULL_SALT, check_empty: bool = True,
                         dedupe_checks: str = "none", checks_order: str | None = None,
-                        hot: dict[int, tuple[int, int]] | None = None) -> DataFrame:
-    """Left join + quality_status.  ``hot``: see ``hot_salts``.
+                        hot: dict[int, tuple[int, int]] | None = None, null_pairs: int = 0) -> DataFrame:
+    """Left join + quality_status.  ``hot``: see ``hot_salts``; ``null_pairs``: the
+    pairs that NULL keys make, where they were counted.
 
     ``check_empty`` reproduces "no quality rows -> only sensor columns"
     with a one-row probe job; without it an empty quality side simply
@@ -130,10 +139,10 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
         hot_left, hot_right = (F.xxhash64(*[F.col(c) for c in names]).isin(*hot) for names in zip(*pairs))
         hot_left = hot_left & ~_any_null([F.col(s) for s, _ in pairs])      # a hash may meet another key's
         hot_right = hot_right & ~_any_null([F.col(rk) for _, rk in pairs])
-        joined = _left_join(sensor.where(~hot_left), right.where(~hot_right), pairs, null_keys, null_salt).unionByName(
+        joined = _left_join(sensor.where(~hot_left), right.where(~hot_right), pairs, null_keys, null_salt, null_pairs).unionByName(
             _hot_join(sensor.where(hot_left), right.where(hot_right), pairs, hot))
     else:
-        joined = _left_join(sensor, right, pairs, null_keys, null_salt)
+        joined = _left_join(sensor, right, pairs, null_keys, null_salt, null_pairs)
 
     out_cols = [F.col(c) for c in sensor.columns]
     out_cols += [F.col(n) for n in renames.values()]
@@ -144,7 +153,7 @@ def join_sensor_quality(sensor: DataFrame, quality: DataFrame | None, null_keys:
 
 
 def _left_join(sensor: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], null_keys: str,
-               null_salt: int) -> DataFrame:
+               null_salt: int, null_pairs: int = 0) -> DataFrame:
     """LEFT equi-join under one of the three rules for NULL keys."""
     if null_keys == "none":
         return sensor.join(right, _and([F.col(s) == F.col(rk) for s, rk in pairs]), "left")
@@ -153,6 +162,10 @@ def _left_join(sensor: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     salt = max(1, int(null_salt))
     left_null = _any_null([F.col(s) for s, _ in pairs])
     right_null = _any_null([F.col(rk) for _, rk in pairs])
+    types = [{df.schema[c].dataType for df, c in ((sensor, s), (right, rk))} for s, rk in pairs]
+    if null_pairs > PAIRS_PER_TASK and all(len(t) == 1 and isinstance(*t, EXACT_TEXT) for t in types):
+        keyed = _left_join(sensor.where(~left_null), right.where(~right_null), pairs, "none", salt)
+        return keyed.unionByName(_null_join(sensor.where(left_null), right.where(right_null), pairs, null_pairs))
     # left: NULL-key rows spread over salts by a hash of the whole row
     left = sensor.withColumn(
         "__salt", F.when(left_null, F.pmod(F.xxhash64(*[F.col(c) for c in sensor.columns]),
@@ -166,6 +179,32 @@ def _left_join(sensor: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     return left.join(right, on=_and(cond), how="left").drop("__salt", "__rsalt")
 
 
+def _null_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], null_pairs: int) -> DataFrame:
+    """LEFT equi-join, NULL = NULL, of the rows with a NULL key: left rows take one of
+    ``side`` salts, right rows too, and each is copied over the other side's.  The number
+    of tasks is given, as AQE would join small inputs with a large output in few."""
+    tasks = -(-null_pairs // PAIRS_PER_TASK)
+    side = math.isqrt(tasks * CELLS_PER_TASK - 1) + 1
+
+    def dealt(df: DataFrame, names: list[str], cell: str, own_first: bool) -> DataFrame:
+        # by content, so that a task that is run again deals its rows as before
+        own = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(side)).cast("int")
+        copies = df.withColumn("__own", own).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
+        at = ("__own", "__copy") if own_first else ("__copy", "__own")
+        # one key without NULLs, so that the join takes the partitions as they are; only a
+        # machine, the last key, can hold the separator
+        parts = [F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string"))) for c in names]
+        key = F.concat_ws("|", *[F.col(c).cast("string") for c in at], *parts)
+        return copies.withColumn(cell, key).drop("__own", "__copy").repartition(tasks, cell)
+
+    own, other = [s for s, _ in pairs], [rk for _, rk in pairs]
+    met = dealt(left, own, "__cell", True).join(dealt(right, other, "__rcell", False).hint("merge"),
+                                                F.col("__cell") == F.col("__rcell")).drop("__cell", "__rcell")
+    keys = right.select(*[F.col(c).alias(f"__n{i}") for i, c in enumerate(other)]).distinct()
+    alone = left.join(keys, _and([F.col(c).eqNullSafe(F.col(f"__n{i}")) for i, c in enumerate(own)]), "left_anti")
+    return met.unionByName(alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
+
+
 def _hot_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
               hot: dict[int, tuple[int, int]]) -> DataFrame:
     """LEFT equi-join of the rows of hot keys, dealt over S x T salts each."""

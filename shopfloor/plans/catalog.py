@@ -230,7 +230,8 @@ FROM sensor_std s LEFT JOIN quality_std q ON s.timestamp IS NOT DISTINCT FROM q.
 def q_join_time_only(spark, sf_dir):
     p = _pipe(spark, sf_dir)
     sensor = p.sensor_std.drop("machine_id", "line_id")
-    j = integrate.join_sensor_quality(sensor, p.quality_std)
+    pairs = p.null_pairs_without("machine_id", "line_id")
+    j = integrate.join_sensor_quality(sensor, p.quality_std, null_pairs=pairs)
     return j.select("record_id", "timestamp", "machine_id", "record_id_quality", "result")
 
 
@@ -264,7 +265,7 @@ def q_restandardize_quality(spark, sf_dir):
     p = _pipe(spark, sf_dir)
     q_text = p.quality_std.withColumn("timestamp",
                                       F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    j = integrate.join_sensor_quality(p.sensor_std, q_text)
+    j = integrate.join_sensor_quality(p.sensor_std, q_text, null_pairs=p.null_pairs)
     return j.select("record_id", "record_id_quality", "quality_status")
 
 

@@ -20,7 +20,7 @@ from ..operators.clean import clean_sensor_data
 from ..operators.factorised import joined_hourly_summary, status_distribution
 from ..operators.integrate import (DEFAULT_NULL_SALT, MAX_NULL_PAIRS, STATUS_COL, hot_salts, join_plan,
                                    join_sensor_quality, key_profile, null_key_load, quality_status_distribution,
-                                   refuse_null_pairs, salt_for)
+                                   refuse_null_pairs, salt_for, PAIRS_PER_TASK)
 from ..operators.load import (project_hourly_summary, project_quality_checks,
                               project_sensor_readings, publish_tables)
 from ..operators.ordered import ROWS_PER_BUCKET, RowOrder, bucket_cuts, quantile_aggs
@@ -108,17 +108,27 @@ class Pipeline:
         """The reference joins nothing where there is no inspection."""
         return None if self._check_empty and self._keys and self._quality_profile["rows"] == 0 else quality
 
+    @cached_property
+    def null_pairs(self) -> int:
+        """NULL = NULL pairs of the join, from counts per key."""
+        return null_key_load(self._sensor_plain, self._quality_plain)[1]
+
+    def null_pairs_without(self, *columns: str) -> int:
+        """The same where the readings lack ``columns``."""
+        return null_key_load(self._sensor_plain.drop(*columns), self._quality_plain)[1]
+
     def _join(self, quality: DataFrame | None) -> DataFrame:
         quality = self._unless_empty(quality)
-        salt = self._null_salt or DEFAULT_NULL_SALT
+        salt, pairs = self._null_salt or DEFAULT_NULL_SALT, 0
         if self._null_keys == "match" and quality is not None and self._keys and self._null_salt is None:
             left, right = self._sensor_profile["null_rows"], self._quality_profile["null_rows"]
             limit = self._max_null_pairs
-            if self._dedupe == "none" and limit is not None and left * right > limit:      # else there cannot be too many
-                refuse_null_pairs(null_key_load(self._sensor_plain, self._quality_plain)[1], limit)
+            if self._dedupe == "none" and left * right > (PAIRS_PER_TASK if limit is None else min(limit, PAIRS_PER_TASK)):      # else they are few
+                pairs = self.null_pairs
+                refuse_null_pairs(pairs, limit)
             salt = salt_for(left)
         return join_sensor_quality(self.sensor_std, quality, null_keys=self._null_keys, null_salt=salt,
-                                   check_empty=False, dedupe_checks=self._dedupe, hot=self._hot)
+                                   check_empty=False, dedupe_checks=self._dedupe, hot=self._hot, null_pairs=pairs)
 
     @cached_property
     def joined(self) -> DataFrame:

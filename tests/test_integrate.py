@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from core_helpers import SF0001, rows
 from shopfloor.operators import factorised, integrate
@@ -234,3 +235,39 @@ def test_hot_real_key_is_salted_on_both_sides(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+# --- NULL = NULL pairs that are many -----------------------------------------------
+
+def _null_heavy(spark):
+    left = [(None, f"m{i % 3}" if i % 5 else None, f"R{i}", float(i)) for i in range(120)] + [(T0, None, "X", 1.0), (T0, "m1", "Y", 2.0)]
+    right = [(None, f"m{i % 2}" if i % 7 else None, "pass" if i % 2 else "fail") for i in range(60)] + [(T0, "m1", "pass")]
+    return sensor(spark, left), quality(spark, right)
+
+
+@pytest.mark.parametrize("columns", [("timestamp", "machine_id"), ("timestamp",)])
+def test_many_null_pairs_are_joined_in_bounded_tasks(spark, monkeypatch, columns):
+    s, q = _null_heavy(spark)
+    if columns == ("timestamp",):
+        s = s.drop("machine_id")
+    want = join_sensor_quality(s, q)
+    pairs = integrate.null_key_load(s, q)[1]
+    assert pairs > 1000
+    monkeypatch.setattr(integrate, "PAIRS_PER_TASK", 100)
+    got = join_sensor_quality(s, q, null_pairs=pairs)
+    assert rows(got.select(*want.columns)) == rows(want)                     # readings without a partner too
+    by_task = got.withColumn("task", F.spark_partition_id()).where("timestamp is null and result is not null").groupBy("task").count()
+    assert by_task.agg(F.max("count")).first()[0] <= 600 < pairs
+
+
+def test_the_job_counts_its_null_pairs(spark, monkeypatch):
+    s, q = _null_heavy(spark)
+    s, q = (df.withColumn("row_no", F.monotonically_increasing_id()) for df in (s, q))
+    q = q.withColumn("inspection_status", F.lit("completed"))
+    want = rows(pipeline.build(s, q).joined)
+    monkeypatch.setattr(integrate, "PAIRS_PER_TASK", 100)
+    monkeypatch.setattr(pipeline, "PAIRS_PER_TASK", 100)
+    found = pipeline.build(s, q)
+    assert rows(found.joined) == want and found.null_pairs > 1000
+    with pytest.raises(integrate.NullKeyPairs):
+        pipeline.build(s, q, max_null_pairs=0).joined
