@@ -38,7 +38,8 @@ def day_state(joined: DataFrame | None, inspections: DataFrame | None, summary:
         absent = F.count_if(F.col("record_id").isNull() | F.col("timestamp").isNull())
         parts.append(_rows(readings, READINGS, ids=F.count_distinct("record_id"), nulls=absent,
                            lo=F.min("temperature"), hi=F.max("temperature")))
-        parts.append(_rows(readings, FLAG, "data_quality"))
+        if "data_quality" in readings.columns:
+            parts.append(_rows(readings, FLAG, "data_quality"))
     if inspections is not None:
         parts.append(_rows(inspections, CHECKS))
     if summary is not None:

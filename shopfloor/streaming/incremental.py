@@ -107,7 +107,7 @@ def _commit_days(spark: SparkSession, base: str, before: Snapshot, joined: DataF
                  added: dict | None = None, notes: dict[str, str] | None = None,
                  inspections: DataFrame | None = None) -> Snapshot:
     """Write ``joined`` (all rows of ``days``), those days' summary and check state, as one version."""
-    entries = snapshots.write(joined, base, JOINED)
+    entries = snapshots.write(joined, base, JOINED, True)
     stored = snapshots.read(spark, base, JOINED, snapshots.of(JOINED, joined, entries))
     summary = hourly_summary(stored.where(F.col(DAY).isNotNull()).drop(DAY))
     summary = summary.withColumn(DAY, F.to_date("hour"))
@@ -252,14 +252,15 @@ def deliver(spark: SparkSession, base: str, sensor_raw: DataFrame | None = None,
         state = check_state.day_state(None, all_quality, None)
         added[STATE] = state, snapshots.write(state, base, STATE)
         return snapshots.commit(spark, base, before, added, {STATE: days}, notes)
-    all_sensor, inspections, salt = all_sensor.drop(DAY), all_quality, 1
+    all_sensor, inspections, salt, pairs = all_sensor.drop(DAY), all_quality, 1, 0
     if all_quality is not None:
         all_quality = all_quality.drop(DAY)
         if null_keys == "match" and join_plan(all_sensor.columns, all_quality.columns):
             null_rows, pairs = null_key_load(all_sensor, all_quality)
             refuse_null_pairs(pairs, max_null_pairs)
             salt = salt_for(null_rows)
-    joined = _by_day(join_sensor_quality(all_sensor, all_quality, null_keys=null_keys, null_salt=salt, check_empty=False))
+    joined = _by_day(join_sensor_quality(all_sensor, all_quality, null_keys=null_keys, null_salt=salt, check_empty=False,
+                                         null_pairs=pairs))
     return _commit_days(spark, base, before, joined, days, added, notes, inspections)
 
 

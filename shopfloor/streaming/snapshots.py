@@ -79,10 +79,27 @@ def read(spark: SparkSession, base: str, table: str, snapshot: Snapshot | None =
     return rows.drop("load").withColumn(DAY, F.col(DAY).cast("date"))
 
 
-def write(rows: DataFrame, base: str, table: str) -> list[tuple[str, dt.date | None, str]]:
+def write(rows: DataFrame, base: str, table: str, undated_apart: bool = False) -> list[tuple[str, dt.date | None, str]]:
     """Write rows (with ``day``) to a new folder; returns its entries, one for each day.
-    They count only once a manifest names them."""
-    folder = f"{table}/load=l{uuid.uuid4().hex}"
+    They count only once a manifest names them.
+
+    ``undated_apart``: rows without a day go to their folder straight from the tasks
+    that make them.  They are joined with each other, and their copies compress so well
+    that the shuffle by day would give a task, by bytes, far more rows than it can sort."""
+    spark, folder = rows.sparkSession, f"{table}/load=l{uuid.uuid4().hex}"
+    if undated_apart:
+        undated = f"{folder}/{DAY}={NULL_DAY}"
+        entries = write_dated(rows.where(F.col(DAY).isNotNull()), base, table, folder)
+        rows.where(F.col(DAY).isNull()).drop(DAY).write.parquet(f"{base}/{undated}")
+        if spark.read.schema(rows.drop(DAY).schema).parquet(f"{base}/{undated}").isEmpty():
+            delete(spark, f"{base}/{undated}")
+            return entries
+        return [*entries, (table, None, undated)]
+    return write_dated(rows, base, table, folder)
+
+
+def write_dated(rows: DataFrame, base: str, table: str, folder: str) -> list[tuple[str, dt.date | None, str]]:
+    """The rows of a day meet, and AQE splits days that are too large for a task."""
     rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(f"{base}/{folder}")
     written = parquet_if_any(rows.sparkSession, f"{base}/{folder}")
     held = [] if written is None else written.select(F.col(DAY).cast("date")).distinct().collect()

@@ -297,3 +297,33 @@ def test_readers_of_an_old_version_and_superseded_folders(spark):
     assert incremental.read_joined(spark, base, versions[1]).count() > 0
     with pytest.raises(snapshots.ConcurrentLoad):
         snapshots.commit(spark, base, versions[1], {})
+
+
+def test_undated_rows_are_written_without_a_shuffle_by_day(spark):
+    """They are joined with each other: a task that sorts them by day would hold all its copies."""
+    base = tempfile.mkdtemp(prefix="sf-undated-")
+    made = spark.range(400).repartition(8).selectExpr("id", "case when id % 4 = 0 then date'2024-01-01' end as day")
+    entries = snapshots.write(made, base, "t", True)
+    assert sorted((d is None, d) for _, d, _ in entries) == [(False, dt.date(2024, 1, 1)), (True, None)]
+    undated = next(folder for _, d, folder in entries if d is None)
+    files = glob.glob(f"{base}/{undated}/*.parquet")
+    assert len(files) == 8                                                            # one of each task that made them
+    got = snapshots.read(spark, base, "t", snapshots.of("t", made, entries))
+    assert rows(got) == rows(made)
+    dated = snapshots.write(made.where("day is not null"), base, "t", True)
+    assert [d for _, d, _ in dated] == [dt.date(2024, 1, 1)]
+
+
+def test_delivered_null_pairs_in_bounded_tasks(spark, monkeypatch):
+    from shopfloor.operators import integrate
+    sensor, quality = _raw(spark)
+    sensor = sensor.withColumn("timestamp", F.expr("case when row_no % 5 > 0 then timestamp end"))
+    quality = quality.withColumn("timestamp", F.expr("case when row_no % 5 > 0 then timestamp end"))
+    want = pipeline.build(sensor, quality).joined
+    monkeypatch.setattr(integrate, "PAIRS_PER_TASK", 200)
+    base = tempfile.mkdtemp(prefix="sf-pairs-")
+    incremental.deliver(spark, base, sensor.where("row_no < 500"), quality)
+    incremental.deliver(spark, base, sensor.where("row_no >= 500"))
+    assert rows(incremental.read_joined(spark, base).select(*want.columns)) == rows(want)
+    full = hourly_summary(want)
+    assert rows(round_doubles(incremental.read_summary(spark, base).select(*full.columns))) == rows(round_doubles(full))
