@@ -16,7 +16,9 @@
   ``multi_line`` declares it instead.
 * A file that cannot be split (compressed, or with line breaks in quotes) comes out
   of its scan in one task.  Its rows are staged once, as many small files, and
-  numbered chunks of them take the place of the splits as buckets of the order.
+  numbered chunks of them take the place of the splits as buckets of the order.  Of a
+  compressed file the lines are staged as they are: that task unpacks and does no
+  more, the probe and the parser run over the staged lines.
 * Rows with fewer or more fields than the header are kept (missing fields NULL, extra
   ones dropped) or, with ``malformed='quarantine'``, carried with their text in a
   column of their own, which ``split_malformed`` sets aside with the reason.
@@ -34,7 +36,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,12 +66,15 @@ def probe_files(spark: SparkSession, path) -> list:
     """By file: ``file``, ``encoding`` and whether a quoted field spans lines
     (``spans``), from one scan of the text.  One small row for each file, as the
     planner of the read that follows holds them."""
+    return _probed(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")))
+
+
+def _probed(text: DataFrame, *aggs: Column) -> list:
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     return text.groupBy("file").agg(
         F.when(F.count_if(~F.is_valid_utf8(line)) == 0, "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
-        (F.count_if(quotes % 2 == 1) > 0).alias("spans")).collect()
+        (F.count_if(quotes % 2 == 1) > 0).alias("spans"), *aggs).collect()
 
 
 def probe(spark: SparkSession, path) -> tuple[str, bool]:
@@ -82,6 +87,51 @@ def detect_encoding(spark: SparkSession, path) -> str:
     return probe(spark, path)[0]
 
 
+# How fields are written: for the reader of files and for the parser of staged lines.
+FORMAT = {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+          "ignoreTrailingWhiteSpace": "false", "nullValue": ""}
+
+
+def _na_to_null(column: Column, name: str) -> Column:
+    return F.when(column.isin(*NA_TOKENS), F.lit(None)).otherwise(column).alias(name)
+
+
+def _scan_packed(spark: SparkSession, path, encoding: str | None, multi_line: bool | None, malformed: str) -> DataFrame | None:
+    """``_scan`` and ``spread`` of compressed files, by their staged lines; None where
+    the files are others, or fields hold line breaks."""
+    if multi_line or encoding not in (None, "UTF-8", "ISO-8859-1"):
+        return None
+    text = spark.read.text(path)
+    if not all(f.lower().endswith(UNSPLITTABLE) for f in text.inputFiles()):
+        return None
+    lines = spread(text.select("value", F.col("_metadata.file_path").alias(FILE_COL),
+                               F.col("_metadata.file_block_start").alias(BLOCK_COL),
+                               F.monotonically_increasing_id().alias(SEQ_COL)))
+    filled = F.col("value").rlike(r"[^\x00-\x20]")              # the others are no records
+    found = _probed(lines.withColumnRenamed(FILE_COL, "file"), F.min(F.when(filled, F.col(SEQ_COL))).alias("header"))
+    if multi_line is None and any(f.spans for f in found):
+        return None
+    first: dict[str, str] = {}                                   # of the files of one encoding
+    for f in sorted(found, key=lambda f: f.file):
+        first.setdefault(encoding or f.encoding, f.file)
+    heads = [spark.read.options(**FORMAT).option("header", True).option("encoding", e).csv(f).columns for e, f in first.items()]
+    if not heads or any(h != heads[0] for h in heads):
+        return None
+    names = heads[0]
+    latin = [f.file for f in found if (encoding or f.encoding) == "ISO-8859-1"]
+    record = F.when(F.col(FILE_COL).isin(*latin), F.decode(F.col("value").cast("binary"), "ISO-8859-1")) \
+        .otherwise(F.col("value")) if latin else F.col("value")
+    fields = [*names, *[MALFORMED_COL] * (malformed == "quarantine")]
+    schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in fields)
+    options = FORMAT | ({"columnNameOfCorruptRecord": MALFORMED_COL} if malformed == "quarantine" else {})
+    rows = lines.where(filled & ~F.col(SEQ_COL).isin(*[f.header for f in found if f.header is not None])).select(
+        F.from_csv(record, schema, options).alias("__row"), *ORDER_COLS)
+    cols = [_na_to_null(F.col("__row").getField(c), c) for c in names]
+    if malformed == "quarantine":
+        cols.append(F.col("__row").getField(MALFORMED_COL).alias(MALFORMED_COL))
+    return rows.select(*cols, *ORDER_COLS)
+
+
 def _scan(spark: SparkSession, path, encoding: str, multi_line: bool, keep_order: bool, malformed: str,
           names: list[str] | None = None) -> DataFrame:
     """One read of files alike: text columns, NA tokens NULL, then the order columns."""
@@ -133,6 +183,9 @@ def read_csv(spark: SparkSession, path, encoding: str | None = "UTF-8",
     does not fit its type becomes NULL.  ``malformed``: see the module."""
     if malformed not in ("keep", "quarantine"):
         raise ValueError("malformed must be 'keep' or 'quarantine'")
+    packed = _scan_packed(spark, path, encoding, multi_line, malformed) if keep_order else None
+    if packed is not None:
+        return _typed(packed, schema, infer_numeric)
     kinds: dict[tuple[str, bool], list[str]] = {}
     if encoding is None or multi_line is None:
         for f in probe_files(spark, path):
@@ -148,10 +201,14 @@ def read_csv(spark: SparkSession, path, encoding: str | None = "UTF-8",
     else:
         encoding, multi_line = next(iter(kinds), (encoding or "UTF-8", bool(multi_line)))
         df = _scan(spark, path, encoding, multi_line, keep_order, malformed)
-    names = [c for c in df.columns if c not in (*ORDER_COLS, MALFORMED_COL)]
     whole = multi_line or any(spans for _, spans in kinds) or any(f.lower().endswith(UNSPLITTABLE) for f in df.inputFiles())
     if keep_order and whole:
         df = spread(df)
+    return _typed(df, schema, infer_numeric)
+
+
+def _typed(df: DataFrame, schema: dict[str, str] | None, infer_numeric: bool) -> DataFrame:
+    names = [c for c in df.columns if c not in (*ORDER_COLS, MALFORMED_COL)]
     if schema:
         return df.select(*[F.col(f"`{c}`").try_cast(schema[c]).alias(c) if c in schema
                            else F.col(f"`{c}`") for c in df.columns])
@@ -239,7 +296,8 @@ def write_csv(df: DataFrame, path: str, order_by: str | None = None,
               encoding: str = "UTF-8", compression: str = "none", one_file: bool = False) -> str:
     """Write a frame as headed CSV whose file order follows ``order_by``."""
     if order_by is not None:
-        df = df.coalesce(1).sortWithinPartitions(order_by) if one_file else df.orderBy(order_by)
+        # one file: its rows are made by many tasks, one sorts and writes them
+        df = df.repartition(1).sortWithinPartitions(order_by) if one_file else df.orderBy(order_by)
     (df.write.option("compression", compression).mode("overwrite").option("header", True).option("encoding", encoding)
      .option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

@@ -184,3 +184,26 @@ def test_job_counts_what_it_quarantines(spark):
     assert (report.rows["sensor_readings"], report.rows["sensor_malformed"], report.rows["quality_malformed"]) == (1, 1, 1)
     set_aside = spark.read.parquet(f"{out}/quarantine/{report.run_id}/quality")
     assert rows(set_aside, "record", "reason") == [("2024-01-01 08:00,m1,fail,late", "long")]
+
+
+def test_compressed_files_are_parsed_from_staged_lines(spark, monkeypatch):
+    """What reads the packed file does no more than stage its lines; the fields are as read unpacked."""
+    monkeypatch.setattr(csv, "CHUNK_ROWS", 3)
+    bodies = {"a_csv": 'k,v,w\n\n1,"x,""y",NA\n2,é,\n3,z\n4,z,q,more\n   \n5, b ,""\n'.encode(),
+              "b_csv": "k,v,w\n6,é,u\n7,,\n".encode("latin-1"), "c_csv": b"k,v,w\n"}
+    plain = _folder(**bodies)
+    packed = _folder(**{f"{n}_gz": gzip.compress(b) for n, b in bodies.items()})
+    assert csv._scan_packed(spark, plain, None, None, "keep") is None
+    for how in ({"encoding": None}, {"encoding": None, "malformed": "quarantine"}, {"encoding": "ISO-8859-1"},
+                {"schema": {"k": "int"}, "multi_line": False}):
+        want, got = csv.read_csv(spark, plain, **how), csv.read_csv(spark, packed, **how)
+        assert got.drop(csv.CHUNK_COL).dtypes == want.dtypes
+        assert rows(got.drop(*csv.ORDER_COLS)) == rows(want.drop(*csv.ORDER_COLS))
+        if "malformed" in how:
+            assert rows(csv.split_malformed(got)[1].drop(*csv.ORDER_COLS)) == rows(csv.split_malformed(want)[1].drop(*csv.ORDER_COLS))
+    staged = csv.read_csv(spark, packed, encoding=None, infer_numeric=False)
+    assert csv.CHUNK_COL in staged.columns and all(".gz" not in f for f in staged.inputFiles()) and len(staged.inputFiles()) >= 4
+    broken = _folder(a_csv_gz=gzip.compress(b'k,v\n1,"two\nlines"\n'))
+    assert rows(csv.read_csv(spark, broken, encoding=None), "k", "v") == [(1, "two\nlines")]
+    with pytest.raises(ValueError, match="differ in their columns"):
+        csv.read_csv(spark, _folder(a_csv_gz=gzip.compress(b"k,v\n1,x\n"), b_csv_gz=gzip.compress("k,w\n2,é\n".encode("latin-1"))), encoding=None)
