@@ -129,7 +129,11 @@ def _scan_packed(spark: SparkSession, path, encoding: str | None, multi_line: bo
     cols = [_na_to_null(F.col("__row").getField(c), c) for c in names]
     if malformed == "quarantine":
         cols.append(F.col("__row").getField(MALFORMED_COL).alias(MALFORMED_COL))
-    return rows.select(*cols, *ORDER_COLS)
+    # parsed once: inference and the steps that follow read columns
+    parsed = rows.select(*cols, *ORDER_COLS)
+    path = session.scratch_path(spark, f"shopfloor-parsed-{uuid.uuid4().hex}")
+    parsed.write.option("maxRecordsPerFile", CHUNK_ROWS).parquet(path)
+    return spark.read.schema(parsed.schema).parquet(path)
 
 
 def _scan(spark: SparkSession, path, encoding: str, multi_line: bool, keep_order: bool, malformed: str,
