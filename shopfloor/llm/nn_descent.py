@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stage
+from .common import components, stage, stage_with
 
 THRESHOLD = 0.95
 K = 8                   # neighbours kept in a list
@@ -278,8 +278,9 @@ def nearest(found: DataFrame) -> DataFrame:
 
 
 def _worst(lists: DataFrame) -> DataFrame:
-    """(member, worst): the similarity that an entry of a full list must exceed."""
-    return lists.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("n")) \
+    """(member, worst): the similarity that an entry of a full list must exceed.
+    Rows without a `sim` name members only."""
+    return lists.groupBy("node").agg(F.min("sim").alias("worst"), F.count("sim").alias("n")) \
                 .select(F.col("node").alias("member"), F.when(F.col("n") >= K, F.col("worst")).otherwise(-2.0)
                         .cast("float").alias("worst"))
 
@@ -362,28 +363,28 @@ def checked(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 def descend(nodes: DataFrame, found: DataFrame, threshold: float, rounds: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) met by the start and the rounds of descent, and the lists."""
-    found = stage(found, "nnd-start")
-    links = [found.where("kind = 's'").select("node", "nbr")]
+    paths: list[str] = []
+    found = stage_with(found, "nnd-start", paths)
     graph = stage(nearest(found.where("kind = 'n'").select("node", "nbr", "sim", F.lit(True).alias("fresh"))), "nnd-graph")
     for _ in range(rounds):
-        found = stage(around(graph, nodes, threshold), "nnd-round")
-        links += [found.where("kind = 's'").select("node", "nbr"),
-                  checked(found.where("kind = 'c'"), nodes, threshold)]
+        found = stage_with(around(graph, nodes, threshold), "nnd-round", paths)
         graph = stage(nearest(graph.withColumn("fresh", F.lit(False)).union(
             found.where("kind = 'n'").select("node", "nbr", "sim", F.lit(True)))), "nnd-graph")
         changed = graph.agg(F.avg(F.col("fresh").cast("int")).alias("share")).first()["share"] or 0
         if changed <= STILL:
             break
-    # the lists themselves, in double precision where single precision came near
-    links.append(checked(graph.where(F.col("sim") >= threshold - SLACK), nodes, threshold))
-    return _links(links), graph
+    return met(paths, graph, nodes, threshold), graph
 
 
-def _links(found: list[DataFrame]) -> DataFrame:
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out.select(F.col("node").alias("a"), F.col("nbr").alias("b"))
+def met(paths: list[str], lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that were met by the steps that wrote `paths` (rows of _FOUND),
+    and the lists themselves, in double precision where single precision came
+    near.  All steps are read by one scan and checked by one join: the plan, and
+    with it what the driver keeps of it, does not grow with the rounds."""
+    found = nodes.sparkSession.read.schema(_FOUND).parquet(*paths)
+    close = lists.where(F.col("sim") >= threshold - SLACK).select("node", "nbr")
+    close = found.where("kind = 'c'").select("node", "nbr").union(close)
+    return found.where("kind = 's'").select("node", "nbr").union(checked(close, nodes, threshold)).toDF("a", "b")
 
 
 def enlarge(nodes: DataFrame, graph: DataFrame, labels: DataFrame, threshold: float, trees: int, seed: int,
@@ -400,22 +401,17 @@ def enlarge(nodes: DataFrame, graph: DataFrame, labels: DataFrame, threshold: fl
         return none
     named = stage(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "nnd-named")
     inside = stage(graph.withColumn("fresh", F.lit(False)), "nnd-inside")
-    found = stage(start(named, trees, seed, threshold), "nnd-outside")
-    links = [found.where("kind = 's'").select("node", "nbr")]
-    near = lambda f: f.where("kind = 'n' and sim > -2").join(full, "node", "left_semi").select(
-        "node", "nbr", "sim", F.lit(True).alias("fresh"))
-    lists = stage(nearest(near(found)), "nnd-lists")
+    paths: list[str] = []
+    found = stage_with(start(named, trees, seed, threshold), "nnd-outside", paths)
+    near = lambda f: f.where("kind = 'n' and sim > -2").select("node", "nbr", "sim", F.lit(True).alias("fresh"))
+    lists = stage(nearest(near(found).join(full, "node", "left_semi")), "nnd-lists")
     for _ in range(rounds):
-        worst = full.withColumnRenamed("node", "member").join(_worst(lists), "member", "left") \
-                    .select("member", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"))
-        found = stage(around(inside.union(lists), named, threshold, worst), "nnd-outside")
-        links += [found.where("kind = 's'").select("node", "nbr"),
-                  checked(found.where("kind = 'c'"), nodes, threshold)]
+        worst = _worst(lists.select("node", "sim").union(full.select("node", F.lit(None).cast("float"))))
+        found = stage_with(around(inside.union(lists), named, threshold, worst), "nnd-outside", paths)
         lists = stage(nearest(lists.withColumn("fresh", F.lit(False)).union(near(found))), "nnd-lists")
         if (lists.agg(F.avg(F.col("fresh").cast("int")).alias("share")).first()["share"] or 0) <= STILL:
             break
-    links.append(checked(lists.where(F.col("sim") >= threshold - SLACK), nodes, threshold))
-    return _links(links)
+    return met(paths, lists, named, threshold)
 
 
 # ---------------------------------------------------------------- audit
@@ -594,9 +590,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     if not missing.isEmpty():
         labels = components(edges, "nnd-components")
     counted = count_links(nodes, labels, threshold)
-    known = nodes.join(counted, "node", "left").select(
+    known = stage(nodes.join(counted, "node", "left").select(
         "unit", "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("label", "node").alias("label"))
+        F.coalesce("label", "node").alias("label")), "nnd-known")
     first = known.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = stage(known.join(first, "label").select("unit", "n_links", "component_id"), "nnd-result")
     out = rows.where("unit is not null").join(known, "unit").select("vec_id", "n_links", "component_id")

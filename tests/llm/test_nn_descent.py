@@ -139,6 +139,29 @@ def test_saturated_lists_are_enlarged_outside_their_component(frame):
     assert {r.label for r in labels.collect()} == {0}
 
 
+def test_plans_of_links_do_not_grow_with_the_rounds(frame, monkeypatch):
+    """What the steps met is read and checked at once, and no link is lost by it:
+    the driver plans and keeps as much after six rounds as after one."""
+    monkeypatch.setattr(nnd, "STILL", -1)                     # every round runs
+    monkeypatch.setattr(nnd, "K", 4)
+    x = np.array([v for _, v in corpus(7, n=80)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    nodes = nnd.singles(_nodes(frame, x)).cache()
+    none = frame([], "node long, label long")
+    near, met = x @ x.T >= 0.95, []
+    joins = lambda df: df._jdf.queryExecution().logical().toString().count("Join ")
+    for rounds in (1, 4):
+        links, graph = nnd.descend(nodes, nnd.start(nodes, 1, 1, 0.95), 0.95, rounds)
+        more = nnd.enlarge(nodes, graph, none, 0.95, 1, 2, rounds)
+        met.append((joins(links), joins(more)))
+    assert met == [(2, 2), (2, 2)]
+    assert {frozenset((r.node, r.nbr)) for r in graph.collect() if near[r.node, r.nbr]} \
+        <= {frozenset(r) for r in links.collect()}
+    whole = union_find(len(x), list(zip(*np.nonzero(near))))
+    assert union_find(len(x), [tuple(r) for r in links.collect()]) == whole
+    assert union_find(len(x), [tuple(r) for r in links.union(more).collect()]) == whole
+
+
 def test_edge_cases(frame):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 1.0]),
