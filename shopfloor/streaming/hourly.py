@@ -92,7 +92,9 @@ def absorb(spark: SparkSession, joined: DataFrame, batch_id: int, out_dir: str,
     time, groups = roles.hourly_time_column(joined.columns), group_columns(joined.columns)
     scratch = session.scratch_path(spark, f"shopfloor-batch-{uuid.uuid4().hex}")
     passed = _latest(before)
-    joined = joined.persist()
+    # rows without a time (the NULL = NULL pairs of the join among them) have no window and
+    # are never late; their files hold no other rows, so the scan passes over them
+    joined = joined.where(F.col(time).isNotNull()).persist()
     try:
         hour_stats(joined).write.parquet(f"{scratch}/stats")
         late = joined.where(_closed(hour_bucket(F.col(time)), passed, delay))
