@@ -213,6 +213,55 @@ def test_unlabelled_rows_speak_for_all(frame):
     assert pu_quality.unlabelled(rows.limit(0))[1].size == 0
 
 
+def test_a_pass_reads_every_row(frame):
+    """Sums, slopes and counts over all rows, against the formulas written out."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(2_500, len(docstats.FEATURES)))
+    x[2_000:] = x[0]
+    side = np.arange(2_500) % 3 % 2
+    rows = frame([(v.tolist(), int(k)) for v, k in zip(x, side)], "features array<double>, side int", 5)
+    nets = [pu_quality.train(x[:50] + 1, x[:400], 0.5, steps=k) for k in (20, 30, 40)]
+    found = pu_quality.sums_of_all(rows, nets, [0, 1, None])
+    for net, (n, sums), on in zip(nets, found, (side == 0, side == 1, side >= 0)):
+        z = np.tanh(net.prepare(x[on]) @ net.w1 + net.b1) @ net.w2 + net.b2
+        assert n == on.sum() and sums[0] == pytest.approx(np.log1p(np.exp(z)).sum(), abs=1e-4)
+        up, down = (pu_quality.Network(net.mean, net.scale, net.w1, net.b1, net.w2, net.b2 + e) for e in (1e-5, -1e-5))
+        by_hand = (pu_quality.softplus_sums(up, x[on])[0] - pu_quality.softplus_sums(down, x[on])[0]) / 2e-5
+        assert sums[-1] == pytest.approx(by_hand, rel=1e-4)
+        w1 = net.w1.copy()
+        w1[3, 5] += 1e-5
+        moved = pu_quality.softplus_sums(pu_quality.Network(net.mean, net.scale, w1, net.b1, net.w2, net.b2), x[on])[0]
+        assert sums[1 + 3 * pu_quality.HIDDEN + 5] == pytest.approx((moved - sums[0]) / 1e-5, rel=1e-2, abs=0.5)
+    at = [np.array([0.2, 0.5, 0.9]), np.array([0.4])]
+    for net, (n, above), k, edges in zip(nets, pu_quality.counts_above(rows, nets[:2], [0, 1], at), (0, 1), at):
+        score = net.score(x[side == k])
+        assert n == len(score) and above.tolist() == [(score >= e).sum() for e in edges]
+
+
+def test_the_fit_lowers_the_risk_over_all_rows(frame, monkeypatch):
+    """Where few rows are drawn, those that are not count as well."""
+    monkeypatch.setattr(pu_quality, "DRAWN", 1)
+    monkeypatch.setattr(pu_quality, "CELL_ROWS", 1)
+    monkeypatch.setattr(pu_quality, "CELLS", 4)
+    monkeypatch.setattr(pu_quality, "PLANES", 2)
+    monkeypatch.setattr(pu_quality, "estimate_prior", lambda *args: 0.5)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1_500, len(docstats.FEATURES)))
+    x[::2] += 0.5
+    rows = frame([(k, v.tolist()) for k, v in enumerate(x)], "doc_id long, features array<double>", 4)
+    labels = frame([(k, 1) for k in range(0, 600, 2)], "doc_id long, quality int")
+    learned = {r.doc_id for r in docstats.label_sample(labels, "quality", 1_000).collect()}
+    positive = x[sorted(learned)]
+    web, n = pu_quality.unlabelled(rows)
+    assert len(web) < 50                                                    # drawn of 1,500
+
+    def risk(net):
+        z = [np.tanh(net.prepare(v) @ net.w1 + net.b1) @ net.w2 + net.b2 for v in (positive, x)]
+        return pu_quality.pu_risk(*z, 0.5)[0]
+
+    assert risk(pu_quality.fit(rows, labels)) < 0.9 * risk(pu_quality.train(positive, web, 0.5, n))
+
+
 def test_keep_good_edge_cases(frame):
     labels = frame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
     good, bad = "Plain words make a sentence here. " * 12, "!!! $$$ ### " * 30
